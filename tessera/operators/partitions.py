@@ -102,3 +102,11 @@ def validate_backfills(requests: DataFrame) -> DataFrame:
     ]
     errors = F.filter(F.array(*rules), lambda e: e.isNotNull())
     return requests.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
+
+
+def dimension_by_days(dim: DataFrame, start, end, out: str = "date") -> DataFrame:
+    """Every row of a dimension table (e.g. stations) times every day in
+    [start, end].  ``start`` / ``end`` are columns, typically scalar
+    subqueries (``df.agg(min(..)).scalar()``): the day list is generated per
+    dimension row by ``explode``, so no join and no shuffle is involved."""
+    return dim.withColumn(out, F.explode(day_range(start, end)))
