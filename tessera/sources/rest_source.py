@@ -61,7 +61,7 @@ class _ReplayTransport:
         self.pages = {(r["request_id"], r["page"]): (r["status"], r["body"]) for r in t}
 
     def get(self, request_id, endpoint, params, page):
-        return self.pages.get((request_id, page), (404, None))
+        return self.pages.get((request_id, page or 1), (404, None))
 
 
 class _HttpTransport:
