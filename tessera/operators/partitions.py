@@ -104,9 +104,14 @@ def validate_backfills(requests: DataFrame) -> DataFrame:
     return requests.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
 
 
-def dimension_by_days(dim: DataFrame, start, end, out: str = "date") -> DataFrame:
+def dimension_by_days(dim: DataFrame, start, end=None, out: str = "date") -> DataFrame:
     """Every row of a dimension table (e.g. stations) times every day in
-    [start, end].  ``start`` / ``end`` are columns, typically scalar
-    subqueries (``df.agg(min(..)).scalar()``): the day list is generated per
-    dimension row by ``explode``, so no join and no shuffle is involved."""
+    [start, end].  The bounds are columns, typically one scalar subquery
+    returning ``struct(lo, hi)`` (pass it as ``start`` with ``end=None``) so
+    the bounds are computed once: the day list is generated per dimension row
+    by ``explode``, so no join and no shuffle is involved."""
+    if end is None:
+        d = dim.withColumn("_bounds", start)
+        lo, hi = F.col("_bounds.lo"), F.col("_bounds.hi")
+        return d.withColumn(out, F.explode(day_range(lo, hi))).drop("_bounds")
     return dim.withColumn(out, F.explode(day_range(start, end)))

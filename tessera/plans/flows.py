@@ -63,10 +63,18 @@ def landing_measurements(spark: SparkSession, requests_path: str, lake_root: str
     rows = S.enrich(S.flatten_pages(ok, MEASUREMENT_RECORD), reqs)
     B.write_partitioned(rows, lake_root, LANDING, PCOLS, MEASUREMENTS)
 
-    versions = data_version(rows, ["request_id"], ["formula", "value", "timestamp_measured"])
+    # Fingerprint from the landed Parquet (columnar, pruned to this run's
+    # partitions) instead of parsing the JSON pages a second time.
+    this_run = reqs.select(F.col("date").cast("date").alias("date"), "station_number")
+    landed = B._partitions_only(B.read_all_partitions(spark, lake_root, LANDING, MEASUREMENTS), this_run, PCOLS)
+    versions = data_version(landed.withColumn("request_id", encode_columns(*PCOLS)), ["request_id"],
+                            ["formula", "value", "timestamp_measured"])
+    n_records = F.when(F.col("outcome") == "ok",
+                       F.json_array_length(F.get_json_object("body", "$.data"))).otherwise(0)
     per_request = pages.groupBy("request_id").agg(
         F.max((F.col("outcome") == "ok").cast("int")).alias("_ok"),
-        F.max((F.col("outcome") == "dead_letter").cast("int")).alias("_dead"))
+        F.max((F.col("outcome") == "dead_letter").cast("int")).alias("_dead"),
+        F.sum(F.coalesce(n_records, F.lit(0))).alias("_n"))
     outcome = per_request.join(versions, "request_id", "left")
     t = as_col(now)
     status = (F.when(F.col("_dead") == 1, F.lit(STATUS_FAILED))
@@ -76,8 +84,9 @@ def landing_measurements(spark: SparkSession, requests_path: str, lake_root: str
         status.alias("status"), t.alias("event_time"),
         F.abs(F.xxhash64(F.lit(LANDING), "request_id", t)).alias("event_id"),
         F.lit(B.asset_path(lake_root, LANDING)).alias("path"),
-        F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("row_count"),
-        F.when(status == STATUS_MATERIALIZED, F.coalesce(F.col("data_version"), F.lit("0-0-0"))).alias("data_version"))
+        F.col("_n").cast("long").alias("row_count"),
+        F.when(status == STATUS_MATERIALIZED,
+               F.when(F.col("_n") > 0, F.col("data_version")).otherwise(F.lit("0-0-0"))).alias("data_version"))
     append_ledger(events, ledger_path)
     return read_ledger(spark, ledger_path).filter(F.col("event_time") == t)
 

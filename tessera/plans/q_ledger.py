@@ -26,9 +26,9 @@ def measurement_grid(spark: SparkSession, d: str) -> DataFrame:
     """All (date, station) partitions the measurement asset should have:
     every known station times every day from the first to the last day."""
     m = V.measurements(spark, d)
-    first, last = m.agg(F.min("date")).scalar(), m.agg(F.max("date")).scalar()
+    bounds = m.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     st = V.stations(spark, d).select(F.col("number").alias("station_number"))
-    g = dimension_by_days(st, first, last)
+    g = dimension_by_days(st, bounds)
     return g.withColumn("partition_key", F.concat_ws("|", F.col("date").cast("string"), "station_number"))
 
 
