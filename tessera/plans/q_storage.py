@@ -14,7 +14,7 @@ from tessera.plans.q_ledger import GRID_SQL, measurement_grid
 from tessera.plans.registry import register
 from tessera.plans.sqlviews import with_views
 from tessera.schemas import MEASUREMENTS, STATION, STATION_DETAIL
-from tessera.session import scratch_path
+from tessera.session import app_id, scratch_path
 from tessera.sources import storage as B
 from tessera.sources import testviews as V
 
@@ -32,7 +32,7 @@ def landing_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def shared_landing(spark: SparkSession, d: str) -> str:
     """Root of a landing lake holding every measurement partition of ``d``."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (app_id(spark), d)
     if key not in _LAKES:
         root = scratch_path(spark, "landing")
         B.write_partitioned(landing_rows(spark, d), root, ASSET, PCOLS, MEASUREMENTS)

@@ -24,7 +24,7 @@ BASE_CONF = {
     # Small inputs that fan out into many output folders (partitioned writes)
     # should not be coalesced into a single task; at scale the 64 MB advisory
     # size governs and this floor is irrelevant.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -32,11 +32,21 @@ BASE_CONF = {
 }
 
 
+# Single-machine only: list partition folders on the driver instead of one
+# Spark job per folder level (on a cluster, parallel discovery is the right
+# choice for millions of folders, so this is not applied there).
+LOCAL_CONF = {
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        conf.update(LOCAL_CONF)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -66,3 +76,10 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared root."""
     return os.path.join(shared_root(spark), "tessera", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # connect sessions have no SparkContext
+        return spark.conf.get("spark.app.id", "app")
