@@ -144,23 +144,24 @@ def q_read_all_partitions(spark, d):
 
 
 LOCATIONS_SQL = """
-SELECT n_nationkey, CASE n_nationkey % 4
-    WHEN 0 THEN 'gs://bucket-' || n_nationkey || '/landing/' || lower(n_name) || '/'
-    WHEN 1 THEN '/data/lake/' || lower(n_name)
-    WHEN 2 THEN 's3://bucket-' || n_nationkey || '/raw/' || lower(n_name)
-    ELSE 'minio://bucket-' || n_nationkey || '/x' END AS location
-FROM nation"""
+SELECT c_custkey, CASE c_custkey % 4
+    WHEN 0 THEN 'gs://bucket-' || c_nationkey || '/landing/' || lower(c_mktsegment) || '/' || c_custkey || '/'
+    WHEN 1 THEN '/data/lake/' || lower(c_mktsegment) || '/' || c_custkey
+    WHEN 2 THEN 's3://bucket-' || c_nationkey || '/raw/' || lower(c_mktsegment)
+    ELSE 'minio://bucket-' || c_nationkey || '/x' END AS location
+FROM customer"""
 
 
 def locations(spark: SparkSession, d: str) -> DataFrame:
-    n = V.table(spark, d, "nation")
-    k, name = F.col("n_nationkey"), F.lower(F.col("n_name"))
-    b = F.concat(F.lit("bucket-"), k.cast("string"))
-    loc = (F.when(k % 4 == 0, F.concat(F.lit("gs://"), b, F.lit("/landing/"), name, F.lit("/")))
-           .when(k % 4 == 1, F.concat(F.lit("/data/lake/"), name))
-           .when(k % 4 == 2, F.concat(F.lit("s3://"), b, F.lit("/raw/"), name))
+    """One storage location per customer, in four URI styles."""
+    c = V.table(spark, d, "customer")
+    k, seg = F.col("c_custkey"), F.lower(F.col("c_mktsegment"))
+    b = F.concat(F.lit("bucket-"), F.col("c_nationkey").cast("string"))
+    loc = (F.when(k % 4 == 0, F.concat(F.lit("gs://"), b, F.lit("/landing/"), seg, F.lit("/"), k.cast("string"), F.lit("/")))
+           .when(k % 4 == 1, F.concat(F.lit("/data/lake/"), seg, F.lit("/"), k.cast("string")))
+           .when(k % 4 == 2, F.concat(F.lit("s3://"), b, F.lit("/raw/"), seg))
            .otherwise(F.concat(F.lit("minio://"), b, F.lit("/x"))))
-    return n.select("n_nationkey", loc.alias("location"))
+    return c.select("c_custkey", loc.alias("location"))
 
 
 @register("classify_location", with_views("""
@@ -173,7 +174,7 @@ SELECT location, scheme,
 FROM (SELECT location, lower(regexp_extract(location, '^([A-Za-z][A-Za-z0-9+.\\-]*)://', 1)) AS scheme FROM locs) t""",
                                           extra={"locs": LOCATIONS_SQL}))
 def q_classify_location(spark, d):
-    return B.classify_location(locations(spark, d)).drop("n_nationkey")
+    return B.classify_location(locations(spark, d)).drop("c_custkey")
 
 
 @register("list_partition_files", with_views("""

@@ -79,18 +79,19 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                                ELSE 'station_names' END AS asset FROM orders) o
         ) r""", ()),
     "v_backfills": ("""
-        SELECT n_nationkey AS request_id, lower(n_name) AS name, 'air_quality_job' AS job_name, 'ingestion' AS repository_name,
-               CASE WHEN n_nationkey % 11 = 10 THEN 'sometimes'
-                    WHEN n_nationkey % 2 = 0 THEN 'missing' ELSE 'all' END AS policy,
-               CASE WHEN n_nationkey % 7 = 3 THEN NULL ELSE 'air_quality_data' END AS asset_key,
-               CAST(DATE '2024-01-01' + n_nationkey AS DATE) AS start_date,
-               CAST(CASE WHEN n_nationkey % 9 = 8 THEN DATE '2024-01-01' + n_nationkey - 1
-                    ELSE DATE '2024-01-01' + n_nationkey + n_nationkey % 4 END AS DATE) AS end_date,
-               [printf('NL%05d', n_nationkey * 5), printf('NL%05d', n_nationkey * 5 + 1),
-                printf('NL%05d', n_nationkey * 5 + 2)] AS stations,
-               CASE WHEN n_nationkey % 13 = 12 THEN 'csv' ELSE 'parquet' END AS file_type,
+        SELECT c_custkey AS request_id, 'backfill-' || CAST(c_custkey AS VARCHAR) AS name,
+               'air_quality_job' AS job_name, 'ingestion' AS repository_name,
+               CASE WHEN c_custkey % 11 = 10 THEN 'sometimes'
+                    WHEN c_custkey % 2 = 0 THEN 'missing' ELSE 'all' END AS policy,
+               CASE WHEN c_custkey % 7 = 3 THEN NULL ELSE 'air_quality_data' END AS asset_key,
+               CAST(DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS DATE) AS start_date,
+               CAST(CASE WHEN c_custkey % 9 = 8 THEN DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) - 1
+                    ELSE DATE '2024-01-01' + CAST(c_custkey % 30 + c_custkey % 4 AS INTEGER) END AS DATE) AS end_date,
+               [printf('NL%05d', (c_custkey * 5) % 1000), printf('NL%05d', (c_custkey * 5 + 1) % 1000),
+                printf('NL%05d', (c_custkey * 5 + 2) % 1000)] AS stations,
+               CASE WHEN c_custkey % 13 = 12 THEN 'csv' ELSE 'parquet' END AS file_type,
                false AS skip_checks
-        FROM nation""", ()),
+        FROM customer""", ()),
     "v_calls": ("""
         SELECT event_type AS bucket, event_id AS call_id, CAST(ts AS TIMESTAMP) AS ts FROM events""", ()),
 }

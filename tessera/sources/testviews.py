@@ -26,6 +26,7 @@ STATION_BRONZE_ASSET = "air_quality_station_names"
 STATIONS_PER_RUN_CYCLE = 150
 RUN_DAY0 = "2024-01-01"
 RUN_DAYS = 30
+BACKFILL_STATIONS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,14 +159,14 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``v_backfills``: one backfill request per nation, some invalid on purpose."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    start = F.date_add(F.lit("2024-01-01").cast("date"), k)
-    end = F.when(k % 9 == 8, F.date_sub(start, 1)).otherwise(F.date_add(start, k % 4))
-    return n.select(
+    """``v_backfills``: one backfill request per customer, some invalid on purpose."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    start = F.date_add(F.lit("2024-01-01").cast("date"), (k % 30).cast("int"))
+    end = F.when(k % 9 == 8, F.date_sub(start, 1)).otherwise(F.date_add(start, (k % 4).cast("int")))
+    return c.select(
         k.alias("request_id"),
-        F.lower(F.col("n_name")).alias("name"),
+        F.concat(F.lit("backfill-"), k.cast("string")).alias("name"),
         F.lit("air_quality_job").alias("job_name"),
         F.lit("ingestion").alias("repository_name"),
         F.when(k % 11 == 10, F.lit("sometimes"))
@@ -173,7 +174,7 @@ def backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 3, F.lit(None).cast("string")).otherwise(F.lit(MEASUREMENT_ASSET)).alias("asset_key"),
         start.alias("start_date"),
         end.alias("end_date"),
-        F.array(station_of(k * 5), station_of(k * 5 + 1), station_of(k * 5 + 2)).alias("stations"),
+        F.array(*[station_of((k * 5 + i) % BACKFILL_STATIONS) for i in range(3)]).alias("stations"),
         F.when(k % 13 == 12, F.lit("csv")).otherwise(F.lit("parquet")).alias("file_type"),
         F.lit(False).alias("skip_checks"),
     )
