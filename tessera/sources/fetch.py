@@ -141,4 +141,4 @@ def write_station_list(df: DataFrame, path: str, files: int = 1) -> None:
     arr = (df.groupBy(F.pmod(F.xxhash64("number"), F.lit(files)).alias("_b"))
            .agg(F.to_json(F.sort_array(F.collect_list(F.struct("location", "number")))).alias("value")))
     # One array per file: each bucket is its own folder holding one row.
-    arr.write.mode("overwrite").partitionBy("_b").text(path)
+    arr.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_b").text(path)

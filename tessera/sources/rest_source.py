@@ -143,4 +143,5 @@ def write_bucketed(df, path: str, buckets: int, key: str = "request_id") -> None
     from pyspark.sql import functions as F
     (df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
        .repartition(buckets, "bucket")
-       .write.mode("overwrite").partitionBy("bucket").parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "static")   # whole table replaced
+       .partitionBy("bucket").parquet(path))
