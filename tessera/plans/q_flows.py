@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.timefn import ts_lit
 from tessera.plans import flows as G
 from tessera.plans.q_freshness import VERSION_SQL
-from tessera.plans.q_ledger import GRID_SQL, LEDGER_AS_OF, RECONCILE_SQL, measurement_grid
+from tessera.plans.q_ledger import GRID_SQL, LEDGER_AS_OF, PLAN_SQL, RECONCILE_SQL, measurement_grid
 from tessera.plans.q_sources import measurement_pages
 from tessera.plans.q_storage import shared_landing
 from tessera.plans.registry import register
@@ -116,8 +116,7 @@ SELECT name, 'reject', NULL, concat_ws(';', e1, e2, e3, e4) FROM (
     CASE WHEN file_type NOT IN ('parquet') THEN 'unsupported type ' || file_type END AS e4
   FROM v_backfills) t
 WHERE coalesce(e1, e2, e3, e4) IS NOT NULL""", "v_backfills", "v_meas_ledger",
-                                         extra={"plan": __import__("tessera.plans.q_ledger",
-                                                                   fromlist=["PLAN_SQL"]).PLAN_SQL}))
+                                         extra={"plan": PLAN_SQL}))
 def q_backfill_missing(spark, d):
     return G.backfill_missing(V.backfills(spark, d), V.measurement_ledger(spark, d))
 
