@@ -8,7 +8,8 @@ the edge and never used as a physical path.
 
 Writes cast to the declared schema first (the upstream JSON drifts: an
 all-integer day must still be stored as double), use dynamic partition
-overwrite (only the partitions present in the output are replaced) and ask
+overwrite on an existing table (only the partitions present in the output
+are replaced; a new table is written in place without staging) and ask
 AQE to ``rebalance`` on the partition columns: a partition holding a third of
 all rows is split over several tasks and files, small ones are coalesced.
 """
@@ -53,9 +54,13 @@ def write_partitioned(df: DataFrame, root: str, asset_key: str, partition_cols:
     """B1 (+B3): replace exactly the partitions present in ``df``."""
     out = conform(df, schema) if schema is not None else df
     path = asset_path(root, asset_key)
+    spark = df.sparkSession
+    # A new table needs no staging: write it in place (static).  An existing
+    # one is replaced partition by partition (dynamic), all others survive.
+    mode = "dynamic" if _path_exists(spark, path) else "static"
     (out.hint("rebalance", *partition_cols)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_cols)
         .parquet(path))
