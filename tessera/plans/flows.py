@@ -17,8 +17,8 @@ from tessera.operators import ledger as L
 from tessera.operators import partitions as P
 from tessera.operators.freshness import data_version
 from tessera.schemas import (LEDGER, MEASUREMENT_RECORD, MEASUREMENTS,
-                             STATION, STATION_DETAIL, STATUS_FAILED,
-                             STATUS_MATERIALIZED)
+                             RATE_CALLS, STATION, STATION_DETAIL,
+                             STATUS_FAILED, STATUS_MATERIALIZED)
 from tessera.sources import fetch as S
 from tessera.sources import rest_source
 from tessera.sources import storage as B
@@ -41,6 +41,14 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger_path)
 
 
+def wave_limited_requests(requests: DataFrame, max_waves: int, calls_per_wave: int = RATE_CALLS) -> DataFrame:
+    """Requests that fit in the first ``max_waves`` rate-limit waves (100
+    calls per 5 minutes), in request order; the rest stay due for the next
+    run.  The budget is the feature, so this is an ordered limit, which Spark
+    runs as a distributed top-k (per-partition top-k, then one merge)."""
+    return requests.orderBy("request_id").limit(max_waves * calls_per_wave)
+
+
 def landing_measurements(spark: SparkSession, requests_path: str, lake_root: str, ledger_path: str,
                          now, transport_options: dict[str, str]) -> DataFrame:
     """G1: fetch every due (day, station) request, land the rows and record

@@ -138,6 +138,15 @@ def register(spark) -> None:
     spark.dataSource.register(RestDataSource)
 
 
+def write_requests(requests, path: str, buckets: int, max_waves: int | None = None) -> None:
+    """Write the request table the reader consumes; with ``max_waves`` only
+    the requests inside the first rate-limit waves are written (see F11)."""
+    if max_waves is not None:
+        from tessera.plans.flows import wave_limited_requests
+        requests = wave_limited_requests(requests, max_waves)
+    write_bucketed(requests, path, buckets)
+
+
 def write_bucketed(df, path: str, buckets: int, key: str = "request_id") -> None:
     """Write a request or replay table in ``buckets`` folders by key hash."""
     from pyspark.sql import functions as F

@@ -116,3 +116,12 @@ def test_write_ledger_metadata(spark):
     path = B.write_partitioned(rows, root, "m", PC, MEASUREMENTS)
     meta = B.output_metadata(spark, path, "m", PC, F.current_timestamp()).collect()
     assert len(meta) == 1 and meta[0].row_count == 3 and meta[0].partition_key == "2024-01-01|s1"
+
+
+def test_requests_limited_to_rate_waves(spark):
+    from tessera.plans.flows import wave_limited_requests
+    reqs = spark.range(250).selectExpr("cast(id as string) AS request_id", "'m' AS endpoint",
+                                       "cast(null as string) AS params_json")
+    assert wave_limited_requests(reqs, 1).count() == 100
+    assert wave_limited_requests(reqs, 2).count() == 200
+    assert wave_limited_requests(reqs, 3).count() == 250
