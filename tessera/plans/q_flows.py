@@ -79,7 +79,7 @@ def q_bronze_daily_measurements(spark, d):
 
 def _stations_landed(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
     root = scratch_path(spark, "g3")
-    S.write_station_list(V.stations(spark, d), f"{root}/stations_json", files=4)
+    S.write_station_list(V.stations(spark, d), f"{root}/stations_json", per_file=64)
     det = V.station_details(spark, d)
     replay = det.select(F.concat(F.lit("stations/"), "number").alias("request_id"), F.lit(1).alias("page"),
                         F.lit(200).alias("status"),

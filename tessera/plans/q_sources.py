@@ -108,7 +108,7 @@ def q_fetch_error_split(spark, d):
 @register("stations_dim", with_views("SELECT number, location FROM v_stations", "v_stations"))
 def q_stations_dim(spark, d):
     path = scratch_path(spark, "stations-json")
-    S.write_station_list(V.stations(spark, d), path, files=4)
+    S.write_station_list(V.stations(spark, d), path, per_file=64)
     return S.read_stations(spark, path)
 
 

@@ -135,9 +135,13 @@ def read_stations(spark: SparkSession, path: str, check_unique: bool = True) ->
     return df
 
 
-def write_station_list(df: DataFrame, path: str, files: int = 1) -> None:
-    """Write stations as JSON-array files (the format ``read_stations`` reads),
-    ``files`` arrays in parallel; each array holds one hash bucket."""
+def write_station_list(df: DataFrame, path: str, per_file: int = 10_000) -> None:
+    """Write stations as JSON-array files (the format ``read_stations`` reads).
+
+    Each file holds one hash bucket of about ``per_file`` stations, so no
+    array grows with the station count; buckets are written in parallel.
+    """
+    files = max(1, -(-df.count() // per_file))
     arr = (df.groupBy(F.pmod(F.xxhash64("number"), F.lit(files)).alias("_b"))
            .agg(F.to_json(F.sort_array(F.collect_list(F.struct("location", "number")))).alias("value")))
     # One array per file: each bucket is its own folder holding one row.
