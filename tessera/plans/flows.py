@@ -57,7 +57,8 @@ def landing_measurements(spark: SparkSession, requests_path: str, lake_root: str
     S1 fetch -> raw pages written once -> S7 split -> S2 flatten -> S6 enrich
     -> F1 version -> B1 write -> ledger append (MATERIALIZED with row count and
     version for 2xx, FAILED for permanent errors, nothing for retryable ones).
-    Returns the appended ledger rows.
+    Write ``requests_path`` with ``rest_source.write_requests(..., max_waves)``
+    to stay inside the API's rate limit.  Returns the appended ledger rows.
     """
     raw_path = f"{lake_root}/_raw_pages"
     rest_source.register(spark)
