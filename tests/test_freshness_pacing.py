@@ -99,3 +99,15 @@ def test_cron_ticks_in_amsterdam(spark):
                               monthly_cron_tick(ts_lit("2024-02-01 00:30:00")).alias("m")).first()
     assert r.d == T(2024, 1, 30, 2) and r.m == T(2024, 1, 31, 23)
     _ = F
+
+
+def test_cron_ticks_on_dst_days(spark):
+    from tessera.functions.timefn import daily_cron_tick, last_closed_day
+    r = spark.range(1).select(
+        daily_cron_tick(ts_lit("2024-03-31 05:00:00"), 3).alias("spring"),      # 03:00 CEST = 01:00 UTC
+        daily_cron_tick(ts_lit("2024-10-27 05:00:00"), 3).alias("autumn"),      # 03:00 CET = 02:00 UTC
+        daily_cron_tick(ts_lit("2024-03-31 00:30:00"), 3).alias("before"),      # still the 30th's tick
+        last_closed_day(ts_lit("2024-10-26 22:30:00")).alias("closed")).first()  # 00:30 local on the 27th
+    assert r.spring == T(2024, 3, 31, 1) and r.autumn == T(2024, 10, 27, 2)
+    assert r.before == T(2024, 3, 30, 2)
+    assert str(r.closed) == "2024-10-26"
