@@ -17,6 +17,7 @@ all rows is split over several tasks and files, small ones are coalesced.
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,19 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def write_partitioned(df: DataFrame, root: str, asset_key: str, partition_cols: list[str],
                       schema: T.StructType | None = None,
                       max_records_per_file: int = ROW_GROUP_ROWS) -> str:
@@ -58,12 +72,17 @@ def write_partitioned(df: DataFrame, root: str, asset_key: str, partition_cols:
     # A new table needs no staging: write it in place (static).  An existing
     # one is replaced partition by partition (dynamic), all others survive.
     mode = "dynamic" if _path_exists(spark, path) else "static"
-    (out.hint("rebalance", *partition_cols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*partition_cols)
-        .parquet(path))
+    writer = (out.hint("rebalance", *partition_cols)
+              .write.mode("overwrite")
+              .option("partitionOverwriteMode", mode)
+              .option("maxRecordsPerFile", max_records_per_file)
+              .partitionBy(*partition_cols))
+    # A fan-out write costs per output folder, not per byte: do not let AQE
+    # merge a small shuffle into one task that creates every folder serially.
+    # Skew splitting of the rebalance stays on; files per folder are unchanged
+    # because each folder's rows still hash to one task.
+    with _session_conf(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        writer.parquet(path)
     return path
 
 
