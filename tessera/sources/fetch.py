@@ -63,25 +63,35 @@ def flatten_pages(pages: DataFrame, record: T.StructType = MEASUREMENT_RECORD) -
 def page_chain_status(pages: DataFrame) -> DataFrame:
     """S3: per request, is the page chain complete?
 
-    Complete = pages start at 1, each page's ``next_page`` is the following
-    page's ``current_page`` and the last page points at itself.  A body
-    without ``pagination`` is a one-page chain.  The window holds one
-    request's pages only.
+    Complete = pages start at 1, every page's ``next_page`` points forward to
+    a page that exists, and the only page pointing at itself (the end of the
+    chain) is the last one.  A body without ``pagination`` is a one-page
+    chain.  Links are resolved by a self-join on (request, page number) –
+    unique keys, so even a request with millions of pages is spread over all
+    tasks – and the verdict is a partially aggregated per-request summary.
     """
     pag = F.from_json("body", T.StructType([T.StructField("pagination", page_schema()["pagination"].dataType)]),
                       JSON_OPTS)
     p = pages.select("request_id", pag["pagination"]["current_page"].alias("cur"),
                      pag["pagination"]["next_page"].alias("nxt"), F.col("page"))
-    p = p.withColumn("cur", F.coalesce("cur", "page")).withColumn("nxt", F.coalesce("nxt", "cur"))
-    w = Window.partitionBy("request_id").orderBy("cur")
-    p = p.withColumn("_lead", F.lead("cur").over(w))
-    ok_link = F.when(F.col("_lead").isNull(), F.col("nxt") == F.col("cur")).otherwise(F.col("nxt") == F.col("_lead"))
-    return p.groupBy("request_id").agg(
+    p = p.withColumn("cur", F.coalesce("cur", "page")).withColumn("nxt", F.coalesce("nxt", "cur")).drop("page")
+    targets = p.select("request_id", F.col("cur").alias("nxt"), F.lit(True).alias("_found"))
+    linked = p.join(targets, ["request_id", "nxt"], "left")
+    terminal = F.col("nxt") == F.col("cur")
+    unresolved = ~terminal & (F.col("_found").isNull() | (F.col("nxt") < F.col("cur")))
+    agg = linked.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.min("cur").alias("first_page"),
         F.max("cur").alias("last_page"),
-        F.min(F.when(~ok_link, F.col("cur"))).alias("broken_at"),
-    ).withColumn("complete", (F.col("first_page") == 1) & F.col("broken_at").isNull())
+        F.count_if(terminal).alias("_n_end"),
+        F.max(F.when(terminal, F.col("cur"))).alias("_end"),
+        F.min(F.when(unresolved, F.col("cur"))).alias("_unresolved"))
+    broken = F.coalesce(F.col("_unresolved"),
+                        F.when(F.col("_end").isNull() | (F.col("_end") != F.col("last_page")), F.col("_end")))
+    ends_ok = (F.col("_n_end") == 1) & (F.col("_end") == F.col("last_page"))
+    return (agg.withColumn("broken_at", broken)
+            .withColumn("complete", (F.col("first_page") == 1) & F.col("_unresolved").isNull() & ends_ok)
+            .drop("_n_end", "_end", "_unresolved"))
 
 
 def single_objects(responses: DataFrame, record: T.StructType) -> DataFrame:

@@ -66,9 +66,12 @@ def test_page_chains(spark):
         ("single", 1, 200, json.dumps({"data": [{"formula": "o3", "value": 2.0}]})),
         ("three", 1, 200, body(1, 2)), ("three", 2, 200, body(2, 3)), ("three", 3, 200, body(3, 3)),
         ("gap", 1, 200, body(1, 2)), ("gap", 3, 200, body(3, 3)),
-        ("open", 1, 200, body(1, 2))])
+        ("open", 1, 200, body(1, 2)),
+        ("midend", 1, 200, body(1, 1)), ("midend", 2, 200, body(2, 2)),
+        ("back", 1, 200, body(1, 2)), ("back", 2, 200, body(2, 1))])
     st = {r.request_id: (r.n_pages, r.complete) for r in S.page_chain_status(pages).collect()}
-    assert st == {"single": (1, True), "three": (3, True), "gap": (2, False), "open": (1, False)}
+    assert st == {"single": (1, True), "three": (3, True), "gap": (2, False), "open": (1, False),
+                  "midend": (2, False), "back": (2, False)}
     assert S.flatten_pages(pages).filter("request_id = 'three'").count() == 3
 
 
