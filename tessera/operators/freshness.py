@@ -140,14 +140,15 @@ def retry_schedule(failures: DataFrame, key: str = "run_key", max_retries: int =
     ``dead_letter`` for permanent failures (HTTP 500), ``retry`` while
     attempts <= max_retries, else ``give_up``.  The exponential delay
     delay·2^(n-1) with ± jitter is returned as an [earliest, latest] window
-    (jitter as bounds, ±50 %, our choice) so the result is deterministic."""
-    w = Window.partitionBy(key).orderBy("failed_at", "attempt_id")
-    n = F.row_number().over(w)
-    base_us = F.lit(delay_s * 1_000_000) * F.pow(F.lit(2), n - 1).cast("long")
+    (jitter as bounds, ±50 %, our choice) so the result is deterministic.
+    Attempts are numbered with the two-level time-block rank, so a key with
+    a flood of failures is not sorted in one task."""
+    from tessera.operators.pacing import rank_in_time_order
+    ranked = rank_in_time_order(failures, key, "failed_at", "attempt_id", out="attempt")
+    base_us = F.lit(delay_s * 1_000_000) * F.pow(F.lit(2), F.col("attempt") - 1).cast("long")
     t = F.unix_micros("failed_at")
     action = (F.when(F.col("permanent"), F.lit("dead_letter"))
               .when(F.col("attempt") <= max_retries, F.lit("retry")).otherwise(F.lit("give_up")))
-    return (failures.withColumn("attempt", n)
-            .withColumn("action", action)
+    return (ranked.withColumn("action", action)
             .withColumn("earliest_us", F.when(F.col("action") == "retry", t + base_us / 2).cast("long"))
             .withColumn("latest_us", F.when(F.col("action") == "retry", t + base_us * 3 / 2).cast("long")))

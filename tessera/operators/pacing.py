@@ -46,6 +46,23 @@ def rate_window_audit(calls: DataFrame, limit: int = RATE_CALLS, minutes: int =
             .drop("_us", "_slice", "_g", "_real_upto", "_ghost_upto", "_ghost_all"))
 
 
+def rank_in_time_order(df: DataFrame, key: str, ts: str, tie: str, block_minutes: int = 60,
+                       out: str = "rank") -> DataFrame:
+    """``row_number() OVER (PARTITION BY key ORDER BY ts, tie)`` without
+    sorting a whole key in one task: rows are cut into (key, time block)
+    groups, block sizes are prefix-summed over the small (key, block) table,
+    and each row's rank is its block offset plus its rank inside the block."""
+    block_us = block_minutes * 60 * 1_000_000
+    r = df.withColumn("_block", F.floor(F.unix_micros(F.col(ts)) / block_us))
+    counts = r.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    w_off = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
+    local = Window.partitionBy(key, "_block").orderBy(ts, tie)
+    return (r.join(offsets, [key, "_block"], "inner")
+            .withColumn(out, (F.col("_offset") + F.row_number().over(local)).cast("long"))
+            .drop("_block", "_offset"))
+
+
 def rate_wave_plan(requests: DataFrame, limit: int = RATE_CALLS, minutes: int = RATE_MINUTES,
                    bucket: str = "bucket", ts: str = "ts", tie: str = "call_id",
                    block_minutes: int = 60, tries: int = LIMITER_TRIES,
@@ -57,17 +74,9 @@ def rate_wave_plan(requests: DataFrame, limit: int = RATE_CALLS, minutes: int =
     that would wait longer than the limiter's patience of
     (tries - 1)·delay seconds.
     """
-    block_us = block_minutes * 60 * 1_000_000
-    r = requests.withColumn("_block", F.floor(F.unix_micros(F.col(ts)) / block_us))
-    counts = r.groupBy(bucket, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(bucket).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    local = Window.partitionBy(bucket, "_block").orderBy(ts, tie)
-    ranked = (r.join(offsets, [bucket, "_block"], "inner")
-              .withColumn("rank", (F.col("_offset") + F.row_number().over(local)).cast("long")))
+    ranked = rank_in_time_order(requests, bucket, ts, tie, block_minutes)
     wave = F.floor((F.col("rank") - 1) / limit).cast("long")
     patience = (tries - 1) * delay_s
     return (ranked.withColumn("wave", wave)
             .withColumn("wait_s", F.col("wave") * (minutes * 60))
-            .withColumn("gives_up", F.col("wait_s") > patience)
-            .drop("_block", "_offset"))
+            .withColumn("gives_up", F.col("wait_s") > patience))
