@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,16 +30,21 @@ def page_envelopes(rows: DataFrame, request_col: str, record_cols: list[str], or
                    page_size: int) -> DataFrame:
     """Wrap rows into paginated response pages (replay fixtures, raw landing).
 
-    Pages are numbered per request in ``order_cols`` order; the last page's
-    ``next_page`` equals its ``current_page``, which ends the chain.  Each page
-    collects at most ``page_size`` records.
+    ``order_cols`` is (timestamp column, tie-breaker).  Records are numbered
+    per request in that order with the two-level time-block rank (no request
+    is sorted whole in one task); the page count per request is an aggregate
+    joined back.  The last page's ``next_page`` equals its ``current_page``,
+    which ends the chain; each page collects at most ``page_size`` records.
     """
-    w = Window.partitionBy(request_col).orderBy(*order_cols)
-    numbered = (rows.withColumn("_rn", F.row_number().over(w))
-                .withColumn("page", F.ceil(F.col("_rn") / page_size).cast("int"))
-                .withColumn("_pages", F.max("page").over(Window.partitionBy(request_col))))
-    pages = numbered.groupBy(request_col, "page", "_pages").agg(
+    from tessera.operators.pacing import rank_in_time_order
+    ts_col, tie_col = order_cols
+    numbered = (rank_in_time_order(rows, request_col, ts_col, tie_col, out="_rn")
+                .withColumn("page", F.ceil(F.col("_rn") / page_size).cast("int")))
+    n_pages = (rows.groupBy(request_col).agg(F.count(F.lit(1)).alias("_n"))
+               .select(request_col, F.ceil(F.col("_n") / page_size).cast("int").alias("_pages")))
+    pages = numbered.groupBy(request_col, "page").agg(
         F.sort_array(F.collect_list(F.struct(F.col("_rn"), F.struct(*record_cols).alias("r")))).alias("_recs"))
+    pages = pages.join(n_pages, request_col, "inner")
     body = F.to_json(F.struct(
         F.struct(F.col("page").alias("current_page"),
                  F.least(F.col("page") + 1, F.col("_pages")).alias("next_page")).alias("pagination"),
