@@ -140,8 +140,13 @@ def read_partitions_strict(spark: SparkSession, root: str, asset_key: str, keys:
 
 def loadable_keys(requested: DataFrame, ledger: DataFrame, asset_key: str,
                   partition_cols: list[str]) -> DataFrame:
-    """Requested keys whose *latest* ledger status is MATERIALIZED."""
-    latest = (latest_status(ledger.filter(F.col("asset_key") == asset_key))
+    """Requested keys whose *latest* ledger status is MATERIALIZED.
+
+    The ledger is first restricted to the requested keys (semi-join), so the
+    latest-status aggregate only sees their events."""
+    relevant = (ledger.filter(F.col("asset_key") == asset_key)
+                .join(requested.select("partition_key"), "partition_key", "left_semi"))
+    latest = (latest_status(relevant)
               .filter(F.col("status") == STATUS_MATERIALIZED).select("partition_key"))
     return requested.join(latest, "partition_key", "left_semi").select("partition_key", *partition_cols)
 
