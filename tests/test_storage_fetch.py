@@ -128,3 +128,11 @@ def test_requests_limited_to_rate_waves(spark):
     assert wave_limited_requests(reqs, 1).count() == 100
     assert wave_limited_requests(reqs, 2).count() == 200
     assert wave_limited_requests(reqs, 3).count() == 250
+
+
+def test_partitioned_write_restores_session_conf(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    rows = spark.createDataFrame([("no2", 1, T(2024, 1, 1), "s1", D(2024, 1, 1))], ROW)
+    B.write_partitioned(rows, scratch_path(spark, "t-conf"), "m", PC, MEASUREMENTS)
+    assert spark.conf.get(key) == before
