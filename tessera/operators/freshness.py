@@ -6,7 +6,7 @@ over the ledger; they schedule nothing.  "Now" is an argument.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.timefn import as_col, daily_cron_tick, last_closed_day, monthly_cron_tick
@@ -57,13 +57,23 @@ def data_version(df: DataFrame, partition_cols: list[str], value_cols: list[str]
 
 def changed_partitions(versions: DataFrame, key_cols: list[str], order_col: str = "run") -> DataFrame:
     """per partition and run, ``new`` (first version) and ``changed``
-    (differs from the previous run's version, null-safe).  The window is per
-    partition and holds only that partition's version history."""
-    w = Window.partitionBy(*key_cols).orderBy(order_col)
-    prev = F.lag("data_version").over(w)
-    return (versions.withColumn("prev_version", prev)
-            .withColumn("new", F.row_number().over(w) == 1)
-            .withColumn("changed", ~F.col("data_version").eqNullSafe(F.col("prev_version"))))
+    (differs from the previous run's version, null-safe).
+
+    ``order_col`` is a timestamp or an increasing integer.  Versions are
+    ranked per partition with the two-level time-block rank and the previous
+    version is fetched by an equi-join on (partition, rank - 1) – unique keys,
+    so a partition with a very long history is not sorted in one task.
+    """
+    from tessera.operators.pacing import rank_in_time_order
+    t = F.col(order_col)
+    is_ts = versions.schema[order_col].dataType.simpleString().startswith("timestamp")
+    v = versions.withColumn("_t", t if is_ts else F.timestamp_seconds(t.cast("long")))
+    ranked = rank_in_time_order(v, key_cols, "_t", order_col, out="_n")
+    prev = ranked.select(*key_cols, (F.col("_n") + 1).alias("_n"), F.col("data_version").alias("prev_version"))
+    out = ranked.join(prev, [*key_cols, "_n"], "left")
+    return (out.withColumn("new", F.col("_n") == 1)
+            .withColumn("changed", ~F.col("data_version").eqNullSafe(F.col("prev_version")))
+            .drop("_t", "_n"))
 
 
 def _last_materialized(ledger: DataFrame, key: str = "partition_key") -> DataFrame:

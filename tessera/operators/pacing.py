@@ -46,19 +46,20 @@ def rate_window_audit(calls: DataFrame, limit: int = RATE_CALLS, minutes: int =
             .drop("_us", "_slice", "_g", "_real_upto", "_ghost_upto", "_ghost_all"))
 
 
-def rank_in_time_order(df: DataFrame, key: str, ts: str, tie: str, block_minutes: int = 60,
+def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, block_minutes: int = 60,
                        out: str = "rank") -> DataFrame:
     """``row_number() OVER (PARTITION BY key ORDER BY ts, tie)`` without
     sorting a whole key in one task: rows are cut into (key, time block)
     groups, block sizes are prefix-summed over the small (key, block) table,
     and each row's rank is its block offset plus its rank inside the block."""
+    keys = [key] if isinstance(key, str) else list(key)
     block_us = block_minutes * 60 * 1_000_000
     r = df.withColumn("_block", F.floor(F.unix_micros(F.col(ts)) / block_us))
-    counts = r.groupBy(key, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = r.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    w_off = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
-    local = Window.partitionBy(key, "_block").orderBy(ts, tie)
-    return (r.join(offsets, [key, "_block"], "inner")
+    local = Window.partitionBy(*keys, "_block").orderBy(ts, tie)
+    return (r.join(offsets, [*keys, "_block"], "inner")
             .withColumn(out, (F.col("_offset") + F.row_number().over(local)).cast("long"))
             .drop("_block", "_offset"))
 
