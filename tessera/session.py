@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -83,3 +84,21 @@ def app_id(spark: SparkSession) -> str:
         return spark.sparkContext.applicationId
     except Exception:  # connect sessions have no SparkContext
         return spark.conf.get("spark.app.id", "app")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their Python workers can import it
+    wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-package-"), "tessera_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._tessera_shipped = True
