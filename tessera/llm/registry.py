@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, bpe_bitmap, kk_packing, unigram_count  # noqa: F401 - they register their queries
+from . import base, bpe_bitmap, kk_packing, simhash_trie, unigram_count  # noqa: F401 - they register their queries
 
 
 def queries():
