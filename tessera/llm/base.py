@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tessera.session import scratch_path
 
@@ -43,9 +45,10 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]],
+              schema: str | StructType) -> DataFrame:
     """mapInArrow whose ``fn`` yields dicts of columns in the order of ``schema``."""
-    arrow = _arrow_schema(df, schema)
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches):
         for cols in fn(batches):
@@ -56,12 +59,6 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[d
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-    return to_arrow_schema(StructType.fromDDL(schema))
-
-
 def slices(batch: pa.RecordBatch, max_bytes: int, text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``max_bytes`` of text (one row at least), in order."""
     sizes = pc.binary_length(batch.column(text_col)).fill_null(0).to_pylist()
