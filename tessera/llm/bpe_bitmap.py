@@ -162,7 +162,7 @@ def _codec(path: str, pattern: str) -> tuple[ChunkEncoder, RankQueueBPE]:
         pieces: dict[str, list[int]] = {}
 
         def many(chunks):
-            if len(pieces) > 400_000:
+            if len(pieces) > 300_000:
                 pieces.clear()
             cut = [bpe.pattern.findall(c) for c in chunks]
             new = list(set().union(*cut).difference(pieces))

@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-#: Chunks kept; the cache is emptied when it is fuller, which changes the time and never the result.
-CACHE_CHUNKS = 500_000
+#: Chunks kept.  A full cache takes no more chunks for FROZEN_CALLS calls and then starts empty; that changes the
+#: time and never the result.
+CACHE_CHUNKS = 700_000
+FROZEN_CALLS = 500
 
 
 class ChunkEncoder:
@@ -20,13 +22,17 @@ class ChunkEncoder:
 
     def __init__(self, encode_many: Callable[[Sequence[str]], Sequence[Any]], limit: int = CACHE_CHUNKS):
         self.encode_many, self.limit = encode_many, limit
+        self.frozen = 0
         self.spaced: dict[str, Any] = {}  # chunk without the space before it; None: white space at an end
 
     def __call__(self, texts: Sequence[str]) -> list[list[Any]]:
         """Per text the values of its chunks, in order."""
         spaced = self.spaced
-        if len(spaced) > self.limit:
+        full = len(spaced) > self.limit
+        self.frozen += full
+        if self.frozen > FROZEN_CALLS:
             spaced.clear()
+            self.frozen, full = 0, False
         split = [t.split(" ") for t in texts]
         seen: set[str] = set()
         for parts in split:
@@ -62,6 +68,9 @@ class ChunkEncoder:
             out[i] = values
         for (i, j), v in zip(places, self.encode_many(heads), strict=True):
             out[i][j] = v
+        if full:
+            for p in new:
+                del spaced[p]
         return out
 
 

@@ -139,18 +139,19 @@ class CrossParser:
             total[:, j] = np.bincount(owner, weights=breaks[j], minlength=len(texts))
         return total, counts
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float | None]]:
-        """(language, score, bits per symbol); the score is the winner's share of 2**-bits over the languages."""
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float | None], list[int]]:
+        """(language, score, bits per symbol, symbols); the score is the winner's share of 2**-bits over the languages."""
         count, symbols = self.phrases(texts)
         if not self.langs:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts)
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts), symbols.tolist()
         bits = count * self.bits
         best = bits.argmin(axis=1)  # of equal ones the first in order of name
         share = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
         none = symbols == 0
         return ([UNDETERMINED if x else self.langs[i] for i, x in zip(best, none)],
                 np.where(none, 0.0, share).tolist(),
-                [None if x else b / s for b, s, x in zip(bits.min(axis=1).tolist(), symbols.tolist(), none)])
+                [None if x else b / s for b, s, x in zip(bits.min(axis=1).tolist(), symbols.tolist(), none)],
+                symbols.tolist())
 
 
 def held_out(id_col: str = "doc_id", mod: int = 3):
@@ -187,7 +188,7 @@ _PARSERS: dict[int, CrossParser] = {}
 
 
 def predict(docs: DataFrame, training: dict[str, str]) -> DataFrame:
-    """docs with lang_pred, score and bits (per symbol) of ``text`` added; see ``identify``."""
+    """docs with lang_pred, score, bits (per symbol) and symbols of ``text`` added; see ``identify``."""
     packed = docs.sparkSession.sparkContext.broadcast(training)
     at = docs.schema.names.index("text")
 
@@ -199,16 +200,18 @@ def predict(docs: DataFrame, training: dict[str, str]) -> DataFrame:
         parser = _PARSERS[key]
         for batch in batches:
             for part in base.slices(batch, 3_000_000):
-                lang, score, bits = parser.predict([t or "" for t in part.column(at).to_pylist()])
-                yield {n: part.column(n) for n in part.schema.names} | {"lang_pred": lang, "score": score, "bits": bits}
+                lang, score, bits, symbols = parser.predict([t or "" for t in part.column(at).to_pylist()])
+                yield {n: part.column(n) for n in part.schema.names} | {"lang_pred": lang, "score": score, "bits": bits,
+                                                                "symbols": symbols}
 
-    from pyspark.sql.types import DoubleType, StringType, StructType
-    schema = StructType(list(docs.schema.fields)).add("lang_pred", StringType()).add("score", DoubleType()).add("bits", DoubleType())
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructType
+    schema = StructType([*docs.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = schema.add("bits", DoubleType()).add("symbols", LongType())
     return base.arrow_map(docs, run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred, score (0 to 1), bits.
+    """Per row: doc_id, held_out, lang_pred, score (0 to 1), bits (per symbol), symbols.
 
     Only text and lang of rows that are not held out teach; a prediction sees the text alone.  A text that is null
     or has no letters is ``und`` with score 0, and so is every text if no row is labelled.  Ties go to the language
@@ -220,9 +223,10 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(rows, training).drop("text")
 
 
-#: A text that costs more bits a symbol in every learned language is in none of them: evenly random letters cost
-#: about 5, text of a learned language under 3.
+#: A text of MIN_SYMBOLS or more that costs more bits a symbol in every learned language is in none of them: evenly
+#: random letters cost about 5, text of a learned language about 3.  Shorter texts prove nothing and stay.
 MAX_BITS = 4.5
+MIN_SYMBOLS = 300
 
 
 def in_known_language(docs: DataFrame, max_bits: float = MAX_BITS) -> DataFrame:
@@ -235,8 +239,8 @@ def in_known_language(docs: DataFrame, max_bits: float = MAX_BITS) -> DataFrame:
         return docs.filter(F.col("text").rlike(r"\\p{L}"))
     clash = {n: f"_c{i}" for i, n in enumerate(names) if n != "text"}  # no column may be called like an added one
     return (predict(plain.withColumnsRenamed(clash), training)
-            .filter((F.col("lang_pred") != UNDETERMINED) & (F.col("bits") <= max_bits))
-            .drop("lang_pred", "score", "bits").withColumnsRenamed({v: k for k, v in clash.items()}).select(names))
+            .filter((F.col("lang_pred") != UNDETERMINED) & ((F.col("bits") <= max_bits) | (F.col("symbols") < MIN_SYMBOLS)))
+            .drop("lang_pred", "score", "bits", "symbols").withColumnsRenamed({v: k for k, v in clash.items()}).select(names))
 
 
 @base.register("op2_crossparse_lang")
