@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, bpe_bitmap, crossparse_lang, kk_packing, simhash_trie, superkmer_dedup, unigram_count  # noqa: F401 - they register their queries
+from . import base, bpe_bitmap, crossparse_lang, kk_packing, random_secrets, simhash_trie, superkmer_dedup, unigram_count  # noqa: F401 - they register their queries
 
 
 def queries():
