@@ -37,6 +37,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage`` applied to docs whose columns other than doc_id, text and n_chars have names that nothing clashes
+    with; its result with the columns of docs."""
+    other = {n: f"_other_{i}" for i, n in enumerate(docs.columns) if n not in ("doc_id", "text", "n_chars")}
+    out = stage(docs.withColumnsRenamed(other))
+    return out.withColumnsRenamed({v: k for k, v in other.items()}).select(docs.columns)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared folder and read it back: cuts the lineage at a table that
     survives the loss of any executor."""

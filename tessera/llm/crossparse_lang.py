@@ -233,14 +233,10 @@ def in_known_language(docs: DataFrame, max_bits: float = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language, unchanged: rejected are null texts, texts without
     letters and those above ``max_bits``.  Without any labelled row nothing but those without letters goes."""
     training = training_texts(docs)
-    names = docs.columns
-    plain = docs.withColumn("text", F.col("text").cast("string"))
     if not training:
-        return docs.filter(F.col("text").rlike(r"\\p{L}"))
-    clash = {n: f"_c{i}" for i, n in enumerate(names) if n != "text"}  # no column may be called like an added one
-    return (predict(plain.withColumnsRenamed(clash), training)
-            .filter((F.col("lang_pred") != UNDETERMINED) & ((F.col("bits") <= max_bits) | (F.col("symbols") < MIN_SYMBOLS)))
-            .drop("lang_pred", "score", "bits", "symbols").withColumnsRenamed({v: k for k, v in clash.items()}).select(names))
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    return base.shielded(docs, lambda d: predict(d.withColumn("text", F.col("text").cast("string")), training).filter(
+        (F.col("lang_pred") != UNDETERMINED) & ((F.col("bits") <= max_bits) | (F.col("symbols") < MIN_SYMBOLS))))
 
 
 @base.register("op2_crossparse_lang")

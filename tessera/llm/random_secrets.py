@@ -220,7 +220,6 @@ REDACTED = "[SECRET]"
 def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with every stretch of found spans in ``text`` replaced by a marker, and ``n_chars``, if there, counted
     anew.  Rows without a finding stay as they are, null texts too; no row goes."""
-    names = docs.columns
     least = thresholds(with_findings(docs.select("text")).select("_runs"))
     text = F.col("text").cast("string")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -231,11 +230,15 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
         .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
     changed = {"text": F.when(F.size("_spans") > 0, F.concat(walked["out"], text.substr(walked["at"] + 1, F.length(text))))
                .otherwise(F.col("text"))}
-    out = with_findings(docs).withColumn("_spans", _spans(least)).withColumns(changed)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out.select(names)
+
+    def stage(frame):
+        out = with_findings(frame).withColumn("_spans", _spans(least)).withColumns(changed)
+        if "n_chars" in frame.columns:
+            out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(
+                frame.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        return out
+
+    return base.shielded(docs, stage)
 
 
 @base.register("op10_random_secrets")

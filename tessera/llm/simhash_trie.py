@@ -238,9 +238,12 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = SHINGLE_WORDS,
         one, two = keys.columns
         return frame.join(keys, F.col("doc_id").cast("bigint").eqNullSafe(keys[one]) & (own_hash == keys[two]), how)
 
-    stay = of(docs, kept, "left_semi")
-    return of(stay, copies, "left_anti").union(
-        of(stay, copies, "left_semi").withColumn("_h", own_hash).dropDuplicates(["doc_id", "_h"]).drop("_h"))
+    def stage(frame):
+        stay = of(frame, kept, "left_semi")
+        return of(stay, copies, "left_anti").union(
+            of(stay, copies, "left_semi").withColumn("_h", own_hash).dropDuplicates(["doc_id", "_h"]).drop("_h"))
+
+    return base.shielded(docs, stage)
 
 
 @base.register("op3_simhash_trie")

@@ -22,6 +22,7 @@ import hashlib
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -286,8 +287,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS, mer: int = MER_WORDS,
                    sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(_id, _key, spans): per text the spans (a, b) of words that a repeated window covers; texts without are
-    left out."""
+    """(_id, _key, spans): per text the spans of words that a repeated window covers, as one array of starts and
+    ends in turn; texts without are left out."""
     rows = _keyed(docs).select(F.col("_id").alias("id"), F.col("_key").alias("key"),
                                F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     frequent = _frequent(spark, rows, window, mer, sample_docs)
@@ -297,12 +298,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WO
     met = blocks.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket")
     hits = base.arrow_map(met, _repeated(window), "id bigint, key bigint, a int, b int")
     return (hits.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key"))
-            .agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans")))
+            .agg(F.flatten(F.collect_set(F.array("a", "b"))).alias("spans")))
 
 
 def kept_words(words: list[bytes], spans) -> list[bytes]:
     kept, at = [], 0
-    for a, b in _merge([(s["a"], s["b"]) for s in spans or ()]):
+    for a, b in _merge(list(zip(spans[::2], spans[1::2]))) if spans is not None else ():
         kept += words[at:a]
         at = b
     return kept + words[at:]
@@ -342,14 +343,18 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WO
     from pyspark.sql.types import StringType
 
     @F.pandas_udf(StringType())
-    def cut(text, spans):
-        return text.combine(spans, lambda t, s: b" ".join(kept_words(t.encode().split(), s)).decode())
-
-    joined = _with_spans(spark, docs, window)
-    new = joined.filter("spans is not null").withColumn("text", cut("text", "spans"))
-    if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.filter("spans is null").select(docs.columns).union(new.select(docs.columns))
+    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([t if s is None else b" ".join(kept_words(t.encode().split(), s)).decode()
+                          for t, s in zip(text, spans)], dtype=object)
+
+    def stage(frame):
+        out = _with_spans(spark, frame, window).withColumn("text", cut(F.col("text").cast("string"), "spans"))
+        if "n_chars" in frame.columns:
+            out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(
+                F.length("text").cast(frame.schema["n_chars"].dataType)))
+        return out
+
+    return base.shielded(docs, stage)
 
 
 @base.register("op7_superkmer_dedup")
