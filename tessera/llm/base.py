@@ -41,8 +41,8 @@ def shielded(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFr
     """``stage`` applied to docs whose columns other than doc_id, text and n_chars have names that nothing clashes
     with; its result with the columns of docs."""
     other = {n: f"_other_{i}" for i, n in enumerate(docs.columns) if n not in ("doc_id", "text", "n_chars")}
-    out = stage(docs.withColumnsRenamed(other))
-    return out.withColumnsRenamed({v: k for k, v in other.items()}).select(docs.columns)
+    out = stage(docs.withColumnsRenamed(other)).select([other.get(n, n) for n in docs.columns])
+    return out.withColumnsRenamed({v: k for k, v in other.items()})
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -332,7 +332,7 @@ def report(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WORDS) ->
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield {"doc_id": batch.column("doc_id"), "n_words": n, "n_removed": removed, "kept_sha256": digest}
 
-    joined = _with_spans(spark, docs, window).select(F.col("doc_id").cast("bigint").alias("doc_id"),
+    joined = _with_spans(spark, docs.select("doc_id", "text"), window).select(F.col("doc_id").cast("bigint").alias("doc_id"),
                                                      F.col("text").cast("string").alias("text"), "spans")
     return base.arrow_map(joined, run, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
