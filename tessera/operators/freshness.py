@@ -6,7 +6,7 @@ over the ledger; they schedule nothing.  "Now" is an argument.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.timefn import as_col, daily_cron_tick, last_closed_day, monthly_cron_tick
@@ -24,13 +24,34 @@ def row_fingerprint(cols: list[str]) -> tuple:
     return hi, lo
 
 
+def exact_text(c: Column) -> Column:
+    """A double as four integers, from the bits above 2^40 down to those of 2^-140, so that no change is too small
+    to show.  Values outside 2^-80 .. 2^100 are scaled by a power of 2^100 first, which goes in front.  Scaling by
+    powers of two and floors are exact, so every engine writes the same text."""
+    size = F.abs(c)
+    odd = F.isnan(c) | (size == float("inf"))
+    k = F.when((size >= 2.0 ** 100) | ((size > 0) & (size < 2.0 ** -80)),
+               F.floor(F.log2(size) / 100)).otherwise(F.lit(0)).cast("double")
+    s = c * F.pow(F.lit(2.0), -100 * k)
+    a = F.floor(s * 2.0 ** -40)
+    r1 = s - a.cast("double") * 2.0 ** 40
+    b = F.floor(r1 * 2.0 ** 20)
+    r2 = r1 - b.cast("double") * 2.0 ** -20
+    m = F.floor(r2 * 2.0 ** 80)
+    r3 = r2 - m.cast("double") * 2.0 ** -80
+    e = F.floor(r3 * 2.0 ** 140)
+    parts = [k.cast("bigint"), a, b, m, e]
+    return (F.when(odd, F.when(F.isnan(c), F.lit("nan")).when(c > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when(c.isNotNull(), F.concat_ws(":", *[x.cast("string") for x in parts])))
+
+
 def canonical(df: DataFrame) -> DataFrame:
-    """Cast doubles to decimal(18,6) and timestamps to epoch micros."""
+    """Doubles as exact text and timestamps as epoch micros."""
     cols = []
     for f in df.schema.fields:
         t = f.dataType.simpleString()
         if t in ("double", "float"):
-            cols.append(F.col(f.name).cast("decimal(18,6)").alias(f.name))
+            cols.append(exact_text(F.col(f.name).cast("double")).alias(f.name))
         elif t.startswith("timestamp"):
             cols.append(F.unix_micros(F.col(f.name).cast("timestamp")).alias(f.name))
         else:
@@ -69,41 +90,44 @@ def changed_partitions(versions: DataFrame, key_cols: list[str], order_col: str
     is_ts = versions.schema[order_col].dataType.simpleString().startswith("timestamp")
     v = versions.withColumn("_t", t if is_ts else F.timestamp_seconds(t.cast("long")))
     ranked = rank_in_time_order(v, key_cols, "_t", order_col, out="_n")
-    prev = ranked.select(*key_cols, (F.col("_n") + 1).alias("_n"), F.col("data_version").alias("prev_version"))
-    out = ranked.join(prev, [*key_cols, "_n"], "left")
+    prev = ranked.select(*[F.col(c).alias(f"_p_{c}") for c in key_cols], (F.col("_n") + 1).alias("_p_n"),
+                         F.col("data_version").alias("prev_version"))
+    same = [ranked[c].eqNullSafe(prev[f"_p_{c}"]) for c in key_cols] + [ranked["_n"] == prev["_p_n"]]
+    out = ranked.join(prev, same, "left").drop("_p_n", *[f"_p_{c}" for c in key_cols])
     return (out.withColumn("new", F.col("_n") == 1)
             .withColumn("changed", ~F.col("data_version").eqNullSafe(F.col("prev_version")))
             .drop("_t", "_n"))
 
 
-def _last_materialized(ledger: DataFrame, key: str = "partition_key") -> DataFrame:
-    return (ledger.filter(F.col("status") == STATUS_MATERIALIZED)
+def _last_materialized(ledger: DataFrame, asset_key: str, key: str = "partition_key") -> DataFrame:
+    return (ledger.filter((F.col("asset_key") == asset_key) & (F.col("status") == STATUS_MATERIALIZED))
             .groupBy(key).agg(F.max("event_time").alias("last_materialized")))
 
 
-def cron_due_latest(partitions: DataFrame, ledger: DataFrame, now, hour: int = 3,
+def cron_due_latest(partitions: DataFrame, ledger: DataFrame, asset_key: str, now, hour: int = 3,
                     tz: str = PARTITION_TZ) -> DataFrame:
     """daily ``0 <hour> * * *`` rule for the *latest* time partition only
     (last finished local day, every station): due when not materialized since
     the most recent tick."""
     tick = daily_cron_tick(as_col(now), hour, tz)
     latest = partitions.filter(F.col("date") == last_closed_day(as_col(now), tz))
-    j = latest.join(_last_materialized(ledger), "partition_key", "left")
+    j = latest.join(_last_materialized(ledger, asset_key), "partition_key", "left")
     return j.withColumn("tick", tick).withColumn(
         "due", F.col("last_materialized").isNull() | (F.col("last_materialized") < F.col("tick")))
 
 
-def cron_due_all(partitions: DataFrame, ledger: DataFrame, now, tz: str = PARTITION_TZ) -> DataFrame:
+def cron_due_all(partitions: DataFrame, ledger: DataFrame, asset_key: str, now, tz: str = PARTITION_TZ) -> DataFrame:
     """monthly ``0 0 1 * *`` rule over *all* partitions."""
     tick = monthly_cron_tick(as_col(now), tz)
-    j = partitions.join(_last_materialized(ledger), "partition_key", "left")
+    j = partitions.join(_last_materialized(ledger, asset_key), "partition_key", "left")
     return j.withColumn("tick", tick).withColumn(
         "due", F.col("last_materialized").isNull() | (F.col("last_materialized") < F.col("tick")))
 
 
-def due_missing(partitions: DataFrame, ledger: DataFrame) -> DataFrame:
-    """partitions with no ledger event at all (any status)."""
-    return partitions.join(ledger.select("partition_key").distinct(), "partition_key", "left_anti")
+def due_missing(partitions: DataFrame, ledger: DataFrame, asset_key: str) -> DataFrame:
+    """partitions with no ledger event of the asset at all (any status)."""
+    seen = ledger.filter(F.col("asset_key") == asset_key).select("partition_key").distinct()
+    return partitions.join(seen, "partition_key", "left_anti")
 
 
 def due_parent_updated(children: DataFrame, parent_updates: DataFrame, key: str = "child_key") -> DataFrame:
@@ -124,7 +148,7 @@ def parents_updated_gate(children: DataFrame, parent_updates: DataFrame, parent_
     """run the child only if *every* parent asset has some update after
     the child's last materialization (not every parent partition is needed).
     Missing or outdated parents do not block by themselves."""
-    per_asset = parent_updates.groupBy(key, "parent_asset").agg(F.max("parent_time").alias("parent_time"))
+    per_asset = parent_updates.filter(F.col("parent_asset").isin(parent_assets)).groupBy(key, "parent_asset").agg(F.max("parent_time").alias("parent_time"))
     j = per_asset.join(children, key, "inner")
     fresh = j.groupBy(key).agg(
         F.count_if(F.col("child_time").isNull() | (F.col("parent_time") > F.col("child_time"))).alias("n_updated"))

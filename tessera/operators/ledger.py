@@ -88,14 +88,29 @@ def missing_partitions(grid: DataFrame, ledger: DataFrame, asset_key: str | None
     return grid.join(done, key, "left_anti")
 
 
+def with_asset_check(validated: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Adds the error ``unknown asset <key>`` to validated backfill requests
+    whose asset has no ledger entry, unless the request's ``skip_checks`` is
+    set: one join with the distinct assets of the ledger."""
+    known = ledger.select(F.col("asset_key").alias("_known")).distinct()
+    skip = F.coalesce(F.col("skip_checks"), F.lit(False)) if "skip_checks" in validated.columns else F.lit(False)
+    unknown = F.col("asset_key").isNotNull() & F.col("_known").isNull() & ~skip
+    joined = validated.join(known, validated["asset_key"] == known["_known"], "left")
+    return (joined.withColumn("errors", F.when(unknown, F.array_append("errors", F.concat(F.lit("unknown asset "), "asset_key")))
+                              .otherwise(F.col("errors")))
+            .withColumn("valid", F.size("errors") == 0).drop("_known"))
+
+
 def backfill_plan(requests: DataFrame, ledger: DataFrame, date_dim: str = "daily",
                   static_dim: str = "stations") -> DataFrame:
     """Valid requests -> full grid (policy ``all``) or its missing part (``missing``).
 
     One conditional anti-join for all requests: left join the materialized
     keys of each request's asset, keep ``policy = 'all' OR hit IS NULL``.
+    Requests for an asset without any ledger entry are left out unless they
+    skip the checks (see ``with_asset_check``).
     """
-    valid = validate_backfills(requests).filter("valid")
+    valid = with_asset_check(validate_backfills(requests), ledger).filter("valid")
     grid = partition_grid(valid, {date_dim: ("start_date", "end_date")}, {static_dim: "stations"})
     grid = grid.withColumn(date_dim, F.col(date_dim).cast("string"))
     grid = grid.withColumn("partition_key", encode_key(dims_map(**{date_dim: date_dim, static_dim: static_dim})))
@@ -158,11 +173,3 @@ def backfill_completion(runs: DataFrame) -> DataFrame:
                  F.count_if(F.col("status") == "FAILURE").alias("n_failure"),
                  F.count_if(~terminal).alias("n_unfinished"))
             .withColumn("finished", F.col("n_unfinished") == 0))
-
-
-def require_partitions(requested: DataFrame, available: DataFrame, key: str = "partition_key") -> None:
-    """Raise listing (up to 20) requested keys that are not available."""
-    missing = requested.select(key).join(available.select(key), key, "left_anti")
-    sample = [r[key] for r in missing.limit(20).collect()]
-    if sample:
-        raise MissingPartitionsError(f"Missing partitions: {sample}")

@@ -122,10 +122,12 @@ def job_statistics(expected: DataFrame, runs: DataFrame, trigger_col: str = "tri
 
 def run_key_dedupe(requests: DataFrame, runs: DataFrame) -> DataFrame:
     """Drop trigger requests whose run key was already requested in this
-    tick (dedupe) or already completed successfully (anti-join)."""
+    tick (dedupe) or already completed successfully (anti-join).  Requests
+    without a run key ask for no such check and all stay."""
     done = (runs.filter(F.col("status") == "SUCCESS")
             .select(tag("tags", TAG_RUN_KEY).alias("run_key")).filter(F.col("run_key").isNotNull()))
-    return requests.dropDuplicates(["run_key"]).join(done, "run_key", "left_anti")
+    keyed = requests.filter(F.col("run_key").isNotNull()).dropDuplicates(["run_key"]).join(done, "run_key", "left_anti")
+    return keyed.unionByName(requests.filter(F.col("run_key").isNull()))
 
 
 def unfinished_counter(tick_log: DataFrame, threshold: int = UNFINISHED_SKIP_THRESHOLD) -> DataFrame:
@@ -135,15 +137,17 @@ def unfinished_counter(tick_log: DataFrame, threshold: int = UNFINISHED_SKIP_THR
             .withColumn("skip", F.col("unfinished_count") >= threshold))
 
 
-def downstream_ready(upstream_runs: DataFrame) -> DataFrame:
-    """Daily partitions whose upstream (day, station) runs are all
-    finished; failures count as finished.  Per day: upstream partitions with
-    runs, how many are unfinished (latest run not terminal), and ``ready``."""
+def downstream_ready(expected: DataFrame, upstream_runs: DataFrame) -> DataFrame:
+    """Daily partitions whose upstream (day, station) partitions have all
+    finished; failures count as finished.  ``expected``: (daily_key,
+    partition_key), every upstream partition a day needs (P7); one that has
+    never run is unfinished.  Per day: upstream partitions, how many are
+    unfinished (no run, or the latest one not terminal), and ``ready``."""
     r = upstream_runs.withColumn("partition_key", tag("tags", TAG_PARTITION)).filter(
         F.col("partition_key").isNotNull())
     latest = latest_run_per_partition(r, ["partition_key"])
-    day = F.split("partition_key", "\\|").getItem(0)
-    return (latest.groupBy(day.alias("daily_key"))
-            .agg(F.count(F.lit(1)).alias("n_upstream"),
-                 F.count_if(~F.col("status").isin(*TERMINAL_RUN_STATUSES)).alias("n_unfinished"))
+    j = expected.select("daily_key", "partition_key").join(latest, "partition_key", "left")
+    finished = F.coalesce(F.col("status").isin(*TERMINAL_RUN_STATUSES), F.lit(False))
+    return (j.groupBy("daily_key")
+            .agg(F.count(F.lit(1)).alias("n_upstream"), F.count_if(~finished).alias("n_unfinished"))
             .withColumn("ready", F.col("n_unfinished") == 0))

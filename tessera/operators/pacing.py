@@ -51,7 +51,8 @@ def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, b
     """``row_number() OVER (PARTITION BY key ORDER BY ts, tie)`` without
     sorting a whole key in one task: rows are cut into (key, time block)
     groups, block sizes are prefix-summed over the small (key, block) table,
-    and each row's rank is its block offset plus its rank inside the block."""
+    and each row's rank is its block offset plus its rank inside the block.
+    Rows with a null time come first, rows with a null key rank among themselves."""
     keys = [key] if isinstance(key, str) else list(key)
     block_us = block_minutes * 60 * 1_000_000
     r = df.withColumn("_block", F.floor(F.unix_micros(F.col(ts)) / block_us))
@@ -59,7 +60,11 @@ def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, b
     w_off = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(w_off), F.lit(0))).drop("_n")
     local = Window.partitionBy(*keys, "_block").orderBy(ts, tie)
-    return (r.join(offsets, [*keys, "_block"], "inner")
+    # Null keys and null times are groups of their own: joined null-safely, none is lost.
+    cols = [*keys, "_block"]
+    offsets = offsets.withColumnsRenamed({c: f"_o_{c}" for c in cols})
+    same = [r[c].eqNullSafe(offsets[f"_o_{c}"]) for c in cols]
+    return (r.join(offsets, same, "inner").drop(*[f"_o_{c}" for c in cols])
             .withColumn(out, (F.col("_offset") + F.row_number().over(local)).cast("long"))
             .drop("_block", "_offset"))
 

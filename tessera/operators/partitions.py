@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.keys import decode_key, dims_map, encode_key
 from tessera.functions.timefn import as_col, day_range, last_closed_day
-from tessera.schemas import FILE_TYPES, PARTITION_TZ, POLICIES
+from tessera.schemas import FILE_TYPES, LOCATION_SCHEME, PARTITION_TZ, POLICIES, STORAGE_SCHEMES
 
 
 def days_inclusive(requests: DataFrame, start: str = "start_date", end: str = "end_date",
@@ -89,17 +89,25 @@ def map_multi_to_day(multi: DataFrame, key: str = "partition_key", dim_index: in
 def validate_backfills(requests: DataFrame) -> DataFrame:
     """Rule columns -> ``errors`` array and a ``valid`` flag.
 
-    Rules: start <= end (equality accepted); policy in {missing, all}; policy
-    ``missing`` needs an asset key; file type in {parquet}; dimension names
-    unique is enforced by the column layout itself.
+    Rules: start and end given and start <= end (equality accepted); policy
+    given and in {missing, all}; policy ``missing`` needs an asset key; file
+    type given and in {parquet}; a ``location`` column, if there, is local or
+    of a supported scheme.  A null never passes a rule by comparing as null.
+    Dimension names being unique is enforced by the column layout itself.
     """
     rules = [
+        F.when(F.col("start_date").isNull() | F.col("end_date").isNull(), F.lit("start_date or end_date missing")),
         F.when(F.col("start_date") > F.col("end_date"), F.lit("start_date after end_date")),
-        F.when(~F.col("policy").isin(*POLICIES), F.concat(F.lit("unknown policy "), F.col("policy"))),
+        F.when(F.col("policy").isNull(), F.lit("policy missing"))
+        .when(~F.col("policy").isin(*POLICIES), F.concat(F.lit("unknown policy "), F.col("policy"))),
         F.when((F.col("policy") == "missing") & F.col("asset_key").isNull(),
                F.lit("policy missing needs asset_key")),
-        F.when(~F.col("file_type").isin(*FILE_TYPES), F.concat(F.lit("unsupported type "), F.col("file_type"))),
+        F.when(F.col("file_type").isNull(), F.lit("type missing"))
+        .when(~F.col("file_type").isin(*FILE_TYPES), F.concat(F.lit("unsupported type "), F.col("file_type"))),
     ]
+    if "location" in requests.columns:
+        scheme = F.lower(F.regexp_extract("location", LOCATION_SCHEME, 1))
+        rules.append(F.when(~scheme.isin(*STORAGE_SCHEMES), F.concat(F.lit("unsupported scheme "), scheme)))
     errors = F.filter(F.array(*rules), lambda e: e.isNotNull())
     return requests.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
 

@@ -160,7 +160,7 @@ def backfill_missing(requests: DataFrame, ledger: DataFrame) -> DataFrame:
 
     Returns accepted run requests (``decision = 'submit'``) and rejected
     backfill requests with their errors (``decision = 'reject'``)."""
-    checked = P.validate_backfills(requests)
+    checked = L.with_asset_check(P.validate_backfills(requests), ledger)
     rejected = checked.filter(~F.col("valid")).select(
         "name", F.lit("reject").alias("decision"), F.lit(None).cast("string").alias("partition_key"),
         F.array_join("errors", ";").alias("detail"))

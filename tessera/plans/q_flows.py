@@ -108,14 +108,7 @@ def q_bronze_stations(spark, d):
 @register("backfill_missing", with_views("""
 SELECT name, 'submit' AS decision, partition_key, job_name AS detail FROM plan
 UNION ALL
-SELECT name, 'reject', NULL, concat_ws(';', e1, e2, e3, e4) FROM (
-  SELECT name,
-    CASE WHEN start_date > end_date THEN 'start_date after end_date' END AS e1,
-    CASE WHEN policy NOT IN ('missing', 'all') THEN 'unknown policy ' || policy END AS e2,
-    CASE WHEN policy = 'missing' AND asset_key IS NULL THEN 'policy missing needs asset_key' END AS e3,
-    CASE WHEN file_type NOT IN ('parquet') THEN 'unsupported type ' || file_type END AS e4
-  FROM v_backfills) t
-WHERE coalesce(e1, e2, e3, e4) IS NOT NULL""", "v_backfills", "v_meas_ledger",
+SELECT name, 'reject', NULL, errors FROM v_backfill_checked WHERE errors <> ''""", "v_backfill_checked", "v_meas_ledger",
                                          extra={"plan": PLAN_SQL}))
 def q_backfill_missing(spark, d):
     return G.backfill_missing(V.backfills(spark, d), V.measurement_ledger(spark, d))

@@ -19,7 +19,17 @@ F3_NOW = "2024-01-30 23:59:59"
 F4_NOW = "2024-01-15 12:00:00"
 F8_NOW = "2024-02-01 00:30:00"
 
-_HASH_TEXT = "concat_ws(chr(31), coalesce(formula, '\\N'), coalesce(CAST(CAST(value AS DECIMAL(18,6)) AS VARCHAR), '\\N'), coalesce(CAST(epoch_us(timestamp_measured) AS VARCHAR), '\\N'))"
+# A double as exact integers, as freshness.exact_text writes it.
+_K = "CASE WHEN abs(value) >= pow(2, 100) OR (abs(value) > 0 AND abs(value) < pow(2, -80)) THEN floor(log2(abs(value)) / 100) ELSE 0 END"
+_S = f"(value * pow(2, -100 * ({_K})))"
+_A = f"floor({_S} * pow(2, -40))"
+_R1 = f"({_S} - {_A} * pow(2, 40))"
+_B = f"floor({_R1} * pow(2, 20))"
+_R2 = f"({_R1} - {_B} * pow(2, -20))"
+_C = f"floor({_R2} * pow(2, 80))"
+_D = f"floor(({_R2} - {_C} * pow(2, -80)) * pow(2, 140))"
+_EXACT = " || ':' || ".join(f"CAST(CAST({x} AS BIGINT) AS VARCHAR)" for x in (_K, _A, _B, _C, _D))
+_HASH_TEXT = f"concat_ws(chr(31), coalesce(formula, '\\N'), coalesce({_EXACT}, '\\N'), coalesce(CAST(epoch_us(timestamp_measured) AS VARCHAR), '\\N'))"
 VERSION_SQL = f"""
 SELECT date, station_number, count(*) AS n_rows,
        CAST(sum(CAST(('0x' || substr(md5({_HASH_TEXT}), 1, 8)) AS BIGINT)) AS BIGINT) AS h1,
@@ -73,12 +83,13 @@ SELECT g.partition_key, CAST(l.last_materialized AS VARCHAR) AS last_materialize
        CAST({_tz_tick_sql(F3_NOW, 'daily3')} AS VARCHAR) AS tick,
        l.last_materialized IS NULL OR l.last_materialized < {_tz_tick_sql(F3_NOW, 'daily3')} AS due
 FROM grid g
-LEFT JOIN (SELECT partition_key, max(event_time) AS last_materialized FROM v_meas_ledger
-           WHERE status = 'MATERIALIZED' GROUP BY 1) l ON l.partition_key = g.partition_key
+LEFT JOIN (SELECT partition_key, max(event_time) AS last_materialized FROM v_meas_ledger_many
+           WHERE asset_key = 'air_quality_data' AND status = 'MATERIALIZED' GROUP BY 1) l ON l.partition_key = g.partition_key
 WHERE g.date = CAST(timezone('Europe/Amsterdam', TIMESTAMPTZ '{F3_NOW}+00') AS DATE) - 1""",
-                                        "v_stations", "v_meas_ledger", extra={"grid": GRID_SQL}))
+                                        "v_stations", "v_meas_ledger_many", extra={"grid": GRID_SQL}))
 def q_cron_due_latest(spark, d):
-    out = FR.cron_due_latest(measurement_grid(spark, d), V.measurement_ledger(spark, d), ts_lit(F3_NOW))
+    out = FR.cron_due_latest(measurement_grid(spark, d), V.many_assets(V.measurement_ledger(spark, d)),
+                             V.MEASUREMENT_ASSET, ts_lit(F3_NOW))
     return out.select("partition_key", F.col("last_materialized").cast("string").alias("last_materialized"),
                       F.col("tick").cast("string").alias("tick"), "due")
 
@@ -86,24 +97,25 @@ def q_cron_due_latest(spark, d):
 @register("cron_due_all", with_views(f"""
 SELECT g.partition_key, l.last_materialized IS NULL OR l.last_materialized < {_tz_tick_sql(F4_NOW, 'month')} AS due
 FROM grid g
-LEFT JOIN (SELECT partition_key, max(event_time) AS last_materialized FROM v_meas_ledger_rr
-           WHERE status = 'MATERIALIZED' AND event_time <= TIMESTAMP '{F4_NOW}' GROUP BY 1) l
+LEFT JOIN (SELECT partition_key, max(event_time) AS last_materialized FROM v_meas_ledger_rr_many
+           WHERE asset_key = 'air_quality_data' AND status = 'MATERIALIZED' AND event_time <= TIMESTAMP '{F4_NOW}' GROUP BY 1) l
        ON l.partition_key = g.partition_key
 WHERE g.date <= CAST(timezone('Europe/Amsterdam', TIMESTAMPTZ '{F4_NOW}+00') AS DATE) - 1""",
-                                     "v_stations", "v_meas_ledger_rr", extra={"grid": GRID_SQL}))
+                                     "v_stations", "v_meas_ledger_rr_many", extra={"grid": GRID_SQL}))
 def q_cron_due_all(spark, d):
     now = ts_lit(F4_NOW)
     grid = measurement_grid(spark, d).filter(F.col("date") <= F.date_sub(F.to_date(F.from_utc_timestamp(now, "Europe/Amsterdam")), 1))
-    ledger = V.measurement_ledger(spark, d, failed_reruns=True).filter(F.col("event_time") <= now)
-    return FR.cron_due_all(grid, ledger, now).select("partition_key", "due")
+    ledger = V.many_assets(V.measurement_ledger(spark, d, failed_reruns=True)).filter(F.col("event_time") <= now)
+    return FR.cron_due_all(grid, ledger, V.MEASUREMENT_ASSET, now).select("partition_key", "due")
 
 
 @register("due_missing", with_views("""
 SELECT CAST(date AS VARCHAR) AS date, station_number FROM grid
-WHERE partition_key NOT IN (SELECT partition_key FROM v_meas_ledger_rr)""",
-                                    "v_stations", "v_meas_ledger_rr", extra={"grid": GRID_SQL}))
+WHERE partition_key NOT IN (SELECT partition_key FROM v_meas_ledger_rr_many WHERE asset_key = 'air_quality_data')""",
+                                    "v_stations", "v_meas_ledger_rr_many", extra={"grid": GRID_SQL}))
 def q_due_missing(spark, d):
-    out = FR.due_missing(measurement_grid(spark, d), V.measurement_ledger(spark, d, failed_reruns=True))
+    out = FR.due_missing(measurement_grid(spark, d), V.many_assets(V.measurement_ledger(spark, d, failed_reruns=True)),
+                         V.MEASUREMENT_ASSET)
     return out.select(F.col("date").cast("string").alias("date"), "station_number")
 
 
@@ -140,13 +152,15 @@ LEFT JOIN (SELECT date, count(*) AS n_updated FROM (
 def q_parents_updated_gate(spark, d):
     """Two parent assets per day: the landing data and its ``error`` alerts.
     The daily child (materialized at noon) runs only if both have updates
-    after noon."""
+    after noon; updates of an asset that is no parent don't count."""
     m = V.measurements(spark, d)
     ups = (m.select(F.col("date").cast("string").alias("child_key"), F.lit("air_quality_data").alias("parent_asset"),
                     F.col("timestamp_measured").alias("parent_time"))
            .unionByName(m.filter(F.col("formula") == "error").select(
                F.col("date").cast("string").alias("child_key"), F.lit("air_quality_alerts").alias("parent_asset"),
-               F.col("timestamp_measured").alias("parent_time"))))
+               F.col("timestamp_measured").alias("parent_time")))
+           .unionByName(m.select(F.col("date").cast("string").alias("child_key"), F.lit("station_names").alias("parent_asset"),
+                                 F.col("timestamp_measured").alias("parent_time"))))
     out = FR.parents_updated_gate(_children(spark, d, 12, 0), ups, ["air_quality_data", "air_quality_alerts"])
     return out.select("child_key", "n_updated", "run")
 

@@ -82,18 +82,17 @@ def q_missing_partitions(spark, d):
 PLAN_SQL = """
 SELECT b.name, b.policy, b.job_name, b.repository_name, g.daily, g.stations,
        g.daily || '|' || g.stations AS partition_key
-FROM v_backfills b
+FROM v_backfill_checked b
 JOIN (SELECT name, CAST(CAST(d AS DATE) AS VARCHAR) AS daily, station AS stations
       FROM (SELECT name, unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(end_date AS TIMESTAMP), INTERVAL 1 DAY)) AS d,
                    stations FROM v_backfills) t, unnest(t.stations) u(station)) g ON g.name = b.name
-WHERE b.start_date <= b.end_date AND b.policy IN ('missing', 'all')
-  AND NOT (b.policy = 'missing' AND b.asset_key IS NULL) AND b.file_type = 'parquet'
+WHERE b.errors = ''
   AND (b.policy = 'all' OR (g.daily || '|' || g.stations) NOT IN
        (SELECT partition_key FROM v_meas_ledger l WHERE l.status = 'MATERIALIZED' AND l.asset_key = b.asset_key))"""
 
 
 @register("backfill_plan", with_views("""
-SELECT name, policy, daily, stations, partition_key FROM plan""", "v_backfills", "v_meas_ledger",
+SELECT name, policy, daily, stations, partition_key FROM plan""", "v_backfill_checked", "v_meas_ledger",
                                       extra={"plan": PLAN_SQL}))
 def q_backfill_plan(spark, d):
     plan = L.backfill_plan(V.backfills(spark, d), V.measurement_ledger(spark, d))
@@ -137,7 +136,7 @@ def q_report_materialized(spark, d):
 @register("run_request_rows", with_views("""
 SELECT job_name, repository_name, daily AS tag_daily, stations AS tag_stations, name AS tag_backfill,
        partition_key AS tag_partition, 'NA' AS tag_job_name, 'cicd' AS tag_triggered_by
-FROM plan""", "v_backfills", "v_meas_ledger", extra={"plan": PLAN_SQL}))
+FROM plan""", "v_backfill_checked", "v_meas_ledger", extra={"plan": PLAN_SQL}))
 def q_run_request_rows(spark, d):
     plan = L.backfill_plan(V.backfills(spark, d), V.measurement_ledger(spark, d))
     rr = L.run_request_rows(plan)

@@ -114,13 +114,14 @@ def q_job_statistics(spark, d):
 
 
 @register("run_key_dedupe", with_views("""
-SELECT run_key FROM v_runs WHERE status <> 'SUCCESS' AND run_key IS NOT NULL
-EXCEPT
-SELECT run_key FROM v_runs WHERE status = 'SUCCESS'""", "v_runs"))
+SELECT run_key FROM (SELECT run_key FROM v_runs WHERE status <> 'SUCCESS' AND run_key IS NOT NULL
+                     EXCEPT SELECT run_key FROM v_runs WHERE status = 'SUCCESS') k
+UNION ALL
+SELECT run_key FROM v_runs WHERE status <> 'SUCCESS' AND run_key IS NULL""", "v_runs"))
 def q_run_key_dedupe(spark, d):
+    """Unpartitioned runs have no run key; each of their requests stays."""
     runs = V.runs(spark, d)
-    requests = (runs.filter(F.col("status") != "SUCCESS")
-                .select(tag("tags", TAG_RUN_KEY).alias("run_key")).filter(F.col("run_key").isNotNull()))
+    requests = runs.filter(F.col("status") != "SUCCESS").select(tag("tags", TAG_RUN_KEY).alias("run_key"))
     return M.run_key_dedupe(requests, runs)
 
 
@@ -135,11 +136,17 @@ def q_unfinished_counter(spark, d):
 
 
 @register("downstream_ready", with_views(f"""
-SELECT split_part(partition_key, '|', 1) AS daily_key, count(*) AS n_upstream,
-       count(*) FILTER (WHERE status NOT IN ('SUCCESS', 'FAILURE')) AS n_unfinished,
-       count(*) FILTER (WHERE status NOT IN ('SUCCESS', 'FAILURE')) = 0 AS ready
-FROM (SELECT partition_key, arg_max(status, (end_us, run_id)) AS status FROM v_runs
-      WHERE job_name = '{JOB}' AND partition_key IS NOT NULL GROUP BY partition_key) t
+SELECT daily_key, count(*) AS n_upstream,
+       count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILURE')) AS n_unfinished,
+       count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILURE')) = 0 AS ready
+FROM (SELECT DISTINCT tag_daily AS daily_key, partition_key FROM v_runs WHERE partition_key IS NOT NULL) e
+LEFT JOIN (SELECT partition_key, arg_max(status, (end_us, run_id)) AS status FROM v_runs
+           WHERE job_name = '{JOB}' AND partition_key IS NOT NULL GROUP BY partition_key) t USING (partition_key)
 GROUP BY 1""", "v_runs"))
 def q_downstream_ready(spark, d):
-    return M.downstream_ready(V.runs(spark, d).filter(F.col("job_name") == JOB))
+    """A day needs every partition that any job has a run for; many of them have never run in this job."""
+    runs = V.runs(spark, d)
+    expected = (runs.select(tag("tags", "dagster/partition/daily").alias("daily_key"),
+                            tag("tags", TAG_PARTITION).alias("partition_key"))
+                .filter(F.col("partition_key").isNotNull()).distinct())
+    return M.downstream_ready(expected, runs.filter(F.col("job_name") == JOB))

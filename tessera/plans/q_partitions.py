@@ -96,15 +96,9 @@ def q_map_multi_to_day(spark, d):
 
 
 @register("validate_backfills", with_views("""
-SELECT name, concat_ws(';', e1, e2, e3, e4) AS errors,
-       CAST((e1 IS NOT NULL)::INT + (e2 IS NOT NULL)::INT + (e3 IS NOT NULL)::INT + (e4 IS NOT NULL)::INT AS INTEGER) AS n_errors,
-       e1 IS NULL AND e2 IS NULL AND e3 IS NULL AND e4 IS NULL AS valid
-FROM (SELECT name,
-        CASE WHEN start_date > end_date THEN 'start_date after end_date' END AS e1,
-        CASE WHEN policy NOT IN ('missing', 'all') THEN 'unknown policy ' || policy END AS e2,
-        CASE WHEN policy = 'missing' AND asset_key IS NULL THEN 'policy missing needs asset_key' END AS e3,
-        CASE WHEN file_type NOT IN ('parquet') THEN 'unsupported type ' || file_type END AS e4
-      FROM v_backfills) t""", "v_backfills"))
+SELECT name, errors, CAST(CASE WHEN errors = '' THEN 0 ELSE len(string_split(errors, ';')) END AS INTEGER) AS n_errors,
+       errors = '' AS valid
+FROM v_backfill_errors""", "v_backfill_errors"))
 def q_validate_backfills(spark, d):
     v = P.validate_backfills(V.backfills(spark, d))
     return v.select("name", F.array_join("errors", ";").alias("errors"),

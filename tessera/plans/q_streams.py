@@ -1,8 +1,6 @@
-"""Check queries for the streaming operators M6 and F12.
-
-Both run a real Structured Streaming query with ``availableNow`` over files
-written from the test tables, then read the sink.
-"""
+"""Check query for the streaming operator M6: a real Structured Streaming query
+with ``availableNow`` over files written from the test tables, then the sink is
+read."""
 
 from __future__ import annotations
 
@@ -11,7 +9,7 @@ from tessera.plans.registry import register
 from tessera.plans.sqlviews import with_views
 from tessera.session import scratch_path
 from tessera.sources import testviews as V
-from tessera.streaming import admission, run_metrics
+from tessera.streaming import run_metrics
 
 ENV = "dev"
 
@@ -33,13 +31,3 @@ def q_stream_run_metrics(spark, d):
     q = run_metrics.start_run_metrics(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", ENV)
     q.awaitTermination()
     return run_metrics.read_points(spark, f"{root}/sink").drop("batch_id")
-
-
-@register("rate_admission_stream")
-def q_rate_admission_stream(spark, d):
-    """Every event is an API call of its type's bucket; one decision per call."""
-    root = scratch_path(spark, "f12")
-    V.calls(spark, d).write.mode("append").parquet(f"{root}/source")
-    q = admission.start_admission(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint")
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink").select("bucket", "call_id", "ts_us", "admitted", "in_window")

@@ -39,6 +39,32 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                date, station_number, 'FAILED', last_ts + INTERVAL 1 HOUR,
                first_id * 2 + 1, 0
         FROM v_parts WHERE has_error = 1""", ("v_meas_ledger",)),
+    "v_meas_ledger_many": ("""
+        SELECT * FROM v_meas_ledger WHERE event_id % 3 <> 0
+        UNION ALL
+        SELECT 'station_names', partition_key, date, station_number, 'MATERIALIZED',
+               event_time + INTERVAL 10 DAY, event_id, row_count FROM v_meas_ledger""", ("v_meas_ledger",)),
+    "v_meas_ledger_rr_many": ("""
+        SELECT * FROM v_meas_ledger_rr WHERE event_id % 3 <> 0
+        UNION ALL
+        SELECT 'station_names', partition_key, date, station_number, 'MATERIALIZED',
+               event_time + INTERVAL 10 DAY, event_id, row_count FROM v_meas_ledger_rr""", ("v_meas_ledger_rr",)),
+    # Backfill requests with their errors, in the order of the rules.
+    "v_backfill_errors": ("""
+        SELECT *, concat_ws(';',
+            CASE WHEN start_date IS NULL OR end_date IS NULL THEN 'start_date or end_date missing' END,
+            CASE WHEN start_date > end_date THEN 'start_date after end_date' END,
+            CASE WHEN policy IS NULL THEN 'policy missing'
+                 WHEN policy NOT IN ('missing', 'all') THEN 'unknown policy ' || policy END,
+            CASE WHEN policy = 'missing' AND asset_key IS NULL THEN 'policy missing needs asset_key' END,
+            CASE WHEN file_type <> 'parquet' THEN 'unsupported type ' || file_type END,
+            CASE WHEN location LIKE 'minio://%' THEN 'unsupported scheme minio' END) AS errors
+        FROM v_backfills""", ("v_backfills",)),
+    "v_backfill_checked": ("""
+        SELECT * REPLACE (concat_ws(';', nullif(errors, ''),
+            CASE WHEN asset_key IS NOT NULL AND NOT skip_checks
+                      AND asset_key NOT IN (SELECT asset_key FROM v_meas_ledger) THEN 'unknown asset ' || asset_key END) AS errors)
+        FROM v_backfill_errors""", ("v_backfill_errors", "v_meas_ledger")),
     "v_ledger": ("""
         SELECT CASE WHEN o_custkey % 10 < 7 THEN 'air_quality_data' ELSE 'station_names' END AS asset_key,
                CAST(o_custkey AS VARCHAR) AS partition_key,
@@ -81,16 +107,19 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "v_backfills": ("""
         SELECT c_custkey AS request_id, 'backfill-' || CAST(c_custkey AS VARCHAR) AS name,
                'air_quality_job' AS job_name, 'ingestion' AS repository_name,
-               CASE WHEN c_custkey % 11 = 10 THEN 'sometimes'
+               CASE WHEN c_custkey % 17 = 5 THEN NULL WHEN c_custkey % 11 = 10 THEN 'sometimes'
                     WHEN c_custkey % 2 = 0 THEN 'missing' ELSE 'all' END AS policy,
-               CASE WHEN c_custkey % 7 = 3 THEN NULL ELSE 'air_quality_data' END AS asset_key,
-               CAST(DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS DATE) AS start_date,
+               CASE WHEN c_custkey % 7 = 3 THEN NULL WHEN c_custkey % 23 = 6 THEN 'no_such_asset'
+                    ELSE 'air_quality_data' END AS asset_key,
+               CASE WHEN c_custkey % 19 <> 4 THEN CAST(DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS DATE) END AS start_date,
                CAST(CASE WHEN c_custkey % 9 = 8 THEN DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) - 1
                     ELSE DATE '2024-01-01' + CAST(c_custkey % 30 + c_custkey % 4 AS INTEGER) END AS DATE) AS end_date,
                [printf('NL%05d', (c_custkey * 5) % 1000), printf('NL%05d', (c_custkey * 5 + 1) % 1000),
                 printf('NL%05d', (c_custkey * 5 + 2) % 1000)] AS stations,
                CASE WHEN c_custkey % 13 = 12 THEN 'csv' ELSE 'parquet' END AS file_type,
-               false AS skip_checks
+               c_custkey % 2 = 1 AS skip_checks,
+               CASE WHEN c_custkey % 29 = 7 THEN 'minio://bucket/x' WHEN c_custkey % 2 = 0 THEN 'gs://bucket/x'
+                    ELSE '/data/x' END AS location
         FROM customer""", ()),
     "v_calls": ("""
         SELECT event_type AS bucket, event_id AS call_id, CAST(ts AS TIMESTAMP) AS ts FROM events""", ()),

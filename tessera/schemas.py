@@ -37,6 +37,9 @@ SUCCESS_SERIES = "custom.googleapis.com/dagster/asset_success"
 POLICIES = ("missing", "all")
 FILE_TYPES = ("parquet",)
 REMOTE_SCHEMES = ("s3", "s3a", "gs")
+# Schemes a storage location may have; empty: a local path.
+STORAGE_SCHEMES = ("gs", "")
+LOCATION_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*)://"
 KEY_SEPARATOR = "|"
 DAY_START_SUFFIX = "T00:00:00"
 DAY_END_SUFFIX = "T23:59:59"

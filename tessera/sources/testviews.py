@@ -98,6 +98,17 @@ def measurement_ledger(spark: SparkSession, sf_dir: str, failed_reruns: bool = F
     return ok.unionByName(failed)
 
 
+def many_assets(ledger: DataFrame) -> DataFrame:
+    """The ledger with every event repeated for a second asset, ten days later and never failed, on the same keys:
+    what an operator must not mistake for the asset asked about.  For every third event the second asset alone
+    keeps its entry."""
+    other = ledger.select(F.lit(STATION_ASSET).alias("asset_key"), "partition_key", "date", "station_number",
+                          F.lit(STATUS_MATERIALIZED).alias("status"),
+                          (F.col("event_time") + F.expr("interval 10 days")).alias("event_time"),
+                          F.col("event_id"), "row_count")
+    return ledger.filter(F.col("event_id") % 3 != 0).unionByName(other)
+
+
 def _status3(col: str, f: str, o: str, p: str) -> F.Column:
     c = F.col(col)
     return F.when(c == "F", F.lit(f)).when(c == "O", F.lit(o)).when(c == "P", F.lit(p))
@@ -169,14 +180,17 @@ def backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("backfill-"), k.cast("string")).alias("name"),
         F.lit("air_quality_job").alias("job_name"),
         F.lit("ingestion").alias("repository_name"),
-        F.when(k % 11 == 10, F.lit("sometimes"))
+        F.when(k % 17 == 5, F.lit(None).cast("string")).when(k % 11 == 10, F.lit("sometimes"))
         .when(k % 2 == 0, F.lit("missing")).otherwise(F.lit("all")).alias("policy"),
-        F.when(k % 7 == 3, F.lit(None).cast("string")).otherwise(F.lit(MEASUREMENT_ASSET)).alias("asset_key"),
-        start.alias("start_date"),
+        F.when(k % 7 == 3, F.lit(None).cast("string")).when(k % 23 == 6, F.lit("no_such_asset"))
+        .otherwise(F.lit(MEASUREMENT_ASSET)).alias("asset_key"),
+        F.when(k % 19 != 4, start).alias("start_date"),
         end.alias("end_date"),
         F.array(*[station_of((k * 5 + i) % BACKFILL_STATIONS) for i in range(3)]).alias("stations"),
         F.when(k % 13 == 12, F.lit("csv")).otherwise(F.lit("parquet")).alias("file_type"),
-        F.lit(False).alias("skip_checks"),
+        (k % 2 == 1).alias("skip_checks"),
+        F.when(k % 29 == 7, F.lit("minio://bucket/x")).when(k % 2 == 0, F.lit("gs://bucket/x"))
+        .otherwise(F.lit("/data/x")).alias("location"),
     )
 
 

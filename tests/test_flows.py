@@ -54,10 +54,11 @@ def test_backfill_missing_rejects_and_submits(spark):
     import datetime as dt
     req = spark.createDataFrame(
         [("ok", "j", "r", "missing", "a", dt.date(2024, 1, 1), dt.date(2024, 1, 2), ["s1"], "parquet"),
+         ("ghost", "j", "r", "missing", "nowhere", dt.date(2024, 1, 1), dt.date(2024, 1, 1), ["s1"], "parquet"),
          ("bad", "j", "r", "all", None, dt.date(2024, 1, 3), dt.date(2024, 1, 1), ["s1"], "parquet")],
         "name string, job_name string, repository_name string, policy string, asset_key string, "
         "start_date date, end_date date, stations array<string>, file_type string")
     led = spark.createDataFrame([("a", "2024-01-01|s1", "MATERIALIZED", dt.datetime(2024, 1, 2), 1)],
                                 "asset_key string, partition_key string, status string, event_time timestamp, event_id long")
     out = {(r.name, r.decision, r.partition_key) for r in G.backfill_missing(req, led).collect()}
-    assert out == {("ok", "submit", "2024-01-02|s1"), ("bad", "reject", None)}
+    assert out == {("ok", "submit", "2024-01-02|s1"), ("bad", "reject", None), ("ghost", "reject", None)}

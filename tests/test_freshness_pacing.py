@@ -1,13 +1,11 @@
 import datetime as dt
 import random
-from collections import deque
 
 from pyspark.sql import functions as F
 
 from tessera.functions.timefn import ts_lit
 from tessera.operators import freshness as FR
 from tessera.operators import pacing as PC
-from tessera.streaming.admission import admit
 
 T = dt.datetime
 
@@ -42,31 +40,6 @@ def test_wave_plan_matches_global_rank(spark):
         assert out[cid][2] == ((rank - 1) // 100 >= 1)
 
 
-def test_admission_model_limits():
-    t0 = 1_000_000_000
-    calls = [(t0 + i, i) for i in range(101)] + [(t0 + 300_000_000, 101)]
-    res = list(admit(deque(), calls, 100, 300_000_000))
-    assert sum(1 for r in res[:100] if r[2]) == 100
-    assert res[100][2] is False           # 101st inside the window is refused
-    assert res[101][2] is True            # first call has left the window
-
-
-def test_admission_stream_matches_model(spark):
-    from tessera.session import scratch_path
-    from tessera.streaming.admission import start_admission
-    rnd = random.Random(5)
-    base = T(2024, 1, 1)
-    rows = [("b", i, base + dt.timedelta(seconds=rnd.randint(0, 900))) for i in range(400)]
-    root = scratch_path(spark, "t-f12")
-    _calls(spark, rows).write.parquet(f"{root}/src")
-    start_admission(spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", limit=50).awaitTermination()
-    got = {r.call_id: r.admitted for r in spark.read.parquet(f"{root}/sink").collect()}
-    epoch = T(1970, 1, 1)
-    calls = sorted(((int((t - epoch).total_seconds() * 1e6), c) for _, c, t in rows))
-    want = {cid: ok for cid, _, ok, _ in admit(deque(), calls, 50, 300_000_000)}
-    assert got == want and sum(want.values()) < len(want)
-
-
 def test_data_version_is_order_insensitive(spark):
     rows = [("p", "no2", 1.5, T(2024, 1, 1)), ("p", "o3", 2.25, T(2024, 1, 2))]
     s = "part string, formula string, value double, ts timestamp"
@@ -111,3 +84,36 @@ def test_cron_ticks_on_dst_days(spark):
     assert r.spring == T(2024, 3, 31, 1) and r.autumn == T(2024, 10, 27, 2)
     assert r.before == T(2024, 3, 30, 2)
     assert str(r.closed) == "2024-10-26"
+
+
+def test_no_row_with_a_null_is_lost_by_the_rank(spark):
+    t = T(2024, 1, 1)
+    out = PC.rate_wave_plan(_calls(spark, [("b", 1, t), (None, 2, t), ("b", 3, None), (None, 4, None)])).collect()
+    assert {r.call_id: r.rank for r in out} == {1: 2, 2: 2, 3: 1, 4: 1}
+    f = spark.createDataFrame([("k", None, "1", False), (None, t, "2", False)],
+                              "run_key string, failed_at timestamp, attempt_id string, permanent boolean")
+    assert FR.retry_schedule(f).count() == 2
+    v = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), ("k", None, "c")], "k string, run int, data_version string")
+    got = {(r.k, r.run): (r.new, r.changed) for r in FR.changed_partitions(v, ["k"]).collect()}
+    assert got == {(None, 1): (True, True), (None, 2): (False, True), ("k", None): (True, True)}
+
+
+def test_fingerprint_sees_every_change_of_a_double(spark):
+    values = [0.0, 1.0, 1.0 + 2 ** -52, 1e-7, 1e13, 1e13 + 2 ** -9, 1e300, 1e-300, -1.0, -1e-7, 5e-324, 1.7e308,
+              float("inf"), float("-inf"), float("nan"), None]
+    rows = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "p string, v double")
+    got = {r.data_version for r in FR.data_version(rows, ["p"], ["v"]).collect()}
+    assert len(got) == len(values)
+
+
+def test_due_rules_see_their_own_asset_only(spark):
+    now = ts_lit("2024-01-10 12:00:00")
+    parts = spark.createDataFrame([("2024-01-09|s", dt.date(2024, 1, 9))], "partition_key string, date date")
+    led = spark.createDataFrame([("other", "2024-01-09|s", "MATERIALIZED", T(2024, 1, 10, 6))],
+                                "asset_key string, partition_key string, status string, event_time timestamp")
+    assert FR.cron_due_latest(parts, led, "mine", now).first().due and not FR.cron_due_latest(parts, led, "other", now).first().due
+    assert FR.cron_due_all(parts, led, "mine", now).first().due and FR.due_missing(parts, led, "mine").count() == 1
+    child = spark.createDataFrame([("d", T(2024, 1, 1))], "child_key string, child_time timestamp")
+    ups = spark.createDataFrame([("d", "p1", T(2024, 1, 2)), ("d", "x", T(2024, 1, 2))],
+                                "child_key string, parent_asset string, parent_time timestamp")
+    assert not FR.parents_updated_gate(child, ups, ["p1", "p2"]).first().run

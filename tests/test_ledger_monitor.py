@@ -96,8 +96,8 @@ def test_job_statistics_eight_runs_one_failure(spark):
 def test_run_key_dedupe_and_counter(spark):
     t = T(2024, 1, 1)
     runs = _runs(spark, [("1", "j", "SUCCESS", ["x"], "l", {"dagster/run_key": "done"}, t, t)])
-    req = spark.createDataFrame([("done",), ("new",), ("new",)], "run_key string")
-    assert [r.run_key for r in M.run_key_dedupe(req, runs).collect()] == ["new"]
+    req = spark.createDataFrame([("done",), ("new",), ("new",), (None,), (None,)], "run_key string")
+    assert sorted(str(r.run_key) for r in M.run_key_dedupe(req, runs).collect()) == ["None", "None", "new"]
     ticks = spark.createDataFrame([("k",)] * 15 + [("m",)] * 14, "run_key string")
     c = {r.run_key: r.skip for r in M.unfinished_counter(ticks).collect()}
     assert c == {"k": True, "m": False}
@@ -109,5 +109,7 @@ def test_downstream_ready_failures_count_as_finished(spark):
         ("1", "j", "SUCCESS", ["x"], "l", {"dagster/partition": "2024-01-01|a"}, t, t),
         ("2", "j", "FAILURE", ["x"], "l", {"dagster/partition": "2024-01-01|b"}, t, t),
         ("3", "j", "STARTED", ["x"], "l", {"dagster/partition": "2024-01-02|a"}, t, t)])
-    r = {x.daily_key: x.ready for x in M.downstream_ready(runs).collect()}
-    assert r == {"2024-01-01": True, "2024-01-02": False}
+    expected = spark.createDataFrame([(k.split("|")[0], k) for k in (
+        "2024-01-01|a", "2024-01-01|b", "2024-01-02|a", "2024-01-03|a")], "daily_key string, partition_key string")
+    r = {x.daily_key: x.ready for x in M.downstream_ready(expected, runs).collect()}
+    assert r == {"2024-01-01": True, "2024-01-02": False, "2024-01-03": False}

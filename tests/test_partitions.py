@@ -74,10 +74,12 @@ def test_validation_rules(spark):
         ("late", D(2024, 1, 3), D(2024, 1, 1), ["a"], "all", None, "parquet"),
         ("pol", D(2024, 1, 1), D(2024, 1, 2), ["a"], "sometimes", "x", "parquet"),
         ("noasset", D(2024, 1, 1), D(2024, 1, 2), ["a"], "missing", None, "parquet"),
+        ("nulls", None, D(2024, 1, 2), ["a"], None, None, None),
         ("csv", D(2024, 1, 1), D(2024, 1, 2), ["a"], "all", None, "csv")])
     v = {r.name: (r.valid, list(r.errors)) for r in P.validate_backfills(req).collect()}
     assert v["ok"] == (True, [])
     assert not v["late"][0] and not v["pol"][0] and not v["noasset"][0] and not v["csv"][0]
+    assert v["nulls"][1] == ["start_date or end_date missing", "policy missing", "type missing"]
     assert v["noasset"][1] == ["policy missing needs asset_key"]
 
 
