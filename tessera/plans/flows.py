@@ -8,6 +8,8 @@ a retry re-reads them instead of refetching or recomputing.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from tessera.functions.timefn import as_col
 from tessera.operators import ledger as L
 from tessera.operators import partitions as P
 from tessera.operators.freshness import data_version
+from tessera.operators.pacing import rate_wave_plan
 from tessera.schemas import (LEDGER, MEASUREMENT_RECORD, MEASUREMENTS,
                              RATE_CALLS, STATION, STATION_DETAIL,
                              STATUS_FAILED, STATUS_MATERIALIZED)
@@ -31,8 +34,16 @@ PCOLS = ["date", "station_number"]
 
 
 def append_ledger(rows: DataFrame, ledger_path: str) -> None:
-    """Append events to the ledger table (idempotent ids, see L7)."""
-    B.conform(rows, LEDGER).write.mode("append").parquet(ledger_path)
+    """Append events to the ledger table, a folder per asset.  Ids are
+    deterministic (L7), and events whose id is already there stay out, so a
+    repeated run adds nothing."""
+    spark = rows.sparkSession
+    new = B.conform(rows, LEDGER)
+    if B._path_exists(spark, ledger_path):
+        assets = [r[0] for r in new.select("asset_key").distinct().collect()]
+        known = read_ledger(spark, ledger_path).filter(F.col("asset_key").isin(assets)).select("event_id")
+        new = new.join(known, "event_id", "left_anti")
+    B.conform(new, LEDGER).write.mode("append").partitionBy("asset_key").parquet(ledger_path)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
@@ -41,63 +52,54 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger_path)
 
 
-def wave_limited_requests(requests: DataFrame, max_waves: int, calls_per_wave: int = RATE_CALLS) -> DataFrame:
-    """Requests that fit in the first ``max_waves`` rate-limit waves (100
-    calls per 5 minutes), in request order; the rest stay due for the next
-    run.  The budget is the feature, so this is an ordered limit, which Spark
-    runs as a distributed top-k (per-partition top-k, then one merge)."""
-    return requests.orderBy("request_id").limit(max_waves * calls_per_wave)
+def request_waves(params: DataFrame, calls_per_wave: int = RATE_CALLS) -> DataFrame:
+    """Every request of S5 with its rate-limit ``wave`` (F11), by day and id.
+    A run fetches the waves it has time for and the rest stay due; calls are
+    counted per request here, so a request of many pages takes more of the
+    limit than its place in the plan."""
+    timed = params.withColumn("bucket", F.col("endpoint")).withColumn("_day", F.col("date").cast("timestamp"))
+    return rate_wave_plan(timed, limit=calls_per_wave, ts="_day", tie="request_id", block_minutes=24 * 60).drop("_day")
 
 
-def landing_measurements(spark: SparkSession, requests_path: str, lake_root: str, ledger_path: str,
-                         now, transport_options: dict[str, str]) -> DataFrame:
-    """G1: fetch every due (day, station) request, land the rows and record
-    the outcome per partition in the ledger.
+def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, ledger_path: str,
+                         now, transport: dict[str, str]) -> DataFrame:
+    """G1: fetch every due (day, station) partition (``partition_key``), land
+    the rows of those fetched in full and record the outcome in the ledger.
 
-    S1 fetch -> raw pages written once -> S7 split -> S2 flatten -> S6 enrich
-    -> F1 version -> B1 write -> ledger append (MATERIALIZED with row count and
-    version for 2xx, FAILED for permanent errors, nothing for retryable ones).
-    Write ``requests_path`` with ``rest_source.write_requests(..., max_waves)``
-    to stay inside the API's rate limit.  Returns the appended ledger rows.
+    S5 parameters -> S1 fetch -> raw pages written once, kept per run -> S7 and
+    S3 give each request one outcome -> S2 flatten -> S6 enrich -> B1 write ->
+    F1 version -> ledger append.  A request is MATERIALIZED only if all its
+    pages came and the chain is complete; its partition is replaced even by no
+    rows.  A 500 or an unreadable page makes it FAILED, anything else leaves no
+    event and it stays due.  Returns the appended ledger rows.
     """
-    raw_path = f"{lake_root}/_raw_pages"
-    rest_source.register(spark)
-    raw = spark.read.format("tessera_rest").option("requests", requests_path).options(**transport_options).load()
-    raw.write.mode("overwrite").parquet(raw_path)          # fetch exactly once
+    params = S.request_params(keys.select("partition_key").distinct())
+    raw_path = f"{lake_root}/_raw_pages/run={uuid.uuid4().hex}"
+    rest_source.fetch(S.request_rows(params), transport).write.parquet(raw_path)          # fetch exactly once
     pages = S.classify_responses(spark.read.parquet(raw_path))
-
-    req_keys = pages.select("request_id").distinct().withColumnRenamed("request_id", "partition_key")
-    reqs = S.request_params(req_keys)
-    ok = pages.filter(F.col("outcome") == "ok")
-    rows = S.enrich(S.flatten_pages(ok, MEASUREMENT_RECORD), reqs)
-    B.write_partitioned(rows, lake_root, LANDING, PCOLS, MEASUREMENTS)
-
-    # Fingerprint from the landed Parquet (columnar, pruned to this run's
-    # partitions) instead of parsing the JSON pages a second time.
-    this_run = reqs.select(F.col("date").cast("date").alias("date"), "station_number")
-    landed = B._partitions_only(B.read_all_partitions(spark, lake_root, LANDING, MEASUREMENTS), this_run, PCOLS)
+    outcome_path = f"{lake_root}/_outcomes/run={uuid.uuid4().hex}"
+    S.request_outcomes(pages).write.parquet(outcome_path)
+    outcome = spark.read.parquet(outcome_path)
+    done = outcome.filter(F.col("outcome") == "ok").select("request_id")
+    rows = S.enrich(S.flatten_pages(pages.join(done, "request_id", "left_semi"), MEASUREMENT_RECORD), params)
+    landed_keys = params.join(done, "request_id", "left_semi").select(F.col("date").cast("date").alias("date"), "station_number")
+    path = B.write_partitioned(rows, lake_root, LANDING, PCOLS, MEASUREMENTS, keys=landed_keys)
+
+    landed = B._partitions_only(B.read_all_partitions(spark, lake_root, LANDING, MEASUREMENTS), landed_keys, PCOLS)
     versions = data_version(landed.withColumn("request_id", encode_columns(*PCOLS)), ["request_id"],
                             ["formula", "value", "timestamp_measured"])
-    n_records = F.when(F.col("outcome") == "ok",
-                       F.json_array_length(F.get_json_object("body", "$.data"))).otherwise(0)
-    per_request = pages.groupBy("request_id").agg(
-        F.max((F.col("outcome") == "ok").cast("int")).alias("_ok"),
-        F.max((F.col("outcome") == "dead_letter").cast("int")).alias("_dead"),
-        F.sum(F.coalesce(n_records, F.lit(0))).alias("_n"))
-    outcome = per_request.join(versions, "request_id", "left")
     t = as_col(now)
-    status = (F.when(F.col("_dead") == 1, F.lit(STATUS_FAILED))
-              .when(F.col("_ok") == 1, F.lit(STATUS_MATERIALIZED)))
-    events = outcome.filter(status.isNotNull()).select(
+    status = (F.when(F.col("outcome") == "ok", F.lit(STATUS_MATERIALIZED))
+              .when(F.col("outcome").isin("dead_letter", "malformed"), F.lit(STATUS_FAILED)))
+    events = outcome.join(versions, "request_id", "left").filter(status.isNotNull()).select(
         F.lit(LANDING).alias("asset_key"), F.col("request_id").alias("partition_key"),
         status.alias("status"), t.alias("event_time"),
         F.abs(F.xxhash64(F.lit(LANDING), "request_id", t)).alias("event_id"),
-        F.lit(B.asset_path(lake_root, LANDING)).alias("path"),
-        F.col("_n").cast("long").alias("row_count"),
-        F.when(status == STATUS_MATERIALIZED,
-               F.when(F.col("_n") > 0, F.col("data_version")).otherwise(F.lit("0-0-0"))).alias("data_version"))
+        F.when(status == STATUS_MATERIALIZED, F.concat(F.lit(f"{path}/date="), F.split("request_id", r"\|")[0])).alias("path"),
+        F.coalesce("n_rows", F.lit(0)).cast("long").alias("row_count"),
+        F.when(status == STATUS_MATERIALIZED, F.coalesce("data_version", F.lit("0-0-0"))).alias("data_version"))
     append_ledger(events, ledger_path)
-    return read_ledger(spark, ledger_path).filter(F.col("event_time") == t)
+    return read_ledger(spark, ledger_path).filter((F.col("asset_key") == LANDING) & (F.col("event_time") == t))
 
 
 def bronze_daily_measurements(spark: SparkSession, lake_root: str, ledger: DataFrame,
@@ -114,8 +116,8 @@ def bronze_daily_measurements(spark: SparkSession, lake_root: str, ledger: DataF
                  .select("partition_key", *[c.alias(n) for c, n in
                                             zip(_split(F.col("partition_key")), PCOLS)]))
     data = B.read_partitions_lenient(spark, lake_root, LANDING, requested, ledger, MEASUREMENTS, PCOLS)
-    B.write_partitioned(data, bronze_root, BRONZE, ["date"], MEASUREMENTS)
-    bronze = B.read_all_partitions(spark, bronze_root, BRONZE, MEASUREMENTS)
+    B.write_partitioned(data, bronze_root, BRONZE, ["date"], MEASUREMENTS, keys=daily)
+    bronze = B._partitions_only(B.read_all_partitions(spark, bronze_root, BRONZE, MEASUREMENTS), daily, ["date"])
     written = bronze.groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("station_number").alias("n_stations"))
     missing = (B.missing_on_load(requested, ledger, LANDING, PCOLS)
@@ -130,20 +132,22 @@ def _split(key):
     return [parts.getItem(0).cast("date"), parts.getItem(1)]
 
 
-def landing_stations(spark: SparkSession, station_list_path: str, requests_path: str, lake_root: str,
-                     transport_options: dict[str, str]) -> DataFrame:
+def landing_stations(spark: SparkSession, station_list_path: str, lake_root: str,
+                     transport: dict[str, str]) -> DataFrame:
     """One detail record per listed station -> landing, one partition per
-    station (S8 -> S1 single-object fetch -> S4 -> B1)."""
+    station (S8 -> S1 single-object fetch -> S4 -> B1).  Raises if any station
+    could not be fetched; nothing lands then."""
     stations = S.read_stations(spark, station_list_path)
     reqs = stations.select(F.concat(F.lit("stations/"), "number").alias("request_id"),
                            F.concat(F.lit("stations/"), "number").alias("endpoint"),
                            F.lit(None).cast("string").alias("params_json"))
-    rest_source.write_bucketed(reqs, requests_path, buckets=max(1, spark.sparkContext.defaultParallelism))
-    rest_source.register(spark)
-    raw = (spark.read.format("tessera_rest").option("requests", requests_path).option("paginate", "false")
-           .options(**transport_options).load())
-    ok = S.classify_responses(raw).filter(F.col("outcome") == "ok")
-    details = S.single_objects(ok, STATION_DETAIL).drop("request_id")
+    raw_path = f"{lake_root}/_raw_stations/run={uuid.uuid4().hex}"
+    rest_source.fetch(reqs, transport, paginate=False).write.parquet(raw_path)
+    answers = S.classify_responses(spark.read.parquet(raw_path))
+    failed = answers.filter(F.col("outcome") != "ok").select("request_id", "status", "outcome").limit(20).collect()
+    if failed:
+        raise RuntimeError(f"stations not fetched: {[tuple(r) for r in failed]}")
+    details = S.single_objects(answers, STATION_DETAIL).drop("request_id")
     B.write_partitioned(details, lake_root, STATIONS_LANDING, ["number"], STATION_DETAIL)
     return B.read_all_partitions(spark, lake_root, STATIONS_LANDING, STATION_DETAIL)
 

@@ -16,43 +16,51 @@ from tessera.plans.sqlviews import with_views
 from tessera.schemas import STATION_DETAIL
 from tessera.session import scratch_path
 from tessera.sources import fetch as S
-from tessera.sources import rest_source
 from tessera.sources import testviews as V
 
 G1_NOW = "2024-01-31 06:00:00"
 G6_NOW = "2024-01-31 07:00:00"
 
 
-def g1_replay(spark: SparkSession, d: str, root: str, buckets: int = 8) -> str:
-    """Requests for the whole grid; saved answers: pages where data exists,
-    HTTP 500 on odd days and 429 on even days where it does not."""
+def g1_replay(spark: SparkSession, d: str, path: str) -> None:
+    """Saved answers for the whole grid, one record a page.  Without data: HTTP
+    500 on odd days and 429 on even days.  With data, by the first record's id
+    modulo 17: 1 page 2 is 429, 2 page 2 is 500, 3 page 1 is 206 (fine), 4 page 2
+    points back to page 1, 5 the body of page 1 is cut off."""
+    first = V.measurement_ledger(spark, d).select(F.col("partition_key").alias("request_id"),
+                                                  (F.floor(F.col("event_id") / 2) % 17).alias("_rule"))
+    pages = measurement_pages(spark, d, page_size=1).join(first, "request_id")
+    rule, second, head = F.col("_rule"), F.col("page") == 2, F.col("page") == 1
+    status = (F.when(second & (rule == 1), 429).when(second & (rule == 2), 500).when(head & (rule == 3), 206)
+              .otherwise(F.col("status")))
+    body = (F.when(second & (rule == 4), F.regexp_replace("body", '"next_page":[0-9]+', '"next_page":1'))
+            .when(head & (rule == 5), F.substring("body", 1, 40)).otherwise(F.col("body")))
+    pages = pages.select("request_id", "page", status.cast("int").alias("status"), body.alias("body"))
     grid = measurement_grid(spark, d)
-    reqs = grid.select(F.col("partition_key").alias("request_id"), F.lit("measurements").alias("endpoint"),
-                       F.lit(None).cast("string").alias("params_json"))
-    pages = measurement_pages(spark, d)
-    errors = (grid.join(pages.select(F.col("request_id").alias("partition_key")).distinct(), "partition_key",
-                        "left_anti")
+    errors = (grid.join(first.select(F.col("request_id").alias("partition_key")), "partition_key", "left_anti")
               .select(F.col("partition_key").alias("request_id"), F.lit(1).alias("page"),
                       F.when(F.dayofmonth("date") % 2 == 1, F.lit(500)).otherwise(F.lit(429)).alias("status"),
                       F.lit(None).cast("string").alias("body")))
-    rest_source.write_bucketed(reqs, f"{root}/requests", buckets)
-    rest_source.write_bucketed(pages.unionByName(errors), f"{root}/replay", buckets)
-    return f"{root}/requests"
+    pages.unionByName(errors).write.parquet(path)
 
 
 @register("landing_measurements", with_views(f"""
-SELECT g.partition_key,
-       CASE WHEN v.n_rows IS NOT NULL THEN 'MATERIALIZED' ELSE 'FAILED' END AS status,
-       coalesce(v.n_rows, 0) AS row_count,
-       CASE WHEN v.n_rows IS NOT NULL THEN CAST(v.n_rows AS VARCHAR) || '-' || CAST(v.h1 AS VARCHAR) || '-' || CAST(v.h2 AS VARCHAR) END AS data_version
-FROM grid g LEFT JOIN ({VERSION_SQL.replace('FROM src', 'FROM v_measurements')}) v
-  ON v.date = g.date AND v.station_number = g.station_number
-WHERE v.n_rows IS NOT NULL OR dayofmonth(g.date) % 2 = 1""", "v_stations", "v_measurements",
-                                             extra={"grid": GRID_SQL}))
+SELECT partition_key, CASE WHEN outcome = 'ok' THEN 'MATERIALIZED' ELSE 'FAILED' END AS status,
+       CASE WHEN outcome = 'ok' THEN n_rows ELSE 0 END AS row_count,
+       CASE WHEN outcome = 'ok' THEN CAST(n_rows AS VARCHAR) || '-' || CAST(h1 AS VARCHAR) || '-' || CAST(h2 AS VARCHAR) END AS data_version
+FROM (SELECT g.partition_key, v.*,
+             CASE WHEN v.n_rows IS NULL THEN CASE WHEN dayofmonth(g.date) % 2 = 1 THEN 'failed' ELSE 'due' END
+                  WHEN p.first_id % 17 IN (1, 4) AND p.n >= 2 THEN 'due'
+                  WHEN p.first_id % 17 = 2 AND p.n >= 2 THEN 'failed'
+                  WHEN p.first_id % 17 = 5 THEN 'failed' ELSE 'ok' END AS outcome
+      FROM grid g LEFT JOIN ({VERSION_SQL.replace('FROM src', 'FROM v_measurements')}) v
+        ON v.date = g.date AND v.station_number = g.station_number
+      LEFT JOIN v_parts p ON p.date = g.date AND p.station_number = g.station_number) o
+WHERE outcome <> 'due'""", "v_stations", "v_measurements", "v_parts", extra={"grid": GRID_SQL}))
 def q_landing_measurements(spark, d):
     root = scratch_path(spark, "g1")
-    requests = g1_replay(spark, d, root)
-    events = G.landing_measurements(spark, requests, f"{root}/lake", f"{root}/ledger", ts_lit(G1_NOW),
+    g1_replay(spark, d, f"{root}/replay")
+    events = G.landing_measurements(spark, measurement_grid(spark, d), f"{root}/lake", f"{root}/ledger", ts_lit(G1_NOW),
                                     {"transport": "replay", "replay": f"{root}/replay"})
     return events.select("partition_key", "status", "row_count", "data_version")
 
@@ -61,19 +69,22 @@ def q_landing_measurements(spark, d):
 SELECT CAST(d.date AS VARCHAR) AS date, coalesce(w.n_rows, 0) AS n_rows, coalesce(w.n_stations, 0) AS n_stations,
        coalesce(m.n_missing, 0) AS n_missing
 FROM (SELECT DISTINCT date FROM v_measurements) d
-LEFT JOIN (SELECT date, count(*) AS n_rows, count(DISTINCT station_number) AS n_stations
-           FROM v_measurements GROUP BY date) w ON w.date = d.date
+LEFT JOIN (SELECT date, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_stations
+           FROM v_parts WHERE has_error = 0 GROUP BY date) w ON w.date = d.date
 LEFT JOIN (SELECT date, count(*) AS n_missing FROM grid
-           WHERE partition_key NOT IN (SELECT partition_key FROM v_meas_ledger) GROUP BY date) m ON m.date = d.date""",
-                                                  "v_stations", "v_meas_ledger", extra={"grid": GRID_SQL}))
+           WHERE partition_key NOT IN (SELECT CAST(date AS VARCHAR) || '|' || station_number FROM v_parts WHERE has_error = 0)
+           GROUP BY date) m ON m.date = d.date""", "v_stations", "v_parts", extra={"grid": GRID_SQL}))
 def q_bronze_daily_measurements(spark, d):
     """For each day: rows that reached bronze, from how many stations, and
-    how many expected stations are missing."""
+    how many expected stations are missing.  Bronze is built twice, first
+    while all partitions were materialized and then after reruns failed for
+    those with an ``error`` measurement."""
     lake = shared_landing(spark, d)
     daily = V.measurements(spark, d).select("date").distinct()
     upstream = measurement_grid(spark, d).select("date", "partition_key")
-    out = G.bronze_daily_measurements(spark, lake, V.measurement_ledger(spark, d), daily, upstream,
-                                      scratch_path(spark, "bronze"))
+    root = scratch_path(spark, "bronze")
+    G.bronze_daily_measurements(spark, lake, V.measurement_ledger(spark, d), daily, upstream, root)
+    out = G.bronze_daily_measurements(spark, lake, V.measurement_ledger(spark, d, failed_reruns=True), daily, upstream, root)
     return out.select("date", "n_rows", "n_stations", "n_missing")
 
 
@@ -84,8 +95,8 @@ def _stations_landed(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
     replay = det.select(F.concat(F.lit("stations/"), "number").alias("request_id"), F.lit(1).alias("page"),
                         F.lit(200).alias("status"),
                         F.to_json(F.struct(F.struct(*STATION_DETAIL.fieldNames()).alias("data"))).alias("body"))
-    rest_source.write_bucketed(replay, f"{root}/replay", buckets=8)
-    out = G.landing_stations(spark, f"{root}/stations_json", f"{root}/requests", f"{root}/lake",
+    replay.write.parquet(f"{root}/replay")
+    out = G.landing_stations(spark, f"{root}/stations_json", f"{root}/lake",
                              {"transport": "replay", "replay": f"{root}/replay"})
     return root, out
 

@@ -23,10 +23,10 @@ RECORD_COLS = ["event_id", "formula", "value", "timestamp_measured"]
 REQ_SQL = "CAST(date AS VARCHAR) || '|' || station_number"
 
 
-def measurement_pages(spark: SparkSession, d: str) -> DataFrame:
+def measurement_pages(spark: SparkSession, d: str, page_size: int = PAGE_SIZE) -> DataFrame:
     m = V.measurements(spark, d).withColumn("request_id", F.concat_ws("|", F.col("date").cast("string"),
                                                                       "station_number"))
-    return S.page_envelopes(m, "request_id", RECORD_COLS, ["timestamp_measured", "event_id"], PAGE_SIZE)
+    return S.page_envelopes(m, "request_id", RECORD_COLS, ["timestamp_measured", "event_id"], page_size)
 
 
 def _records_out(df: DataFrame) -> DataFrame:
@@ -43,11 +43,21 @@ def q_rest_pages_flatten(spark, d):
     return _records_out(S.flatten_pages(measurement_pages(spark, d)))
 
 
-@register("rest_page_chain", with_views(f"""
-SELECT {REQ_SQL} AS request_id, CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT) AS n_pages, true AS complete
-FROM v_measurements GROUP BY date, station_number""", "v_measurements"))
+@register("rest_page_chain", with_views("""
+SELECT partition_key AS request_id,
+       n - CASE WHEN n >= 2 AND event_id // 2 % 7 = 1 THEN 1 ELSE 0 END AS n_pages,
+       NOT (n >= 2 AND event_id // 2 % 7 IN (1, 2)) AS complete
+FROM (SELECT partition_key, event_id, row_count AS n FROM v_meas_ledger) p""", "v_meas_ledger"))
 def q_rest_page_chain(spark, d):
-    return S.page_chain_status(measurement_pages(spark, d)).select("request_id", "n_pages", "complete")
+    """One record a page.  By the first record's id every seventh chain has lost
+    its second page, and in another seventh the second page points back."""
+    first = V.measurement_ledger(spark, d).select(F.col("partition_key").alias("request_id"),
+                                                  F.floor(F.col("event_id") / 2).alias("first_id"))
+    pages = measurement_pages(spark, d, page_size=1).join(first, "request_id")
+    rule = F.when(F.col("page") == 2, F.col("first_id") % 7).otherwise(0)
+    back = F.regexp_replace("body", '"next_page":[0-9]+', '"next_page":1')
+    return S.page_chain_status(pages.filter(rule != 1).withColumn("body", F.when(rule == 2, back).otherwise(F.col("body")))
+                               ).select("request_id", "n_pages", "complete")
 
 
 @register("rest_single_object", with_views("""
@@ -112,31 +122,13 @@ def q_stations_dim(spark, d):
     return S.read_stations(spark, path)
 
 
-def replay_store(spark: SparkSession, d: str, buckets: int = 8) -> tuple[str, str]:
-    """Requests for the whole grid and the saved pages answering them
-    (an empty ``data`` page where a day has no measurements)."""
-    grid = measurement_grid(spark, d)
-    reqs = grid.select(
-        F.col("partition_key").alias("request_id"), F.lit("measurements").alias("endpoint"),
-        F.to_json(F.struct(F.concat(F.col("date").cast("string"), F.lit("T00:00:00")).alias("start"),
-                           F.concat(F.col("date").cast("string"), F.lit("T23:59:59")).alias("end"),
-                           F.col("station_number"))).alias("params_json"))
-    pages = measurement_pages(spark, d)
-    empty = S.empty_page(reqs.join(pages.select("request_id").distinct(), "request_id", "left_anti"))
-    root = scratch_path(spark, "rest")
-    rest_source.write_bucketed(reqs, f"{root}/requests", buckets)
-    rest_source.write_bucketed(pages.unionByName(empty), f"{root}/replay", buckets)
-    return f"{root}/requests", f"{root}/replay"
-
-
-def read_rest(spark: SparkSession, requests: str, replay: str) -> DataFrame:
-    rest_source.register(spark)
-    return (spark.read.format("tessera_rest").option("requests", requests)
-            .option("transport", "replay").option("replay", replay).load())
-
-
 @register("rest_source", with_views(RECORDS_SQL, "v_measurements"))
 def q_rest_source(spark, d):
-    requests, replay = replay_store(spark, d)
-    return _records_out(S.flatten_pages(read_rest(spark, requests, replay)))
-
+    """Requests for the whole grid against saved pages (an empty ``data`` page
+    where a day has no measurements)."""
+    params = S.request_params(measurement_grid(spark, d).select("partition_key"))
+    pages = measurement_pages(spark, d)
+    empty = S.empty_page(params.join(pages.select("request_id").distinct(), "request_id", "left_anti"))
+    replay = scratch_path(spark, "replay")
+    pages.unionByName(empty).write.parquet(replay)
+    return _records_out(S.flatten_pages(rest_source.fetch(S.request_rows(params), {"transport": "replay", "replay": replay})))

@@ -81,12 +81,12 @@ def q_write_unpartitioned(spark, d):
 @register("write_sized_files", with_views("""
 SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS files_over_limit FROM v_measurements""", "v_measurements"))
 def q_write_sized_files(spark, d):
-    """Rows per written file never exceed the 100,000-row limit."""
+    """Rows per written file never exceed the limit, here 1,000 rows."""
     root = scratch_path(spark, "b3")
-    path = B.write_unpartitioned(landing_rows(spark, d), root, ASSET, MEASUREMENTS)
+    path = B.write_unpartitioned(landing_rows(spark, d), root, ASSET, MEASUREMENTS, max_records_per_file=1000)
     counts = B.file_row_counts(spark, path)
     return counts.agg(F.sum("row_count").alias("total_rows"),
-                      F.count_if(F.col("row_count") > 100_000).alias("files_over_limit"))
+                      F.count_if(F.col("row_count") > 1000).alias("files_over_limit"))
 
 
 @register("read_partitions_strict", with_views(f"SELECT {_ROWS_SQL} FROM v_measurements", "v_measurements"))
@@ -189,6 +189,6 @@ SELECT 'air_quality_data' AS asset_key, CAST(date AS VARCHAR) || '|' || station_
 FROM v_measurements GROUP BY date, station_number""", "v_measurements"))
 def q_output_metadata(spark, d):
     root = shared_landing(spark, d)
-    meta = B.output_metadata(spark, B.asset_path(root, ASSET), ASSET, PCOLS, ts_lit("2024-01-31 00:00:00"))
+    meta = B.output_metadata(spark, B.asset_path(root, ASSET), ASSET, PCOLS, ts_lit("2024-01-31 00:00:00"), MEASUREMENTS)
     return (meta.groupBy("asset_key", "partition_key", "status")
             .agg(F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("n_files")))

@@ -33,21 +33,11 @@ BASE_CONF = {
 }
 
 
-# Single-machine only: list partition folders on the driver instead of one
-# Spark job per folder level (on a cluster, parallel discovery is the right
-# choice for millions of folders, so this is not applied there).
-LOCAL_CONF = {
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
-}
-
-
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master.startswith("local"):
-        conf.update(LOCAL_CONF)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -64,6 +54,8 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tessera-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

@@ -59,8 +59,21 @@ def empty_page(requests: DataFrame) -> DataFrame:
                            F.lit('{"data":[]}').alias("body"))
 
 
-def flatten_pages(pages: DataFrame, record: T.StructType = MEASUREMENT_RECORD) -> DataFrame:
-    """Concatenate the ``data`` lists of all pages into rows."""
+def flatten_pages(pages: DataFrame, record: T.StructType = MEASUREMENT_RECORD, extra: bool = False) -> DataFrame:
+    """Concatenate the ``data`` lists of all pages into rows.
+
+    A page that cannot be read gives no row here; S7 classifies it, and a flow
+    lets only requests through whose pages are all readable.  With ``extra``
+    the keys that ``record`` doesn't declare come along as a map of strings.
+    """
+    if extra:
+        raw = T.StructType([T.StructField("data", T.ArrayType(T.StringType()))])
+        each = pages.select("request_id", "page", F.explode(F.from_json("body", raw)["data"]).alias("_text"))
+        known = [f.name for f in record.fields]
+        return each.select("request_id", "page", F.from_json("_text", record, JSON_OPTS).alias("_r"),
+                           F.map_filter(F.from_json("_text", T.MapType(T.StringType(), T.StringType())),
+                                        lambda k, _: ~k.isin(known)).alias("extra")).select(
+            "request_id", "page", "_r.*", "extra")
     parsed = pages.select("request_id", "page", F.from_json("body", page_schema(record), JSON_OPTS).alias("j"))
     return parsed.select("request_id", "page", F.inline(F.coalesce(F.col("j.data"), F.array().cast(T.ArrayType(record)))))
 
@@ -117,6 +130,11 @@ def request_params(keys: DataFrame, key_col: str = "partition_key", endpoint: st
                     start.alias("start"), end.alias("end"))
 
 
+def request_rows(params: DataFrame) -> DataFrame:
+    """S5's rows as the requests that S1 sends: (request_id, endpoint, params_json)."""
+    return params.select("request_id", "endpoint", F.to_json(F.struct("start", "end", "station_number")).alias("params_json"))
+
+
 def enrich(records: DataFrame, requests: DataFrame) -> DataFrame:
     """Add station, start and end of the request to each returned row
     (equi-join on request_id; AQE broadcasts the request side when small)."""
@@ -126,13 +144,31 @@ def enrich(records: DataFrame, requests: DataFrame) -> DataFrame:
 
 def classify_responses(responses: DataFrame) -> DataFrame:
     """2xx -> ``ok``; 500 -> ``dead_letter`` (no retries); any other
-    status -> ``retry``."""
+    status -> ``retry``.  With a ``body`` column, a 2xx answer whose body is no
+    JSON with ``data`` is ``malformed``."""
     s = F.col("status")
-    outcome = (F.when((s >= 200) & (s < 300), F.lit("ok")).when(s == 500, F.lit("dead_letter"))
-               .otherwise(F.lit("retry")))
+    good = (s >= 200) & (s < 300)
+    outcome = F.when(good, F.lit("ok")).when(s == 500, F.lit("dead_letter")).otherwise(F.lit("retry"))
+    if "body" in responses.columns:
+        readable = F.try_parse_json("body").isNotNull() & F.get_json_object("body", "$.data").isNotNull()
+        outcome = F.when(good & ~F.coalesce(readable, F.lit(False)), F.lit("malformed")).otherwise(outcome)
     return responses.withColumn("outcome", outcome)
 
 
+def request_outcomes(classified: DataFrame) -> DataFrame:
+    """Per request: ``ok`` only if every page is and the chain is complete
+    (S3); ``dead_letter`` with any 500, else ``malformed`` with any such page,
+    else ``retry``."""
+    per = classified.groupBy("request_id").agg(
+        F.max((F.col("outcome") == "dead_letter").cast("int")).alias("_dead"),
+        F.max((F.col("outcome") == "malformed").cast("int")).alias("_bad"),
+        F.min((F.col("outcome") == "ok").cast("int")).alias("_ok"))
+    chains = page_chain_status(classified.filter(F.col("outcome") == "ok")).select("request_id", "complete")
+    outcome = (F.when(F.col("_dead") == 1, F.lit("dead_letter")).when(F.col("_bad") == 1, F.lit("malformed"))
+               .when((F.col("_ok") == 1) & F.col("complete"), F.lit("ok")).otherwise(F.lit("retry")))
+    return per.join(chains, "request_id", "left").select("request_id", outcome.alias("outcome"))
+
+
 def read_stations(spark: SparkSession, path: str, check_unique: bool = True) -> DataFrame:
     """Static station list, a JSON array of {location, number} objects
     (one or more files).  A missing file gives an empty table and a warning;

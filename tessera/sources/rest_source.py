@@ -1,67 +1,65 @@
-"""Paginated REST API as a Spark Python data source.
-
-``spark.read.format("tessera_rest")`` with options
-
-* ``requests`` – a Parquet dataset of requests ``(request_id, endpoint,
-  params_json)`` written ``partitionBy("bucket")``; every bucket folder is one
-  input partition, i.e. one task fetches one batch of requests;
-* ``transport`` – ``http`` (``base_url`` option) or ``replay``;
-* ``replay`` – for ``replay``: a Parquet dataset of saved pages
-  ``(request_id, page, status, body)`` bucketed the same way, so a task reads
-  only its own bucket;
-* ``paginate`` – ``true`` (default) follows ``pagination.next_page`` until it
-  equals ``current_page``; ``false`` fetches one page.
-
-Rows out: ``(request_id, page, status, body)``; an HTTP error status ends a
-request's chain and is returned as a row, so errors are data (S7 classifies
-them) instead of killing the job.  Pacing is planned beforehand (F11), so
-readers do not sleep.
+"""Paginated REST API, one row per fetched page.
+
+``fetch(requests, transport)`` takes a table of requests ``(request_id, endpoint,
+params_json)`` and gives ``(request_id, page, status, body)``.  Spark reads the
+requests, deals them to tasks and hands each task its requests one by one, so
+the answer does not depend on how many tasks there are, and every file is read
+through Spark's own file systems.  Transports:
+
+* ``{"transport": "http", "base_url": ...}``
+* ``{"transport": "replay", "replay": path}``: saved pages, a Parquet table
+  ``(request_id, page, status, body)`` that Spark joins to the requests.  A
+  request without any saved page raises.
+
+A chain of pages follows ``pagination.next_page`` until it equals
+``current_page``; there is no cap on its length.  An answer that is not 2xx ends
+the chain and is a row, so errors are data (S7 classifies them) instead of
+killing the job.  A chain that turns back to an earlier page ends with a row of
+status 508.  Pacing is planned beforehand (F11), so readers do not sleep.
 """
 
 from __future__ import annotations
 
 import json
-import os
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
-
-OUTPUT = StructType([
-    StructField("request_id", StringType()),
-    StructField("page", IntegerType()),
-    StructField("status", IntegerType()),
-    StructField("body", StringType()),
-])
-
-
-class _Bucket(InputPartition):
-    def __init__(self, name: str):
-        super().__init__(name)
-        self.name = name
-
-
-def _list_buckets(root: str) -> list[str]:
-    import pyarrow.fs as pafs
-    fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
-    infos = fs.get_file_info(pafs.FileSelector(base, recursive=False))
-    return sorted(os.path.basename(i.path) for i in infos
-                  if i.type == pafs.FileType.Directory and os.path.basename(i.path).startswith("bucket="))
-
-
-def _read_bucket(root: str, bucket: str, columns: list[str]):
-    import pyarrow.parquet as pq
-    return pq.read_table(f"{root.rstrip('/')}/{bucket}", columns=columns)
-
-
-class _ReplayTransport:
-    """Serves saved pages: ``get(request_id, page) -> (status, body)``."""
-
-    def __init__(self, root: str, bucket: str):
-        t = _read_bucket(root, bucket, ["request_id", "page", "status", "body"]).to_pylist()
-        self.pages = {(r["request_id"], r["page"]): (r["status"], r["body"]) for r in t}
-
-    def get(self, request_id, endpoint, params, page):
-        return self.pages.get((request_id, page or 1), (404, None))
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PAGES = "request_id string, page int, status int, body string"
+_ARROW = pa.schema([("request_id", pa.string()), ("page", pa.int32()), ("status", pa.int32()), ("body", pa.string())])
+#: Requests that one task fetches over HTTP.
+REQUESTS_PER_TASK = 200
+#: Status of the row that ends a chain which turns back (HTTP: loop detected).
+LOOP_STATUS = 508
+
+
+def next_page(page: int, status: int, body: str | None) -> int | None:
+    """The page to fetch after this one; None at the end of the chain, and the
+    number of an earlier page if the chain turns back."""
+    if not 200 <= status < 300 or body is None:
+        return None
+    try:
+        links = json.loads(body).get("pagination")
+        now, then = (links.get("current_page"), links.get("next_page")) if links else (None, None)
+    except (ValueError, AttributeError):
+        return None  # not readable: S7 sees the body
+    return None if then is None or then == now else then
+
+
+def fetch_chain(get, paginate: bool = True):
+    """Follow one request's chain; ``get(page)`` gives (status, body).  Yields (page, status, body)."""
+    page = 1
+    while True:
+        status, body = get(page)
+        yield page, status, body
+        then = next_page(page, status, body) if paginate else None
+        if then is None:
+            return
+        if then <= page:
+            yield then, LOOP_STATUS, None
+            return
+        page = then
 
 
 class _HttpTransport:
@@ -69,7 +67,7 @@ class _HttpTransport:
         self.base_url = base_url.rstrip("/")
         self.timeout = timeout
 
-    def get(self, request_id, endpoint, params, page):
+    def get(self, endpoint, params, page):
         import urllib.error
         import urllib.parse
         import urllib.request
@@ -84,73 +82,75 @@ class _HttpTransport:
             return e.code, None
 
 
-def fetch_chain(transport, request_id, endpoint, params, paginate: bool = True, max_pages: int = 100_000):
-    """Follow one request's page chain; yields (page, status, body)."""
-    page = 1
-    for _ in range(max_pages):
-        status, body = transport.get(request_id, endpoint, params, page if paginate else None)
-        yield page, status, body
-        if not paginate or status != 200 or body is None:
-            return
-        pag = json.loads(body).get("pagination")
-        if pag is None:
-            return
-        cur, nxt = pag.get("current_page"), pag.get("next_page")
-        if cur == nxt or nxt is None:
-            return
-        page = nxt
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-
-    def partitions(self):
-        return [_Bucket(b) for b in _list_buckets(self.options["requests"])]
-
-    def read(self, partition: _Bucket):
-        opts = self.options
-        if opts.get("transport", "replay") == "replay":
-            transport = _ReplayTransport(opts["replay"], partition.name)
-        else:
-            transport = _HttpTransport(opts["base_url"])
-        paginate = opts.get("paginate", "true").lower() == "true"
-        reqs = _read_bucket(opts["requests"], partition.name, ["request_id", "endpoint", "params_json"])
-        for r in reqs.to_pylist():
-            params = json.loads(r["params_json"]) if r["params_json"] else {}
-            for page, status, body in fetch_chain(transport, r["request_id"], r["endpoint"], params, paginate):
-                yield (r["request_id"], page, status, body)
-
-
-class RestDataSource(DataSource):
-    @classmethod
-    def name(cls):
-        return "tessera_rest"
-
-    def schema(self):
-        return OUTPUT
-
-    def reader(self, schema):
-        return _Reader(self.options)
-
-
-def register(spark) -> None:
-    spark.dataSource.register(RestDataSource)
-
-
-def write_requests(requests, path: str, buckets: int, max_waves: int | None = None) -> None:
-    """Write the request table the reader consumes; with ``max_waves`` only
-    the requests inside the first rate-limit waves are written (see F11)."""
-    if max_waves is not None:
-        from tessera.plans.flows import wave_limited_requests
-        requests = wave_limited_requests(requests, max_waves)
-    write_bucketed(requests, path, buckets)
-
-
-def write_bucketed(df, path: str, buckets: int, key: str = "request_id") -> None:
-    """Write a request or replay table in ``buckets`` folders by key hash."""
-    from pyspark.sql import functions as F
-    (df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-       .repartition(buckets, "bucket")
-       .write.mode("overwrite").option("partitionOverwriteMode", "static")   # whole table replaced
-       .partitionBy("bucket").parquet(path))
+def _rows_out(rows, size: int = 500):
+    """Arrow batches of fetched pages."""
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _ARROW.types)], schema=_ARROW)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _ARROW.types)], schema=_ARROW)
+
+
+def _from_http(base_url: str, paginate: bool):
+    def run(batches):
+        transport = _HttpTransport(base_url)
+
+        def rows():
+            for batch in batches:
+                for r in batch.to_pylist():
+                    params = json.loads(r["params_json"]) if r["params_json"] else {}
+                    for page in fetch_chain(lambda p: transport.get(r["endpoint"], params, p if paginate else None), paginate):
+                        yield r["request_id"], *page
+
+        yield from _rows_out(rows())
+
+    return run
+
+
+def _from_saved(paginate: bool):
+    """Rows sorted by (request_id, page), page 0 being the request itself; follows each chain forward through its
+    saved pages as they pass by, so a task holds one page at a time."""
+    def run(batches):
+        def rows():
+            request, wanted, last = None, None, 1
+
+            def missing():
+                if wanted == 1:
+                    raise ValueError(f"no saved page for request {request!r}")
+                return request, wanted, 404, None
+
+            for batch in batches:
+                for r in batch.to_pylist():
+                    if r["page"] == 0:
+                        if wanted is not None:
+                            yield missing()
+                        request, wanted = r["request_id"], 1
+                    elif r["request_id"] == request and r["page"] == wanted:
+                        yield request, wanted, r["status"], r["body"]
+                        then = next_page(wanted, r["status"], r["body"]) if paginate else None
+                        if then is not None and then <= wanted:
+                            yield request, then, LOOP_STATUS, None
+                            then = None
+                        wanted = then
+            if wanted is not None:
+                yield missing()
+
+        yield from _rows_out(rows())
+
+    return run
+
+
+def fetch(requests: DataFrame, transport: dict[str, str], paginate: bool = True) -> DataFrame:
+    """Fetched pages of all requests (each request_id once)."""
+    spark = requests.sparkSession
+    asked = requests.select("request_id", "endpoint", "params_json")
+    if transport.get("transport", "replay") == "http":
+        tasks = max(1, -(-requests.count() // REQUESTS_PER_TASK))
+        return asked.repartition(tasks, "request_id").mapInArrow(_from_http(transport["base_url"], paginate), PAGES)
+    saved = spark.read.parquet(transport["replay"]).select("request_id", "page", "status", "body")
+    both = asked.select("request_id", F.lit(0).alias("page"), F.lit(0).alias("status"), F.lit(None).cast("string").alias("body"))
+    both = both.unionByName(saved).repartition("request_id").sortWithinPartitions("request_id", "page")
+    return both.mapInArrow(_from_saved(paginate), PAGES)

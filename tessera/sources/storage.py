@@ -1,23 +1,23 @@
 """Parquet lake: partitioned / unpartitioned writes and strict / lenient reads
 (B1–B11).
 
-Layout: ``{root}/{asset}/`` is one Parquet dataset.  A partitioned asset is
-Hive-style ``date=…/station_number=…/part-*.parquet`` so Spark prunes
-partitions from the directory names; the pipe-joined key string is derived at
-the edge and never used as a physical path.
+Layout: ``{root}/{asset}/`` is one Parquet dataset.  A partitioned asset has one
+folder per value of its first partition column (``date=…``); its other partition
+columns are data columns by which each folder's rows are sorted, so row groups
+prune on them.  Files then hold a day, not a (day, station), however many
+stations there are.  Replacing some (day, station) partitions rewrites the days
+they touch and carries the untouched stations over.  The pipe-joined key string
+is derived at the edge and never used as a physical path.
 
 Writes cast to the declared schema first (the upstream JSON drifts: an
-all-integer day must still be stored as double), use dynamic partition
-overwrite on an existing table (only the partitions present in the output
-are replaced; a new table is written in place without staging) and ask
-AQE to ``rebalance`` on the partition columns: a partition holding a third of
-all rows is split over several tasks and files, small ones are coalesced.
+all-integer day must still be stored as double), always use dynamic partition
+overwrite and ask AQE to ``rebalance`` on the folder column: a day holding a
+third of all rows is split over several tasks and files, small ones are coalesced.
 """
 
 from __future__ import annotations
 
 import os
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,40 +49,60 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-@contextmanager
-def _session_conf(spark: SparkSession, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+#: Folder values that become literal filters; with more, their range does.
+LITERAL_FOLDERS = 1000
+
+
+def _folder_filter(data: DataFrame, keys: DataFrame, folder: str) -> DataFrame:
+    """Only the folders that ``keys`` name, as literals so that the scan prunes whatever the size of ``keys``."""
+    kind = data.schema[folder].dataType
+    values = keys.select(F.col(folder).cast(kind).alias(folder)).filter(F.col(folder).isNotNull()).distinct()
+    some = [r[0] for r in values.limit(LITERAL_FOLDERS + 1).collect()]
+    if len(some) <= LITERAL_FOLDERS:
+        return data.filter(F.col(folder).isin(some)) if some else data.filter(F.lit(False))
+    low, high = values.agg(F.min(folder), F.max(folder)).first()
+    return data.filter(F.col(folder).between(low, high))
+
+
+def _partitions_only(data: DataFrame, keys: DataFrame, partition_cols: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``data`` in (or with ``left_anti`` outside) the partitions of ``keys``, from their folders only."""
+    wanted = keys.select(*[F.col(c).cast(data.schema[c].dataType).alias(c) for c in partition_cols]).distinct()
+    return _folder_filter(data, wanted, partition_cols[0]).join(wanted, partition_cols, how)
+
+
+def _delete_folders(spark: SparkSession, path: str, folder: str, values: list) -> None:
+    jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for v in values:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}={escape(str(v))}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_partitioned(df: DataFrame, root: str, asset_key: str, partition_cols: list[str],
                       schema: T.StructType | None = None,
-                      max_records_per_file: int = ROW_GROUP_ROWS) -> str:
-    """B1 (+B3): replace exactly the partitions present in ``df``."""
+                      max_records_per_file: int = ROW_GROUP_ROWS, keys: DataFrame | None = None) -> str:
+    """B1 (+B3): replace exactly the partitions in ``keys`` (default: those
+    present in ``df``).  A partition of ``keys`` without rows ends up empty;
+    all others survive.  ``df`` must hold no other partitions than ``keys``."""
     out = conform(df, schema) if schema is not None else df
     path = asset_path(root, asset_key)
     spark = df.sparkSession
-    # A new table needs no staging: write it in place (static).  An existing
-    # one is replaced partition by partition (dynamic), all others survive.
-    mode = "dynamic" if _path_exists(spark, path) else "static"
-    writer = (out.hint("rebalance", *partition_cols)
-              .write.mode("overwrite")
-              .option("partitionOverwriteMode", mode)
-              .option("maxRecordsPerFile", max_records_per_file)
-              .partitionBy(*partition_cols))
-    # A fan-out write costs per output folder, not per byte: do not let AQE
-    # merge a small shuffle into one task that creates every folder serially.
-    # Skew splitting of the rebalance stays on; files per folder are unchanged
-    # because each folder's rows still hash to one task.
-    with _session_conf(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-        writer.parquet(path)
+    folder, emptied = partition_cols[0], []
+    if _path_exists(spark, path):
+        old = spark.read.schema(out.schema).option("basePath", path).parquet(path)
+        touched = out if keys is None else keys
+        if len(partition_cols) > 1:
+            out = out.unionByName(_partitions_only(old, touched, partition_cols, "left_anti"))
+        if keys is not None:
+            left = out.select(folder).distinct()
+            gone = keys.select(F.col(folder).cast(old.schema[folder].dataType).alias(folder)).distinct()
+            emptied = [r[0] for r in gone.join(left, folder, "left_anti").collect()]  # a value a day
+    (out.hint("rebalance", folder).sortWithinPartitions(*partition_cols)
+     .write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(folder).parquet(path))
+    _delete_folders(spark, path, folder, emptied)
     return path
 
 
@@ -121,21 +141,17 @@ def read_all_partitions(spark: SparkSession, root: str, asset_key: str, schema:
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def _partitions_only(data: DataFrame, keys: DataFrame, partition_cols: list[str]) -> DataFrame:
-    # Semi-join on the partition columns: Spark turns this into partition
-    # pruning (dynamic when the key side is small enough to broadcast).
-    return data.join(keys.select(*partition_cols).distinct(), partition_cols, "left_semi")
-
-
 def read_partitions_strict(spark: SparkSession, root: str, asset_key: str, keys: DataFrame,
                            schema: T.StructType, partition_cols: list[str]) -> DataFrame:
-    """Load exactly ``keys``; any key without files raises."""
-    present = list_partition_files(spark, root, asset_key, partition_cols)
-    missing = keys.select(*partition_cols).join(present, partition_cols, "left_anti")
-    sample = missing.limit(20).collect()
+    """Load exactly ``keys``; any key without rows raises.  Presence is
+    read from the partition columns of the keys' folders alone."""
+    data = read_all_partitions(spark, root, asset_key, schema)
+    wanted = keys.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in partition_cols]).distinct()
+    present = _folder_filter(data, wanted, partition_cols[0]).select(*partition_cols).distinct()
+    sample = wanted.join(present, partition_cols, "left_anti").limit(20).collect()
     if sample:
         raise MissingPartitionsError(f"Missing partitions: {[tuple(r) for r in sample]}")
-    return _partitions_only(read_all_partitions(spark, root, asset_key, schema), keys, partition_cols)
+    return _partitions_only(data, wanted, partition_cols)
 
 
 def loadable_keys(requested: DataFrame, ledger: DataFrame, asset_key: str,
@@ -192,10 +208,12 @@ def classify_location(df: DataFrame, col: str = "location") -> DataFrame:
 
 def list_partition_files(spark: SparkSession, root: str, asset_key: str,
                          partition_cols: list[str], suffix: str = "parquet") -> DataFrame:
-    """Partition keys that exist in storage, from file paths only.
+    """Partition keys that exist in storage, as strings.
 
-    ``binaryFile`` with only ``path`` selected lists files without reading
-    them; listing is parallelised by Spark above its discovery threshold.
+    Two layouts: our folders (keys from a scan of the partition columns, so
+    nothing is decoded from paths), and files named by their key,
+    ``{asset}/{key}.parquet``, whose pipe-joined, maybe percent-encoded key is
+    taken apart.
     """
     path = asset_path(root, asset_key)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in partition_cols])
@@ -203,21 +221,29 @@ def list_partition_files(spark: SparkSession, root: str, asset_key: str,
         return spark.createDataFrame([], schema)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", f"*.{suffix}").load(path).select("path"))
-    cols = [F.regexp_extract("path", f"/{c}=([^/]+)/", 1).alias(c) for c in partition_cols]
-    return files.select(*cols).distinct()
+    in_folder = F.col("path").contains(f"/{partition_cols[0]}=")
+    stem = F.url_decode(F.regexp_replace(F.regexp_extract("path", rf"/([^/]+)\.{suffix}$", 1), r"\+", "%2B"))
+    parts = F.split(stem, r"\|")
+    named = files.filter(~in_folder).select(*[F.get(parts, i).alias(c) for i, c in enumerate(partition_cols)])
+    if not files.filter(in_folder).limit(1).collect():
+        return named.distinct()
+    stored = T.StructType([T.StructField(c, T.StringType()) for c in partition_cols])
+    data = spark.read.schema(stored).option("basePath", path).parquet(f"{path}/{partition_cols[0]}=*")
+    return data.select(*partition_cols).unionByName(named).distinct()
 
 
 def output_metadata(spark: SparkSession, path: str, asset_key: str, partition_cols: list[str],
-                    now, date_col: str | None = "date") -> DataFrame:
-    """After a write, one ledger row per (partition, file) with its row count."""
-    counts = file_row_counts(spark, path)
-    parts = [F.regexp_extract("file_path", f"/{c}=([^/]+)/", 1).alias(c) for c in partition_cols]
-    out = counts.select("*", *parts)
-    return out.select(
+                    now, schema: T.StructType, keys: DataFrame | None = None) -> DataFrame:
+    """After a write, one ledger row per (partition, file) with its row
+    count, for the partitions in ``keys`` (default: all of the asset)."""
+    data = spark.read.schema(schema).option("basePath", path).parquet(path)
+    data = data.select("*", F.col("_metadata.file_path").alias("_file"))
+    if keys is not None:
+        data = _partitions_only(data, keys, partition_cols)
+    counts = data.groupBy(*partition_cols, F.col("_file").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select(
         F.lit(asset_key).alias("asset_key"),
         encode_columns(*partition_cols).alias("partition_key"),
-        *partition_cols,
+        *[F.col(c).cast("string").alias(c) for c in partition_cols],
         F.lit(STATUS_MATERIALIZED).alias("status"),
-        as_col(now).alias("event_time"),
-        F.col("file_path").alias("path"),
-        "row_count")
+        as_col(now).alias("event_time"), "path", "row_count")

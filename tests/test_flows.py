@@ -1,11 +1,15 @@
+import datetime as dt
 import json
 
+import pytest
+
 from tessera.functions.timefn import ts_lit
 from tessera.plans import flows as G
+from tessera.schemas import MEASUREMENTS
 from tessera.session import scratch_path
-from tessera.sources import rest_source
+from tessera.sources import fetch as S
+from tessera.sources import storage as B
 
-REQ = "request_id string, endpoint string, params_json string"
 PAGE = "request_id string, page int, status int, body string"
 
 
@@ -17,41 +21,96 @@ def _rec(i, v):
     return {"event_id": i, "formula": "no2", "value": v, "timestamp_measured": "2024-01-01T01:00:00.000000Z"}
 
 
-def test_landing_outcomes_and_empty_rerun(spark):
+def _land(spark, root, pages, keys, when, name):
+    spark.createDataFrame(pages, PAGE).write.parquet(f"{root}/{name}")
+    asked = spark.createDataFrame([(k,) for k in keys], "partition_key string")
+    out = G.landing_measurements(spark, asked, f"{root}/lake", f"{root}/ledger", ts_lit(when),
+                                 {"transport": "replay", "replay": f"{root}/{name}"}).collect()
+    rows = B.read_all_partitions(spark, f"{root}/lake", G.LANDING, MEASUREMENTS).collect()
+    landed = {}
+    for r in rows:
+        k = f"{r.date}|{r.station_number}"
+        landed[k] = landed.get(k, 0) + 1
+    return {r.partition_key: r for r in out}, landed
+
+
+def test_only_requests_fetched_in_full_land(spark):
     root = scratch_path(spark, "t-g1")
-    keys = ["2024-01-01|NL00001", "2024-01-01|NL00002", "2024-01-01|NL00003", "2024-01-01|NL00004"]
-    reqs = spark.createDataFrame([(k, "measurements", None) for k in keys], REQ)
-    rest_source.write_bucketed(reqs, f"{root}/requests", 2)
-    replay = spark.createDataFrame([
-        (keys[0], 1, 200, _page(1, 2, [_rec(1, 1.5), _rec(2, 2.5)])),
-        (keys[0], 2, 200, _page(2, 2, [_rec(3, 3.0)])),
+    keys = [f"2024-01-0{1 + i // 5}|NL0000{i}" for i in range(9)]
+    pages = [
+        (keys[0], 1, 206, _page(1, 2, [_rec(1, 1.5), _rec(2, 2.5)])), (keys[0], 2, 200, _page(2, 2, [_rec(3, 3.0)])),
         (keys[1], 1, 200, json.dumps({"data": []})),
         (keys[2], 1, 500, None),
-        (keys[3], 1, 429, None)], PAGE)
-    rest_source.write_bucketed(replay, f"{root}/replay", 2)
-    opts = {"transport": "replay", "replay": f"{root}/replay"}
-    ev = {r.partition_key: r for r in G.landing_measurements(
-        spark, f"{root}/requests", f"{root}/lake", f"{root}/ledger", ts_lit("2024-01-02 00:00:00"), opts).collect()}
-    assert set(ev) == set(keys[:3])                       # retryable 429 records nothing
-    assert (ev[keys[0]].status, ev[keys[0]].row_count) == ("MATERIALIZED", 3)
-    assert (ev[keys[1]].status, ev[keys[1]].row_count, ev[keys[1]].data_version) == ("MATERIALIZED", 0, "0-0-0")
-    assert ev[keys[2]].status == "FAILED"
-    first_version = ev[keys[0]].data_version
-
-    # Rerun: the full day now answers with an empty page.
-    replay2 = spark.createDataFrame([(keys[0], 1, 200, json.dumps({"data": []}))], PAGE)
-    rest_source.write_bucketed(replay2, f"{root}/replay2", 2)
-    rest_source.write_bucketed(reqs.limit(1), f"{root}/requests2", 2)
-    ev2 = G.landing_measurements(spark, f"{root}/requests2", f"{root}/lake", f"{root}/ledger",
-                                 ts_lit("2024-01-03 00:00:00"),
-                                 {"transport": "replay", "replay": f"{root}/replay2"}).collect()
-    assert [(r.row_count, r.data_version) for r in ev2] == [(0, "0-0-0")]
-    assert first_version != "0-0-0"
-    assert G.read_ledger(spark, f"{root}/ledger").count() == 4
+        (keys[3], 1, 429, None),
+        (keys[4], 1, 200, _page(1, 2, [_rec(4, 1.0)])), (keys[4], 2, 429, None),
+        (keys[5], 1, 200, _page(1, 2, [_rec(5, 1.0)])), (keys[5], 2, 500, None),
+        (keys[6], 1, 200, _page(1, 2, [_rec(6, 1.0)])), (keys[6], 2, 200, _page(2, 1, [_rec(7, 1.0)])),
+        (keys[7], 1, 200, _page(1, 1, [_rec(8, 1.0)])[:50]),
+        (keys[8], 1, 200, _page(1, 2, [_rec(9, 1.0)])),  # page 2 was never saved
+        ("someone else", 1, 200, _page(1, 1, [_rec(10, 1.0)]))]
+    ev, landed = _land(spark, root, pages, keys, "2024-01-02 00:00:00", "r1")
+    assert {k: r.status for k, r in ev.items()} == {
+        keys[0]: "MATERIALIZED", keys[1]: "MATERIALIZED", keys[2]: "FAILED", keys[5]: "FAILED", keys[7]: "FAILED"}
+    assert (ev[keys[0]].row_count, ev[keys[1]].row_count, ev[keys[1]].data_version) == (3, 0, "0-0-0")
+    assert landed == {keys[0]: 3}
+    assert ev[keys[0]].data_version != "0-0-0"
+
+    # The same run again adds no event; a rerun with an empty page empties the partition, and with it the day.
+    again, landed = _land(spark, root, pages, keys, "2024-01-02 00:00:00", "r2")
+    assert landed == {keys[0]: 3} and G.read_ledger(spark, f"{root}/ledger").count() == 5
+    ev, landed = _land(spark, root, [(keys[0], 1, 200, json.dumps({"data": []}))], keys[:1], "2024-01-03 00:00:00", "r3")
+    assert [(r.row_count, r.data_version) for r in ev.values()] == [(0, "0-0-0")] and landed == {}
+    ev, landed = _land(spark, root, [(k, 1, 200, _page(1, 1, [_rec(1, 1.0)])) for k in keys], keys, "2024-01-04 00:00:00", "r4")
+    assert landed == {k: 1 for k in keys}
+    ev, landed = _land(spark, root, [(keys[1], 1, 200, json.dumps({"data": []}))], keys[1:2], "2024-01-05 00:00:00", "r5")
+    assert landed == {k: 1 for k in keys if k != keys[1]}  # the day's other stations are carried over
+
+
+def test_a_request_without_saved_page_raises(spark):
+    root = scratch_path(spark, "t-none")
+    with pytest.raises(Exception, match="no saved page"):
+        _land(spark, root, [("2024-01-01|a", 1, 200, json.dumps({"data": []}))], ["2024-01-01|b"], "2024-01-02 00:00:00", "r")
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 16])
+def test_stations_do_not_depend_on_parallelism(spark, tasks):
+    root = scratch_path(spark, f"t-g3-{tasks}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        names = [f"NL{i:03d}" for i in range(40)]
+        S.write_station_list(spark.createDataFrame([(f"L {n}", n) for n in names], "location string, number string"), f"{root}/list")
+        saved = [(f"stations/{n}", 1, 200, json.dumps({"data": {"number": n, "location": f"L {n}"}})) for n in names]
+        spark.createDataFrame(saved, PAGE).repartition(tasks).write.parquet(f"{root}/replay")
+        opts = {"transport": "replay", "replay": f"{root}/replay"}
+        assert {r.number for r in G.landing_stations(spark, f"{root}/list", f"{root}/lake", opts).collect()} == set(names)
+        spark.createDataFrame([*saved[1:], (saved[0][0], 1, 429, None)], PAGE).write.parquet(f"{root}/broken")
+        with pytest.raises(RuntimeError, match="NL000"):
+            G.landing_stations(spark, f"{root}/list", f"{root}/lake2", {"transport": "replay", "replay": f"{root}/broken"})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_failed_rerun_and_emptied_day_in_bronze(spark):
+    root = scratch_path(spark, "t-g2")
+    day = dt.date(2024, 1, 1)
+    rows = spark.createDataFrame([("no2", 1.0, dt.datetime(2024, 1, 1, 1), "a", day)],
+                                 "formula string, value double, timestamp_measured timestamp, station_number string, date date")
+    B.write_partitioned(rows, f"{root}/lake", G.LANDING, G.PCOLS, MEASUREMENTS)
+    schema = "asset_key string, partition_key string, status string, event_time timestamp, event_id long"
+    ok = [(G.LANDING, "2024-01-01|a", "MATERIALIZED", dt.datetime(2024, 1, 2), 1)]
+    daily = spark.createDataFrame([(day,)], "date date")
+    upstream = spark.createDataFrame([(day, "2024-01-01|a")], "date date, partition_key string")
+
+    def bronze(events):
+        r = G.bronze_daily_measurements(spark, f"{root}/lake", spark.createDataFrame(events, schema), daily, upstream, f"{root}/b").first()
+        return r.n_rows, r.n_stations, r.n_missing
+
+    assert bronze(ok) == (1, 1, 0)
+    assert bronze([*ok, (G.LANDING, "2024-01-01|a", "FAILED", dt.datetime(2024, 1, 3), 2)]) == (0, 0, 1)
 
 
 def test_backfill_missing_rejects_and_submits(spark):
-    import datetime as dt
     req = spark.createDataFrame(
         [("ok", "j", "r", "missing", "a", dt.date(2024, 1, 1), dt.date(2024, 1, 2), ["s1"], "parquet"),
          ("ghost", "j", "r", "missing", "nowhere", dt.date(2024, 1, 1), dt.date(2024, 1, 1), ["s1"], "parquet"),

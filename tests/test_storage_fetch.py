@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,9 +77,10 @@ def test_page_chains(spark):
 
 
 def test_error_classes(spark):
-    resp = _pages(spark, [("a", 1, 500, None), ("b", 1, 429, None), ("c", 1, 200, "{}")])
+    resp = _pages(spark, [("a", 1, 500, None), ("b", 1, 429, None), ("c", 1, 200, "{}"), ("d", 1, 204, '{"data":[]}'),
+                         ("e", 1, 200, '{"data":[1'), ("f", 1, 200, None)])
     out = {r.request_id: r.outcome for r in S.classify_responses(resp).collect()}
-    assert out == {"a": "dead_letter", "b": "retry", "c": "ok"}
+    assert out == {"a": "dead_letter", "b": "retry", "c": "malformed", "d": "ok", "e": "malformed", "f": "malformed"}
 
 
 def test_empty_day_page(spark):
@@ -87,16 +89,25 @@ def test_empty_day_page(spark):
 
 
 def test_fetch_chain_follows_next_page():
-    class Fake:
-        def get(self, rid, endpoint, params, page):
-            nxt = min(page + 1, 3)
-            return 200, json.dumps({"pagination": {"current_page": page, "next_page": nxt}, "data": []})
-    assert [p for p, _, _ in rest_source.fetch_chain(Fake(), "r", "m", {})] == [1, 2, 3]
+    def body(page, then):
+        return 200, json.dumps({"pagination": {"current_page": page, "next_page": then}, "data": []})
 
-    class Err:
-        def get(self, rid, endpoint, params, page):
-            return 500, None
-    assert [s for _, s, _ in rest_source.fetch_chain(Err(), "r", "m", {})] == [500]
+    assert [p for p, _, _ in rest_source.fetch_chain(lambda p: body(p, min(p + 1, 120_000)))] == list(range(1, 120_001))
+    assert [s for _, s, _ in rest_source.fetch_chain(lambda p: (500, None))] == [500]
+    assert [x[:2] for x in rest_source.fetch_chain(lambda p: body(p, 1 if p == 2 else p + 1))] == [(1, 200), (2, 200), (1, 508)]
+    assert [x[:2] for x in rest_source.fetch_chain(lambda p: (206, body(p, 2)[1]))] == [(1, 206), (2, 206)]
+
+
+def test_unknown_keys_come_along(spark):
+    page = json.dumps({"data": [{"formula": "no2", "value": 1.5, "unit": "ug", "flag": 3}]})
+    r = S.flatten_pages(_pages(spark, [("a", 1, 200, page)]), extra=True).first()
+    assert (r.formula, r.value, r.extra) == ("no2", 1.5, {"unit": "ug", "flag": "3"})
+
+
+def test_requests_carry_the_days_bounds(spark):
+    k = spark.createDataFrame([("2024-01-31|NL01497",)], "partition_key string")
+    r = S.request_rows(S.request_params(k)).first()
+    assert json.loads(r.params_json) == {"start": "2024-01-31T00:00:00", "end": "2024-01-31T23:59:59", "station_number": "NL01497"}
 
 
 def test_request_params_bounds(spark):
@@ -115,24 +126,45 @@ def test_station_list_missing_and_duplicates(spark):
 
 def test_write_ledger_metadata(spark):
     root = scratch_path(spark, "t-b11")
-    rows = spark.createDataFrame([("no2", 1, T(2024, 1, 1), "s1", D(2024, 1, 1))] * 3, ROW)
+    rows = spark.createDataFrame([("no2", 1, T(2024, 1, 1), "s1", D(2024, 1, 1))] * 3
+                                 + [("no2", 1, T(2024, 1, 1), "s2", D(2024, 1, 1))], ROW)
     path = B.write_partitioned(rows, root, "m", PC, MEASUREMENTS)
-    meta = B.output_metadata(spark, path, "m", PC, F.current_timestamp()).collect()
+    keys = rows.filter("station_number = 's1'").select(*PC)
+    meta = B.output_metadata(spark, path, "m", PC, F.current_timestamp(), MEASUREMENTS, keys).collect()
     assert len(meta) == 1 and meta[0].row_count == 3 and meta[0].partition_key == "2024-01-01|s1"
+    assert B.output_metadata(spark, path, "m", PC, F.current_timestamp(), MEASUREMENTS).count() == 2
 
 
-def test_requests_limited_to_rate_waves(spark):
-    from tessera.plans.flows import wave_limited_requests
-    reqs = spark.range(250).selectExpr("cast(id as string) AS request_id", "'m' AS endpoint",
-                                       "cast(null as string) AS params_json")
-    assert wave_limited_requests(reqs, 1).count() == 100
-    assert wave_limited_requests(reqs, 2).count() == 200
-    assert wave_limited_requests(reqs, 3).count() == 250
+def test_keys_with_special_characters_and_key_named_files(spark):
+    root = scratch_path(spark, "t-b10")
+    rows = spark.createDataFrame([("no2", 1, T(2024, 1, 1), "a:b/c%3A", D(2024, 1, 1))], ROW)
+    B.write_partitioned(rows, root, "m", PC, MEASUREMENTS)
+    key = {("2024-01-01", "a:b/c%3A")}
+    assert {tuple(r) for r in B.list_partition_files(spark, root, "m", PC).collect()} == key
+    assert B.read_partitions_strict(spark, root, "m", rows.select(*PC), MEASUREMENTS, PC).count() == 1
+    st = spark.createDataFrame([("x:y", "L")], "number string, location string")
+    B.write_partitioned(st, root, "st", ["number"])
+    assert [r.number for r in B.list_partition_files(spark, root, "st", ["number"]).collect()] == ["x:y"]
+    named = os.path.join(scratch_path(spark, "t-named"), "k")
+    os.makedirs(named)
+    for name in ("2024-01-01|NL1.parquet", "2024-01-02|NL2.parquet"):
+        with open(os.path.join(named, name), "w") as f:
+            f.write("x")
+    got = {tuple(r) for r in B.list_partition_files(spark, os.path.dirname(named), "k", PC).collect()}
+    assert got == {("2024-01-01", "NL1"), ("2024-01-02", "NL2")}
+
+
+def test_reads_prune_to_the_keys_folders(spark):
+    root = scratch_path(spark, "t-prune")
+    rows = spark.createDataFrame([("no2", 1, T(2024, 1, d), f"s{d}", D(2024, 1, d)) for d in range(1, 9)], ROW)
+    B.write_partitioned(rows, root, "m", PC, MEASUREMENTS)
+    one = rows.filter("station_number = 's3'").select(*PC)
+    plan = B.read_partitions_strict(spark, root, "m", one, MEASUREMENTS, PC)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-03" in plan
 
 
-def test_partitioned_write_restores_session_conf(spark):
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key)
-    rows = spark.createDataFrame([("no2", 1, T(2024, 1, 1), "s1", D(2024, 1, 1))], ROW)
-    B.write_partitioned(rows, scratch_path(spark, "t-conf"), "m", PC, MEASUREMENTS)
-    assert spark.conf.get(key) == before
+def test_every_request_has_a_wave(spark):
+    from tessera.plans.flows import request_waves
+    keys = spark.range(250).selectExpr("concat('2024-01-0', 1 + id % 3, '|s', id) AS partition_key")
+    waves = [r.wave for r in request_waves(S.request_params(keys)).collect()]
+    assert sorted(waves) == [0] * 100 + [1] * 100 + [2] * 50
