@@ -22,11 +22,13 @@ SELECT 'custom.googleapis.com/dagster/asset_success' AS series_type, run_id, ass
        CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END AS value
 FROM v_runs WHERE status IN ('SUCCESS', 'FAILURE')""", "v_runs"))
 def q_stream_run_metrics(spark, d):
-    """Every run record is delivered twice (the sensor sees runs again on
-    later polls); the stream reports each terminal run once."""
+    """Two thirds of the runs come first; after a restart all come, so some are
+    late by any measure and some are seen again.  Each terminal run is reported
+    once."""
     root = scratch_path(spark, "m6")
     runs = V.runs(spark, d)
-    runs.write.mode("append").parquet(f"{root}/source")
+    runs.filter("pmod(xxhash64(run_id), 3) > 0").write.mode("append").parquet(f"{root}/source")
+    run_metrics.start_run_metrics(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", ENV).awaitTermination()
     runs.write.mode("append").parquet(f"{root}/source")
     q = run_metrics.start_run_metrics(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", ENV)
     q.awaitTermination()

@@ -81,9 +81,9 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                CASE WHEN partitioned THEN station END AS tag_station,
                backfill, schedule, auto_mat,
                CASE WHEN partitioned THEN asset || ':' || CAST(day AS VARCHAR) || '|' || station END AS run_key,
-               end_us, end_us AS update_us
+               end_us, end_us + o_orderkey % 600 * 1000000 AS update_us, o_orderkey
         FROM (
-          SELECT CAST(o_orderkey AS VARCHAR) AS run_id,
+          SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderkey,
                  asset || '_job' AS job_name,
                  CASE o_orderstatus WHEN 'F' THEN 'FAILURE' WHEN 'O' THEN 'SUCCESS'
                                     WHEN 'P' THEN 'STARTED' END AS status,
@@ -91,8 +91,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                  asset,
                  CASE WHEN o_custkey % 2 = 0 THEN 'ingestion-a' ELSE 'ingestion-b' END AS location,
                  o_orderkey % 20 <> 0 AS partitioned,
-                 CAST(DATE '2024-01-01' + CAST((date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30 + 30) % 30 AS INTEGER) AS DATE) AS day,
-                 printf('NL%05d', o_custkey % 150) AS station,
+                 CAST(DATE '2024-01-01' + CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) // 90 AS INTEGER) AS DATE) AS day,
+                 printf('NL%05d', o_custkey // 10) AS station,
                  CASE WHEN o_orderpriority LIKE '1%' THEN 'backfill-' || CAST(o_custkey % 10 AS VARCHAR) END AS backfill,
                  CASE WHEN o_orderpriority LIKE '2%' OR (o_orderpriority LIKE '1%' AND o_orderkey % 7 = 0)
                       THEN 'schedule-' || CAST(o_custkey % 4 AS VARCHAR) END AS schedule,
@@ -114,8 +114,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                CASE WHEN c_custkey % 19 <> 4 THEN CAST(DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS DATE) END AS start_date,
                CAST(CASE WHEN c_custkey % 9 = 8 THEN DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) - 1
                     ELSE DATE '2024-01-01' + CAST(c_custkey % 30 + c_custkey % 4 AS INTEGER) END AS DATE) AS end_date,
-               [printf('NL%05d', (c_custkey * 5) % 1000), printf('NL%05d', (c_custkey * 5 + 1) % 1000),
-                printf('NL%05d', (c_custkey * 5 + 2) % 1000)] AS stations,
+               [printf('NL%05d', c_custkey // 10), printf('NL%05d', c_custkey // 10 + 1),
+                printf('NL%05d', c_custkey // 10 + 2)] AS stations,
                CASE WHEN c_custkey % 13 = 12 THEN 'csv' ELSE 'parquet' END AS file_type,
                c_custkey % 2 = 1 AS skip_checks,
                CASE WHEN c_custkey % 29 = 7 THEN 'minio://bucket/x' WHEN c_custkey % 2 = 0 THEN 'gs://bucket/x'

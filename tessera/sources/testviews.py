@@ -23,10 +23,8 @@ MEASUREMENT_ASSET = "air_quality_data"
 DAILY_ASSET = "daily_air_quality_data"
 STATION_ASSET = "station_names"
 STATION_BRONZE_ASSET = "air_quality_station_names"
-STATIONS_PER_RUN_CYCLE = 150
-RUN_DAY0 = "2024-01-01"
-RUN_DAYS = 30
-BACKFILL_STATIONS = 1000
+# Ten customers share a station, so run and backfill keys grow with the tables.
+CUSTOMERS_PER_STATION = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -139,9 +137,10 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, cust, prio = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")
     asset = (F.when(cust % 3 == 0, F.lit(MEASUREMENT_ASSET))
              .when(cust % 3 == 1, F.lit(DAILY_ASSET)).otherwise(F.lit(STATION_ASSET)))
-    day = F.date_add(F.lit(RUN_DAY0).cast("date"),
-                     F.pmod(F.datediff(F.col("o_orderdate"), F.lit("1995-01-01")), F.lit(RUN_DAYS)).cast("int"))
-    station = station_of(cust % STATIONS_PER_RUN_CYCLE)
+    # A day per 90 days of orders, from the first day of the measurements on.
+    day = F.date_add(F.lit("2024-01-01").cast("date"),
+                     F.floor(F.datediff(F.col("o_orderdate"), F.lit("1992-01-01")) / 90).cast("int"))
+    station = station_of(F.floor(cust / CUSTOMERS_PER_STATION))
     partitioned = key % 20 != 0
     pkey = F.when(partitioned, F.concat_ws("|", day.cast("string"), station))
     end_us = (F.unix_micros(F.col("o_orderdate").cast("timestamp"))
@@ -164,7 +163,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 50 == 0, F.array().cast("array<string>")).otherwise(F.array(asset)).alias("asset_selection"),
         F.when(cust % 2 == 0, F.lit("ingestion-a")).otherwise(F.lit("ingestion-b")).alias("location"),
         tags.alias("tags"),
-        F.timestamp_micros(end_us).alias("update_time"),
+        F.timestamp_micros(end_us + key % 600 * F.lit(1_000_000)).alias("update_time"),
         F.timestamp_micros(end_us).alias("end_time"),
     )
 
@@ -186,7 +185,7 @@ def backfills(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(MEASUREMENT_ASSET)).alias("asset_key"),
         F.when(k % 19 != 4, start).alias("start_date"),
         end.alias("end_date"),
-        F.array(*[station_of((k * 5 + i) % BACKFILL_STATIONS) for i in range(3)]).alias("stations"),
+        F.array(*[station_of(F.floor(k / CUSTOMERS_PER_STATION) + i) for i in range(3)]).alias("stations"),
         F.when(k % 13 == 12, F.lit("csv")).otherwise(F.lit("parquet")).alias("file_type"),
         (k % 2 == 1).alias("skip_checks"),
         F.when(k % 29 == 7, F.lit("minio://bucket/x")).when(k % 2 == 0, F.lit("gs://bucket/x"))

@@ -1,11 +1,12 @@
 """M6: the polling metrics sensor as a Structured Streaming query.
 
 New run records (files landing in a folder, or any streaming source) ->
-terminal runs -> deduplicated on ``run_id`` within a watermark horizon ->
-labels and success points -> ``foreachBatch`` sink.  The checkpoint is the
-cursor: a restart continues where the last committed batch ended and a run
-delivered twice is reported once.  Each batch overwrites its own folder, so a
-replayed batch (after a failure between write and commit) is idempotent.
+terminal runs -> labels and success points -> ``foreachBatch`` sink.  The
+checkpoint is the cursor: a restart continues where the last committed batch
+ended.  A run delivered twice is reported once, however late: each batch leaves
+out the run ids of the batches written before it, so there is no horizon beyond
+which a run is lost or doubled.  Each batch overwrites its own folder and looks
+at earlier ones only, so a batch replayed after a failure is idempotent.
 """
 
 from __future__ import annotations
@@ -16,24 +17,25 @@ from pyspark.sql import types as T
 
 from tessera.operators.monitor import run_labels, success_points
 from tessera.schemas import RUNS, TERMINAL_RUN_STATUSES
+from tessera.sources.storage import _path_exists
 
 
-def run_points_stream(runs: DataFrame, environment: str, dedupe_horizon: str = "7 days") -> DataFrame:
-    """Streaming transformation: terminal runs, each ``run_id`` once, as points."""
-    terminal = runs.filter(F.col("status").isin(*TERMINAL_RUN_STATUSES))
-    once = terminal.withWatermark("update_time", dedupe_horizon).dropDuplicatesWithinWatermark(["run_id"])
-    return success_points(run_labels(once, environment))
+def run_points(runs: DataFrame, environment: str) -> DataFrame:
+    """Terminal runs as points (streaming or batch)."""
+    return success_points(run_labels(runs.filter(F.col("status").isin(*TERMINAL_RUN_STATUSES)), environment))
 
 
 def start_run_metrics(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
-                      environment: str, schema: T.StructType = RUNS, dedupe_horizon: str = "7 days",
-                      available_now: bool = True):
+                      environment: str, schema: T.StructType = RUNS, available_now: bool = True):
     """Start the stream over Parquet run files in ``source_path``."""
-    runs = spark.readStream.schema(schema).parquet(source_path)
-    points = run_points_stream(runs, environment, dedupe_horizon)
+    points = run_points(spark.readStream.schema(schema).parquet(source_path), environment)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+        new = batch.dropDuplicates(["run_id"])
+        if _path_exists(spark, sink_path):
+            written = read_points(spark, sink_path).filter(F.col("batch_id") < batch_id).select("run_id")
+            new = new.join(written, "run_id", "left_anti")
+        new.select(batch.columns).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     writer = points.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -17,3 +17,16 @@ def test_run_stream_reports_each_run_once_across_restarts(spark):
     runs.write.mode("append").parquet(f"{root}/src")           # third delivery after a restart
     run_metrics.start_run_metrics(*args).awaitTermination()
     assert run_metrics.read_points(spark, f"{root}/sink").count() == first
+
+
+def test_runs_that_come_very_late_are_reported(spark):
+    root = scratch_path(spark, "t-m6-late")
+    runs = V.runs(spark, SF).filter("status IN ('SUCCESS', 'FAILURE')")
+    cut = runs.selectExpr("percentile_approx(update_time, 0.5)").first()[0]
+    args = (spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", "dev")
+    runs.filter(runs.update_time > cut).write.mode("append").parquet(f"{root}/src")
+    run_metrics.start_run_metrics(*args).awaitTermination()
+    runs.write.mode("append").parquet(f"{root}/src")            # all, the older half years late
+    run_metrics.start_run_metrics(*args).awaitTermination()
+    got = [r.run_id for r in run_metrics.read_points(spark, f"{root}/sink").collect()]
+    assert len(got) == len(set(got)) == runs.count()
