@@ -81,7 +81,7 @@ def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, l
     S.request_outcomes(pages).write.parquet(outcome_path)
     outcome = spark.read.parquet(outcome_path)
     done = outcome.filter(F.col("outcome") == "ok").select("request_id")
-    rows = S.enrich(S.flatten_pages(pages.join(done, "request_id", "left_semi"), MEASUREMENT_RECORD), params)
+    rows = S.enrich(S.flatten_pages(pages.join(done, "request_id", "left_semi"), MEASUREMENT_RECORD, extra=True), params)
     landed_keys = params.join(done, "request_id", "left_semi").select(F.col("date").cast("date").alias("date"), "station_number")
     path = B.write_partitioned(rows, lake_root, LANDING, PCOLS, MEASUREMENTS, keys=landed_keys)
 

@@ -62,6 +62,7 @@ MEASUREMENTS = T.StructType([
     T.StructField("station_number", T.StringType()),
     T.StructField("start", T.StringType()),
     T.StructField("end", T.StringType()),
+    T.StructField("extra", T.MapType(T.StringType(), T.StringType())),  # keys of the JSON that are not declared
     T.StructField("date", T.DateType()),
 ])
 

@@ -18,7 +18,7 @@ def _page(cur, nxt, recs):
 
 
 def _rec(i, v):
-    return {"event_id": i, "formula": "no2", "value": v, "timestamp_measured": "2024-01-01T01:00:00.000000Z"}
+    return {"unit": f"u{i}", "event_id": i, "formula": "no2", "value": v, "timestamp_measured": "2024-01-01T01:00:00.000000Z"}
 
 
 def _land(spark, root, pages, keys, when, name):
@@ -29,6 +29,7 @@ def _land(spark, root, pages, keys, when, name):
     rows = B.read_all_partitions(spark, f"{root}/lake", G.LANDING, MEASUREMENTS).collect()
     landed = {}
     for r in rows:
+        assert set(r.extra) == {"unit"}
         k = f"{r.date}|{r.station_number}"
         landed[k] = landed.get(k, 0) + 1
     return {r.partition_key: r for r in out}, landed
