@@ -10,7 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import prose
+from samples import prose
 
 from tessera.llm import crossparse_lang, dimension_scan, hmm_scores, random_secrets
 
