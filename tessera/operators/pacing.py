@@ -46,7 +46,7 @@ def rate_window_audit(calls: DataFrame, limit: int = RATE_CALLS, minutes: int =
             .drop("_us", "_slice", "_g", "_real_upto", "_ghost_upto", "_ghost_all"))
 
 
-def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, block_minutes: int = 60,
+def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, block_minutes: int = RATE_MINUTES,
                        out: str = "rank") -> DataFrame:
     """``row_number() OVER (PARTITION BY key ORDER BY ts, tie)`` without
     sorting a whole key in one task: rows are cut into (key, time block)
@@ -71,7 +71,7 @@ def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, b
 
 def rate_wave_plan(requests: DataFrame, limit: int = RATE_CALLS, minutes: int = RATE_MINUTES,
                    bucket: str = "bucket", ts: str = "ts", tie: str = "call_id",
-                   block_minutes: int = 60, tries: int = LIMITER_TRIES,
+                   block_minutes: int = RATE_MINUTES, tries: int = LIMITER_TRIES,
                    delay_s: int = LIMITER_DELAY_S) -> DataFrame:
     """spread requests over waves of ``limit`` calls every ``minutes``.
 
