@@ -8,7 +8,7 @@ forward recursion.
 
 Word counts cover all training documents and are a distributed table.  The states emit the ``STATE_WORDS`` most
 frequent words and one class of all others; a word within the class has a probability by its count, so every text
-has a proper probability.  Counts of the ``KNOWN_WORDS`` most frequent words travel to the tasks (a bounded table),
+has a proper probability.  Counts of the ``KNOWN_WORDS`` most frequent words (at most) travel to the tasks (a bounded table),
 those of rarer words by a join.
 """
 
@@ -160,6 +160,23 @@ def word_counts(training: DataFrame) -> DataFrame:
     return base.arrow_map(training, run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, at_most: int) -> list:
+    """Rows (word, n) of the most frequent words, most frequent first, ``at_most`` in all; words of one frequency
+    class (equal counts, or counts within a 16th of a power of two from 4096 on) are all in or all out.  The class
+    sizes decide, a table of a few thousand rows at most, so no task sends more words than are wanted."""
+    size = F.col("n").cast("double")
+    ranked = counts.withColumn("class", F.when(size < 4096, size).otherwise(4096 + F.floor(F.log2(size / 4096) * 16)).cast("int"))
+    least, total = None, 0
+    for row in sorted(ranked.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        total += row["count"]
+        if total > at_most:
+            break
+        least = row["class"]
+    if least is None:
+        return []
+    return sorted(ranked.filter(F.col("class") >= least).select("word", "n").collect(), key=lambda r: (-r["n"], r["word"]))
+
+
 def _encode(known, n_state_words: int):
     """Arrow function: (doc_id, held_out, text) -> symbols, sums over words of known count, and the other words."""
     def run(batches):
@@ -245,7 +262,7 @@ def scores(spark: SparkSession, docs: DataFrame, states: int = STATES, state_wor
     rows = base.texts(docs).select("doc_id", held_out(mod=5).alias("held_out"), "text")
     counts = base.written(spark, word_counts(rows.filter(~F.col("held_out")).select("text")), "words")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(known_words).collect()  # bounded by known_words
+    top = most_frequent(counts, known_words)
     n_top = np.array([r["n"] for r in top], np.float64)
     known = spark.sparkContext.broadcast(([r["word"] for r in top], n_top.tolist()))
     state_words = min(state_words, len(top), 65_535)
