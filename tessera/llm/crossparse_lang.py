@@ -223,9 +223,10 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(rows, training).drop("text")
 
 
-#: A text of MIN_SYMBOLS or more that costs more bits a symbol in every learned language is in none of them: evenly
-#: random letters cost about 5, text of a learned language about 3.  Shorter texts prove nothing and stay.
-MAX_BITS = 4.5
+#: A text of MIN_SYMBOLS or more that costs more bits a symbol in every learned language is in none of them: random
+#: letters and unknown scripts cost 8 and more, text of a learned language about 3, of two languages by turns up to 5.
+#: Shorter texts prove nothing and stay.
+MAX_BITS = 7.0
 MIN_SYMBOLS = 300
 
 
