@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -53,6 +55,29 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What an operator keeps in a Python worker from task to task (a vocabulary, a cache).  A worker holds one
+    operator's at a time: whoever comes next with another key has the room, so a worker that serves one stage after
+    the other does not add them up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _give_back()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; long-lived workers would hold on to it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc
+        libc.malloc_trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]],
               schema: str | StructType) -> DataFrame:
     """mapInArrow whose ``fn`` yields dicts of columns in the order of ``schema``."""
@@ -63,6 +88,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[d
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in
                  zip((cols[f.name] for f in arrow), arrow, strict=True)], schema=arrow)
+        _give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -152,12 +152,9 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-_CODECS: dict[tuple[str, str], tuple[ChunkEncoder, RankQueueBPE]] = {}
-
-
 def _codec(path: str, pattern: str) -> tuple[ChunkEncoder, RankQueueBPE]:
     """One per worker process, so that its cache serves all its tasks."""
-    if (path, pattern) not in _CODECS:
+    def make():
         bpe = RankQueueBPE(load_ranks(path), pattern)
         pieces: dict[str, list[int]] = {}
 
@@ -169,8 +166,9 @@ def _codec(path: str, pattern: str) -> tuple[ChunkEncoder, RankQueueBPE]:
             pieces.update(zip(new, bpe.merge([m.encode() for m in new])))
             return [",".join([str(i) for m in ms for i in pieces[m]]) for ms in cut]
 
-        _CODECS[path, pattern] = ChunkEncoder(many), bpe
-    return _CODECS[path, pattern]
+        return ChunkEncoder(many), bpe
+
+    return base.kept(("op6", path, pattern), make)
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -184,20 +184,13 @@ def training_texts(docs: DataFrame) -> dict[str, str]:
     return out
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
 def predict(docs: DataFrame, training: dict[str, str]) -> DataFrame:
     """docs with lang_pred, score, bits (per symbol) and symbols of ``text`` added; see ``identify``."""
     packed = docs.sparkSession.sparkContext.broadcast(training)
     at = docs.schema.names.index("text")
 
     def run(batches):
-        key = hash(tuple(sorted(packed.value.items())))
-        if key not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[key] = CrossParser(packed.value)
-        parser = _PARSERS[key]
+        parser = base.kept(("op2", tuple(sorted(packed.value.items()))), lambda: CrossParser(packed.value))
         for batch in batches:
             for part in base.slices(batch, 3_000_000):
                 lang, score, bits, symbols = parser.predict([t or "" for t in part.column(at).to_pylist()])

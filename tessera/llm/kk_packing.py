@@ -12,6 +12,7 @@ sequences whose lengths are powers of two, which need no padding.
 from __future__ import annotations
 
 import heapq
+import os
 import struct
 import zlib
 
@@ -101,13 +102,8 @@ def _take(loose: list[tuple], n: int) -> list[tuple]:
     return got
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def _encoder(path: str) -> ChunkEncoder:
-    if path not in _ENCODERS:
-        import os
-
+    def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
@@ -115,8 +111,9 @@ def _encoder(path: str) -> ChunkEncoder:
         def many(chunks):
             return [struct.pack(f"<{len(e)}I", *e.ids) for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
-        _ENCODERS[path] = ChunkEncoder(many)
-    return _ENCODERS[path]
+        return ChunkEncoder(many)
+
+    return base.kept(("op4", path), make)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = WINDOW, end_id: int = END_ID,

@@ -13,7 +13,7 @@ What keeps it bounded:
   have no other (as k-mer counters avoid frequent k-mers), so a line or passage that a third of all documents share
   does not gather their different surroundings in one bucket.  The order of minimisers changes where windows meet,
   never what is found.
-* Buckets go by number to their own partition; a task holds one bucket.
+* Buckets go by number to their partition; a task holds one bucket at a time.
 """
 
 from __future__ import annotations
@@ -36,18 +36,20 @@ MER_WORDS = 6
 SAMPLE_DOCS = 4000
 SAMPLE_SHARE = 0.01
 SLICE_BYTES = 3_000_000
+#: A task's buckets are solved one after the other; more of them take less memory and compress less.
+BUCKETS_PER_TASK = 4
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(1 << 63)
-_POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64 and of its inverse."""
-    if not _POWERS or len(_POWERS[0]) < n:
+    """Powers of an odd number modulo 2**64 and of its inverse, ``n`` at least."""
+    held = base.kept("op7", list)
+    if not held or len(held[0]) < n:
         inverse = np.uint64(pow(int(_ODD), -1, 1 << 64))
-        _POWERS[:] = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, x, np.uint64))]) for x in (_ODD, inverse)]
-    return _POWERS[0], _POWERS[1]
+        held[:] = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, x, np.uint64))]) for x in (_ODD, inverse)]
+    return held[0], held[1]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -293,9 +295,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, window: int = WINDOW_WO
                                F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     frequent = _frequent(spark, rows, window, mer, sample_docs)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = base.arrow_map(rows, _blocks(n, window, mer, frequent),
+    blocks = base.arrow_map(rows, _blocks(BUCKETS_PER_TASK * n, window, mer, frequent),
                             "bucket int, block binary, id bigint, key bigint, a int, b int")
-    met = blocks.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket")
+    met = blocks.repartitionById(n, F.pmod("bucket", F.lit(n))).sortWithinPartitions("bucket")
     hits = base.arrow_map(met, _repeated(window), "id bigint, key bigint, a int, b int")
     return (hits.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key"))
             .agg(F.flatten(F.collect_set(F.array("a", "b"))).alias("spans")))

@@ -86,13 +86,8 @@ def load_pieces(path: str) -> tuple[list[tuple[str, float]], bool]:
             sum(model.is_byte(i) for i in ids) == 256)
 
 
-_COUNTERS: dict[str, tuple[UnigramCounter, dict[str, int]]] = {}
-
-
 def _counter(path: str) -> tuple[UnigramCounter, dict[str, int]]:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = UnigramCounter(*load_pieces(path)), {}
-    return _COUNTERS[path]
+    return base.kept(("op5", path), lambda: (UnigramCounter(*load_pieces(path)), {}))
 
 
 def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
