@@ -32,6 +32,8 @@ LEAST_LISTS, MAX_LISTS = 32, 4096
 #: without clusters need for a recall above 0.9; clustered ones need less.
 PROBE_SHARE = 0.75
 LEAST_PROBES = 16
+#: And it goes on until the lists hold this many times the neighbours asked for.
+LEAST_CANDIDATES = 10
 #: Rotated dimensions per block, and the test's width: a candidate is abandoned when its scaled partial distance
 #: exceeds the k-th best by a factor of (1 + EPSILON / sqrt(d)) ** 2.
 BLOCK = 16
@@ -91,13 +93,18 @@ def scan_list(index: Index, ids, vectors, query_ids, query_vectors, k: int):
         limit = np.full(len(q), np.inf)
         # the k-th best of an evenly drawn part of the list is a bound for the whole list
         probe = np.unique(np.linspace(0, len(rows) - 1, 16 * (k + 1)).astype(int))
+        own = qid[:, None] == ids
+        safe = np.zeros(own.shape, bool)  # the nearest k of that part are never abandoned: no list gives fewer
         if len(probe) > k:
             near = ((rows[probe] ** 2).sum(axis=1) - 2 * q @ rows[probe].T) + (q ** 2).sum(axis=1, keepdims=True)
-            near[qid[:, None] == ids[probe]] = np.inf
-            limit = np.partition(near, k - 1, axis=1)[:, k - 1]
+            near[own[:, probe]] = np.inf
+            best = np.argpartition(near, k - 1, axis=1)[:, :k]
+            limit = np.take_along_axis(near, best, 1).max(axis=1)
+            safe[np.arange(len(q))[:, None], probe[best]] = True
+            safe &= ~own
         limit = np.maximum(limit, 0) + 1e-9
         part, d = np.zeros((len(q), len(rows))), 0
-        alive = qid[:, None] != ids
+        alive = ~own
         who = what = None
         while d < dims:
             step = slice(d, min(d + BLOCK, dims))
@@ -106,13 +113,13 @@ def scan_list(index: Index, ids, vectors, query_ids, query_vectors, k: int):
             if who is None:  # many candidates are left: whole column blocks at once
                 part += (rows[:, step] ** 2).sum(axis=1) - 2 * q[:, step] @ rows[:, step].T
                 part += (q[:, step] ** 2).sum(axis=1, keepdims=True)
-                alive &= part <= bound[:, None]
+                alive &= (part <= bound[:, None]) | safe
                 if d == dims or alive.mean() < SPARSE:
                     who, what = np.nonzero(alive)
                     part = part[who, what]
             else:
                 part = part + ((q[who, step] - rows[what, step]) ** 2).sum(axis=1)
-                keep = part <= bound[who]
+                keep = (part <= bound[who]) | safe[who, what]
                 who, what, part = who[keep], what[keep], part[keep]
         score = (original[who] * vectors[what]).sum(axis=1)
         order = np.lexsort((ids[what], -score, who))
@@ -175,15 +182,18 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, query_e
     listed = base.arrow_map(good, deal, f"list int, vec_id bigint, embedding {kind}")
     index_rows = base.written(spark, listed, "vector-lists")
     counts = {r["list"]: r["count"] for r in index_rows.groupBy("list").count().collect()}  # a row a list
+    sizes = np.array([counts.get(i, 0) for i in range(len(index.value.centres))])
     splits = spark.sparkContext.broadcast({i: -(-c // LIST_VECTORS) for i, c in counts.items()})
 
     def ask(batches):
         built, parts = index.value, splits.value
         for batch in batches:
             ids, rows = batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"))
-            near = built.nearest(built.queries(rows), built.centres, min(probes, len(built.centres)))
-            who = np.repeat(np.arange(len(ids)), near.shape[1])
-            lists = near.ravel()
+            near = built.nearest(built.queries(rows), built.centres, len(built.centres))
+            before = sizes[near].cumsum(axis=1) - sizes[near]  # vectors in nearer lists
+            visited = (np.arange(near.shape[1]) < probes) | (before < LEAST_CANDIDATES * k)
+            who, rank = np.nonzero(visited)
+            lists = near[who, rank]
             times = np.array([parts.get(int(i), 0) for i in lists], np.int64)
             who, lists = np.repeat(who, times), np.repeat(lists, times)
             nth = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)

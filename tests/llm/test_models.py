@@ -156,6 +156,10 @@ def test_nearest_neighbours(spark):
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in sorted(small, key=lambda r: r["rank"])] == [
         (0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 3, 1.0), (0, 4, 4, 1.0)]
     assert dimension_scan.search(spark, vectors(spark, [])).count() == 0
+    # most vectors in one place, far from the queries: every query finds 20 all the same
+    lone = np.concatenate([np.eye(30, dtype=np.float32) * 3, np.tile(np.float32(-1) * np.ones(30, np.float32), (300, 1))])
+    few = dimension_scan.search(spark, vectors(spark, [(i, v.tolist(), 0, 0, 0) for i, v in enumerate(lone)]), query_every=7).collect()
+    assert len(few) == 20 * len(range(0, 330, 7))
 
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
