@@ -28,6 +28,8 @@ WINDOW = 2048
 END_ID = 1
 #: Leftovers packed together; bounds a task's memory and the differencing's work.
 BLOCK_ITEMS = 256
+#: Encoded chunks that a worker keeps (about 200 bytes each): the library takes longest for new ones.
+CACHE_CHUNKS = 1_000_000
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -111,7 +113,7 @@ def _encoder(path: str) -> ChunkEncoder:
         def many(chunks):
             return [struct.pack(f"<{len(e)}I", *e.ids) for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
-        return ChunkEncoder(many)
+        return ChunkEncoder(many, CACHE_CHUNKS)
 
     return base.kept(("op4", path), make)
 
