@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 from . import base
 
 UNDETERMINED = "und"
-#: Training: per language the TRAIN_DOCS labelled documents whose id hashes lowest, of TRAIN_LENGTHS characters
-#: (longer or shorter ones don't train), up to TRAIN_SYMBOLS symbols; of more than MAX_LANGS labels the most frequent.
-TRAIN_DOCS = 64
-MAX_LANGS = 200
-TRAIN_LENGTHS = (100, 20_000)
+#: Training: of every label the labelled documents whose hash is lowest, of any length, up to TRAIN_SYMBOLS symbols; of
+#: one longer than PIECE symbols a stretch placed by its hash.  With very many labels each trains on fewer symbols,
+#: ALL_SYMBOLS in all, and so do languages of large alphabets: the tables hold CELLS transitions at most.
 TRAIN_SYMBOLS = 24_000
+PIECE = TRAIN_SYMBOLS // 4
+ALL_SYMBOLS, LEAST_SYMBOLS = 1_000_000, 200
+CELLS = 64_000_000
+#: A phrase costs as much as in a training text of this length at least: among one-symbol phrases of tiny training
+#: texts the shortest text would win.
+LEAST_LENGTH = 1000
 STRETCH = 256
 
 
@@ -72,31 +76,35 @@ class CrossParser:
     def __init__(self, training: dict[str, str]):
         self.langs = sorted(training)
         alphabet = sorted(set("".join(training.values())) - {" "})
-        self.width = len(alphabet) + 2  # 0: space, 1: letters that no training text has
-        code = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": 0}
+        code = {c: i + 2 for i, c in enumerate(alphabet)} | {" ": 0}  # 1: letters that no training text has
         # class of every code point: -1 what is no letter, else its symbol
-        self.classes = np.full(0x110000, -1, np.int16)
+        self.classes = np.full(0x110000, -1, np.int32)
         letters = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalpha()]
         self.classes[letters] = 1
         for c, i in code.items():
             if c != " ":
                 self.classes[ord(c)] = i
-        self.bits = np.array([math.log2(max(len(training[x]), 2)) for x in self.langs])
+        self.bits = np.array([math.log2(max(len(training[x]), LEAST_LENGTH)) for x in self.langs])
+        # a language's table has a column for each of its own symbols, and column 0 for all others
+        self.column = np.zeros((len(self.langs), len(alphabet) + 2), np.int32)
         tables, starts, at = [], [], 0
-        for lang in self.langs:
-            moves = SuffixAutomaton([code[c] for c in training[lang]]).moves
-            # next state * 2, plus 1 where a new phrase starts because the longer one occurs nowhere
-            start = np.zeros(self.width, np.int32)
+        for n, lang in enumerate(self.langs):
+            own = sorted({code[c] for c in training[lang]})
+            self.column[n, own] = np.arange(1, len(own) + 1)
+            moves = SuffixAutomaton(self.column[n, [code[c] for c in training[lang]]].tolist()).moves
+            width = len(own) + 1
+            # place of the next state's row * 2, plus 1 where a new phrase starts because the longer one occurs nowhere
+            start = np.zeros(width, np.int32)
             for c, s in moves[0].items():
-                start[c] = s
-            table = np.broadcast_to((start + at) * 2 + 1, (len(moves), self.width)).copy()
+                start[c] = s * width
+            table = np.broadcast_to((start + at) * 2 + 1, (len(moves), width)).copy()
             rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
             cols = np.array([c for m in moves for c in m], np.int64)
-            table[rows, cols] = (np.array([s for m in moves for s in m.values()], np.int64) + at) * 2
-            tables.append(table.astype(np.int32))
+            table[rows, cols] = (np.array([s for m in moves for s in m.values()], np.int64) * width + at) * 2
+            tables.append(table.astype(np.int32).ravel())
             starts.append(at)
-            at += len(moves)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+            at += table.size
+        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
         self.starts = np.array(starts, np.int32)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +139,7 @@ class CrossParser:
         state = np.repeat(self.starts[:, None], len(begin), axis=1)
         breaks = np.ones((len(self.langs), len(begin)), np.int32)
         for t, n in enumerate(active.tolist()):
-            move = self.table[state[:, :n] * self.width + symbols[begin[:n] + t]]
+            move = self.table[state[:, :n] + self.column[:, symbols[begin[:n] + t]]]
             if t:
                 breaks[:, :n] += move & 1
             state[:, :n] = move >> 1
@@ -159,31 +167,66 @@ def held_out(id_col: str = "doc_id", mod: int = 3):
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(mod)) == 1
 
 
-def training_texts(docs: DataFrame) -> dict[str, str]:
-    """Per learned language its training text, from a bounded sample of labelled documents outside the held-out
-    third.  At most TRAIN_DOCS texts a language come to the driver."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                       F.col("text").cast("string").alias("text"))
-    usable = rows.filter(F.col("lang").isNotNull() & ~held_out() & F.length("text").between(*TRAIN_LENGTHS))
-    langs = [r["lang"] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    usable = usable.filter(F.col("lang").isin(langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "length", "hash")
-    chosen = (usable.select("lang", "doc_id", F.length("text").alias("length"), F.xxhash64("text").alias("hash"))
-              .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_DOCS))
-    keys = F.broadcast(chosen.select(F.col("lang").alias("k_lang"), F.col("doc_id").alias("k_id"),
-                                     F.col("hash").alias("k_hash")).distinct())  # MAX_LANGS * TRAIN_DOCS rows at most
-    found = (usable.withColumn("hash", F.xxhash64("text"))
-             .join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("lang") == F.col("k_lang"))
-                   & (F.col("hash") == F.col("k_hash")), "left_semi")
-             .select("lang", "text", "doc_id").distinct().collect())
-    out: dict[str, str] = {}
-    for row in sorted(found, key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], r["text"])):
-        line, had = normalise(row["text"]), out.get(row["lang"], "")
-        if line and line not in had and len(had) < TRAIN_SYMBOLS:
-            out[row["lang"]] = f"{had} {line}".strip()[:TRAIN_SYMBOLS]
+def _fitted(texts: dict[str, str]) -> dict[str, str]:
+    """texts, the costliest ones cut evenly until their tables hold CELLS transitions in all."""
+    def cost(text):  # an automaton has less than two states a symbol
+        return 2 * len(text) * (len(set(text)) + 1)
+
+    room, left = CELLS, sorted(texts, key=lambda x: (cost(texts[x]), x))
+    out = {}
+    for i, lang in enumerate(left):
+        text, share = texts[lang], room // (len(left) - i)
+        while cost(text) > share and len(text) > 1:
+            text = text[:len(text) * 9 // 10]
+        out[lang] = text
+        room -= cost(text)
     return out
 
 
+def training_texts(docs: DataFrame) -> dict[str, str]:
+    """Per label its training text, from a bounded sample of labelled documents outside the held-out third.  The
+    documents are cut before they come to the driver, about twice the symbols that train at most."""
+    label, text = F.col("lang").cast("string"), F.col("text").cast("string")
+    letters = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
+    usable = (docs.select(label.alias("lang"), letters.alias("line"),
+                          F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64(text)).alias("hash"), held_out().alias("held"))
+              .filter(F.col("lang").isNotNull() & ~F.col("held") & (F.length("line") > 0))
+              # as many documents have fewer than b bits as have b: each level about doubles the sample
+              .withColumn("level", F.length(F.bin(F.shiftrightunsigned("hash", 1)))))
+    length = F.length("line").cast("bigint")
+    # a table of 63 rows a label at most
+    levels = (usable.groupBy("lang", "level").agg(F.sum(F.least(length, F.lit(PIECE))).alias("pieces"),
+                                                  F.sum(F.least(length, F.lit(TRAIN_SYMBOLS))).alias("symbols")).collect())
+    by_label: dict[str, list] = {}
+    for row in sorted(levels, key=lambda r: r["level"]):
+        by_label.setdefault(row["lang"], []).append(row)
+    wanted = min(TRAIN_SYMBOLS, max(LEAST_SYMBOLS, ALL_SYMBOLS // max(len(by_label), 1)))
+    plan = []
+    for lang, rows in by_label.items():
+        few = sum(r["pieces"] for r in rows) < wanted  # only with longer stretches of its documents
+        total = 0
+        for row in rows:
+            total += row["symbols" if few else "pieces"]
+            if total >= wanted:
+                break
+        plan.append((lang, row["level"], wanted if few else min(PIECE, wanted)))
+    if not plan:
+        return {}
+    picked = F.broadcast(docs.sparkSession.createDataFrame(plan, "label string, most int, piece int"))  # a row a label
+    found = (usable.join(picked, (F.col("lang") == F.col("label")) & (F.col("level") <= F.col("most")))
+             .withColumn("begin", F.pmod(F.col("hash"), F.greatest(F.length("line") - F.col("piece"), F.lit(0)) + 1))
+             .select("lang", F.substr("line", (F.col("begin") + 1).cast("int"), F.col("piece")).alias("line"), "level", "hash")
+             .distinct().collect())
+    parts: dict[str, list[str]] = {}
+    size: dict[str, int] = {}
+    for row in sorted(found, key=lambda r: (r["lang"], r["level"], r["hash"], r["line"])):
+        line, own = normalise(row["line"]), parts.setdefault(row["lang"], [])
+        if line and size.get(row["lang"], 0) < wanted and line not in " ".join(own):
+            own.append(line)
+            size[row["lang"]] = size.get(row["lang"], 0) + len(line) + 1
+    return _fitted({lang: " ".join(own)[:wanted].strip() for lang, own in parts.items() if own})
+
+
 def predict(docs: DataFrame, training: dict[str, str]) -> DataFrame:
     """docs with lang_pred, score, bits (per symbol) and symbols of ``text`` added; see ``identify``."""
     packed = docs.sparkSession.sparkContext.broadcast(training)
@@ -192,7 +235,7 @@ def predict(docs: DataFrame, training: dict[str, str]) -> DataFrame:
     def run(batches):
         parser = base.kept(("op2", tuple(sorted(packed.value.items()))), lambda: CrossParser(packed.value))
         for batch in batches:
-            for part in base.slices(batch, 3_000_000):
+            for part in base.slices(batch, 3_000_000 * 64 // max(64, len(parser.langs))):
                 lang, score, bits, symbols = parser.predict([t or "" for t in part.column(at).to_pylist()])
                 yield {n: part.column(n) for n in part.schema.names} | {"lang_pred": lang, "score": score, "bits": bits,
                                                                 "symbols": symbols}
@@ -206,8 +249,9 @@ def predict(docs: DataFrame, training: dict[str, str]) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score (0 to 1), bits (per symbol), symbols.
 
-    Only text and lang of rows that are not held out teach; a prediction sees the text alone.  A text that is null
-    or has no letters is ``und`` with score 0, and so is every text if no row is labelled.  Ties go to the language
+    Only text and lang of rows that are not held out teach, every label with a letter in its texts, however long or
+    short they are; a prediction sees the text alone.  A text that is null
+    or has no letters is ``und`` with score 0, and so is every text if no row that teaches is labelled.  Ties go to the language
     first in order of name.  Repeated rows are rows of their own; an empty table gives no rows.
     """
     training = training_texts(docs)

@@ -69,6 +69,42 @@ def test_languages(docs, rows, none):
     assert crossparse_lang.in_known_language(none).count() == 0
 
 
+def test_every_label_is_learned(spark):
+    """Only short texts, only very long ones, and more than 200 labels: every label is learned and predicted."""
+    rng = random.Random(4)
+
+    def words(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 7))) for _ in range(n))
+
+    rows = [(i, prose(rng, 80, "en"), "en") for i in range(60)]
+    rows += [(100 + i, words("абвгдежз", 4), "posts") for i in range(60)]
+    rows += [(200 + i, words("αβγδεζηθ", 9000), "books") for i in range(6)]
+    schema = "doc_id bigint, text string, lang string"
+    got = {r.doc_id: r.lang_pred for r in crossparse_lang.identify(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {i: x for i, _, x in rows}
+    for part in (rows[60:120], rows[120:]):  # a table of posts, a table of books
+        got = crossparse_lang.identify(spark.createDataFrame(part, schema)).collect()
+        assert {r.lang_pred for r in got} == {part[0][2]} and all(r.score > 0 for r in got)
+    many = [(i * 10 + j, words(chr(0x4E00 + 8 * i) + chr(0x4E01 + 8 * i) + chr(0x4E02 + 8 * i), 30), f"l{i}")
+            for i in range(230) for j in range(10)]
+    training = crossparse_lang.training_texts(spark.createDataFrame(many, schema))
+    assert set(training) == {x for _, _, x in many}
+    assert sum(map(len, training.values())) <= crossparse_lang.ALL_SYMBOLS
+
+
+def test_training_of_hot_copies_and_large_alphabets(spark, monkeypatch):
+    """One text in most rows, also without ids, teaches once; tables keep to their room with every label in them."""
+    rng = random.Random(6)
+    rows = [(None, "very same words", "en")] * 300 + [(i, prose(rng, 40, "en"), "en") for i in range(40)]
+    training = crossparse_lang.training_texts(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert training["en"].count("very same words") <= 1 and len(training["en"]) > 1000
+    monkeypatch.setattr(crossparse_lang, "CELLS", 20_000)
+    texts = {"zh": "".join(chr(0x4E00 + i) for i in range(3000)), "en": "the words " * 20}
+    fitted = crossparse_lang._fitted(texts)
+    assert fitted["en"] == texts["en"] and texts["zh"].startswith(fitted["zh"]) and fitted["zh"]
+    assert len(crossparse_lang.CrossParser(fitted).table) <= 20_000
+
+
 def brute_likelihood(model, symbols):
     total = 0.0
     for path in itertools.product(range(len(model.start)), repeat=len(symbols)):
