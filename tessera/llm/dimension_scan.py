@@ -43,6 +43,8 @@ SPARSE = 0.05
 #: Vectors of one list in one task, and queries scanned at once.
 LIST_VECTORS = 4096
 QUERIES_AT_ONCE = 256
+#: Equal query rows that get a neighbour at once.
+COPIES_AT_ONCE = 1000
 
 
 class Index:
@@ -83,13 +85,16 @@ class Index:
         return np.take_along_axis(part, np.argsort(np.take_along_axis(far, part, 1), axis=1, kind="stable"), 1)
 
 
-def scan_list(index: Index, ids, vectors, query_ids, query_vectors, k: int):
-    """Per query its k best of a list: (query_id, vec_id, score) arrays.  Ids ascend, so ties go to smaller ones."""
+def scan_list(index: Index, ids, vectors, query_ids, query_vectors, k: int, query_keys=None):
+    """Per query its k best of a list: (query's key, vec_id, score) arrays.  Ids ascend, so ties go to smaller ones.
+    Without keys, a query's id is its key."""
+    query_keys = query_ids if query_keys is None else query_keys
     rows, asked = index.candidates(vectors), index.queries(query_vectors)
     dims = rows.shape[1]
     out = []
     for at in range(0, len(asked), QUERIES_AT_ONCE):
         q, qid, original = asked[at:at + QUERIES_AT_ONCE], query_ids[at:at + QUERIES_AT_ONCE], query_vectors[at:at + QUERIES_AT_ONCE]
+        key = query_keys[at:at + QUERIES_AT_ONCE]
         limit = np.full(len(q), np.inf)
         # the k-th best of an evenly drawn part of the list is a bound for the whole list
         probe = np.unique(np.linspace(0, len(rows) - 1, 16 * (k + 1)).astype(int))
@@ -126,7 +131,7 @@ def scan_list(index: Index, ids, vectors, query_ids, query_vectors, k: int):
         who, what, score = who[order], what[order], score[order]
         rank = np.arange(len(who)) - np.searchsorted(who, who)
         best = rank < k
-        out.append((qid[who[best]], ids[what[best]], score[best]))
+        out.append((key[who[best]], ids[what[best]], score[best]))
     return [np.concatenate(x) for x in zip(*out)]
 
 
@@ -152,8 +157,8 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, query_e
 
     Null or zero vectors and those with null or non-finite components take no part; nor do vectors of another
     length than most have (of equally frequent lengths the larger), or without an id.  A query's own row, and any
-    other with its id, is no candidate.  Repeated rows are searched as one each and may both be found.  An empty
-    table gives no rows.
+    other with its id, is no candidate.  Repeated rows are searched as one each and may both be found: each row that
+    asks has k ranks of its own, equal rows (same id and vector) the same ones.  An empty table gives no rows.
     """
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     good = usable(vectors)
@@ -180,7 +185,11 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, query_e
 
     kind = good.schema["embedding"].dataType.simpleString()
     listed = base.arrow_map(good, deal, f"list int, vec_id bigint, embedding {kind}")
-    index_rows = base.written(spark, listed, "vector-lists")
+    index_rows = base.written(spark, listed.withColumn("row", F.monotonically_increasing_id()), "vector-lists")
+    # equal rows are searched once, and their neighbours given to each
+    queries = base.written(spark, good.filter(F.pmod("vec_id", F.lit(query_every)) == 0).groupBy("vec_id", "embedding")
+                           .agg(F.count("*").alias("copies")).withColumn("query_key", F.monotonically_increasing_id()),
+                           "vector-queries")
     counts = {r["list"]: r["count"] for r in index_rows.groupBy("list").count().collect()}  # a row a list
     sizes = np.array([counts.get(i, 0) for i in range(len(index.value.centres))])
     splits = spark.sparkContext.broadcast({i: -(-c // LIST_VECTORS) for i, c in counts.items()})
@@ -197,16 +206,17 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, query_e
             times = np.array([parts.get(int(i), 0) for i in lists], np.int64)
             who, lists = np.repeat(who, times), np.repeat(lists, times)
             nth = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
-            yield {"list": lists, "part": nth, "vec_id": ids[who], "query": [True] * len(who),
+            yield {"list": lists, "part": nth, "vec_id": ids[who], "query_key": batch.column("query_key").take(pa.array(who)),
                    "embedding": batch.column("embedding").take(pa.array(who))}
 
-    asked = base.arrow_map(good.filter(F.pmod("vec_id", F.lit(query_every)) == 0), ask,
-                           f"list int, part int, vec_id bigint, query boolean, embedding {kind}")
+    asked = base.arrow_map(queries.drop("copies"), ask,
+                           f"list int, part int, vec_id bigint, query_key bigint, embedding {kind}")
     split_of = F.create_map(*[x for i, c in sorted(counts.items()) if c > LIST_VECTORS
                               for x in (F.lit(i), F.lit(-(-c // LIST_VECTORS)))]) if max(counts.values()) > LIST_VECTORS else None
-    nth = F.lit(0) if split_of is None else F.pmod(F.xxhash64("vec_id"), F.coalesce(split_of[F.col("list")], F.lit(1))).cast("int")
-    held = index_rows.select("list", nth.alias("part"), "vec_id", F.lit(False).alias("query"), "embedding")
-    met = (held.union(asked).repartition("list", "part").sortWithinPartitions("list", "part", "query", "vec_id"))
+    nth = F.lit(0) if split_of is None else F.pmod(F.xxhash64("row"), F.coalesce(split_of[F.col("list")], F.lit(1))).cast("int")
+    held = index_rows.select("list", nth.alias("part"), "vec_id", F.lit(None).cast("bigint").alias("query_key"), "embedding")
+    met = (held.union(asked).repartition("list", "part")
+           .sortWithinPartitions("list", "part", F.col("query_key").isNotNull(), "vec_id"))
 
     def scan(batches):
         built = index.value
@@ -214,7 +224,8 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, query_e
         kept: list[tuple] = []
         for batch in batches:
             lists, parts = batch.column("list").to_numpy(), batch.column("part").to_numpy()
-            query = batch.column("query").to_numpy(zero_copy_only=False)
+            query = batch.column("query_key").is_valid().to_numpy(zero_copy_only=False)
+            keys = batch.column("query_key").fill_null(-1).to_numpy()
             vec, matrix = batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"))
             cuts = np.flatnonzero(np.concatenate([[True], (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1])
                                                   | (query[1:] != query[:-1])]))
@@ -230,13 +241,19 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, query_e
                     continue
                 if ids is None:
                     ids, rows = np.concatenate([x[0] for x in kept]), np.concatenate([x[1] for x in kept])
-                found = scan_list(built, ids, rows, vec[a:b], matrix[a:b], k)
-                yield {"query_id": found[0], "vec_id": found[1], "score": found[2]}
+                found = scan_list(built, ids, rows, vec[a:b], matrix[a:b], k, keys[a:b])
+                yield {"query_key": found[0], "vec_id": found[1], "score": found[2]}
 
-    hits = base.arrow_map(met, scan, "query_id bigint, vec_id bigint, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+    hits = base.arrow_map(met, scan, "query_key bigint, vec_id bigint, score double")
+    best = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id")
+    ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    # a row for each of the equal query rows, those of many copies dealt over several tasks
+    asking = queries.select("query_key", F.col("vec_id").alias("query_id"), "copies")
+    blocks = (ranked.join(asking, "query_key")
+              .withColumn("block", F.explode(F.expr(f"sequence(0, (copies - 1) div {COPIES_AT_ONCE})")))
+              .repartition("query_key", "rank", "block"))
+    return blocks.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", F.explode(F.expr(
+        f"array_repeat(0, int(least({COPIES_AT_ONCE}, copies - block * {COPIES_AT_ONCE})))")).alias("copy")).drop("copy")
 
 
 @base.register("op9_dimension_scan")

@@ -198,6 +198,33 @@ def test_nearest_neighbours(spark):
     assert len(few) == 20 * len(range(0, 330, 7))
 
 
+def test_repeated_query_rows(spark, monkeypatch):
+    """Equal query rows, and query rows of one id with other vectors, have 20 ranks each; a hot id is dealt over parts."""
+    monkeypatch.setattr(dimension_scan, "LIST_VECTORS", 64)
+    monkeypatch.setattr(dimension_scan, "COPIES_AT_ONCE", 7)
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 8)).astype(np.float32)
+    rows = [(i, v.tolist(), 0, 1, 2) for i, v in enumerate(x)]
+    rows += [rows[40]] * 29 + [(80, (-x[80]).tolist(), 0, 1, 2)]
+    got = Counter()
+    found = {}
+    for r in dimension_scan.search(spark, vectors(spark, rows), probe_share=1.0).collect():
+        got[r.query_id, r["rank"]] += 1
+        found.setdefault(r.query_id, set()).add((r["rank"], r.vec_id, r.score))
+    assert got == {(q, rank): 30 if q == 40 else 2 if q == 80 else 1 for q in range(0, 300, 20) for rank in range(1, 21)}
+    wide = np.array([r[1] for r in rows])
+    ids = np.array([r[0] for r in rows])
+    for q, asks in [(q, [x[q]]) for q in range(0, 300, 20) if q != 80] + [(80, [x[80], -x[80]])]:
+        want = set()
+        for ask in asks:
+            score = wide @ ask.astype(float)
+            order = [i for i in np.lexsort((ids, -score)) if ids[i] != q][:20]
+            want |= {(n + 1, int(ids[i])) for n, i in enumerate(order)}
+        assert len({(n, v) for n, v, _ in found[q]} & want) >= 0.9 * len(want)
+        if q == 40:  # one list of neighbours, the same for all copies
+            assert len(found[q]) == 20 and len({v for _, v, _ in found[q]}) == 20
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
