@@ -1,7 +1,7 @@
 """Operator 10: secret scan with a randomness test battery, in DataFrame functions only.
 
 Three base kinds are found by pattern.  Besides, every run of 20 or more letters, digits and ``+/_-`` outside them
-is tested for being random characters of the encoding its characters suggest:
+(a run that touches base spans is cut at them, and each stretch of 20 or more that remains is a run of its own) is tested for being random characters of the encoding its characters suggest:
 
 * chi-squared uniformity over the encoding's alphabet, and over classes of characters (digits, vowels, frequent
   consonants, the rest) that tell written language from random characters even in short runs;
@@ -32,6 +32,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # a run of under 20 holds no longer one
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_VALUE = 6
 RUN = r"[A-Za-z0-9+/_-]{20,}"
+RUN_LEAST = 20
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Name, what all characters must be, alphabet in order of its values; the first that fits is inferred.
 ENCODINGS = [
@@ -147,14 +148,38 @@ def _wilson_hilferty(chi: Column, df: Column) -> Column:
     return F.when(df < 1, F.lit(0.0)).otherwise((F.pow(chi / df, F.lit(1 / 3)) - 1 + c) / F.sqrt(c))
 
 
+def _outside(runs: Column, spans: Column) -> Column:
+    """runs without what the sorted spans cover: each remaining stretch of RUN_LEAST or more.  One separator next to a
+    span is left out too if as many remain, so that the stretch's encoding is not the separator's."""
+    def stretch(run, start, end, cut_left, cut_right):
+        text = run["text"].substr(start - run["start"] + 1, end - start)
+        left = (F.lit(cut_left) & text.rlike("^[+/_-]") & (end - start > RUN_LEAST)).cast("int")
+        right = (F.lit(cut_right) & text.rlike("[+/_-]$") & (end - start - left > RUN_LEAST)).cast("int")
+        return F.when(end - start >= RUN_LEAST, F.array(F.struct(
+            (start + left).alias("start"), (end - right).alias("end"),
+            text.substr(left + 1, end - start - left - right).alias("text")))).otherwise(none)
+
+    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+
+    def cut(run):
+        touching = F.filter(spans, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
+        walked = F.aggregate(touching, F.struct(run["start"].alias("at"), none.alias("out")), lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.concat(acc["out"], F.when(acc["at"] > run["start"], stretch(run, acc["at"], s["start"], True, True))
+                     .otherwise(stretch(run, acc["at"], s["start"], False, True))).alias("out")))
+        return F.when(F.size(touching) == 0, F.array(run)).otherwise(
+            F.concat(walked["out"], stretch(run, walked["at"], run["end"], True, False)))
+
+    return F.when(F.size(spans) == 0, runs).otherwise(F.flatten(F.transform(runs, cut)))
+
+
 def with_findings(docs: DataFrame) -> DataFrame:
     """docs with ``_base`` (array<struct<start, kind, end>>, sorted) and ``_runs`` (tested runs outside them)."""
     text = F.col("_text")
     return (docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
             .withColumn("_base", F.array_sort(F.concat(_kind(_matches(text, ASSIGN, 2, ASSIGN_VALUE), 0),
                                                        _kind(_matches(text, ACCESS), 1), _kind(_matches(text, HEX), 2))))
-            .withColumn("_runs", F.filter(_matches(text, RUN), lambda r: ~F.exists(
-                F.col("_base"), lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"]))))
+            .withColumn("_runs", _outside(_matches(text, RUN), F.col("_base")))
             .withColumn("_runs", F.when(F.size("_runs") > 0, _tested(F.col("_runs")))
                         .otherwise(F.array().cast("array<struct<start:int,end:int,stratum:string,p:double>>")))
             .drop("_text"))

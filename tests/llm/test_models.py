@@ -285,3 +285,31 @@ def test_redaction(spark):
                     want += text[at:a] + random_secrets.REDACTED
                 at = max(at, b)
             assert out[i].text == want + text[at:] and out[i].n_chars == len(out[i].text)
+
+
+def test_secrets_next_to_base_spans(spark):
+    """What a run holds besides base spans is tested: every stretch of 20 or more, cut at the spans."""
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def some(alphabet, n):
+        return "".join(rng.choices(alphabet, k=n))
+
+    keys = [some(letters, 40) for _ in range(90)]
+    shapes = [lambda k: f"AKIA{some(letters[:26], 16)}/{k}", lambda k: f"/v1/{some('0123456789abcdef', 32)}/{k}",
+              lambda k: f"{k}-{some('0123456789abcdef', 32)}_{k[::-1]}"]
+    rows = [(i, f"é {prose(rng, 5)} {shapes[i % 3](k)} {prose(rng, 5)}") for i, k in enumerate(keys)]
+    rows += [(90, "token: abcdef" + "x" * 30), (91, f"AKIA{'A' * 16}/{'b' * 18}")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    text, hit = dict(rows), 0
+    for r in random_secrets.scan(spark, frame).collect():
+        base = base_spans(text[r.doc_id])
+        want = {keys[r.doc_id], keys[r.doc_id][::-1]} if r.doc_id < 90 else set()
+        for kind, a, b in (s.split(":") for s in r.spans.split(",")):
+            if kind == "random":
+                assert text[r.doc_id][int(a):int(b)] in want
+                assert not any(x < int(b) and int(a) < y for x, _, y in base)
+                hit += 1
+    assert hit >= 0.8 * 120
+    out = {r.doc_id: r.text for r in random_secrets.redact(spark, frame).collect()}
+    assert sum(k in out[i] for i, k in enumerate(keys)) <= 0.2 * 90
