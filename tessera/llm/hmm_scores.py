@@ -2,8 +2,8 @@
 
 Training is Baum-Welch: every task runs the scaled forward-backward recursion over its documents and hands out
 expected counts per state (of words, transitions, starts); Spark adds them up over all training documents, and the
-re-estimated model goes back to the tasks.  A few rounds on a bounded sample give the starting point, then
-``ROUNDS`` rounds run over the whole corpus.  A score is the exact likelihood of the whole sequence by the scaled
+re-estimated model goes back to the tasks.  Every round runs over the whole corpus, from a seeded model until the
+corpus likelihood stops rising or for ``ROUNDS`` rounds.  A score is the exact likelihood of the whole sequence by the scaled
 forward recursion.
 
 Word counts cover all training documents and are a distributed table.  The states emit the ``STATE_WORDS`` most
@@ -28,8 +28,9 @@ from .crossparse_lang import held_out
 STATES = 8
 STATE_WORDS = 20_000
 KNOWN_WORDS = 200_000
-SAMPLE_TOKENS, SAMPLE_DOCS, SAMPLE_ROUNDS = 300_000, 1500, 12
-ROUNDS = 2
+#: Rounds over the whole corpus: at most, at least, and the gain (natural log likelihood a token) of one that goes on.
+ROUNDS, LEAST_ROUNDS = 30, 8
+LEAST_GAIN = 1e-3
 #: Weight, in tokens, of the plain word distribution in each state's.
 SMOOTHING = 50.0
 SEED = 11
@@ -107,9 +108,9 @@ def forward(model: Model, sequences: list[np.ndarray], keep: bool = False):
     return (out, (symbols, alive, offsets, by_symbol, trace, scale)) if keep else out
 
 
-def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> None:
-    """Add the expected counts of the sequences by the backward recursion."""
-    _, (symbols, alive, offsets, by_symbol, trace, scale) = forward(model, sequences, keep=True)
+def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> float:
+    """Add the expected counts of the sequences by the backward recursion; their log likelihood."""
+    logs, (symbols, alive, offsets, by_symbol, trace, scale) = forward(model, sequences, keep=True)
     back, moved = None, np.zeros_like(model.move)
     for t in range(len(alive) - 1, -1, -1):
         at, n = slice(offsets[t], offsets[t + 1]), alive[t]
@@ -123,6 +124,7 @@ def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> None:
     counts.move += moved * model.move
     for k in range(len(model.start)):
         counts.emit[k] += np.bincount(symbols, weights=trace[:, k], minlength=counts.emit.shape[1])
+    return float(logs.sum())
 
 
 def _groups(batches, column: str):
@@ -204,49 +206,47 @@ def _encode(known, n_state_words: int):
 
 
 def _expected(model, symbols: int):
-    """Arrow function: sequences -> rows of expected counts; symbol -1 is the start, -2 - i the moves from state i."""
+    """Arrow function: sequences -> rows of expected counts; symbol -1 is the start, -2 - i the moves from state i,
+    and the one below has the log likelihood in its first column."""
     def run(batches):
         now = model.value
         states = len(now.start)
-        counts, any_rows = Counts(states, symbols), False
+        counts, any_rows, logs = Counts(states, symbols), False, np.zeros(states)
         for _, sequences in _groups(batches, "symbols"):
-            expect(now, sequences, counts)
+            logs[0] += expect(now, sequences, counts)
             any_rows = True
         if any_rows:
             used = np.flatnonzero(counts.emit.any(axis=0))
-            table = np.concatenate([counts.emit[:, used].T, counts.start[None, :], counts.move])
-            yield {"symbol": np.concatenate([used, [-1], -2 - np.arange(states)]),
+            table = np.concatenate([counts.emit[:, used].T, counts.start[None, :], counts.move, logs[None, :]])
+            yield {"symbol": np.concatenate([used, [-1], -2 - np.arange(states + 1)]),
                    **{f"s{k}": table[:, k] for k in range(states)}}
 
     return run
 
 
 def train(spark: SparkSession, sequences: DataFrame, plain: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """sequences: (symbols binary) of all training texts.  Per round the driver gets one row a symbol."""
+    """sequences: (symbols binary) of all training texts, each in every round; ``rounds`` at most.  Per round the
+    driver gets one row a symbol."""
     model = Model.initial(states, plain)
-    n = sequences.count()
-    sample, size = [], 0
-    share = int(min(1.0, SAMPLE_DOCS / max(n, 1)) * (1 << 20))
-    for row in (sequences.filter((F.pmod(F.xxhash64("symbols"), F.lit(1 << 20)) < share) & (F.length("symbols") < 40_000))
-                .limit(2 * SAMPLE_DOCS).collect()):
-        if size < SAMPLE_TOKENS:
-            sample.append(np.frombuffer(row[0], "<u2"))
-            size += len(sample[-1])
-    for _ in range(SAMPLE_ROUNDS if sample else 0):
-        counts = Counts(states, len(plain))
-        expect(model, sample, counts)
-        model = model.estimated(counts, plain)
+    n = sequences.agg(F.sum(F.length("symbols") / 2)).first()[0]  # tokens
     schema = "symbol int, " + ", ".join(f"s{k} double" for k in range(states))
-    for _ in range(rounds if n else 0):
+    before = -math.inf
+    for done in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)
         found = (base.arrow_map(sequences, _expected(sent, len(plain)), schema).groupBy("symbol")
                  .agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)])).toPandas()
+        sent.unpersist()
         symbol, table = found["symbol"].to_numpy(), found.drop(columns="symbol").to_numpy()
         counts = Counts(states, len(plain))
         counts.emit[:, symbol[symbol >= 0]] = table[symbol >= 0].T
         counts.start = table[symbol == -1].sum(axis=0)
-        counts.move[-2 - symbol[symbol < -1]] = table[symbol < -1]
+        moves = (symbol < -1) & (symbol >= -1 - states)
+        counts.move[-2 - symbol[moves]] = table[moves]
+        logs = table[symbol == -2 - states][0, 0]
         model = model.estimated(counts, plain)
+        if done >= LEAST_ROUNDS and logs - before < LEAST_GAIN * n:
+            break
+        before = logs
     return model
 
 

@@ -154,6 +154,33 @@ def test_scores(spark, docs, rows, none, known):
     assert hmm_scores.scores(spark, none, states=2).count() == 0
 
 
+def test_every_round_sees_all_texts(spark, monkeypatch):
+    """Training equals Baum-Welch over all sequences from the seeded model, and ends when the likelihood stops rising."""
+    rng = np.random.default_rng(2)
+    # most texts are copies of one
+    sequences = [np.array([0, 1, 2, 3] * 5)] * 300 + [rng.integers(0, 5, rng.integers(1, 30)) for _ in range(60)]
+    plain = np.full(5, 0.2)
+    frame = spark.createDataFrame([(bytearray(s.astype("<u2").tobytes()),) for s in sequences], "symbols binary").repartition(3)
+
+    def local(rounds, least):
+        model, before = hmm_scores.Model.initial(3, plain), -math.inf
+        for done in range(rounds):
+            counts = hmm_scores.Counts(3, 5)
+            logs = hmm_scores.expect(model, sequences, counts)
+            model = model.estimated(counts, plain)
+            if done >= least and logs - before < 0.01 * sum(map(len, sequences)):
+                return model, done + 1
+            before = logs
+        return model, rounds
+
+    monkeypatch.setattr(hmm_scores, "LEAST_GAIN", 0.01)
+    monkeypatch.setattr(hmm_scores, "LEAST_ROUNDS", 2)
+    assert local(40, 2)[1] < 40
+    for rounds in (1, 40):
+        got, want = hmm_scores.train(spark, frame, plain, 3, rounds), local(rounds, 2)[0]
+        assert np.allclose(got.emit, want.emit) and np.allclose(got.move, want.move) and np.allclose(got.start, want.start)
+
+
 def test_scores_are_probabilities():
     """Over all sequences of up to three words, ended or not, the probabilities add up to one."""
     plain = np.array([0.5, 0.3, 0.2])
