@@ -188,7 +188,8 @@ def neighbour_report(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members (doc_id, class_id) of every row, class_id being the smallest id among equal
-    fingerprints; pairs (a, b, similarity) of the classes at or above ``threshold``, a < b.
+    fingerprints; pairs (a, b, similarity) of the classes at or above ``threshold``, a <= b: classes are told apart by fingerprint,
+    so those of one id (null ids, repeated ids) have their pairs too.
 
     Texts without signatures (empty, null) form one class; null ids count as -1; an empty table gives no rows.
     """
@@ -206,29 +207,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
                            .withColumn("length", F.size("elements")), "spotsigs-classes")
     members = rows.select("doc_id", "digest").join(classes.select("digest", "class_id"), "digest").select("doc_id", "class_id")
     # rarest elements first: a pair at the threshold shares one of the first length - threshold * length + 1
-    each = classes.select("class_id", "length", F.explode("elements").alias("element"))
+    each = classes.select("digest", "length", F.explode("elements").alias("element"))
     often = each.groupBy("element").agg(F.count("*").alias("often"))
     keep = F.col("length") - F.ceil(F.col("length") * threshold - 1e-9) + 1
-    rare = (each.join(often.filter("often > 1"), "element").groupBy("class_id", "length")
+    rare = (each.join(often.filter("often > 1"), "element").groupBy("digest", "length")
             .agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("shared"))
             # elements that no other class has come first in the order and meet nothing
             .withColumn("room", (keep - (F.col("length") - F.size("shared"))).cast("int")).filter("room > 0")
-            .select("class_id", "length", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("s"))
-            .select("class_id", "length", F.col("s.element").alias("element")))
+            .select("digest", "length", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("s"))
+            .select("digest", "length", F.col("s.element").alias("element")))
     part = F.floor(F.log(F.col("length").cast("double")) / -math.log(threshold)).cast("int")
     left = rare.withColumn("part", part).withColumn("meets", F.explode(F.array(F.col("part"), F.col("part") + 1)))
-    right = rare.select(F.col("class_id").alias("other"), F.col("length").alias("longer"), "element", part.alias("meets"))
+    right = rare.select(F.col("digest").alias("other"), F.col("length").alias("longer"), "element", part.alias("meets"))
     found = (left.join(right, ["element", "meets"])
-             .filter((F.col("class_id") != F.col("other")) & (F.col("longer") >= F.col("length"))
-                     & ((F.col("longer") > F.col("length")) | (F.col("class_id") < F.col("other")))
+             .filter((F.col("digest") != F.col("other")) & (F.col("longer") >= F.col("length"))
+                     & ((F.col("longer") > F.col("length")) | (F.col("digest") < F.col("other")))
                      & (F.col("length") >= threshold * F.col("longer") - 1e-9))
-             .select(F.least("class_id", "other").alias("a"), F.greatest("class_id", "other").alias("b")).distinct())
-    one = classes.select(F.col("class_id").alias("a"), F.col("elements").alias("ea"))
-    two = classes.select(F.col("class_id").alias("b"), F.col("elements").alias("eb"))
+             .select(F.col("digest").alias("da"), F.col("other").alias("db")).distinct())
+    one = classes.select(F.col("digest").alias("da"), F.col("class_id").alias("ca"), F.col("elements").alias("ea"))
+    two = classes.select(F.col("digest").alias("db"), F.col("class_id").alias("cb"), F.col("elements").alias("eb"))
     common = F.size(F.array_intersect("ea", "eb"))
-    pairs = (found.join(one, "a").join(two, "b")
+    pairs = (found.join(one, "da").join(two, "db")
              .withColumn("similarity", common / (F.size("ea") + F.size("eb") - common))
-             .filter(F.col("similarity") >= threshold - 1e-12).select("a", "b", "similarity"))
+             .filter(F.col("similarity") >= threshold - 1e-12).select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "similarity"))
     return members, pairs
 
 

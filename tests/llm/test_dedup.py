@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from samples import prose
 import xxhash
 
 from tessera.llm import simhash_trie, spotsigs, superkmer_dedup
@@ -172,3 +173,18 @@ def test_all_pairs_of_near_duplicates(spark, docs, rows, none):
     assert got == pytest.approx({k: v for k, v in found.items() if v >= 0.5 - 1e-12}) and len(got) >= 10
     members, pairs = spotsigs.near_duplicates(spark, none)
     assert members.count() == 0 and pairs.count() == 0
+
+
+def test_near_duplicates_of_one_id(spark):
+    """Near copies without ids, or all under one id, are linked, each pair once."""
+    rng = random.Random(3)
+    words = prose(rng, 200).split()
+    texts = [" ".join([*words[:i], "Changed", *words[i + 1:]]) for i in (20, 90, 160)]
+    sets = [spotsigs.signatures(t) for t in texts]
+    want = sorted(spotsigs.likeness(a, b) for i, a in enumerate(sets) for b in sets[i + 1:] if a != b)
+    assert len(want) == 3 and want[0] >= 0.5
+    for doc_id in (None, 7):
+        frame = spark.createDataFrame([(doc_id, t) for t in texts], "doc_id bigint, text string")
+        pairs = spotsigs.near_duplicates(spark, frame, 0.5)[1].collect()
+        assert sorted(r.similarity for r in pairs) == pytest.approx(want)
+        assert {(r.a, r.b) for r in pairs} == {(doc_id or -1, doc_id or -1)}
