@@ -2,7 +2,22 @@
 
 from __future__ import annotations
 
-from . import base, bpe_bitmap, crossparse_lang, dimension_scan, hmm_scores, kk_packing, random_secrets, simhash_trie, spotsigs, superkmer_dedup, unigram_count  # noqa: F401 - they register their queries
+from . import (  # noqa: F401 - they register their queries
+    base,
+    bpe_bitmap,
+    crossparse_lang,
+    dimension_scan,
+    hmm_scores,
+    kk_packing,
+    line_dedup,
+    random_secrets,
+    simhash_trie,
+    spotsigs,
+    superkmer_dedup,
+    term_scan,
+    turn_repair,
+    unigram_count,
+)
 
 
 def queries():
