@@ -31,6 +31,8 @@ BRONZE = "daily_air_quality_data"
 STATIONS_LANDING = "station_names"
 STATIONS_BRONZE = "air_quality_station_names"
 PCOLS = ["date", "station_number"]
+#: Folders of the station table, whatever the number of stations.
+STATION_BUCKETS = 16
 
 
 def append_ledger(rows: DataFrame, ledger_path: str) -> None:
@@ -83,9 +85,9 @@ def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, l
     done = outcome.filter(F.col("outcome") == "ok").select("request_id")
     rows = S.enrich(S.flatten_pages(pages.join(done, "request_id", "left_semi"), MEASUREMENT_RECORD, extra=True), params)
     landed_keys = params.join(done, "request_id", "left_semi").select(F.col("date").cast("date").alias("date"), "station_number")
-    path = B.write_partitioned(rows, lake_root, LANDING, PCOLS, MEASUREMENTS, keys=landed_keys)
-
-    landed = B._partitions_only(B.read_all_partitions(spark, lake_root, LANDING, MEASUREMENTS), landed_keys, PCOLS)
+    path = B.asset_path(lake_root, LANDING)
+    version = B.publish_partitions(rows, lake_root, LANDING, PCOLS, MEASUREMENTS, keys=landed_keys)
+    landed = B.read_partitions(spark, path, landed_keys, MEASUREMENTS, PCOLS, version)
     versions = data_version(landed.withColumn("request_id", encode_columns(*PCOLS)), ["request_id"],
                             ["formula", "value", "timestamp_measured"])
     t = as_col(now)
@@ -117,7 +119,7 @@ def bronze_daily_measurements(spark: SparkSession, lake_root: str, ledger: DataF
                                             zip(_split(F.col("partition_key")), PCOLS)]))
     data = B.read_partitions_lenient(spark, lake_root, LANDING, requested, ledger, MEASUREMENTS, PCOLS)
     B.write_partitioned(data, bronze_root, BRONZE, ["date"], MEASUREMENTS, keys=daily)
-    bronze = B._partitions_only(B.read_all_partitions(spark, bronze_root, BRONZE, MEASUREMENTS), daily, ["date"])
+    bronze = B.read_partitions(spark, B.asset_path(bronze_root, BRONZE), daily, MEASUREMENTS, ["date"])
     written = bronze.groupBy(F.col("date").cast("string").alias("date")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("station_number").alias("n_stations"))
     missing = (B.missing_on_load(requested, ledger, LANDING, PCOLS)
@@ -135,7 +137,7 @@ def _split(key):
 def landing_stations(spark: SparkSession, station_list_path: str, lake_root: str,
                      transport: dict[str, str]) -> DataFrame:
     """One detail record per listed station -> landing, one partition per
-    station (S8 -> S1 single-object fetch -> S4 -> B1).  Raises if any station
+    station in hash-bucket folders (S8 -> S1 single-object fetch -> S4 -> B1).  Raises if any station
     could not be fetched; nothing lands then."""
     stations = S.read_stations(spark, station_list_path)
     reqs = stations.select(F.concat(F.lit("stations/"), "number").alias("request_id"),
@@ -148,7 +150,7 @@ def landing_stations(spark: SparkSession, station_list_path: str, lake_root: str
     if failed:
         raise RuntimeError(f"stations not fetched: {[tuple(r) for r in failed]}")
     details = S.single_objects(answers, STATION_DETAIL).drop("request_id")
-    B.write_partitioned(details, lake_root, STATIONS_LANDING, ["number"], STATION_DETAIL)
+    B.write_partitioned(details, lake_root, STATIONS_LANDING, ["number"], STATION_DETAIL, buckets=STATION_BUCKETS)
     return B.read_all_partitions(spark, lake_root, STATIONS_LANDING, STATION_DETAIL)
 
 
@@ -191,4 +193,4 @@ def report_storage(spark: SparkSession, lake_root: str, asset_key: str, ledger_p
     new = L.reconcile_storage(keys, ledger, asset_key)
     events = L.report_materialized(new, asset_key, now)
     append_ledger(events, ledger_path)
-    return read_ledger(spark, ledger_path).filter(F.col("event_time") == as_col(now))
+    return read_ledger(spark, ledger_path).filter((F.col("asset_key") == asset_key) & (F.col("event_time") == as_col(now)))

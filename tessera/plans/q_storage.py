@@ -139,7 +139,7 @@ def q_read_unpartitioned(spark, d):
 def q_read_all_partitions(spark, d):
     """Station table written one partition per station, read back as one."""
     root = scratch_path(spark, "b8")
-    B.write_partitioned(V.stations(spark, d), root, "station_names", ["number"], STATION)
+    B.write_partitioned(V.stations(spark, d), root, "station_names", ["number"], STATION, buckets=16)
     return B.read_all_partitions(spark, root, "station_names", STATION).select("number", "location")
 
 

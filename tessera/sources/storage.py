@@ -1,18 +1,23 @@
 """Parquet lake: partitioned / unpartitioned writes and strict / lenient reads
 (B1–B11).
 
-Layout: ``{root}/{asset}/`` is one Parquet dataset.  A partitioned asset has one
-folder per value of its first partition column (``date=…``); its other partition
-columns are data columns by which each folder's rows are sorted, so row groups
-prune on them.  Files then hold a day, not a (day, station), however many
-stations there are.  Replacing some (day, station) partitions rewrites the days
-they touch and carries the untouched stations over.  The pipe-joined key string
-is derived at the edge and never used as a physical path.
+Layout: ``{root}/{asset}/`` is one table of versions (``sources.snapshots``).
+A partitioned asset has one folder per value of its first partition column
+(``date=…``), or with ``buckets`` that many folders by hash of its partition
+columns, however many values there are; the partition columns are data columns
+by which each folder's rows are sorted, so row groups prune on them.  Files then
+hold a day, not a (day, station).  Replacing some (day, station) partitions
+rewrites the days they touch, carries the untouched stations over and publishes
+a new version: readers see the old one or the new one, and writers of one day at
+the same time lose nothing.  Which partitions a version holds, with their files
+and row counts, is read from its index.  The pipe-joined key string is derived
+at the edge and never used as a physical path.
 
 Writes cast to the declared schema first (the upstream JSON drifts: an
-all-integer day must still be stored as double), always use dynamic partition
-overwrite and ask AQE to ``rebalance`` on the folder column: a day holding a
-third of all rows is split over several tasks and files, small ones are coalesced.
+all-integer day must still be stored as double) and ask AQE to ``rebalance`` on
+the folder column: a day holding a third of all rows is split over several tasks
+and files, small ones are coalesced.  A table written by others without
+manifests can be read, not written.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from tessera.functions.keys import encode_columns
 from tessera.functions.timefn import as_col
 from tessera.operators.ledger import MissingPartitionsError, latest_status
 from tessera.schemas import REMOTE_SCHEMES, ROW_GROUP_ROWS, STATUS_MATERIALIZED
+from tessera.sources import snapshots
 
 
 def asset_path(root: str, asset_key: str) -> str:
@@ -49,61 +55,55 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-#: Folder values that become literal filters; with more, their range does.
-LITERAL_FOLDERS = 1000
-
-
-def _folder_filter(data: DataFrame, keys: DataFrame, folder: str) -> DataFrame:
-    """Only the folders that ``keys`` name, as literals so that the scan prunes whatever the size of ``keys``."""
-    kind = data.schema[folder].dataType
-    values = keys.select(F.col(folder).cast(kind).alias(folder)).filter(F.col(folder).isNotNull()).distinct()
-    some = [r[0] for r in values.limit(LITERAL_FOLDERS + 1).collect()]
-    if len(some) <= LITERAL_FOLDERS:
-        return data.filter(F.col(folder).isin(some)) if some else data.filter(F.lit(False))
-    low, high = values.agg(F.min(folder), F.max(folder)).first()
-    return data.filter(F.col(folder).between(low, high))
-
-
-def _partitions_only(data: DataFrame, keys: DataFrame, partition_cols: list[str], how: str = "left_semi") -> DataFrame:
-    """Rows of ``data`` in (or with ``left_anti`` outside) the partitions of ``keys``, from their folders only."""
-    wanted = keys.select(*[F.col(c).cast(data.schema[c].dataType).alias(c) for c in partition_cols]).distinct()
-    return _folder_filter(data, wanted, partition_cols[0]).join(wanted, partition_cols, how)
-
-
-def _delete_folders(spark: SparkSession, path: str, folder: str, values: list) -> None:
-    jvm = spark.sparkContext._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}={escape(str(v))}")
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def read_partitions(spark: SparkSession, path: str, keys: DataFrame, schema: T.StructType, partition_cols: list[str],
+                    version: int | None = None) -> DataFrame:
+    """Rows of the partitions of ``keys``, from their folders only: the days (or buckets) of ``keys`` choose the paths
+    to scan and, for days, become literal partition filters; the exact keys follow as a semi-join."""
+    wanted = keys.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in partition_cols]).distinct()
+    snap = snapshots.snapshot(spark, path, version)
+    if snap is None:
+        data = _plain(spark, path, schema)
+    else:
+        folders = snapshots.folders_of(wanted, snap)
+        data = snapshots.read(spark, path, schema, snap, folders)
+        if not snap.buckets and folders:
+            data = data.filter(_in_folders(data, partition_cols[0], folders))
+    return data.join(wanted, snapshots.same_key(data, wanted, partition_cols), "left_semi")
+
+
+def _in_folders(data: DataFrame, col: str, folders: set[str]) -> F.Column:
+    """The values that name ``folders``, as literals."""
+    unescape = data.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [f.split("=", 1)[1] for f in sorted(folders)]
+    values = [F.lit(unescape(n)).cast(data.schema[col].dataType) for n in names if n != snapshots.NULL_FOLDER]
+    named = F.col(col).isin(values) if values else F.lit(False)
+    return named | F.col(col).isNull() if snapshots.NULL_FOLDER in names else named
+
+
+def _plain(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that others wrote, without versions."""
+    if not _path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def write_partitioned(df: DataFrame, root: str, asset_key: str, partition_cols: list[str],
-                      schema: T.StructType | None = None,
-                      max_records_per_file: int = ROW_GROUP_ROWS, keys: DataFrame | None = None) -> str:
+                      schema: T.StructType | None = None, max_records_per_file: int = ROW_GROUP_ROWS,
+                      keys: DataFrame | None = None, buckets: int | None = None) -> str:
     """B1 (+B3): replace exactly the partitions in ``keys`` (default: those
     present in ``df``).  A partition of ``keys`` without rows ends up empty;
     all others survive.  ``df`` must hold no other partitions than ``keys``."""
+    publish_partitions(df, root, asset_key, partition_cols, schema, max_records_per_file, keys, buckets)
+    return asset_path(root, asset_key)
+
+
+def publish_partitions(df: DataFrame, root: str, asset_key: str, partition_cols: list[str],
+                       schema: T.StructType | None = None, max_records_per_file: int = ROW_GROUP_ROWS,
+                       keys: DataFrame | None = None, buckets: int | None = None) -> int:
+    """``write_partitioned``; returns the number of the version it published."""
     out = conform(df, schema) if schema is not None else df
-    path = asset_path(root, asset_key)
-    spark = df.sparkSession
-    folder, emptied = partition_cols[0], []
-    if _path_exists(spark, path):
-        old = spark.read.schema(out.schema).option("basePath", path).parquet(path)
-        touched = out if keys is None else keys
-        if len(partition_cols) > 1:
-            out = out.unionByName(_partitions_only(old, touched, partition_cols, "left_anti"))
-        if keys is not None:
-            left = out.select(folder).distinct()
-            gone = keys.select(F.col(folder).cast(old.schema[folder].dataType).alias(folder)).distinct()
-            emptied = [r[0] for r in gone.join(left, folder, "left_anti").collect()]  # a value a day
-    (out.hint("rebalance", folder).sortWithinPartitions(*partition_cols)
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(folder).parquet(path))
-    _delete_folders(spark, path, folder, emptied)
-    return path
+    return snapshots.replace_partitions(out, asset_path(root, asset_key), partition_cols, max_records_per_file, keys,
+                                        buckets).version
 
 
 def write_unpartitioned(df: DataFrame, root: str, asset_key: str, schema: T.StructType | None = None,
@@ -129,29 +129,34 @@ def read_unpartitioned(spark: SparkSession, root: str, asset_key: str, schema: T
     return spark.read.schema(schema).parquet(path)
 
 
-def read_all_partitions(spark: SparkSession, root: str, asset_key: str, schema: T.StructType) -> DataFrame:
-    """Fan in every partition of a partitioned table.
+def read_all_partitions(spark: SparkSession, root: str, asset_key: str, schema: T.StructType,
+                        version: int | None = None) -> DataFrame:
+    """Fan in every partition of a partitioned table, of its newest version or the one asked for.
 
     The declared schema includes the partition columns, so keys such as
     station numbers stay strings (no partition-type inference).
     """
     path = asset_path(root, asset_key)
-    if not _path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    snap = snapshots.snapshot(spark, path, version)
+    return _plain(spark, path, schema) if snap is None else snapshots.read(spark, path, schema, snap)
 
 
 def read_partitions_strict(spark: SparkSession, root: str, asset_key: str, keys: DataFrame,
                            schema: T.StructType, partition_cols: list[str]) -> DataFrame:
     """Load exactly ``keys``; any key without rows raises.  Presence is
-    read from the partition columns of the keys' folders alone."""
-    data = read_all_partitions(spark, root, asset_key, schema)
+    read from the version's index, not from the data."""
+    path = asset_path(root, asset_key)
     wanted = keys.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in partition_cols]).distinct()
-    present = _folder_filter(data, wanted, partition_cols[0]).select(*partition_cols).distinct()
-    sample = wanted.join(present, partition_cols, "left_anti").limit(20).collect()
+    snap = snapshots.snapshot(spark, path)
+    if snap is None:
+        present = _plain(spark, path, schema).select(*partition_cols).distinct()
+    else:
+        present = snapshots.read_index(spark, path, snap).select(
+            *[F.col(c).cast(schema[c].dataType).alias(c) for c in partition_cols])
+    sample = wanted.join(present, snapshots.same_key(wanted, present, partition_cols), "left_anti").limit(20).collect()
     if sample:
         raise MissingPartitionsError(f"Missing partitions: {[tuple(r) for r in sample]}")
-    return _partitions_only(data, wanted, partition_cols)
+    return read_partitions(spark, path, wanted, schema, partition_cols, snap and snap.version)
 
 
 def loadable_keys(requested: DataFrame, ledger: DataFrame, asset_key: str,
@@ -183,7 +188,7 @@ def read_partitions_lenient(spark: SparkSession, root: str, asset_key: str, requ
     loadable partitions or a missing table give an empty typed DataFrame.
     """
     keys = loadable_keys(requested, ledger, asset_key, partition_cols)
-    return _partitions_only(read_all_partitions(spark, root, asset_key, schema), keys, partition_cols)
+    return read_partitions(spark, asset_path(root, asset_key), keys, schema, partition_cols)
 
 
 # Location rules: fixed scheme names.
@@ -210,13 +215,17 @@ def list_partition_files(spark: SparkSession, root: str, asset_key: str,
                          partition_cols: list[str], suffix: str = "parquet") -> DataFrame:
     """Partition keys that exist in storage, as strings.
 
-    Two layouts: our folders (keys from a scan of the partition columns, so
-    nothing is decoded from paths), and files named by their key,
+    Of our tables, from the version's index.  Of tables that others wrote:
+    folders by the first column (keys from a scan of the partition columns, so
+    nothing is decoded from paths) and files named by their key,
     ``{asset}/{key}.parquet``, whose pipe-joined, maybe percent-encoded key is
     taken apart.
     """
     path = asset_path(root, asset_key)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in partition_cols])
+    snap = snapshots.snapshot(spark, path)
+    if snap is not None:
+        return snapshots.read_index(spark, path, snap).select(*partition_cols).distinct()
     if not _path_exists(spark, path):
         return spark.createDataFrame([], schema)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -227,8 +236,7 @@ def list_partition_files(spark: SparkSession, root: str, asset_key: str,
     named = files.filter(~in_folder).select(*[F.get(parts, i).alias(c) for i, c in enumerate(partition_cols)])
     if not files.filter(in_folder).limit(1).collect():
         return named.distinct()
-    stored = T.StructType([T.StructField(c, T.StringType()) for c in partition_cols])
-    data = spark.read.schema(stored).option("basePath", path).parquet(f"{path}/{partition_cols[0]}=*")
+    data = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{partition_cols[0]}=*")
     return data.select(*partition_cols).unionByName(named).distinct()
 
 
@@ -236,14 +244,21 @@ def output_metadata(spark: SparkSession, path: str, asset_key: str, partition_co
                     now, schema: T.StructType, keys: DataFrame | None = None) -> DataFrame:
     """After a write, one ledger row per (partition, file) with its row
     count, for the partitions in ``keys`` (default: all of the asset)."""
-    data = spark.read.schema(schema).option("basePath", path).parquet(path)
-    data = data.select("*", F.col("_metadata.file_path").alias("_file"))
+    snap = snapshots.snapshot(spark, path)
+    if snap is None:
+        data = spark.read.schema(schema).option("basePath", path).parquet(path).select(
+            *[F.col(c).cast("string").alias(c) for c in partition_cols], F.col("_metadata.file_path").alias("path"))
+        counts = data.groupBy(*partition_cols, "path").agg(F.count(F.lit(1)).alias("row_count"))
+    else:
+        folders = None if keys is None else snapshots.folders_of(
+            keys.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in partition_cols]), snap)
+        counts = snapshots.read_index(spark, path, snap, folders)
     if keys is not None:
-        data = _partitions_only(data, keys, partition_cols)
-    counts = data.groupBy(*partition_cols, F.col("_file").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+        wanted = keys.select(*[F.col(c).cast(schema[c].dataType).cast("string").alias(c) for c in partition_cols]).distinct()
+        counts = counts.join(wanted, snapshots.same_key(counts, wanted, partition_cols), "left_semi")
     return counts.select(
         F.lit(asset_key).alias("asset_key"),
         encode_columns(*partition_cols).alias("partition_key"),
-        *[F.col(c).cast("string").alias(c) for c in partition_cols],
+        *partition_cols,
         F.lit(STATUS_MATERIALIZED).alias("status"),
         as_col(now).alias("event_time"), "path", "row_count")
