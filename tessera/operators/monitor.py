@@ -4,14 +4,15 @@ points, cursor advance, job statistics and downstream gating (M1–M5, M7–M13)
 Runs are rows of ``(run_id, job_name, status, asset_selection, location,
 tags map, update_time, end_time)``.  Everything is a filter, projection, hash
 aggregate (with map-side partial aggregation) or hash join.  "Latest run of
-a partition" is ``max(struct(end_time, run_id, status))`` per key, never a
-sort of the whole key.
+a partition" is ``max(struct(update_time, run_id, status))`` per key, never a
+sort of the whole key: a run in flight has no end time, but it has been updated.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.tags import tag, tag_or, trigger_name, trigger_type
 from tessera.functions.timefn import as_col, epoch_split
@@ -95,8 +96,9 @@ def runs_by_trigger(runs: DataFrame, statuses, partitions: DataFrame,
 
 
 def latest_run_per_partition(runs: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Latest run (by end time, then run id) per group: partial-aggregated."""
-    latest = F.max(F.struct("end_time", "run_id", "status")).alias("_l")
+    """Latest run (by update time, then run id) per group, one in flight
+    included: partial-aggregated."""
+    latest = F.max(F.struct("update_time", "run_id", "status")).alias("_l")
     return runs.groupBy(*group_cols).agg(latest).select(
         *group_cols, F.col("_l.status").alias("status"), F.col("_l.run_id").alias("run_id"))
 
@@ -120,14 +122,24 @@ def job_statistics(expected: DataFrame, runs: DataFrame, trigger_col: str = "tri
             .withColumn("unfinished", F.col("total") - F.col("done")))
 
 
-def run_key_dedupe(requests: DataFrame, runs: DataFrame) -> DataFrame:
+def run_key_dedupe(requests: DataFrame, runs: DataFrame, order_cols: list[str] | None = None) -> DataFrame:
     """Drop trigger requests whose run key was already requested in this
     tick (dedupe) or already completed successfully (anti-join).  Requests
-    without a run key ask for no such check and all stay."""
+    without a run key ask for no such check and all stay.  Of several requests
+    of one key the first by ``order_cols`` stays (default: by all columns that
+    have an order, nulls first)."""
+    others = [c for c in requests.columns if c != "run_key"]
+    if order_cols is None:
+        order_cols = [c for c in others if not isinstance(requests.schema[c].dataType, (T.MapType, T.VariantType))]
     done = (runs.filter(F.col("status") == "SUCCESS")
             .select(tag("tags", TAG_RUN_KEY).alias("run_key")).filter(F.col("run_key").isNotNull()))
-    keyed = requests.filter(F.col("run_key").isNotNull()).dropDuplicates(["run_key"]).join(done, "run_key", "left_anti")
-    return keyed.unionByName(requests.filter(F.col("run_key").isNull()))
+    asked = requests.filter(F.col("run_key").isNotNull()).join(done, "run_key", "left_anti")
+    if order_cols:
+        first = F.min_by(F.struct(*others), F.struct(*order_cols)).alias("_first")
+        keyed = asked.groupBy("run_key").agg(first).select("run_key", "_first.*")
+    else:
+        keyed = asked.dropDuplicates(["run_key"])
+    return keyed.select(*requests.columns).unionByName(requests.filter(F.col("run_key").isNull()))
 
 
 def unfinished_counter(tick_log: DataFrame, threshold: int = UNFINISHED_SKIP_THRESHOLD) -> DataFrame:

@@ -33,25 +33,43 @@ STATIONS_BRONZE = "air_quality_station_names"
 PCOLS = ["date", "station_number"]
 #: Folders of the station table, whatever the number of stations.
 STATION_BUCKETS = 16
+REJECTS = "_rejects"
 
 
 def append_ledger(rows: DataFrame, ledger_path: str) -> None:
-    """Append events to the ledger table, a folder per asset.  Ids are
-    deterministic (L7), and events whose id is already there stay out, so a
-    repeated run adds nothing."""
+    """Append events to the ledger table: a folder of its own per append, so
+    that appends at the same time don't meet, below it one per asset.  Events
+    that are already there stay out, so a repeated run adds nothing; only the
+    times and assets that are written are looked up."""
     spark = rows.sparkSession
     new = B.conform(rows, LEDGER)
     if B._path_exists(spark, ledger_path):
-        assets = [r[0] for r in new.select("asset_key").distinct().collect()]
-        known = read_ledger(spark, ledger_path).filter(F.col("asset_key").isin(assets)).select("event_id")
-        new = new.join(known, "event_id", "left_anti")
-    B.conform(new, LEDGER).write.mode("append").partitionBy("asset_key").parquet(ledger_path)
+        span = new.agg(F.collect_set("asset_key").alias("assets"), F.min("event_time").alias("low"), F.max("event_time").alias("high"))
+        assets, low, high = span.first()
+        key = ["asset_key", "partition_key", "event_id"]
+        known = read_ledger(spark, ledger_path).filter(
+            F.col("asset_key").isin(assets) & F.col("event_time").between(F.lit(low), F.lit(high))).select(*key)
+        new = new.join(known, key, "left_anti")
+    B.conform(new, LEDGER).write.partitionBy("asset_key").parquet(f"{ledger_path}/append=a{uuid.uuid4().hex}")
+
+
+def number_events(events: DataFrame, ledger: DataFrame) -> DataFrame:
+    """``events`` (asset_key, partition_key, event_time, status, data_version) with their ``event_id``.  The first
+    event of a partition at a time gets a hash; one that says something new at the same logical time gets the next
+    number, so a retry overrules what it retries; one that repeats the last is left out."""
+    key = ["asset_key", "partition_key", "event_time"]
+    before = ledger.groupBy(*key).agg(F.max(F.struct("event_id", "status", "data_version")).alias("_last"))
+    first = F.shiftrightunsigned(F.xxhash64(*key), 2)  # leaves room above
+    joined = events.join(before, key, "left")
+    repeats = joined["status"].eqNullSafe(F.col("_last.status")) & joined["data_version"].eqNullSafe(F.col("_last.data_version"))
+    return (joined.filter(F.col("_last").isNull() | ~repeats)
+            .withColumn("event_id", F.coalesce(F.col("_last.event_id") + 1, first)).drop("_last"))
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     if not B._path_exists(spark, ledger_path):
         return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(ledger_path)
+    return spark.read.schema(LEDGER).option("basePath", ledger_path).parquet(ledger_path).select(*LEDGER.fieldNames())
 
 
 def request_waves(params: DataFrame, calls_per_wave: int = RATE_CALLS) -> DataFrame:
@@ -73,17 +91,22 @@ def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, l
     F1 version -> ledger append.  A request is MATERIALIZED only if all its
     pages came and the chain is complete; its partition is replaced even by no
     rows.  A 500 or an unreadable page makes it FAILED, anything else leaves no
-    event and it stays due.  Returns the appended ledger rows.
+    event and it stays due.  Records that can't land go to the run's reject
+    table (``read_rejects``).  A retry at the same ``now`` overrules the events
+    of the run it repeats.  Returns the ledger rows of ``now``.
     """
     params = S.request_params(keys.select("partition_key").distinct())
-    raw_path = f"{lake_root}/_raw_pages/run={uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    raw_path = f"{lake_root}/_raw_pages/run={run}"
     rest_source.fetch(S.request_rows(params), transport).write.parquet(raw_path)          # fetch exactly once
     pages = S.classify_responses(spark.read.parquet(raw_path))
-    outcome_path = f"{lake_root}/_outcomes/run={uuid.uuid4().hex}"
+    outcome_path = f"{lake_root}/_outcomes/run={run}"
     S.request_outcomes(pages).write.parquet(outcome_path)
     outcome = spark.read.parquet(outcome_path)
     done = outcome.filter(F.col("outcome") == "ok").select("request_id")
-    rows = S.enrich(S.flatten_pages(pages.join(done, "request_id", "left_semi"), MEASUREMENT_RECORD, extra=True), params)
+    good_pages = pages.join(done, "request_id", "left_semi")
+    rows = S.enrich(S.flatten_pages(good_pages, MEASUREMENT_RECORD, extra=True), params)
+    S.rejected_records(good_pages, MEASUREMENT_RECORD).write.parquet(f"{lake_root}/{REJECTS}/run={run}")
     landed_keys = params.join(done, "request_id", "left_semi").select(F.col("date").cast("date").alias("date"), "station_number")
     path = B.asset_path(lake_root, LANDING)
     version = B.publish_partitions(rows, lake_root, LANDING, PCOLS, MEASUREMENTS, keys=landed_keys)
@@ -96,14 +119,23 @@ def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, l
     events = outcome.join(versions, "request_id", "left").filter(status.isNotNull()).select(
         F.lit(LANDING).alias("asset_key"), F.col("request_id").alias("partition_key"),
         status.alias("status"), t.alias("event_time"),
-        F.abs(F.xxhash64(F.lit(LANDING), "request_id", t)).alias("event_id"),
         F.when(status == STATUS_MATERIALIZED, F.concat(F.lit(f"{path}/date="), F.split("request_id", r"\|")[0])).alias("path"),
         F.coalesce("n_rows", F.lit(0)).cast("long").alias("row_count"),
         F.when(status == STATUS_MATERIALIZED, F.coalesce("data_version", F.lit("0-0-0"))).alias("data_version"))
-    append_ledger(events, ledger_path)
+    at_now = read_ledger(spark, ledger_path).filter((F.col("asset_key") == LANDING) & (F.col("event_time") == t))
+    append_ledger(number_events(events, at_now), ledger_path)
     return read_ledger(spark, ledger_path).filter((F.col("asset_key") == LANDING) & (F.col("event_time") == t))
 
 
+def read_rejects(spark: SparkSession, lake_root: str) -> DataFrame:
+    """Records of all G1 runs that could not land: request_id, page, place, reasons, raw, run."""
+    path = f"{lake_root}/{REJECTS}"
+    schema = "request_id string, page int, place int, reasons array<string>, raw string, run string"
+    if not B._path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/run=*")
+
+
 def bronze_daily_measurements(spark: SparkSession, lake_root: str, ledger: DataFrame,
                               daily: DataFrame, upstream: DataFrame, bronze_root: str) -> DataFrame:
     """Landing (day, station) partitions of each requested day -> one
@@ -145,7 +177,7 @@ def landing_stations(spark: SparkSession, station_list_path: str, lake_root: str
                            F.lit(None).cast("string").alias("params_json"))
     raw_path = f"{lake_root}/_raw_stations/run={uuid.uuid4().hex}"
     rest_source.fetch(reqs, transport, paginate=False).write.parquet(raw_path)
-    answers = S.classify_responses(spark.read.parquet(raw_path))
+    answers = S.classify_responses(spark.read.parquet(raw_path), "OBJECT")
     failed = answers.filter(F.col("outcome") != "ok").select("request_id", "status", "outcome").limit(20).collect()
     if failed:
         raise RuntimeError(f"stations not fetched: {[tuple(r) for r in failed]}")

@@ -9,7 +9,7 @@ from tessera.functions.timefn import ts_lit
 from tessera.plans import flows as G
 from tessera.plans.q_freshness import VERSION_SQL
 from tessera.plans.q_ledger import GRID_SQL, LEDGER_AS_OF, PLAN_SQL, RECONCILE_SQL, measurement_grid
-from tessera.plans.q_sources import measurement_pages
+from tessera.plans.q_sources import measurement_pages, short_times
 from tessera.plans.q_storage import shared_landing
 from tessera.plans.registry import register
 from tessera.plans.sqlviews import with_views
@@ -26,7 +26,9 @@ def g1_replay(spark: SparkSession, d: str, path: str) -> None:
     """Saved answers for the whole grid, one record a page.  Without data: HTTP
     500 on odd days and 429 on even days.  With data, by the first record's id
     modulo 17: 1 page 2 is 429, 2 page 2 is 500, 3 page 1 is 206 (fine), 4 page 2
-    points back to page 1, 5 the body of page 1 is cut off."""
+    points back to page 1, 5 the body of page 1 is cut off, 6 times have no more
+    fraction digits than they need and an offset, 7 values are strings, 8 page 1
+    holds an object instead of a list, 9 a number stands beside the records."""
     first = V.measurement_ledger(spark, d).select(F.col("partition_key").alias("request_id"),
                                                   (F.floor(F.col("event_id") / 2) % 17).alias("_rule"))
     pages = measurement_pages(spark, d, page_size=1).join(first, "request_id")
@@ -34,7 +36,11 @@ def g1_replay(spark: SparkSession, d: str, path: str) -> None:
     status = (F.when(second & (rule == 1), 429).when(second & (rule == 2), 500).when(head & (rule == 3), 206)
               .otherwise(F.col("status")))
     body = (F.when(second & (rule == 4), F.regexp_replace("body", '"next_page":[0-9]+', '"next_page":1'))
-            .when(head & (rule == 5), F.substring("body", 1, 40)).otherwise(F.col("body")))
+            .when(head & (rule == 5), F.substring("body", 1, 40))
+            .when(rule == 6, short_times("body"))
+            .when(rule == 7, F.regexp_replace("body", '"value":([-0-9.E]+)', '"value":"$1"'))
+            .when(head & (rule == 8), F.regexp_replace("body", r'"data":\[(.*)\]', '"data":$1'))
+            .when(rule == 9, F.replace("body", F.lit('"data":['), F.lit('"data":[17,'))).otherwise(F.col("body")))
     pages = pages.select("request_id", "page", status.cast("int").alias("status"), body.alias("body"))
     grid = measurement_grid(spark, d)
     errors = (grid.join(first.select(F.col("request_id").alias("partition_key")), "partition_key", "left_anti")
@@ -52,7 +58,7 @@ FROM (SELECT g.partition_key, v.*,
              CASE WHEN v.n_rows IS NULL THEN CASE WHEN dayofmonth(g.date) % 2 = 1 THEN 'failed' ELSE 'due' END
                   WHEN p.first_id % 17 IN (1, 4) AND p.n >= 2 THEN 'due'
                   WHEN p.first_id % 17 = 2 AND p.n >= 2 THEN 'failed'
-                  WHEN p.first_id % 17 = 5 THEN 'failed' ELSE 'ok' END AS outcome
+                  WHEN p.first_id % 17 IN (5, 8) THEN 'failed' ELSE 'ok' END AS outcome
       FROM grid g LEFT JOIN ({VERSION_SQL.replace('FROM src', 'FROM v_measurements')}) v
         ON v.date = g.date AND v.station_number = g.station_number
       LEFT JOIN v_parts p ON p.date = g.date AND p.station_number = g.station_number) o

@@ -101,7 +101,7 @@ SELECT trigger_name, count(*) AS total,
        count(*) FILTER (WHERE status = 'FAILURE') AS failed,
        count(*) FILTER (WHERE status IN ('SUCCESS', 'FAILURE')) AS done,
        count(*) FILTER (WHERE status NOT IN ('SUCCESS', 'FAILURE')) AS unfinished
-FROM (SELECT {TNAME_SQL} AS trigger_name, partition_key, arg_max(status, (end_us, run_id)) AS status
+FROM (SELECT {TNAME_SQL} AS trigger_name, partition_key, arg_max(status, (update_us, run_id)) AS status
       FROM v_runs WHERE partition_key IS NOT NULL AND (backfill IS NOT NULL OR schedule IS NOT NULL)
       GROUP BY 1, 2) t
 GROUP BY trigger_name""", "v_runs"))
@@ -140,7 +140,7 @@ SELECT daily_key, count(*) AS n_upstream,
        count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILURE')) AS n_unfinished,
        count(*) FILTER (WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILURE')) = 0 AS ready
 FROM (SELECT DISTINCT tag_daily AS daily_key, partition_key FROM v_runs WHERE partition_key IS NOT NULL) e
-LEFT JOIN (SELECT partition_key, arg_max(status, (end_us, run_id)) AS status FROM v_runs
+LEFT JOIN (SELECT partition_key, arg_max(status, (update_us, run_id)) AS status FROM v_runs
            WHERE job_name = '{JOB}' AND partition_key IS NOT NULL GROUP BY partition_key) t USING (partition_key)
 GROUP BY 1""", "v_runs"))
 def q_downstream_ready(spark, d):

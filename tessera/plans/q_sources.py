@@ -29,6 +29,11 @@ def measurement_pages(spark: SparkSession, d: str, page_size: int = PAGE_SIZE) -
     return S.page_envelopes(m, "request_id", RECORD_COLS, ["timestamp_measured", "event_id"], page_size)
 
 
+def short_times(body) -> F.Column:
+    """Bodies whose times have only the fraction digits they need, and an offset instead of Z."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(body, r"\.0+Z", "Z"), r"(\.\d*[1-9])0+Z", "$1Z"), '(:\\d\\d(?:\\.\\d+)?)Z"', '$1+00:00"')
+
+
 def _records_out(df: DataFrame) -> DataFrame:
     return df.select("request_id", "event_id", "formula", "value",
                      F.unix_micros("timestamp_measured").alias("ts_us"))
@@ -40,7 +45,27 @@ FROM v_measurements"""
 
 @register("rest_pages_flatten", with_views(RECORDS_SQL, "v_measurements"))
 def q_rest_pages_flatten(spark, d):
-    return _records_out(S.flatten_pages(measurement_pages(spark, d)))
+    """Every other page has times with only the fraction digits they need, and an offset."""
+    pages = measurement_pages(spark, d)
+    return _records_out(S.flatten_pages(pages.withColumn("body", F.when(F.col("page") % 2 == 0, short_times("body"))
+                                                         .otherwise(F.col("body")))))
+
+
+@register("rest_record_rejects", with_views(f"""
+SELECT {REQ_SQL} AS request_id, event_id, CASE event_id % 5 WHEN 1 THEN 'value: not a double'
+       WHEN 2 THEN 'timestamp_measured: not a timestamp' ELSE 'value: not a double;timestamp_measured: not a timestamp' END AS reasons
+FROM v_measurements WHERE event_id % 5 IN (1, 2, 3)""", "v_measurements"))
+def q_rest_record_rejects(spark, d):
+    """By the event's id, three of five records have a value or a time (or both) that is none; two land."""
+    m = V.measurements(spark, d).withColumn("request_id", F.concat_ws("|", F.col("date").cast("string"), "station_number"))
+    rule = F.col("event_id") % 5
+    m = m.withColumn("value", F.when(rule.isin(1, 3), F.concat(F.lit("about "), F.col("value"))).otherwise(F.col("value").cast("string")))
+    wrong = m.withColumn("_at", F.col("timestamp_measured")).withColumn(
+        "timestamp_measured", F.when(rule.isin(2, 3), F.lit("noon")).otherwise(F.col("_at").cast("string")))
+    pages = S.page_envelopes(wrong, "request_id", RECORD_COLS, ["_at", "event_id"], PAGE_SIZE)
+    out = S.rejected_records(pages)
+    return out.select("request_id", F.get_json_object("raw", "$.event_id").cast("long").alias("event_id"),
+                      F.array_join("reasons", ";").alias("reasons"))
 
 
 @register("rest_page_chain", with_views("""

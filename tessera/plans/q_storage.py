@@ -68,6 +68,27 @@ def q_write_partitioned(spark, d):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 2).alias("sum_value")))
 
 
+@register("partition_versions", with_views(f"""
+SELECT v.version, CAST(date AS VARCHAR) AS date, count(*) AS n_rows,
+       round(sum(CASE WHEN v.version = 2 AND date = DATE '{OVERWRITE_DAY}' THEN value * 2 ELSE value END), 2) AS sum_value
+FROM v_measurements, (SELECT 1 AS version UNION ALL SELECT 2 UNION ALL SELECT 3) v
+WHERE v.version < 3 OR date <> DATE '{OVERWRITE_DAY}' GROUP BY v.version, date""", "v_measurements"))
+def q_partition_versions(spark, d):
+    """Write all partitions, rewrite one day with doubled values, then empty it: each version reads as it was."""
+    root = scratch_path(spark, "b1v")
+    rows = landing_rows(spark, d)
+    day = rows.filter(F.col("date") == F.lit(OVERWRITE_DAY).cast("date"))
+    versions = [B.publish_partitions(rows, root, ASSET, PCOLS, MEASUREMENTS),
+                B.publish_partitions(day.withColumn("value", F.col("value") * 2), root, ASSET, PCOLS, MEASUREMENTS),
+                B.publish_partitions(day.limit(0), root, ASSET, PCOLS, MEASUREMENTS, keys=day.select(*PCOLS))]
+    out = None
+    for v in versions:
+        back = B.read_all_partitions(spark, root, ASSET, MEASUREMENTS, v).withColumn("version", F.lit(v))
+        out = back if out is None else out.unionByName(back)
+    return (out.groupBy("version", F.col("date").cast("string").alias("date"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 2).alias("sum_value")))
+
+
 @register("write_unpartitioned", with_views("SELECT number, location FROM v_stations", "v_stations"))
 def q_write_unpartitioned(spark, d):
     """Write the station table twice (replace, not append) and read it back."""

@@ -81,7 +81,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                CASE WHEN partitioned THEN station END AS tag_station,
                backfill, schedule, auto_mat,
                CASE WHEN partitioned THEN asset || ':' || CAST(day AS VARCHAR) || '|' || station END AS run_key,
-               end_us, end_us + o_orderkey % 600 * 1000000 AS update_us, o_orderkey
+               CASE WHEN status <> 'STARTED' THEN end_us END AS end_us,
+               end_us + o_orderkey % 600 * 1000000 AS update_us, o_orderkey
         FROM (
           SELECT CAST(o_orderkey AS VARCHAR) AS run_id, o_orderkey,
                  asset || '_job' AS job_name,

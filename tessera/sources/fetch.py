@@ -3,15 +3,17 @@
 Raw responses are rows ``(request_id, page, status, body)``; ``body`` is the
 JSON text of one page: ``{"pagination": {"current_page", "next_page"},
 "data": [...]}`` (paginated) or ``{"data": {...}}`` (single object).
-Parsing is ``from_json`` with a declared schema (JVM-side, no Python), so the
-landing zone can keep raw pages and reparse them without refetching.
+Bodies are parsed as VARIANT, once, JVM-side, so that what the sender got wrong
+stays visible: each element of ``data`` is checked against the declared record
+and either lands or becomes a reject with its reasons and its text.  The landing
+zone keeps raw pages and can reparse them without refetching.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +23,7 @@ from tessera.schemas import MEASUREMENT_RECORD, STATION, page_schema
 
 log = logging.getLogger(__name__)
 
-# Six fraction digits so timestamps survive the JSON round trip exactly.
+# Six fraction digits so timestamps survive the JSON round trip exactly; reading takes any ISO time.
 JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_OPTS = {"timestampFormat": JSON_TS}
 
@@ -59,23 +61,71 @@ def empty_page(requests: DataFrame) -> DataFrame:
                            F.lit('{"data":[]}').alias("body"))
 
 
+#: A date, then maybe a time with any number of fraction digits and an offset (none: the session's zone, UTC).
+ISO_TIME = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d*)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$"
+
+
+def _kind(variant: Column) -> Column:
+    """ARRAY, OBJECT, STRING, VOID, ... of a variant; null if there is none."""
+    return F.regexp_extract(F.schema_of_variant(variant), r"^[A-Z]+", 0)
+
+
+def data_kind(body: Column) -> Column:
+    """What a body's ``data`` is; null for a body that is no JSON object with ``data``."""
+    return _kind(F.try_variant_get(F.try_parse_json(body), "$.data", "variant"))
+
+
+def _typed(record: Column, field: T.StructField) -> tuple[Column, Column]:
+    """A field of a record in its declared type, and whether its value is there but not of that type."""
+    path, kind = f"$['{field.name}']", field.dataType
+    text = F.try_variant_get(record, path, "string")
+    found = F.try_variant_get(record, path, "variant")
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.try_variant_get(record, path, kind.simpleString())
+    elif isinstance(kind, (T.TimestampType, T.DateType)):
+        value = F.when((_kind(found) == "STRING") & text.rlike(ISO_TIME), text.try_cast(kind))
+    else:
+        value = text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = F.when(F.abs(value) < float("inf"), value)  # neither NaN nor infinite
+    return value, value.isNull() & found.isNotNull() & (_kind(found) != "VOID")
+
+
+def checked_records(pages: DataFrame, record: T.StructType = MEASUREMENT_RECORD) -> DataFrame:
+    """Every element of the pages' ``data`` lists: request_id, page, place (in the list), the fields of ``record``,
+    ``extra`` (undeclared keys as strings), ``reasons`` (why it can't land; empty: it can) and ``raw`` (its JSON).
+
+    Numbers may come as strings and times in any ISO form with 0 to 9 fraction digits (six are kept).  Missing and
+    null fields are null.  An element that is no object, or has a field that is not of its type, can't land.
+    """
+    listed = F.try_variant_get(F.try_parse_json("body"), "$.data", "array<variant>")
+    each = pages.select("request_id", "page", F.posexplode(listed).alias("place", "_r"))
+    r, is_object = F.col("_r"), F.coalesce(_kind(F.col("_r")) == "OBJECT", F.lit(False))
+    fields = [(f, *_typed(r, f)) for f in record.fields]
+    wrong = [F.when(bad, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")) for f, _, bad in fields]
+    reasons = F.when(~is_object, F.array(F.lit("not an object"))).otherwise(F.array_compact(F.array(*wrong)))
+    known = [f.name for f in record.fields]
+    extra = F.map_filter(F.try_variant_get(r, "$", "map<string,string>"), lambda k, _: ~k.isin(known))
+    return each.select("request_id", "page", "place", *[v.alias(f.name) for f, v, _ in fields], extra.alias("extra"),
+                       reasons.alias("reasons"), F.to_json(r).alias("raw"))
+
+
 def flatten_pages(pages: DataFrame, record: T.StructType = MEASUREMENT_RECORD, extra: bool = False) -> DataFrame:
     """Concatenate the ``data`` lists of all pages into rows.
 
-    A page that cannot be read gives no row here; S7 classifies it, and a flow
-    lets only requests through whose pages are all readable.  With ``extra``
-    the keys that ``record`` doesn't declare come along as a map of strings.
+    Elements that fail ``checked_records`` are left out; ``rejected_records``
+    has them.  A page whose ``data`` is no list gives no row here; S7 calls it
+    malformed, and a flow lets only requests through whose pages are all
+    readable.  With ``extra`` the keys that ``record`` doesn't declare come
+    along as a map of strings.
     """
-    if extra:
-        raw = T.StructType([T.StructField("data", T.ArrayType(T.StringType()))])
-        each = pages.select("request_id", "page", F.explode(F.from_json("body", raw)["data"]).alias("_text"))
-        known = [f.name for f in record.fields]
-        return each.select("request_id", "page", F.from_json("_text", record, JSON_OPTS).alias("_r"),
-                           F.map_filter(F.from_json("_text", T.MapType(T.StringType(), T.StringType())),
-                                        lambda k, _: ~k.isin(known)).alias("extra")).select(
-            "request_id", "page", "_r.*", "extra")
-    parsed = pages.select("request_id", "page", F.from_json("body", page_schema(record), JSON_OPTS).alias("j"))
-    return parsed.select("request_id", "page", F.inline(F.coalesce(F.col("j.data"), F.array().cast(T.ArrayType(record)))))
+    landed = checked_records(pages, record).filter(F.size("reasons") == 0)
+    return landed.select("request_id", "page", *record.fieldNames(), *(["extra"] if extra else []))
+
+
+def rejected_records(pages: DataFrame, record: T.StructType = MEASUREMENT_RECORD) -> DataFrame:
+    """The elements that can't land: request_id, page, place, reasons, raw."""
+    return checked_records(pages, record).filter(F.size("reasons") > 0).select("request_id", "page", "place", "reasons", "raw")
 
 
 def page_chain_status(pages: DataFrame) -> DataFrame:
@@ -142,16 +192,17 @@ def enrich(records: DataFrame, requests: DataFrame) -> DataFrame:
     return records.join(req, "request_id", "inner")
 
 
-def classify_responses(responses: DataFrame) -> DataFrame:
+def classify_responses(responses: DataFrame, shape: str = "ARRAY") -> DataFrame:
     """2xx -> ``ok``; 500 -> ``dead_letter`` (no retries); any other
     status -> ``retry``.  With a ``body`` column, a 2xx answer whose body is no
-    JSON with ``data`` is ``malformed``."""
+    JSON with ``data`` of the expected shape is ``malformed``: a list
+    (``ARRAY``) for paged requests, ``OBJECT`` for single ones."""
     s = F.col("status")
     good = (s >= 200) & (s < 300)
     outcome = F.when(good, F.lit("ok")).when(s == 500, F.lit("dead_letter")).otherwise(F.lit("retry"))
     if "body" in responses.columns:
-        readable = F.try_parse_json("body").isNotNull() & F.get_json_object("body", "$.data").isNotNull()
-        outcome = F.when(good & ~F.coalesce(readable, F.lit(False)), F.lit("malformed")).otherwise(outcome)
+        readable = F.coalesce(data_kind(F.col("body")) == shape, F.lit(False))
+        outcome = F.when(good & ~readable, F.lit("malformed")).otherwise(outcome)
     return responses.withColumn("outcome", outcome)
 
 

@@ -6,7 +6,7 @@ requests, deals them to tasks and hands each task its requests one by one, so
 the answer does not depend on how many tasks there are, and every file is read
 through Spark's own file systems.  Transports:
 
-* ``{"transport": "http", "base_url": ...}``
+* ``{"transport": "http", "base_url": ...}``, maybe with ``timeout`` in seconds
 * ``{"transport": "replay", "replay": path}``: saved pages, a Parquet table
   ``(request_id, page, status, body)`` that Spark joins to the requests.  A
   request without any saved page raises.
@@ -14,8 +14,8 @@ through Spark's own file systems.  Transports:
 A chain of pages follows ``pagination.next_page`` until it equals
 ``current_page``; there is no cap on its length.  An answer that is not 2xx ends
 the chain and is a row, so errors are data (S7 classifies them) instead of
-killing the job.  A chain that turns back to an earlier page ends with a row of
-status 508.  Pacing is planned beforehand (F11), so readers do not sleep.
+killing the job; a host that hangs, refuses or has no name is status 599.  A
+chain that turns back to an earlier page ends with a row of status 508.  Pacing is planned beforehand (F11), so readers do not sleep.
 """
 
 from __future__ import annotations
@@ -26,12 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ship_package
+
 PAGES = "request_id string, page int, status int, body string"
 _ARROW = pa.schema([("request_id", pa.string()), ("page", pa.int32()), ("status", pa.int32()), ("body", pa.string())])
 #: Requests that one task fetches over HTTP.
 REQUESTS_PER_TASK = 200
 #: Status of the row that ends a chain which turns back (HTTP: loop detected).
 LOOP_STATUS = 508
+#: Status of the row for a page that no answer came for (network connect timeout).
+NETWORK_STATUS = 599
 
 
 def next_page(page: int, status: int, body: str | None) -> int | None:
@@ -68,6 +72,7 @@ class _HttpTransport:
         self.timeout = timeout
 
     def get(self, endpoint, params, page):
+        import http.client
         import urllib.error
         import urllib.parse
         import urllib.request
@@ -80,6 +85,8 @@ class _HttpTransport:
                 return resp.status, resp.read().decode("utf-8")
         except urllib.error.HTTPError as e:
             return e.code, None
+        except (OSError, http.client.HTTPException):  # time-outs, refused or broken connections, unknown hosts
+            return NETWORK_STATUS, None
 
 
 def _rows_out(rows, size: int = 500):
@@ -94,9 +101,9 @@ def _rows_out(rows, size: int = 500):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _ARROW.types)], schema=_ARROW)
 
 
-def _from_http(base_url: str, paginate: bool):
+def _from_http(base_url: str, paginate: bool, timeout: float):
     def run(batches):
-        transport = _HttpTransport(base_url)
+        transport = _HttpTransport(base_url, timeout)
 
         def rows():
             for batch in batches:
@@ -146,11 +153,16 @@ def _from_saved(paginate: bool):
 def fetch(requests: DataFrame, transport: dict[str, str], paginate: bool = True) -> DataFrame:
     """Fetched pages of all requests (each request_id once)."""
     spark = requests.sparkSession
+    ship_package(spark)
     asked = requests.select("request_id", "endpoint", "params_json")
     if transport.get("transport", "replay") == "http":
         tasks = max(1, -(-requests.count() // REQUESTS_PER_TASK))
-        return asked.repartition(tasks, "request_id").mapInArrow(_from_http(transport["base_url"], paginate), PAGES)
+        return asked.repartition(tasks, "request_id").mapInArrow(
+            _from_http(transport["base_url"], paginate, float(transport.get("timeout", 60))), PAGES)
     saved = spark.read.parquet(transport["replay"]).select("request_id", "page", "status", "body")
     both = asked.select("request_id", F.lit(0).alias("page"), F.lit(0).alias("status"), F.lit(None).cast("string").alias("body"))
-    both = both.unionByName(saved).repartition("request_id").sortWithinPartitions("request_id", "page")
+    saved = saved.join(asked.select("request_id"), "request_id", "left_semi")  # pages nobody asked for stay where they are
+    # dealt by a hash of the id: both sides of the union are dealt by the id itself, and then Spark would take the union
+    # as dealt already, though adaptive execution may merge the partitions of its sides differently
+    both = both.unionByName(saved).repartition(F.xxhash64("request_id")).sortWithinPartitions("request_id", "page")
     return both.mapInArrow(_from_saved(paginate), PAGES)

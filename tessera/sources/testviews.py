@@ -164,7 +164,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cust % 2 == 0, F.lit("ingestion-a")).otherwise(F.lit("ingestion-b")).alias("location"),
         tags.alias("tags"),
         F.timestamp_micros(end_us + key % 600 * F.lit(1_000_000)).alias("update_time"),
-        F.timestamp_micros(end_us).alias("end_time"),
+        F.when(F.col("o_orderstatus") != "P", F.timestamp_micros(end_us)).alias("end_time"),  # none in flight
     )
 
 

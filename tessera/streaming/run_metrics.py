@@ -1,23 +1,34 @@
 """M6: the polling metrics sensor as a Structured Streaming query.
 
 New run records (files landing in a folder, or any streaming source) ->
-terminal runs -> labels and success points -> ``foreachBatch`` sink.  The
-checkpoint is the cursor: a restart continues where the last committed batch
-ended.  A run delivered twice is reported once, however late: each batch leaves
-out the run ids of the batches written before it, so there is no horizon beyond
-which a run is lost or doubled.  Each batch overwrites its own folder and looks
-at earlier ones only, so a batch replayed after a failure is idempotent.
+terminal runs -> one point per run -> ``foreachBatch`` sink.  The checkpoint is
+the cursor: a restart continues where the last committed batch ended.  Keyed
+state remembers which runs were reported, so a run is neither lost nor doubled
+however late its records come, and of several records in a batch the last
+updated one counts.  The state lives in RocksDB with changelog checkpoints: a
+batch reads its new records and the state of their runs, never the points
+written before, so its cost doesn't grow with history.  Each batch overwrites
+its own folder, so one replayed after a failure is idempotent.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tessera.operators.monitor import run_labels, success_points
 from tessera.schemas import RUNS, TERMINAL_RUN_STATUSES
-from tessera.sources.storage import _path_exists
+from tessera.session import ship_package
+from tessera.sources.fetch import JSON_OPTS
+
+#: Held by a query from its start on.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def run_points(runs: DataFrame, environment: str) -> DataFrame:
@@ -25,21 +36,50 @@ def run_points(runs: DataFrame, environment: str) -> DataFrame:
     return success_points(run_labels(runs.filter(F.col("status").isin(*TERMINAL_RUN_STATUSES)), environment))
 
 
+def _first_report(key, frames, state):
+    """The last updated record of a run that was not reported before (ties: the greatest text)."""
+    if state.exists:
+        return
+    best = max((max(zip(f["updated"], f["record"], strict=True)) for f in frames if len(f)), default=None)
+    if best is not None:
+        state.update((int(best[0]),))
+        yield pd.DataFrame({"record": [best[1]]})
+
+
+def unreported_runs(runs: DataFrame) -> DataFrame:
+    """Streaming run records -> one record per terminal run, when it first comes.  Records pass the keyed state as
+    JSON text; one without an update time counts as the oldest."""
+    schema = runs.schema
+    ended = runs.filter(F.col("status").isin(*TERMINAL_RUN_STATUSES)).select(
+        "run_id", F.coalesce(F.unix_micros("update_time"), F.lit(-(2**62))).alias("updated"),
+        F.to_json(F.struct(*schema.fieldNames()), JSON_OPTS).alias("record"))
+    first = ended.groupBy("run_id").applyInPandasWithState(
+        _first_report, "record string", "updated bigint", "append", GroupStateTimeout.NoTimeout)
+    return first.select(F.from_json("record", schema, JSON_OPTS).alias("r")).select("r.*")
+
+
 def start_run_metrics(spark: SparkSession, source_path: str, sink_path: str, checkpoint_path: str,
                       environment: str, schema: T.StructType = RUNS, available_now: bool = True):
     """Start the stream over Parquet run files in ``source_path``."""
-    points = run_points(spark.readStream.schema(schema).parquet(source_path), environment)
+    ship_package(spark)
+    points = run_points(unreported_runs(spark.readStream.schema(schema).parquet(source_path)), environment)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        new = batch.dropDuplicates(["run_id"])
-        if _path_exists(spark, sink_path):
-            written = read_points(spark, sink_path).filter(F.col("batch_id") < batch_id).select("run_id")
-            new = new.join(written, "run_id", "left_anti")
-        new.select(batch.columns).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{sink_path}/batch_id={batch_id}")
 
     writer = points.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        return writer.start()  # takes the settings along
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def read_points(spark: SparkSession, sink_path: str) -> DataFrame:

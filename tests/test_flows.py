@@ -67,6 +67,55 @@ def test_only_requests_fetched_in_full_land(spark):
     assert landed == {k: 1 for k in keys if k != keys[1]}  # the day's other stations are carried over
 
 
+def test_a_retry_at_the_same_time_overrules(spark):
+    from tessera.operators.ledger import latest_status
+    root, key, now = scratch_path(spark, "t-g1-retry"), "2024-01-01|a", "2024-01-02 00:00:00"
+    good = (key, 1, 200, _page(1, 1, [_rec(1, 1.0)]))
+
+    def latest():
+        return [(r.status, r.event_time) for r in latest_status(G.read_ledger(spark, f"{root}/ledger")).collect()]
+
+    t = dt.datetime(2024, 1, 2)
+    _land(spark, root, [(key, 1, 500, None)], [key], now, "r1")
+    assert latest() == [("FAILED", t)]
+    _, landed = _land(spark, root, [good], [key], now, "r2")
+    assert landed == {key: 1} and latest() == [("MATERIALIZED", t)]
+    _land(spark, root, [good], [key], now, "r3")  # nothing new
+    assert G.read_ledger(spark, f"{root}/ledger").count() == 2
+    _land(spark, root, [(key, 1, 500, None)], [key], now, "r4")
+    assert latest() == [("FAILED", t)]
+    _land(spark, root, [good], [key], now, "r5")  # as r2, but after r4
+    assert latest() == [("MATERIALIZED", t)] and G.read_ledger(spark, f"{root}/ledger").count() == 4
+
+
+def test_odd_bodies_empty_no_partition_and_rejects_are_kept(spark):
+    root, keys = scratch_path(spark, "t-g1-odd"), ["2024-01-01|a", "2024-01-01|b", "2024-01-01|c"]
+    _, landed = _land(spark, root, [(k, 1, 200, _page(1, 1, [_rec(1, 1.0)])) for k in keys], keys, "2024-01-02 00:00:00", "r1")
+    assert landed == dict.fromkeys(keys, 1)
+    odd = [(keys[0], 1, 200, json.dumps({"data": {"formula": "no2"}})),
+           (keys[1], 1, 200, _page(1, 1, [_rec(1, "2.5"), 17, _rec(2, "abc"), _rec(3, 3.0) | {"timestamp_measured": "2024-01-01T00:00:00+00:00"}])),
+           (keys[2], 1, 599, None)]
+    ev, landed = _land(spark, root, odd, keys, "2024-01-03 00:00:00", "r2")
+    assert {k: (r.status, r.row_count) for k, r in ev.items()} == {keys[0]: ("FAILED", 0), keys[1]: ("MATERIALIZED", 2)}
+    assert landed == {keys[0]: 1, keys[1]: 2, keys[2]: 1}
+    rows = B.read_all_partitions(spark, f"{root}/lake", G.LANDING, MEASUREMENTS).filter("station_number = 'b'").collect()
+    assert {(r.value, r.timestamp_measured) for r in rows} == {(2.5, dt.datetime(2024, 1, 1, 1)), (3.0, dt.datetime(2024, 1, 1))}
+    assert {(r.request_id, r.place, tuple(r.reasons)) for r in G.read_rejects(spark, f"{root}/lake").collect()} == {
+        (keys[1], 1, ("not an object",)), (keys[1], 2, ("value: not a double",))}
+
+
+def test_reports_return_their_own_assets_events(spark):
+    root = scratch_path(spark, "t-g6")
+    rows = spark.createDataFrame([("no2", 1.0, dt.datetime(2024, 1, 1, 1), "a", dt.date(2024, 1, 1))],
+                                 "formula string, value double, timestamp_measured timestamp, station_number string, date date")
+    B.write_partitioned(rows, f"{root}/lake", G.LANDING, G.PCOLS, MEASUREMENTS)
+    other = spark.createDataFrame([("other", "k", "MATERIALIZED", dt.datetime(2024, 1, 5), 7)],
+                                  "asset_key string, partition_key string, status string, event_time timestamp, event_id long")
+    G.append_ledger(other, f"{root}/ledger")
+    out = G.report_storage(spark, f"{root}/lake", G.LANDING, f"{root}/ledger", ts_lit("2024-01-05 00:00:00"), G.PCOLS, skip_checks=True)
+    assert [(r.asset_key, r.partition_key) for r in out.collect()] == [(G.LANDING, "2024-01-01|a")]
+
+
 def test_a_request_without_saved_page_raises(spark):
     root = scratch_path(spark, "t-none")
     with pytest.raises(Exception, match="no saved page"):

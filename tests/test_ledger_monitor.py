@@ -113,3 +113,22 @@ def test_downstream_ready_failures_count_as_finished(spark):
         "2024-01-01|a", "2024-01-01|b", "2024-01-02|a", "2024-01-03|a")], "daily_key string, partition_key string")
     r = {x.daily_key: x.ready for x in M.downstream_ready(expected, runs).collect()}
     assert r == {"2024-01-01": True, "2024-01-02": False, "2024-01-03": False}
+
+
+def test_a_run_in_flight_is_the_latest(spark):
+    tags = {"dagster/partition": "2024-01-01|a", "dagster/backfill": "b"}
+    runs = _runs(spark, [("1", "j", "SUCCESS", ["x"], "l", tags, T(2024, 1, 1, 1), T(2024, 1, 1, 1)),
+                         ("2", "j", "STARTED", ["x"], "l", tags, T(2024, 1, 1, 2), None)])
+    expected = spark.createDataFrame([("2024-01-01", "2024-01-01|a")], "daily_key string, partition_key string")
+    assert [(r.n_unfinished, r.ready) for r in M.downstream_ready(expected, runs).collect()] == [(1, False)]
+    want = spark.createDataFrame([("b", "2024-01-01|a")], "trigger_name string, partition_key string")
+    assert [(r.done, r.unfinished) for r in M.job_statistics(want, runs).collect()] == [(0, 1)]
+
+
+def test_first_request_of_a_run_key_stays(spark):
+    runs = _runs(spark, [])
+    req = spark.createDataFrame([("k", 3, "c", {"a": "1"}), ("k", 1, "b", {"a": "2"}), ("k", 1, "a", {"a": "3"}), (None, 9, "z", None)],
+                                "run_key string, at int, name string, tags map<string,string>").repartition(3)
+    assert sorted((str(r.run_key), r.at, r.name) for r in M.run_key_dedupe(req, runs).collect()) == [("None", 9, "z"), ("k", 1, "a")]
+    by_name = M.run_key_dedupe(req.select("name", "run_key", "at"), runs, ["name"])
+    assert by_name.columns == ["name", "run_key", "at"] and {r.name for r in by_name.collect()} == {"a", "z"}

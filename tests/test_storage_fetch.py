@@ -168,3 +168,54 @@ def test_every_request_has_a_wave(spark):
     keys = spark.range(250).selectExpr("concat('2024-01-0', 1 + id % 3, '|s', id) AS partition_key")
     waves = [r.wave for r in request_waves(S.request_params(keys)).collect()]
     assert sorted(waves) == [0] * 100 + [1] * 100 + [2] * 50
+
+
+def test_records_land_right_or_become_rejects(spark):
+    times = {"2024-01-01T00:00:00+00:00": T(2024, 1, 1), "2024-01-01T02:00:00.5+02:00": T(2024, 1, 1, 0, 0, 0, 500_000),
+             "2024-01-01T00:00:00Z": T(2024, 1, 1), "2024-01-01T00:00:00.123456Z": T(2024, 1, 1, 0, 0, 0, 123_456),
+             "2024-01-01T00:00:00.120Z": T(2024, 1, 1, 0, 0, 0, 120_000), "2024-01-01 00:00": T(2024, 1, 1), "2024-01-01": T(2024, 1, 1),
+             "2024-01-01T00:00:00.123456789Z": T(2024, 1, 1, 0, 0, 0, 123_456), "2023-12-31T19:00:00-0500": T(2024, 1, 1)}
+    good = [{"event_id": i, "formula": "no2", "value": 1.5, "timestamp_measured": t} for i, t in enumerate(times)]
+    good += [{"event_id": "20", "formula": 7, "value": "2.25"}, {"event_id": None, "value": 3, "unit": "ug", "flag": 3, "odd": {"a": [1]}}, {}]
+    bad = [5, None, "text", [1], {"value": "abc"}, {"value": True}, {"event_id": 1.5, "timestamp_measured": 5}, {"timestamp_measured": "12:30"},
+           {"timestamp_measured": "yesterday"}, {"event_id": "99999999999999999999"}, {"value": "NaN"}]
+    body = json.dumps({"data": [x for pair in zip(good, bad + [0] * len(good)) for x in pair]})
+    pages = _pages(spark, [("a", 1, 200, body), ("b", 1, 200, '{"data": {"value": 1}}'), ("c", 1, 200, '{"data": [1'), ("d", 1, 200, None),
+                           ("e", 1, 200, "[]"), ("f", 1, 200, '{"data": null}'), ("g", 1, 200, '{"data": []}'), ("h", 1, 200, '{"data": "x"}')])
+    rows = S.flatten_pages(pages, extra=True).collect()
+    assert len(rows) == len(good) and [r.timestamp_measured for r in rows[:len(times)]] == list(times.values())
+    assert [(r.event_id, r.formula, r.value) for r in rows[len(times):]] == [(20, "7", 2.25), (None, None, 3.0), (None, None, None)]
+    assert rows[-2].extra == {"unit": "ug", "flag": "3", "odd": '{"a":[1]}'}
+    rejects = {r.raw: r.reasons for r in S.rejected_records(pages).collect()}
+    assert rejects["5"] == rejects["null"] == rejects['"text"'] == rejects["[1]"] == ["not an object"]
+    assert rejects['{"value":"abc"}'] == rejects['{"value":true}'] == rejects['{"value":"NaN"}'] == ["value: not a double"]
+    assert rejects['{"event_id":1.5,"timestamp_measured":5}'] == ["event_id: not a bigint", "timestamp_measured: not a timestamp"]
+    assert rejects['{"timestamp_measured":"12:30"}'] == rejects['{"timestamp_measured":"yesterday"}'] == ["timestamp_measured: not a timestamp"]
+    assert rejects['{"event_id":"99999999999999999999"}'] == ["event_id: not a bigint"]
+    shapes = {r.request_id: r.outcome for r in S.classify_responses(pages).collect()}
+    assert shapes == dict.fromkeys("bcdefh", "malformed") | {"a": "ok", "g": "ok"}
+    assert {r.request_id for r in S.classify_responses(pages, "OBJECT").filter("outcome = 'ok'").collect()} == {"b"}
+
+
+def test_hosts_that_do_not_answer_are_rows(monkeypatch):
+    import urllib.error
+    import urllib.request
+    transport = rest_source._HttpTransport("http://nowhere.invalid", 0.1)
+    for error in (urllib.error.URLError("no such host"), TimeoutError(), ConnectionResetError()):
+        def broken(*_, **__):
+            raise error
+        monkeypatch.setattr(urllib.request, "urlopen", broken)
+        assert transport.get("measurements", {}, 1) == (rest_source.NETWORK_STATUS, None)
+
+
+def test_network_errors_are_retried(spark):
+    assert S.classify_responses(_pages(spark, [("a", 1, rest_source.NETWORK_STATUS, None)])).first().outcome == "retry"
+
+
+def test_saved_pages_nobody_asked_for_are_not_dealt(spark):
+    path = scratch_path(spark, "t-asked")
+    _pages(spark, [(f"r{i}", 1, 200, '{"data":[]}') for i in range(100)]).write.parquet(path)
+    asked = spark.createDataFrame([("r7", "m", None)], "request_id string, endpoint string, params_json string")
+    out = rest_source.fetch(asked, {"transport": "replay", "replay": path})
+    assert [r.request_id for r in out.collect()] == ["r7"]
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()

@@ -1,7 +1,12 @@
+import datetime as dt
+import os
+
+from tessera.schemas import RUNS
 from tessera.session import scratch_path
 from tessera.sources import testviews as V
 from tessera.streaming import run_metrics
 
+T = dt.datetime
 SF = "/root/testdata/sf0.001"
 
 
@@ -30,3 +35,39 @@ def test_runs_that_come_very_late_are_reported(spark):
     run_metrics.start_run_metrics(*args).awaitTermination()
     got = [r.run_id for r in run_metrics.read_points(spark, f"{root}/sink").collect()]
     assert len(got) == len(set(got)) == runs.count()
+
+
+def test_last_updated_record_of_a_batch_counts(spark):
+    root = scratch_path(spark, "t-m6-latest")
+    rows = [(str(i), "j", status, ["a"], "l", {"dagster/partition": f"p{i}"}, T(2024, 1, 1, h), T(2024, 1, 1, h))
+            for i in range(30) for h, status in ((1, "FAILURE"), (3, "SUCCESS"), (2, "FAILURE"))]
+    runs = spark.createDataFrame([*rows, ("x", "j", "SUCCESS", None, None, None, None, None), ("x", "j", "STARTED", None, None, None, T(2025, 1, 1), None)], RUNS)
+    runs.repartition(7).write.parquet(f"{root}/src")
+    args = (spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", "dev")
+    run_metrics.start_run_metrics(*args).awaitTermination()
+    got = {r.run_id: r for r in run_metrics.read_points(spark, f"{root}/sink").collect()}
+    assert len(got) == 31 and {r.value for r in got.values()} == {1} and got["x"].seconds is None
+    assert got["7"].partition_key == "p7" and got["7"].seconds == int(T(2024, 1, 1, 3, tzinfo=dt.timezone.utc).timestamp())
+
+
+def test_a_batch_reads_new_records_and_state_only(spark, monkeypatch):
+    root = scratch_path(spark, "t-m6-cost")
+    args = (spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", "dev")
+    def rows(lo, hi):
+        return spark.range(lo, hi).selectExpr(
+            "cast(id AS string) AS run_id", "'j' AS job_name", "'SUCCESS' AS status", "array('a') AS asset_selection", "'l' AS location",
+            "map('k', 'v') AS tags", "timestamp '2024-01-01' AS update_time", "timestamp '2024-01-01' AS end_time")
+    rows(0, 5000).write.mode("append").parquet(f"{root}/src")
+    run_metrics.start_run_metrics(*args).awaitTermination()
+    # the points written so far are not there any more: no batch needs them
+    monkeypatch.setattr(run_metrics, "read_points", None)
+    os.rename(f"{root}/sink", f"{root}/sink-of-before")
+    rows(4990, 5010).coalesce(1).write.mode("append").parquet(f"{root}/src")
+    q = run_metrics.start_run_metrics(*args)
+    q.awaitTermination()
+    last = [p for p in q.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in last] == [20]
+    state = last[0]["stateOperators"][0]
+    assert state["numRowsUpdated"] == 10 and state["numRowsTotal"] == 5010 and any("rocksdb" in k for k in state["customMetrics"])
+    assert spark.read.parquet(f"{root}/sink").count() == 10
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
