@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.timefn import as_col, daily_cron_tick, last_closed_day, monthly_cron_tick
+from tessera.operators import ordered
 from tessera.schemas import (FRESHNESS_MAX_LAG_MIN, PARTITION_TZ, RETRY_DELAY_S,
                              RETRY_MAX, STATUS_MATERIALIZED)
 
@@ -72,31 +73,67 @@ def data_version(df: DataFrame, partition_cols: list[str], value_cols: list[str]
     hi, lo = row_fingerprint(value_cols)
     agg = c.groupBy(*partition_cols).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(hi).alias("h1"), F.sum(lo).alias("h2"))
-    return agg.withColumn("data_version", F.concat_ws("-", F.col("n_rows").cast("string"),
-                                                      F.col("h1").cast("string"), F.col("h2").cast("string")))
+    return agg.withColumn("data_version", _version(*[F.col(c) for c in VERSION_PARTS]))
 
 
 def changed_partitions(versions: DataFrame, key_cols: list[str], order_col: str = "run") -> DataFrame:
-    """per partition and run, ``new`` (first version) and ``changed``
-    (differs from the previous run's version, null-safe).
-
-    ``order_col`` is a timestamp or an increasing integer.  Versions are
-    ranked per partition with the two-level time-block rank and the previous
-    version is fetched by an equi-join on (partition, rank - 1) – unique keys,
-    so a partition with a very long history is not sorted in one task.
+    """F2 over a whole history: per partition and run, ``new`` (first version)
+    and ``changed`` (differs from the previous run's version, null-safe).
+
+    ``order_col`` is any increasing column.  Versions are ranked per partition
+    by ranges and the previous version is fetched by an equi-join on
+    (partition, rank - 1) – unique keys, so a partition with a very long history
+    is not sorted in one task.  To look at one more run, ``merge_versions``
+    against the state of the runs before needs no rank at all.
     """
-    from tessera.operators.pacing import rank_in_time_order
-    t = F.col(order_col)
-    is_ts = versions.schema[order_col].dataType.simpleString().startswith("timestamp")
-    v = versions.withColumn("_t", t if is_ts else F.timestamp_seconds(t.cast("long")))
-    ranked = rank_in_time_order(v, key_cols, "_t", order_col, out="_n")
+    ranked = ordered.ranked(versions, key_cols, [order_col], out="_n")
     prev = ranked.select(*[F.col(c).alias(f"_p_{c}") for c in key_cols], (F.col("_n") + 1).alias("_p_n"),
                          F.col("data_version").alias("prev_version"))
     same = [ranked[c].eqNullSafe(prev[f"_p_{c}"]) for c in key_cols] + [ranked["_n"] == prev["_p_n"]]
     out = ranked.join(prev, same, "left").drop("_p_n", *[f"_p_{c}" for c in key_cols])
     return (out.withColumn("new", F.col("_n") == 1)
-            .withColumn("changed", ~F.col("data_version").eqNullSafe(F.col("prev_version")))
-            .drop("_t", "_n"))
+            .withColumn("changed", ~F.col("data_version").eqNullSafe(F.col("prev_version"))).drop("_n"))
+
+
+VERSION_PARTS = ["n_rows", "h1", "h2"]
+
+
+def _version(n_rows: Column, h1: Column, h2: Column) -> Column:
+    return F.concat_ws("-", n_rows.cast("string"), h1.cast("string"), h2.cast("string"))
+
+
+def merge_versions(state: DataFrame, versions: DataFrame, key_cols: list[str]) -> DataFrame:
+    """F2 for one run: the last version of every partition (``state``) against those of a run (``versions``), both as
+    ``data_version`` gives them, one row a partition.
+
+    Every partition of either side with its version after the run (n_rows, h1, h2, data_version), ``prev_version``
+    and ``seen`` (in the run), ``new``, ``changed`` (a new partition has changed): one equi-join, which is also the
+    next state.  A partition that the run did not look at keeps its version.
+    """
+    now, old = versions.alias("now"), state.alias("old")
+    same = F.lit(True)
+    for c in key_cols:
+        same = same & F.col(f"now.{c}").eqNullSafe(F.col(f"old.{c}"))
+    joined = now.join(old, same, "full")
+    seen, known = F.col("now.data_version").isNotNull(), F.col("old.data_version").isNotNull()
+    return joined.select(
+        *[F.when(seen, F.col(f"now.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in key_cols],
+        *[F.when(seen, F.col(f"now.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in [*VERSION_PARTS, "data_version"]],
+        F.col("old.data_version").alias("prev_version"), seen.alias("seen"), (seen & ~known).alias("new"),
+        (seen & ~F.col("now.data_version").eqNullSafe(F.col("old.data_version"))).alias("changed"))
+
+
+def adjust_versions(state: DataFrame, added: DataFrame, removed: DataFrame, key_cols: list[str],
+                    value_cols: list[str]) -> DataFrame:
+    """The state after some rows came and others went, without reading the rest: fingerprints are sums, so those of
+    the rows added are added and those of the rows removed taken off.  A partition without rows left is gone."""
+    plus = data_version(added, key_cols, value_cols)
+    minus = data_version(removed, key_cols, value_cols)
+    every = [d.select(*key_cols, *[(sign * F.col(c)).alias(c) for c in VERSION_PARTS])
+             for d, sign in ((state, 1), (plus, 1), (minus, -1))]
+    total = every[0].unionByName(every[1]).unionByName(every[2]).groupBy(*key_cols).agg(
+        *[F.sum(c).alias(c) for c in VERSION_PARTS])
+    return total.filter(F.col("n_rows") > 0).withColumn("data_version", _version(*[F.col(c) for c in VERSION_PARTS]))
 
 
 def _last_materialized(ledger: DataFrame, asset_key: str, key: str = "partition_key") -> DataFrame:
@@ -175,10 +212,9 @@ def retry_schedule(failures: DataFrame, key: str = "run_key", max_retries: int =
     attempts <= max_retries, else ``give_up``.  The exponential delay
     delay·2^(n-1) with ± jitter is returned as an [earliest, latest] window
     (jitter as bounds, ±50 %, our choice) so the result is deterministic.
-    Attempts are numbered with the two-level time-block rank, so a key with
-    a flood of failures is not sorted in one task."""
-    from tessera.operators.pacing import rank_in_time_order
-    ranked = rank_in_time_order(failures, key, "failed_at", "attempt_id", out="attempt")
+    Attempts are numbered by ranges of (key, time, id), so a key with a flood
+    of failures is not sorted in one task."""
+    ranked = ordered.ranked(failures, [key], ["failed_at", "attempt_id"], out="attempt")
     base_us = F.lit(delay_s * 1_000_000) * F.pow(F.lit(2), F.col("attempt") - 1).cast("long")
     t = F.unix_micros("failed_at")
     action = (F.when(F.col("permanent"), F.lit("dead_letter"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tessera.functions.keys import dims_map, encode_key
 from tessera.functions.tags import sparse_map
 from tessera.functions.timefn import as_col
-from tessera.operators.partitions import partition_grid, validate_backfills
+from tessera.operators.partitions import day_ranges, partition_grid, validate_backfills
 from tessera.schemas import (STATUS_MATERIALIZED, TAG_BACKFILL, TAG_CI_RUN_ID,
                              TAG_CI_URL, TAG_DEFAULT, TAG_JOB_NAME,
                              TAG_PARTITION, TAG_PARTITION_DIM_PREFIX,
@@ -122,6 +122,12 @@ def backfill_plan(requests: DataFrame, ledger: DataFrame, date_dim: str = "daily
             .drop("_asset", "_key", "_hit"))
 
 
+def backfill_ranges(plan: DataFrame, group_cols: tuple[str, ...] = ("name",), date_dim: str = "daily",
+                    static_dim: str = "stations") -> DataFrame:
+    """L5 as stretches: per request and station, the planned days as (first_day, last_day, n_days)."""
+    return day_ranges(plan, [*group_cols, static_dim], date_dim)
+
+
 def reconcile_storage(storage_keys: DataFrame, ledger: DataFrame, asset_key: str) -> DataFrame:
     """Keys present in storage but never reported materialized (EXCEPT DISTINCT)."""
     stored = storage_keys.select("partition_key")

@@ -1,15 +1,12 @@
 """Rate-limit pacing over call tables.
 
 Both avoid the "one bucket = one task" trap of a plain window partitioned by
-the bucket (an environment holds *all* of its calls):
+the bucket (an environment holds *all* of its calls), and that of a busy
+moment, through ``operators.ordered``:
 
-* F10 partitions the window by (bucket, 5-minute slice).  A call's trailing
-  window spans its own slice and the previous one, so every row is also sent
-  to the next slice as a "ghost" shifted by the window length; counts inside
-  a slice then give the exact trailing count.
-* F11 numbers calls per bucket in two levels: counts per (bucket, block),
-  prefix offsets over the (small) block table, then a local ``row_number``
-  inside each block.
+* F10 counts the calls of each (bucket, microsecond), adds the same counts with
+  a minus sign one window later, and takes running totals over them.
+* F11 ranks the calls of a bucket by ranges of (bucket, time, id).
 """
 
 from __future__ import annotations
@@ -17,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import ordered
+from tessera.operators.ordered import running_totals
 from tessera.schemas import LIMITER_DELAY_S, LIMITER_TRIES, RATE_CALLS, RATE_MINUTES
 
 
@@ -26,30 +25,28 @@ def rate_window_audit(calls: DataFrame, limit: int = RATE_CALLS, minutes: int =
     (t - window, t], and whether that exceeds the limit.
 
     Same result as ``count(*) OVER (PARTITION BY bucket ORDER BY micros RANGE
-    BETWEEN window-1 PRECEDING AND CURRENT ROW)``.
+    BETWEEN window-1 PRECEDING AND CURRENT ROW)``; calls without a time are
+    counted among themselves.
     """
     win = minutes * 60 * 1_000_000
-    us = F.unix_micros(F.col(ts))
-    real = calls.withColumn("_us", us).withColumn("_slice", F.floor(F.col("_us") / win)).withColumn("_g", F.lit(0))
-    ghost = (real.withColumn("_us", F.col("_us") + win).withColumn("_slice", F.col("_slice") + 1)
-             .withColumn("_g", F.lit(1)))
-    both = real.unionByName(ghost)
-    w_run = Window.partitionBy(bucket, "_slice").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(bucket, "_slice")
-    counted = (both.withColumn("_real_upto", F.sum(1 - F.col("_g")).over(w_run))
-               .withColumn("_ghost_upto", F.sum("_g").over(w_run))
-               .withColumn("_ghost_all", F.sum("_g").over(w_all))
-               .filter(F.col("_g") == 0))
-    n = (F.col("_real_upto") + F.col("_ghost_all") - F.col("_ghost_upto")).cast("long")
-    return (counted.withColumn("calls_in_window", n)
-            .withColumn("over_limit", F.col("calls_in_window") > limit)
-            .drop("_us", "_slice", "_g", "_real_upto", "_ghost_upto", "_ghost_all"))
+    timed = calls.withColumn("_us", F.unix_micros(F.col(ts)))
+    starts = timed.groupBy(bucket, "_us").agg(F.count(F.lit(1)).alias("_n"))
+    ends = starts.filter("_us IS NOT NULL").select(bucket, (F.col("_us") + win).alias("_us"), (-F.col("_n")).alias("_n"))
+    changes = starts.unionByName(ends).groupBy(bucket, "_us").agg(F.sum("_n").alias("_n"))
+    # calls without a time are a key of their own, or their count would run on into all later totals
+    changes = changes.withColumn("_untimed", F.col("_us").isNull())
+    inside = running_totals(changes, [bucket, "_untimed"], ["_us"], ["_n"]).select(
+        F.col(bucket).alias("_bucket"), F.col("_us").alias("_at"), F.col("_n").alias("calls_in_window"))
+    same = timed[bucket].eqNullSafe(inside["_bucket"]) & timed["_us"].eqNullSafe(inside["_at"])
+    return (timed.join(inside, same, "left").withColumn("over_limit", F.col("calls_in_window") > limit)
+            .drop("_us", "_bucket", "_at"))
 
 
 def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, block_minutes: int = RATE_MINUTES,
                        out: str = "rank") -> DataFrame:
-    """``row_number() OVER (PARTITION BY key ORDER BY ts, tie)`` without
-    sorting a whole key in one task: rows are cut into (key, time block)
+    """``row_number() OVER (PARTITION BY key ORDER BY ts, tie)`` for keys whose
+    rows spread over time (``ordered.ranked`` needs no such thing, but writes
+    the rows once): rows are cut into (key, time block)
     groups, block sizes are prefix-summed over the small (key, block) table,
     and each row's rank is its block offset plus its rank inside the block.
     Rows with a null time come first, rows with a null key rank among themselves."""
@@ -71,8 +68,7 @@ def rank_in_time_order(df: DataFrame, key: str | list[str], ts: str, tie: str, b
 
 def rate_wave_plan(requests: DataFrame, limit: int = RATE_CALLS, minutes: int = RATE_MINUTES,
                    bucket: str = "bucket", ts: str = "ts", tie: str = "call_id",
-                   block_minutes: int = RATE_MINUTES, tries: int = LIMITER_TRIES,
-                   delay_s: int = LIMITER_DELAY_S) -> DataFrame:
+                   tries: int = LIMITER_TRIES, delay_s: int = LIMITER_DELAY_S) -> DataFrame:
     """spread requests over waves of ``limit`` calls every ``minutes``.
 
     Rank per bucket in (ts, tie) order -> wave = (rank - 1) div limit; wave w
@@ -80,7 +76,7 @@ def rate_wave_plan(requests: DataFrame, limit: int = RATE_CALLS, minutes: int =
     that would wait longer than the limiter's patience of
     (tries - 1)·delay seconds.
     """
-    ranked = rank_in_time_order(requests, bucket, ts, tie, block_minutes)
+    ranked = ordered.ranked(requests, [bucket], [ts, tie])
     wave = F.floor((F.col("rank") - 1) / limit).cast("long")
     patience = (tries - 1) * delay_s
     return (ranked.withColumn("wave", wave)

@@ -3,13 +3,13 @@ day <-> (day, station) mapping and backfill-request validation (P1–P9).
 
 Every operator works on a *table* of requests, so a million backfill
 requests cost one job.  None of them joins or collects: grids are built by
-``explode`` per request row, which is linear in the output and needs no
-shuffle at all.
+``explode`` per request row, which is linear in the output; only requests too
+large for one task are dealt anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.keys import decode_key, dims_map, encode_key
@@ -42,22 +42,66 @@ def static_values(requests: DataFrame, values: str = "stations", out: str = "sta
     return requests.withColumn(out, F.explode(F.col(values)))
 
 
+#: A request with more partitions than this is dealt over tasks in stretches of STRETCH_DAYS days.
+ROW_PARTITIONS = 100_000
+STRETCH_DAYS = 31
+
+
 def partition_grid(requests: DataFrame, date_dims: dict[str, tuple[str, str]],
-                   static_dims: dict[str, str]) -> DataFrame:
+                   static_dims: dict[str, str], row_partitions: int = ROW_PARTITIONS) -> DataFrame:
     """Cartesian product of the dimensions *within each request row*.
 
     ``date_dims``: name -> (start column, end column), inclusive.
-    ``static_dims``: name -> array column.
-    Built with one ``explode`` per dimension, so there is no join.
+    ``static_dims``: name -> array column; a value that is listed twice counts once.
+    Built with one ``explode`` per dimension, so there is no join.  A small
+    request is expanded where it lies.  One of more than ``row_partitions``
+    partitions is first cut into stretches of days, which are dealt over all
+    tasks and expanded there.
     """
-    df = requests
+    size = F.lit(1.0)
+    for s, e in date_dims.values():
+        size = size * F.greatest(F.datediff(F.col(e), F.col(s)) + 1, F.lit(0))
+    for arr in static_dims.values():
+        size = size * F.size(F.array_distinct(F.col(arr)))
+    sized = requests.withColumn("_large", F.coalesce(size > row_partitions, F.lit(False)))
+    columns = list(dict.fromkeys([*requests.columns, *date_dims, *static_dims]))
+    small = _expanded(sized.filter(~F.col("_large")), date_dims, static_dims).select(*columns)
+    if not date_dims:
+        return _expanded(sized, date_dims, static_dims).select(*columns)
+    (name, (s, e)), *rest = date_dims.items()
+    days = F.sequence(F.col(s), F.col(e), F.expr(f"interval {STRETCH_DAYS} days"))
+    cut = sized.filter("_large").withColumn("_from", F.explode(days))
+    cut = cut.repartition(F.xxhash64("_from", F.to_json(F.struct(*requests.columns))))
+    cut = cut.withColumn("_to", F.least(F.date_add("_from", STRETCH_DAYS - 1), F.col(e)))
+    large = _expanded(cut, {name: ("_from", "_to"), **dict(rest)}, static_dims).select(*columns)
+    return small.unionByName(large)
+
+
+def _expanded(df: DataFrame, date_dims: dict[str, tuple[str, str]], static_dims: dict[str, str]) -> DataFrame:
     for name, (s, e) in date_dims.items():
         df = df.withColumn(name, F.explode(day_range(s, e)))
     for name, arr in static_dims.items():
-        df = df.withColumn(name, F.explode(F.col(arr)))
+        df = df.withColumn(name, F.explode(F.array_distinct(F.col(arr))))
     return df
 
 
+def day_ranges(partitions: DataFrame, group_cols: list[str], day: str) -> DataFrame:
+    """Partitions -> stretches of consecutive days: (group_cols, first_day, last_day, n_days), null days left out.
+
+    The days of a group are numbered after they were made distinct; days of one stretch all lie as far from their
+    number.  A group (a request's station) has no more days than the calendar."""
+    days = partitions.select(*group_cols, F.col(day).cast("date").alias("_day")).filter("_day IS NOT NULL").distinct()
+    number = F.row_number().over(Window.partitionBy(*group_cols).orderBy("_day"))
+    return (days.withColumn("_stretch", F.date_sub("_day", number)).groupBy(*group_cols, "_stretch")
+            .agg(F.min("_day").alias("first_day"), F.max("_day").alias("last_day"), F.count(F.lit(1)).alias("n_days"))
+            .drop("_stretch"))
+
+
+def expand_ranges(ranges: DataFrame, out: str = "date") -> DataFrame:
+    """Stretches of days -> their days (the inverse of ``day_ranges``)."""
+    return ranges.withColumn(out, F.explode(day_range("first_day", "last_day"))).drop("first_day", "last_day", "n_days")
+
+
 def with_partition_key(df: DataFrame, dims: list[str], out: str = "partition_key") -> DataFrame:
     """P5: dimension columns -> one key, values ordered by dimension *name*."""
     return df.withColumn(out, encode_key(dims_map(**{d: F.col(d) for d in dims})))

@@ -78,7 +78,7 @@ def request_waves(params: DataFrame, calls_per_wave: int = RATE_CALLS) -> DataFr
     counted per request here, so a request of many pages takes more of the
     limit than its place in the plan."""
     timed = params.withColumn("bucket", F.col("endpoint")).withColumn("_day", F.col("date").cast("timestamp"))
-    return rate_wave_plan(timed, limit=calls_per_wave, ts="_day", tie="request_id", block_minutes=24 * 60).drop("_day")
+    return rate_wave_plan(timed, limit=calls_per_wave, ts="_day", tie="request_id").drop("_day")
 
 
 def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, ledger_path: str,

@@ -37,8 +37,11 @@ SELECT date, station_number, count(*) AS n_rows,
 FROM src GROUP BY date, station_number"""
 
 
+VERSION_COLS = ["formula", "value", "timestamp_measured"]
+
+
 def _versions(df: DataFrame) -> DataFrame:
-    return FR.data_version(df, ["date", "station_number"], ["formula", "value", "timestamp_measured"])
+    return FR.data_version(df, ["date", "station_number"], VERSION_COLS).withColumn("date", F.col("date").cast("string"))
 
 
 @register("data_version", with_views(f"""
@@ -60,14 +63,38 @@ FROM (SELECT 1 AS run, * FROM ({VERSION_SQL.replace('FROM src', "FROM v_measurem
       SELECT 2 AS run, * FROM ({VERSION_SQL.replace('FROM src', 'FROM v_measurements')}) b) v
 WINDOW w AS (PARTITION BY date, station_number ORDER BY run)""", "v_measurements"))
 def q_changed_partitions(spark, d):
-    """Run 1 fetched everything but the ``error`` measurements, run 2 all."""
+    """Run 1 fetched everything but the ``error`` measurements, run 2 all; each is merged into the state before."""
     m = V.measurements(spark, d)
-    v1 = _versions(m.filter(F.col("formula") != "error")).withColumn("run", F.lit(1))
-    v2 = _versions(m).withColumn("run", F.lit(2))
-    out = FR.changed_partitions(v1.unionByName(v2), ["date", "station_number"])
+    keys = ["date", "station_number"]
+    first = FR.merge_versions(_versions(m.filter(F.lit(False))), _versions(m.filter(F.col("formula") != "error")), keys)
+    second = FR.merge_versions(first.select(*keys, *FR.VERSION_PARTS, "data_version"), _versions(m), keys)
+    out = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))).filter("seen")
     return out.select(F.col("date").cast("string").alias("date"), "station_number", "run", "new", "changed")
 
 
+@register("version_history", with_views(f"""
+SELECT CAST(date AS VARCHAR) AS date, station_number, run, row_number() OVER w = 1 AS new,
+       (lag(h1) OVER w IS DISTINCT FROM h1 OR lag(h2) OVER w IS DISTINCT FROM h2
+        OR lag(n_rows) OVER w IS DISTINCT FROM n_rows) AS changed
+FROM (SELECT 1 AS run, * FROM ({VERSION_SQL.replace('FROM src', "FROM v_measurements WHERE formula <> 'error'")}) a
+      UNION ALL
+      SELECT 2 AS run, * FROM ({VERSION_SQL.replace('FROM src', 'FROM v_measurements')}) b
+      UNION ALL
+      SELECT 3 AS run, * FROM ({VERSION_SQL.replace('FROM src', "FROM v_measurements WHERE event_id % 3 > 0")}) c) v
+WINDOW w AS (PARTITION BY date, station_number ORDER BY run)""", "v_measurements"))
+def q_version_history(spark, d):
+    """Run 1 fetched everything but the ``error`` measurements, run 2 all, and then a third went again (run 3), whose
+    versions come from those of run 2 by taking off the rows that went."""
+    m = V.measurements(spark, d)
+    keys = ["date", "station_number"]
+    second = _versions(m)
+    went = m.filter(F.col("event_id") % 3 == 0).withColumn("date", F.col("date").cast("string"))
+    third = FR.adjust_versions(second, went.filter(F.lit(False)), went, keys, VERSION_COLS)
+    every = [v.withColumn("run", F.lit(i)) for i, v in ((1, _versions(m.filter(F.col("formula") != "error"))), (2, second), (3, third))]
+    out = FR.changed_partitions(every[0].unionByName(every[1]).unionByName(every[2].select(every[0].columns)), keys)
+    return out.select("date", "station_number", "run", "new", "changed")
+
+
 def _tz_tick_sql(now: str, kind: str) -> str:
     local = f"timezone('Europe/Amsterdam', TIMESTAMPTZ '{now}+00')"
     if kind == "daily3":

@@ -99,6 +99,18 @@ def q_backfill_plan(spark, d):
     return plan.select("name", "policy", "daily", "stations", "partition_key")
 
 
+@register("backfill_ranges", with_views("""
+SELECT name, stations, CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day, count(*) AS n_days
+FROM (SELECT name, stations, day, day - CAST(row_number() OVER (PARTITION BY name, stations ORDER BY day) AS INTEGER) AS stretch
+      FROM (SELECT DISTINCT name, stations, CAST(daily AS DATE) AS day FROM plan) p) s
+GROUP BY name, stations, stretch""", "v_backfill_checked", "v_meas_ledger", extra={"plan": PLAN_SQL}))
+def q_backfill_ranges(spark, d):
+    """The plan as stretches of consecutive days per request and station."""
+    out = L.backfill_ranges(L.backfill_plan(V.backfills(spark, d), V.measurement_ledger(spark, d)))
+    return out.select("name", "stations", F.col("first_day").cast("string").alias("first_day"),
+                      F.col("last_day").cast("string").alias("last_day"), "n_days")
+
+
 def _write_measurements(spark: SparkSession, d: str) -> str:
     from tessera.plans.q_storage import shared_landing
     return shared_landing(spark, d)

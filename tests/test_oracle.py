@@ -45,7 +45,7 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_key_is_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len([k for k in entry.queries() if not k.startswith("op") and k != "pipeline"]) == 69
+    assert len([k for k in entry.queries() if not k.startswith("op") and k != "pipeline"]) == 71
 
 
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
