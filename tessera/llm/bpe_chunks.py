@@ -8,6 +8,7 @@ white space stay together with their neighbours.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -26,7 +27,17 @@ class ChunkEncoder:
         self.spaced: dict[str, Any] = {}  # chunk without the space before it; None: white space at an end
 
     def __call__(self, texts: Sequence[str]) -> list[list[Any]]:
-        """Per text the values of its chunks, in order."""
+        """Per text the values of its chunks, in order.  Nothing here makes cycles, and the collector would walk
+        through the cache again and again: it is off meanwhile."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encoded(self, texts: Sequence[str]) -> list[list[Any]]:
         spaced = self.spaced
         full = len(spaced) > self.limit
         self.frozen += full

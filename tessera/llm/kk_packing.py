@@ -29,7 +29,7 @@ END_ID = 1
 #: Leftovers packed together; bounds a task's memory and the differencing's work.
 BLOCK_ITEMS = 256
 #: Encoded chunks that a worker keeps (about 200 bytes each): the library takes longest for new ones.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 1_500_000
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:

@@ -244,8 +244,8 @@ REDACTED = "[SECRET]"
 
 def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs with every stretch of found spans in ``text`` replaced by a marker, and ``n_chars``, if there, counted
-    anew.  Rows without a finding stay as they are, null texts too; no row goes."""
-    least = thresholds(with_findings(docs.select("text")).select("_runs"))
+    anew.  Rows without a finding stay as they are, null texts too; no row goes.  The rows are written once with what
+    the battery found in them; thresholds and texts are both made from that table."""
     text = F.col("text").cast("string")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     walked = F.aggregate("_spans", start, lambda acc, s: F.when(
@@ -257,7 +257,8 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
                .otherwise(F.col("text"))}
 
     def stage(frame):
-        out = with_findings(frame).withColumn("_spans", _spans(least)).withColumns(changed)
+        found = base.written(spark, with_findings(frame), "findings")
+        out = found.withColumn("_spans", _spans(thresholds(found))).withColumns(changed)
         if "n_chars" in frame.columns:
             out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(
                 frame.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
