@@ -125,7 +125,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _blocks(n_buckets: int, window: int, mer: int, frequent):
     """Arrow function: (id, key, text) -> (bucket, block)."""
     def run(batches):
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=5).compress
         seen = None if frequent is None else np.array(frequent.value, np.uint64)
         for batch in batches:
             for part in base.slices(batch, SLICE_BYTES):
