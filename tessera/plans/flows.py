@@ -25,6 +25,7 @@ from tessera.schemas import (LEDGER, MEASUREMENT_RECORD, MEASUREMENTS,
 from tessera.sources import fetch as S
 from tessera.sources import rest_source
 from tessera.sources import storage as B
+from tessera.sources.ledger_store import read_condensed
 
 LANDING = "air_quality_data"
 BRONZE = "daily_air_quality_data"
@@ -216,9 +217,10 @@ def report_storage(spark: SparkSession, lake_root: str, asset_key: str, ledger_p
     """Storage listing -> asset check -> reconcile -> ledger append.
 
     Returns the appended events; a rerun appends nothing because the
-    reconciliation runs against the updated ledger.
+    reconciliation runs against the updated ledger.  What was reported before
+    comes from the condensed state and the appends since, not from the history.
     """
-    ledger = read_ledger(spark, ledger_path)
+    ledger = read_condensed(spark, ledger_path)
     L.check_assets_exist(spark.createDataFrame([(asset_key,)], "asset_key string"), ledger, skip_checks)
     listed = B.list_partition_files(spark, lake_root, asset_key, partition_cols)
     keys = listed.select(encode_columns(*partition_cols).alias("partition_key"))

@@ -9,17 +9,23 @@ from tessera.functions.tags import tag
 from tessera.functions.timefn import ts_lit
 from tessera.operators import ledger as L
 from tessera.operators.partitions import dimension_by_days
+from tessera.plans.flows import append_ledger
 from tessera.plans.registry import register
 from tessera.plans.sqlviews import with_views
 from tessera.schemas import (TAG_BACKFILL, TAG_JOB_NAME, TAG_PARTITION,
-                             TAG_PARTITION_DIM_PREFIX, TAG_TRIGGERED_BY)
+                             TAG_PARTITION_DIM_PREFIX, TAG_TRIGGERED_BY,
+                             STATUS_MATERIALIZED)
+from tessera.session import scratch_path
 from tessera.sources import storage as B
 from tessera.sources import testviews as V
+from tessera.sources.ledger_store import compact, read_condensed
 
 # The ledger as it was known at this instant; partitions written later
 # are in storage but not yet reported.
 LEDGER_AS_OF = "2024-01-25 00:00:00"
 REPORT_NOW = "2024-01-31 00:00:00"
+# The state of a ledger on disk is brought up to date at these instants.
+STATE_CUTS = ("2024-01-15 00:00:00", "2024-01-25 00:00:00")
 
 
 def measurement_grid(spark: SparkSession, d: str) -> DataFrame:
@@ -61,6 +67,31 @@ def q_latest_status(spark, d):
     return out.withColumn("event_time", F.col("event_time").cast("string"))
 
 
+def _kept_ledger(spark: SparkSession, events: DataFrame) -> str:
+    """The events written as three appends by time, with the state brought up to date after each of the first two."""
+    path = f"{scratch_path(spark, 'ledger')}/ledger"
+    early, late = F.col("event_time") < ts_lit(STATE_CUTS[0]), F.col("event_time") >= ts_lit(STATE_CUTS[1])
+    for n, part in enumerate((early | F.col("event_time").isNull(), ~early & ~late, late)):
+        append_ledger(events.filter(part), path)
+        if n < 2:
+            compact(spark, path)
+    return path
+
+
+@register("ledger_state", with_views("""
+SELECT asset_key, partition_key, arg_max(status, (event_time, event_id)) AS status,
+       CAST(max(event_time) AS VARCHAR) AS event_time,
+       CAST(max(CASE WHEN status = 'MATERIALIZED' THEN event_time END) AS VARCHAR) AS last_materialized
+FROM v_ledger GROUP BY asset_key, partition_key""", "v_ledger"))
+def q_ledger_state(spark, d):
+    """Latest status and latest materialization from the condensed state and the append after it."""
+    events = read_condensed(spark, _kept_ledger(spark, V.ledger(spark, d)))
+    done = F.max(F.when(F.col("status") == STATUS_MATERIALIZED, F.col("event_time")))
+    last = events.groupBy("asset_key", "partition_key").agg(done.cast("string").alias("last_materialized"))
+    out = L.latest_status(events).withColumn("event_time", F.col("event_time").cast("string"))
+    return out.join(last, ["asset_key", "partition_key"])
+
+
 @register("unknown_assets", with_views("""
 SELECT DISTINCT asset_name AS asset_key FROM v_runs
 WHERE asset_name IS NOT NULL AND asset_name NOT IN (SELECT asset_key FROM v_ledger)""", "v_runs", "v_ledger"))
@@ -99,6 +130,15 @@ def q_backfill_plan(spark, d):
     return plan.select("name", "policy", "daily", "stations", "partition_key")
 
 
+@register("backfill_plan_kept", with_views("""
+SELECT name, partition_key, daily, stations FROM plan""", "v_backfill_checked", "v_meas_ledger", extra={"plan": PLAN_SQL}))
+def q_backfill_plan_kept(spark, d):
+    """L5 over a ledger on disk: from its condensed state and the append after it instead of its history."""
+    path = _kept_ledger(spark, V.measurement_ledger(spark, d))
+    plan = L.backfill_plan(V.backfills(spark, d), read_condensed(spark, path))
+    return plan.select("name", "partition_key", "daily", "stations")
+
+
 @register("backfill_ranges", with_views("""
 SELECT name, stations, CAST(min(day) AS VARCHAR) AS first_day, CAST(max(day) AS VARCHAR) AS last_day, count(*) AS n_days
 FROM (SELECT name, stations, day, day - CAST(row_number() OVER (PARTITION BY name, stations ORDER BY day) AS INTEGER) AS stretch

@@ -55,13 +55,13 @@ def file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = file_system(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n[:-5]) for n in _names(spark, f"{path}/{MANIFESTS}") if n.endswith(".json") and n[:-5].isdigit())
+    return sorted(int(n[:-5]) for n in folder_names(spark, f"{path}/{MANIFESTS}") if n.endswith(".json") and n[:-5].isdigit())
 
 
 def _manifest(path: str, version: int) -> str:
@@ -165,7 +165,7 @@ def _write(df: DataFrame, path: str, partition_cols, buckets: int | None, max_re
     out = df.withColumn(BUCKET, folder_value(partition_cols, buckets)) if buckets else df
     (out.hint("rebalance", folder).sortWithinPartitions(folder, *partition_cols)
      .write.option("maxRecordsPerFile", max_records).partitionBy(folder).parquet(f"{path}/{write}"))
-    made = {n for n in _names(spark, f"{path}/{write}") if n.startswith(f"{folder}=")}
+    made = {n for n in folder_names(spark, f"{path}/{write}") if n.startswith(f"{folder}=")}
     if made:
         stored = T.StructType([T.StructField(c, T.StringType() if c == folder and not buckets else df.schema[c].dataType)
                                for c in partition_cols])
@@ -194,7 +194,7 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], max_
     """
     spark, schema = df.sparkSession, df.schema
     base = snapshot(spark, path)
-    if base is None and any("=" in n for n in _names(spark, path) if not n.startswith(("write=", "_"))):
+    if base is None and any("=" in n for n in folder_names(spark, path) if not n.startswith(("write=", "_"))):
         raise ValueError(f"{path} holds files without versions; write them to a new table first")
     shape = base or Snapshot(0, {}, tuple(partition_cols), buckets)
     if shape.partition_cols != tuple(partition_cols):
