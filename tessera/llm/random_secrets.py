@@ -51,24 +51,96 @@ CLASSES = [DIGITS, "aeiouAEIOU", "nrtlsdhNRTLSDH", "bcfgjkmpqvwxyzBCFGJKMPQVWXYZ
 LENGTHS = [24, 32, 48, 64, 128]
 BINS = 50
 FALSE_SHARE = 0.1
+#: Values walked one by one before the next block; characters of a block of text.
+WALK, BLOCK = 256, 4096
+MASK = "\0"
 
 
-def _matches(text: Column, pattern: str, group: int | None = None, least: int = 0) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once, however often the body's lambdas use it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _before(values: Column, join, zero: int = 0) -> Column:
+    """For each of an array of integers ``join`` (associative) of all before it, ``zero`` for the first.  Blocks are
+    walked by themselves and then moved by what lies before them, so an array grows by appending for a block at most:
+    the time is about linear in the length."""
+    empty = F.array().cast("array<int>")
+    start = F.struct(F.lit(zero).alias("at"), empty.alias("out"))
+
+    def walked(array, value):
+        return F.aggregate(array, start, lambda acc, v: F.struct(
+            join(acc["at"], value(v)).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")))
+
+    def moved(inner):
+        starts = walked(inner, lambda b: b["at"])["out"]
+        return F.flatten(F.zip_with(inner, starts, lambda b, s: F.transform(b["out"], lambda x: join(s, x))))
+
+    def blocks(v):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / WALK).cast("int")),
+                           lambda i: walked(F.slice(v, i * WALK + 1, F.lit(WALK)), lambda x: x))
+
+    return _let(values, lambda v: F.when(F.size(v) == 0, empty).otherwise(_let(blocks(v), moved)))
+
+
+def _matches(text: Column, pattern: str, group: int | None = None, least: int = 0, mark: str | None = None) -> Column:
     """array<struct<start, end, text>> of the pattern's matches (code points, end exclusive), leftmost first and
-    not overlapping; ``group`` must have ``least`` characters.  Empty if there are none."""
+    not overlapping; ``group`` must have ``least`` characters.  Empty if there are none.  With ``mark`` also
+    left and right: 1 if that character comes right before or after the match."""
     p = F.lit(pattern)
     found = F.regexp_extract_all(text, p, F.lit(0))
     part = F.regexp_extract_all(text, p, F.lit(group)) if group else found
-    between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    both = F.zip_with(F.arrays_zip(between.alias("b"), found.alias("m")), part,
-                      lambda x, g: F.struct(F.length(x["b"]).alias("gap"), x["m"].alias("m"), F.length(g).alias("n")))
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
-    walked = F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + F.length(x["m"])).alias("at"),
-        F.when(x["n"] < least, acc["out"]).otherwise(F.array_append(acc["out"], F.struct(
-            (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + F.length(x["m"])).alias("end"),
-            x["m"].alias("text")))).alias("out")))["out"]
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    none = F.array().cast(f"array<struct<start:int,end:int,text:string{',left:int,right:int' if mark else ''}>>")
+
+    def placed(both):
+        before = _before(F.transform(both, lambda x: x["gap"] + F.length(x["m"])), lambda u, v: u + v)
+        spans = F.zip_with(both, before, lambda x, at: F.struct(
+            (at + x["gap"]).alias("start"), (at + x["gap"] + F.length(x["m"])).alias("end"), x["m"].alias("text"),
+            *[x[c].alias(c) for c in (("left", "right") if mark else ("n",))]))
+        if mark:
+            return spans
+        if least:
+            spans = F.filter(spans, lambda s: s["n"] >= least)
+        return F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "text")]))
+
+    def lengths(x, g):
+        sides = [F.length(g).alias("n")] if not mark else [
+            x["b"].endswith(mark).cast("int").alias("left"), x["a"].startswith(mark).cast("int").alias("right")]
+        return F.struct(F.length(x["b"]).alias("gap"), x["m"].alias("m"), *sides)
+
+    def split(between):
+        parts = [F.slice(between, F.lit(1), F.size(between) - 1).alias("b"), found.alias("m")]
+        if mark:
+            parts.append(F.slice(between, F.lit(2), F.size(between) - 1).alias("a"))
+        return F.zip_with(F.arrays_zip(*parts), part, lengths)
+
+    return F.when(text.rlike(pattern), _let(_let(F.split(text, pattern, -1), split), placed)).otherwise(none)
+
+
+def _pieces(text: Column, cuts: Column, made) -> Column:
+    """The strings ``made(cut, between)`` of an array of cuts, joined; ``between(a, b)`` is the text from code point a
+    to b.  The text is cut into blocks first, so that a piece is not looked for from the start of the text."""
+    def joined(blocks):
+        def between(a, b):
+            first = F.floor(a / BLOCK).cast("int")
+            some = F.slice(blocks, first + 1, F.floor(b / BLOCK).cast("int") - first + 1)
+            return F.when(b > a, F.array_join(some, "").substr(a - first * BLOCK + 1, b - a)).otherwise(F.lit(""))
+
+        return F.array_join(F.transform(cuts, lambda c: made(c, between)), "")
+
+    return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), joined)
+
+
+def _cuts(spans: Column, text: Column) -> Column:
+    """Sorted spans as array<struct<at, start, end, last>>: ``at`` is the furthest end before a span.  The last one is
+    empty and stands at the end of the text."""
+    def cut(start, end, last):
+        return F.struct(start.alias("start"), end.alias("end"), F.lit(last).alias("last"))
+
+    all_ = F.concat(F.transform(spans, lambda s: cut(s["start"], s["end"], False)),
+                    F.array(cut(F.length(text), F.length(text), True)))
+    return _let(all_, lambda a: F.zip_with(a, _before(F.transform(a, lambda s: s["end"]), F.greatest), lambda s, p: F.struct(
+        p.alias("at"), s["start"].alias("start"), s["end"].alias("end"), s["last"].alias("last"))))
 
 
 def _kind(spans: Column, kind: int) -> Column:
@@ -148,29 +220,24 @@ def _wilson_hilferty(chi: Column, df: Column) -> Column:
     return F.when(df < 1, F.lit(0.0)).otherwise((F.pow(chi / df, F.lit(1 / 3)) - 1 + c) / F.sqrt(c))
 
 
-def _outside(runs: Column, spans: Column) -> Column:
-    """runs without what the sorted spans cover: each remaining stretch of RUN_LEAST or more.  One separator next to a
-    span is left out too if as many remain, so that the stretch's encoding is not the separator's."""
-    def stretch(run, start, end, cut_left, cut_right):
-        text = run["text"].substr(start - run["start"] + 1, end - start)
-        left = (F.lit(cut_left) & text.rlike("^[+/_-]") & (end - start > RUN_LEAST)).cast("int")
-        right = (F.lit(cut_right) & text.rlike("[+/_-]$") & (end - start - left > RUN_LEAST)).cast("int")
-        return F.when(end - start >= RUN_LEAST, F.array(F.struct(
-            (start + left).alias("start"), (end - right).alias("end"),
-            text.substr(left + 1, end - start - left - right).alias("text")))).otherwise(none)
-
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+def _outside(text: Column, spans: Column) -> Column:
+    """The runs of the text without what the sorted spans cover: each remaining stretch of RUN_LEAST or more.  One
+    separator next to a span is left out too if as many remain, so that the stretch's encoding is not the
+    separator's.  A text with spans is searched with the spans' characters masked."""
+    def masked(cut, between):
+        covered = cut["end"] - F.greatest(cut["start"], cut["at"])
+        return F.concat(between(cut["at"], cut["start"]), F.repeat(F.lit(MASK), F.greatest(covered, F.lit(0))))
 
-    def cut(run):
-        touching = F.filter(spans, lambda s: (s["start"] < run["end"]) & (run["start"] < s["end"]))
-        walked = F.aggregate(touching, F.struct(run["start"].alias("at"), none.alias("out")), lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.concat(acc["out"], F.when(acc["at"] > run["start"], stretch(run, acc["at"], s["start"], True, True))
-                     .otherwise(stretch(run, acc["at"], s["start"], False, True))).alias("out")))
-        return F.when(F.size(touching) == 0, F.array(run)).otherwise(
-            F.concat(walked["out"], stretch(run, walked["at"], run["end"], True, False)))
+    def trimmed(run):
+        n = F.length(run["text"])
+        left = F.when((run["left"] == 1) & run["text"].rlike("^[+/_-]") & (n > RUN_LEAST), 1).otherwise(0)
+        right = F.when((run["right"] == 1) & run["text"].rlike("[+/_-]$") & (n - left > RUN_LEAST), 1).otherwise(0)
+        return F.struct((run["start"] + left).alias("start"), (run["end"] - right).alias("end"),
+                        run["text"].substr(left + 1, n - left - right).alias("text"))
 
-    return F.when(F.size(spans) == 0, runs).otherwise(F.flatten(F.transform(runs, cut)))
+    free = F.translate(text, MASK, " ")  # a text's own characters mask nothing
+    cut = _let(_pieces(free, _cuts(spans, text), masked), lambda m: _matches(m, RUN, mark=MASK))
+    return F.when(F.size(spans) == 0, _matches(text, RUN)).otherwise(F.transform(cut, trimmed))
 
 
 def with_findings(docs: DataFrame) -> DataFrame:
@@ -179,7 +246,7 @@ def with_findings(docs: DataFrame) -> DataFrame:
     return (docs.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
             .withColumn("_base", F.array_sort(F.concat(_kind(_matches(text, ASSIGN, 2, ASSIGN_VALUE), 0),
                                                        _kind(_matches(text, ACCESS), 1), _kind(_matches(text, HEX), 2))))
-            .withColumn("_runs", _outside(_matches(text, RUN), F.col("_base")))
+            .withColumn("_runs", _outside(text, F.col("_base")))
             .withColumn("_runs", F.when(F.size("_runs") > 0, _tested(F.col("_runs")))
                         .otherwise(F.array().cast("array<struct<start:int,end:int,stratum:string,p:double>>")))
             .drop("_text"))
@@ -247,13 +314,12 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     anew.  Rows without a finding stay as they are, null texts too; no row goes.  The rows are written once with what
     the battery found in them; thresholds and texts are both made from that table."""
     text = F.col("text").cast("string")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    walked = F.aggregate("_spans", start, lambda acc, s: F.when(
-        s["start"] >= acc["at"],
-        F.struct(s["end"].alias("at"), F.concat(acc["out"], text.substr(acc["at"] + 1, s["start"] - acc["at"]),
-                                                F.lit(REDACTED)).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))))
-    changed = {"text": F.when(F.size("_spans") > 0, F.concat(walked["out"], text.substr(walked["at"] + 1, F.length(text))))
+
+    def marked(cut, between):
+        return F.when(cut["start"] >= cut["at"], F.concat(between(cut["at"], cut["start"]), F.when(
+            cut["last"], F.lit("")).otherwise(F.lit(REDACTED)))).otherwise(F.lit(""))
+
+    changed = {"text": F.when(F.size("_spans") > 0, _pieces(text, _cuts(F.col("_spans"), text), marked))
                .otherwise(F.col("text"))}
 
     def stage(frame):
