@@ -260,21 +260,24 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(rows, training).drop("text")
 
 
-#: A text of MIN_SYMBOLS or more that costs more bits a symbol in every learned language is in none of them: random
-#: letters and unknown scripts cost 8 and more, text of a learned language about 3, of two languages by turns up to 5.
-#: Shorter texts prove nothing and stay.
+#: A text in a learned language may cost MAX_BITS a symbol and SLACK bits besides, at every length: the bound a symbol,
+#: MAX_BITS + SLACK / symbols, widens as texts get shorter and hold less evidence.  Random letters and unknown scripts
+#: cost 8 to 15 a symbol, text of a learned language about 3, of two languages by turns up to 5; SLACK pays for a rare
+#: name or two in a text of a few words.
 MAX_BITS = 7.0
-MIN_SYMBOLS = 300
+SLACK = 100.0
 
 
-def in_known_language(docs: DataFrame, max_bits: float = MAX_BITS) -> DataFrame:
+def in_known_language(docs: DataFrame, max_bits: float = MAX_BITS, slack: float = SLACK) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language, unchanged: rejected are null texts, texts without
-    letters and those above ``max_bits``.  Without any labelled row nothing but those without letters goes."""
+    letters and those that cost more than ``max_bits`` a symbol and ``slack`` bits in every learned language.  Without
+    any labelled row nothing but those without letters goes."""
     training = training_texts(docs)
     if not training:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
+    symbols = F.col("symbols")
     return base.shielded(docs, lambda d: predict(d.withColumn("text", F.col("text").cast("string")), training).filter(
-        (F.col("lang_pred") != UNDETERMINED) & ((F.col("bits") <= max_bits) | (F.col("symbols") < MIN_SYMBOLS))))
+        (F.col("lang_pred") != UNDETERMINED) & (F.col("bits") * symbols <= max_bits * symbols + slack)))
 
 
 @base.register("op2_crossparse_lang")

@@ -69,6 +69,28 @@ def test_languages(docs, rows, none):
     assert crossparse_lang.in_known_language(none).count() == 0
 
 
+def test_texts_in_no_language_go_at_every_length(spark):
+    """The language stage against costs by substring search; unknown scripts and random letters go, short texts of a
+    learned language stay."""
+    rng = random.Random(17)
+    teach = [(i, prose(rng, 150, x), x) for i in range(60) for x in ("en", "de")]
+    cyrillic, latin = "абвгдежзийклмнопрст ", "abcdefghijklmnopqrstuvwxyz "
+    foreign = ["".join(rng.choices(cyrillic, k=n)) for n in (60, 220, 400, 2000)]
+    noise = ["".join(rng.choices(latin, k=n)) for n in (250, 299, 301, 1200)]
+    clean = [prose(rng, n, x) for n in (1, 2, 5, 12, 40, 300) for x in ("en", "de")] + ["Qx", "Zbigniew"]
+    asked = [(1000 + i, t, None) for i, t in enumerate(foreign + noise + clean)]
+    frame = spark.createDataFrame([(3 * i + 10_000, t, x) for i, t, x in teach] + asked, "doc_id bigint, text string, lang string")
+    kept = {r.doc_id for r in crossparse_lang.in_known_language(frame).collect()}
+    training = crossparse_lang.training_texts(frame)
+    assert set(training) == {"en", "de"}
+    for i, t, _ in asked:
+        own = crossparse_lang.normalise(t)
+        cost = min(phrases(own, x) * math.log2(max(len(x), crossparse_lang.LEAST_LENGTH)) for x in training.values())
+        assert (i in kept) == (cost <= crossparse_lang.MAX_BITS * len(own) + crossparse_lang.SLACK), (t[:40], cost / len(own))
+    n = len(foreign + noise)
+    assert not kept & set(range(1000, 1000 + n)) and kept >= set(range(1000 + n, 1000 + len(asked)))
+
+
 def test_every_label_is_learned(spark):
     """Only short texts, only very long ones, and more than 200 labels: every label is learned and predicted."""
     rng = random.Random(4)
