@@ -6,10 +6,11 @@ re-estimated model goes back to the tasks.  Every round runs over the whole corp
 corpus likelihood stops rising or for ``ROUNDS`` rounds.  A score is the exact likelihood of the whole sequence by the scaled
 forward recursion.
 
-Word counts cover all training documents and are a distributed table.  The states emit the ``STATE_WORDS`` most
-frequent words and one class of all others; a word within the class has a probability by its count, so every text
-has a proper probability.  Counts of the ``KNOWN_WORDS`` most frequent words (at most) travel to the tasks (a bounded table),
-those of rarer words by a join.
+Word counts cover all training documents and are a distributed table.  During the rounds the states emit the
+``STATE_WORDS`` most frequent words and one class of all others.  A last round over all training documents tells
+every word apart: its expected counts by state, a distributed table of all training words, say how far each state
+favours it within the class (``learn_words``), so what the states learn grows with the corpus.  Counts and factors of
+the ``KNOWN_WORDS`` most frequent words (at most) travel to the tasks (a bounded table), those of rarer words by a join.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,10 @@ LEAST_GAIN = 1e-3
 #: Weight, in tokens, of the plain word distribution in each state's.
 SMOOTHING = 50.0
 SEED = 11
-TOKENS_AT_ONCE = 500_000
+TOKENS_AT_ONCE = 1_500_000
+SCALED = 4  # steps of a recursion from one scaling to the next
+#: Share of a rarer word's own states in its probability within the class of other words.
+OWN = 0.9
 END = ""  # the end of a text, counted as a word; no word is empty
 
 
@@ -79,52 +84,95 @@ def _laid_out(sequences: list[np.ndarray]):
     sizes = sizes[order]
     alive = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
     offsets = np.concatenate([[0], np.cumsum(alive)])
-    flat = np.concatenate([sequences[i] for i in order])
-    time = np.concatenate([np.arange(n) for n in sizes])
-    lane = np.repeat(np.arange(len(sizes)), sizes)
-    symbols = np.empty(len(flat), np.int64)
-    symbols[offsets[time] + lane] = flat
+    symbols = np.empty(offsets[-1], np.int32)
+    for lane, i in enumerate(order.tolist()):
+        symbols[offsets[:sizes[lane]] + lane] = sequences[i]
     return order, symbols, alive.tolist(), offsets.tolist()
 
 
-def forward(model: Model, sequences: list[np.ndarray], keep: bool = False):
-    """Natural log likelihood of each sequence (one symbol at least); with ``keep`` also what ``expect`` needs."""
+def _ratios(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(V x K emission over the mean of the states, log of that mean): of a size near 1, so that the recursions are
+    scaled every few steps only."""
+    mean = model.emit.mean(axis=0)
+    return np.ascontiguousarray((model.emit / mean).T), np.log(mean)
+
+
+def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
+    """Natural log likelihood of each sequence (one symbol at least)."""
     order, symbols, alive, offsets = _laid_out(sequences)
-    by_symbol = np.ascontiguousarray(model.emit.T)
-    logs = np.zeros(len(sequences))
-    trace = np.empty((len(symbols), len(model.start))) if keep else None
-    scale = np.empty(len(symbols)) if keep else None
+    ratio, log_mean = _ratios(model)
+    logs, ones = np.zeros(len(sequences)), np.ones(len(model.start))
     state = np.repeat(model.start[None, :], alive[0], axis=0)
     for t, n in enumerate(alive):
-        at = slice(offsets[t], offsets[t + 1])
-        state = (state[:n] @ model.move if t else state) * by_symbol[symbols[at]]
-        c = state.sum(axis=1)
-        state /= c[:, None]
-        logs[:n] += np.log(c)
-        if keep:
-            trace[at], scale[at] = state, c
+        if n < len(state):
+            logs[n:len(state)] += np.log(state[n:] @ ones)
+        at = symbols[offsets[t]:offsets[t + 1]]
+        state = (state[:n] @ model.move if t else state) * ratio.take(at, axis=0)
+        logs[:n] += log_mean[at]
+        if t % SCALED == SCALED - 1:
+            c = state @ ones
+            state /= c[:, None]
+            logs[:n] += np.log(c)
+    logs[:len(state)] += np.log(state @ ones)
     out = np.empty(len(sequences))
     out[order] = logs
-    return (out, (symbols, alive, offsets, by_symbol, trace, scale)) if keep else out
+    return out
 
 
 def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> float:
-    """Add the expected counts of the sequences by the backward recursion; their log likelihood."""
-    logs, (symbols, alive, offsets, by_symbol, trace, scale) = forward(model, sequences, keep=True)
-    back, moved = None, np.zeros_like(model.move)
+    """Add the expected counts of the sequences by the backward recursion; their log likelihood.  Every state emits
+    every symbol.  Keeps 128 bytes a token (8 states)."""
+    _, symbols, alive, offsets = _laid_out(sequences)
+    ratio, log_mean = _ratios(model)
+    ones = np.ones(len(model.start))
+    ahead, cuts = np.empty((len(symbols), len(ones))), {}
+    for t, n in enumerate(alive):
+        here = ahead[offsets[t]:offsets[t + 1]]
+        seen = ratio.take(symbols[offsets[t]:offsets[t + 1]], axis=0)
+        if t:
+            np.dot(state[:n], model.move, out=here)
+            here *= seen
+        else:
+            np.multiply(model.start, seen, out=here)
+        if t % SCALED == SCALED - 1:
+            cuts[t] = here @ ones
+            here /= cuts[t][:, None]
+        state = here
+    # back: what follows each token given its state, times its emission
+    back, moves_back, logs, m = np.empty_like(ahead), np.ascontiguousarray(model.move.T), 0.0, 0
     for t in range(len(alive) - 1, -1, -1):
-        at, n = slice(offsets[t], offsets[t + 1]), alive[t]
-        here = np.ones((n, len(model.start)))
-        if back is not None:
-            here[:len(back)] = back @ model.move.T
-            moved += trace[at][:len(back)].T @ back
-        back = by_symbol[symbols[at]] * here / scale[at][:, None]
-        trace[at] *= here  # now the states' probabilities given the whole sequence
-    counts.start += trace[:alive[0]].sum(axis=0)
+        n, at = alive[t], slice(offsets[t], offsets[t + 1])
+        here = back[at]
+        if m:
+            np.dot(state[:m], moves_back, out=here[:m])
+            if t % SCALED == 0:
+                here[:m] /= (here[:m] @ ones)[:, None]
+        if m < n:
+            here[m:] = 1
+            logs += np.log(ahead[at][m:] @ ones).sum()
+        here *= ratio.take(symbols[at], axis=0)
+        state, m = here, n
+    before = np.arange(len(symbols)) - np.repeat([0, *alive[:-1]], alive)  # the token before, of the same sequence
+    scale = np.ones(len(symbols))
+    for t, c in cuts.items():
+        scale[offsets[t]:offsets[t + 1]] = c
+        logs += np.log(c).sum()
+    moved = np.zeros_like(model.move)
+    for a in range(0, len(symbols), 1 << 16):
+        b = min(a + (1 << 16), len(symbols))
+        at = symbols[a:b]
+        now = ahead[a:b] * back[a:b] / ratio.take(at, axis=0)
+        whole = now @ ones
+        now /= whole[:, None]
+        later = max(a, alive[0])  # tokens with one before them
+        if later < b:
+            moved += (ahead[before[later:b]] / (whole[later - a:] * scale[later:b])[:, None]).T @ back[later:b]
+        counts.start += now[:max(alive[0] - a, 0)].sum(axis=0)
+        for k, own in enumerate(np.ascontiguousarray(now.T)):
+            counts.emit[k] += np.bincount(at, weights=own, minlength=counts.emit.shape[1])
+        logs += log_mean[at].sum()
     counts.move += moved * model.move
-    for k in range(len(model.start)):
-        counts.emit[k] += np.bincount(symbols, weights=trace[:, k], minlength=counts.emit.shape[1])
-    return float(logs.sum())
+    return float(logs)
 
 
 def _groups(batches, column: str):
@@ -180,7 +228,8 @@ def most_frequent(counts: DataFrame, at_most: int) -> list:
 
 
 def _encode(known, n_state_words: int):
-    """Arrow function: (doc_id, held_out, text) -> symbols, sums over words of known count, and the other words."""
+    """Arrow function: (doc_id, held_out, text) -> symbols, sums over words of known count, and the words of the class
+    in order: index of a known word, or the number of known words and the place in ``rare``, the text's other words."""
     def run(batches):
         words, n = known.value
         place = {w.encode(): i for i, w in enumerate(words)}
@@ -188,7 +237,7 @@ def _encode(known, n_state_words: int):
         logs[-1] = 0.0  # not here: comes with the join
         for batch in batches:
             for part in base.slices(batch, 3_000_000):
-                cols: dict[str, list] = {c: [] for c in ("symbols", "log_known", "log_other", "n_tokens", "n_known", "n_other", "rare")}
+                cols: dict[str, list] = {c: [] for c in ("symbols", "others", "rare", "log_known", "log_other", "n_tokens", "n_known")}
                 for text in part.column("text").to_pylist():
                     own = tokens(text)
                     at = np.array([place.get(w, -1) for w in own])
@@ -198,13 +247,40 @@ def _encode(known, n_state_words: int):
                     cols["log_other"].append(float(logs[at[other]].sum()))
                     cols["n_tokens"].append(len(own))
                     cols["n_known"].append(int((at >= 0).sum()))
-                    cols["n_other"].append(int(other.sum()))
-                    cols["rare"].append([own[i].decode() for i in np.flatnonzero(at < 0).tolist()])
+                    rare: dict[bytes, int] = {}
+                    unknown = np.flatnonzero(at < 0)
+                    at[unknown] = [len(words) + rare.setdefault(own[i], len(rare)) for i in unknown.tolist()]
+                    cols["others"].append(at[other].astype("<u4").tobytes())
+                    cols["rare"].append([w.decode() for w in rare])
                 yield {"rid": part.column("rid"), "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), **cols}
 
     return run
 
 
+def _told_apart(part, sequences: list[np.ndarray], symbol: int, known: int, n_rare: list[int]):
+    """Sequences in which each word of the class has a symbol of its own, from ``symbol`` on; what these are (index of
+    a known word, or ``known`` and a place in the rare words of all rows); and each row's words of the class, so."""
+    before, own = 0, []
+    for words, n in zip(part.column("others").to_pylist(), n_rare, strict=True):
+        at = np.frombuffer(words, "<u4").astype(np.int64)
+        at[at >= known] += before
+        own.append(at)
+        before += n
+    which, place = np.unique(np.concatenate(own), return_inverse=True)
+    out, at = [], 0
+    for s, o in zip(sequences, own):
+        s = s.astype(np.int32)
+        s[s == symbol] = symbol + place[at:at + len(o)]
+        at += len(o)
+        out.append(s)
+    return out, which, own
+
+
+def _with_others(model: Model, affinity: np.ndarray) -> Model:
+    """The model whose last symbol is replaced by words of the class, given (words x K) factors of its emission."""
+    return Model(model.start, model.move, np.concatenate([model.emit[:, :-1], model.emit[:, -1:] * affinity.T], axis=1))
+
+
 def _expected(model, symbols: int):
     """Arrow function: sequences -> rows of expected counts; symbol -1 is the start, -2 - i the moves from state i,
     and the one below has the log likelihood in its first column."""
@@ -250,6 +326,102 @@ def train(spark: SparkSession, sequences: DataFrame, plain: np.ndarray, states:
     return model
 
 
+def _expected_words(model, known: int):
+    """Arrow function: sequences -> rows of expected counts with every word told apart: (symbol) of a known word, -1 of
+    the start, -2 - i of the moves from state i, ``known`` of the whole class; (word) of any other word."""
+    def run(batches):
+        now = model.value
+        states, symbol = len(now.start), now.emit.shape[1] - 1
+        total, dense, n_dense = Counts(states, 0), np.zeros((known + 1, states)), np.zeros(known + 1, np.int64)
+
+        def rows(symbols, words, n, table):
+            return {"symbol": symbols, "word": words, "n": n, **{f"s{k}": table[:, k] for k in range(states)}}
+
+        for part, sequences in _groups(batches, "symbols"):
+            rare = part.column("rare").to_pylist()
+            told, which, _ = _told_apart(part, sequences, symbol, known, [len(w) for w in rare])
+            counts = Counts(states, symbol + len(which))
+            expect(_with_others(now, np.ones((len(which), states))), told, counts)
+            n = np.bincount(np.concatenate(told), minlength=symbol + len(which))
+            emit, own = counts.emit.T, which < known
+            total.start += counts.start
+            total.move += counts.move
+            dense[:symbol] += emit[:symbol]
+            n_dense[:symbol] += n[:symbol]
+            dense[which[own]] += emit[symbol:][own]
+            n_dense[which[own]] += n[symbol:][own]
+            dense[known] += emit[symbol:].sum(axis=0)
+            every = [w for words in rare for w in words]
+            yield rows([None] * int((~own).sum()), [every[i] for i in (which[~own] - known).tolist()], n[symbol:][~own], emit[symbol:][~own])
+        if n_dense.any():
+            yield rows(np.concatenate([np.arange(known + 1), -1 - np.arange(states + 1)]), [None] * (known + 2 + states),
+                       np.concatenate([n_dense, np.zeros(states + 1, np.int64)]), np.concatenate([dense, total.start[None, :], total.move]))
+
+    return run
+
+
+def learn_words(spark: SparkSession, sequences: DataFrame, model: Model, plain: np.ndarray, known: int):
+    """One more round in which every training word has expected counts of its own: (the model after it, (known x K)
+    factors of known words, (word, n, factor) of all others).
+
+    A word's factor is what its states make of the class's emission: (1 - OWN) + OWN * (its count in the state
+    + half a token by the class's states) / (the same for a word of the class with as many tokens).  Words not seen
+    have factor 1, and the probabilities of all words still add up to 1.  The driver has a row a known word.
+    """
+    states = len(model.start)
+    each = [f"s{k}" for k in range(states)]
+    sent = spark.sparkContext.broadcast(model)
+    found = base.written(spark, base.arrow_map(
+        sequences, _expected_words(sent, known), "symbol int, word string, n bigint, " + ", ".join(f"{s} double" for s in each))
+        .groupBy("symbol", "word").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in each]), "word-states")
+    table = found.filter("symbol is not null").toArrow()
+    symbol = table.column("symbol").to_numpy()
+    values = np.stack([table.column(s).to_numpy() for s in each], axis=1)
+    dense, n = np.zeros((known + 1, states)), np.zeros(known + 1)
+    dense[symbol[symbol >= 0]], n[symbol[symbol >= 0]] = values[symbol >= 0], table.column("n").to_numpy()[symbol >= 0]
+    counts = Counts(states, len(plain))
+    last = len(plain) - 1
+    counts.emit[:, :last], counts.emit[:, last] = dense[:last].T, dense[known]
+    counts.start = values[symbol == -1].sum(axis=0)
+    moves = symbol < -1
+    counts.move[-2 - symbol[moves]] = values[moves]
+    prior = np.maximum(dense[known], 1e-9)
+    prior /= prior.sum()
+    factors = (1 - OWN) + OWN * (dense[:known] + 0.5 * prior) / (prior * (n[:known, None] + 0.5))
+    factor = F.array(*[(F.lit(1 - OWN) + F.lit(OWN) * (F.col(s) + 0.5 * float(p)) / (F.lit(float(p)) * (F.col("n") + 0.5))).cast("float")
+                       for s, p in zip(each, prior)])
+    others = found.filter("word is not null").select("word", "n", factor.alias("factor"))
+    return model.estimated(counts, plain), factors.astype(np.float32), others
+
+
+def _scored(sent, known: int):
+    """Arrow function: encoded rows with (place, n, factor) of their rare words that have been learned -> log
+    likelihoods."""
+    def run(batches):
+        model, factors = sent.value
+        states, symbol = len(model.start), model.emit.shape[1] - 1
+        kept = ("doc_id", "held_out", "n_tokens", "n_known", "log_known", "log_other")
+        for part, sequences in _groups(batches, "symbols"):
+            n_rare = part.column("n_rare").to_numpy()
+            learned = part.column("learned")
+            flat = pc.list_flatten(learned)
+            start = np.concatenate([[0], np.cumsum(n_rare)])
+            at = start[pc.list_parent_indices(learned).to_numpy()] + pc.struct_field(flat, "place").to_numpy()
+            n, own = np.zeros(start[-1]), np.ones((start[-1], states), np.float32)
+            n[at] = pc.struct_field(flat, "n").to_numpy()
+            own[at] = pc.list_flatten(pc.struct_field(flat, "factor")).to_numpy().reshape(-1, states)
+            told, which, words = _told_apart(part, sequences, symbol, known, n_rare.tolist())
+            affinity = np.empty((len(which), states))
+            affinity[which < known] = factors[which[which < known]]
+            affinity[which >= known] = own[which[which >= known] - known]
+            rare = [n[w[w >= known] - known] for w in words]
+            yield {**{c: part.column(c) for c in kept}, "n_other": [len(w) for w in words],
+                   "n_learned": [int((r > 0).sum()) for r in rare], "log_rare": [float(np.log10(r + 0.5).sum()) for r in rare],
+                   "log_states": forward(_with_others(model, affinity), told)}
+
+    return run
+
+
 def scores(spark: SparkSession, docs: DataFrame, states: int = STATES, state_words: int = STATE_WORDS,
            known_words: int = KNOWN_WORDS, rounds: int = ROUNDS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
@@ -270,25 +442,23 @@ def scores(spark: SparkSession, docs: DataFrame, states: int = STATES, state_wor
     plain = np.append(n_top[:state_words] + 0.5, others[0] + 0.5 * (others[1] + 1)) / (total["n"] + 0.5 * (total["v"] + 1))
     encoded = base.written(spark, base.arrow_map(
         rows.withColumn("rid", F.monotonically_increasing_id()), _encode(known, state_words),
-        "rid bigint, doc_id bigint, held_out boolean, symbols binary, log_known double, log_other double, "
-        "n_tokens bigint, n_known bigint, n_other bigint, rare array<string>"), "encoded")
-    model = spark.sparkContext.broadcast(train(spark, encoded.filter(~F.col("held_out")).select("symbols"), plain, states, rounds))
-
-    def run(batches):
-        for part, sequences in _groups(batches, "symbols"):
-            yield {n: part.column(n) for n in part.schema.names if n != "symbols"} | {"log_states": forward(model.value, sequences)}
-
-    scored = base.arrow_map(encoded.drop("rare"), run,
-                            "rid bigint, doc_id bigint, held_out boolean, log_known double, log_other double, "
-                            "n_tokens bigint, n_known bigint, n_other bigint, log_states double")
-    rare = (encoded.select("rid", F.explode("rare").alias("word")).join(counts, "word", "left").groupBy("rid")
-            .agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("log_rare"), F.count("n").alias("n_rare")))
-    log_rare = F.coalesce("log_rare", F.lit(0.0))
-    return scored.join(rare, "rid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+        "rid bigint, doc_id bigint, held_out boolean, symbols binary, others binary, rare array<string>, "
+        "log_known double, log_other double, n_tokens bigint, n_known bigint"), "encoded")
+    training = encoded.filter(~F.col("held_out"))
+    model = train(spark, training.select("symbols"), plain, states, rounds)
+    model, factors, words = learn_words(spark, training.select("symbols", "others", "rare"), model, plain, len(top))
+    learned = (encoded.select("rid", F.posexplode("rare").alias("place", "word")).join(words, "word").groupBy("rid")
+               .agg(F.collect_list(F.struct("place", "n", "factor")).alias("learned")))
+    sent = spark.sparkContext.broadcast((model, factors))
+    scored = base.arrow_map(
+        encoded.withColumn("n_rare", F.size("rare")).drop("rare").join(learned, "rid", "left"), _scored(sent, len(top)),
+        "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, log_known double, log_other double, "
+        "n_other bigint, n_learned bigint, log_rare double, log_states double")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("n_learned")).alias("n_known"),
         F.lit(int(total["n"])).cast("bigint").alias("train_tokens"),
-        (F.col("log_known") + log_rare - F.col("n_tokens") * math.log10(total["n"] + 0.5 * (total["v"] + 1))).alias("base_score"),
-        (F.col("log_states") / math.log(10) + F.col("log_other") + log_rare
+        (F.col("log_known") + F.col("log_rare") - F.col("n_tokens") * math.log10(total["n"] + 0.5 * (total["v"] + 1))).alias("base_score"),
+        (F.col("log_states") / math.log(10) + F.col("log_other") + F.col("log_rare")
          - F.col("n_other") * math.log10(others[0] + 0.5 * (others[1] + 1))).alias("score"))
 
 

@@ -203,6 +203,112 @@ def test_every_round_sees_all_texts(spark, monkeypatch):
         assert np.allclose(got.emit, want.emit) and np.allclose(got.move, want.move) and np.allclose(got.start, want.start)
 
 
+@pytest.mark.parametrize("known", [30, 6])
+def test_every_word_learns_its_states(spark, known):
+    """The last round equals Baum-Welch with all words told apart, whether their counts are sent or joined; within the
+    class the words, seen or not, share its probability; scores follow the factors."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for words in
+             ("a b c d ee".split(), "a b x y zz".split()) for _ in range(30)]
+    count = Counter(w.decode() for t in texts for w in hmm_scores.tokens(t))
+    top = sorted(count, key=lambda w: (-count[w], w))
+    symbol, states = 3, 2
+    plain = np.array([count[w] + 0.5 for w in top[:symbol]] + [0.0])
+    n_class, v_class = sum(count[w] for w in top[symbol:]), len(top) - symbol
+    plain[-1] = n_class + 0.5 * (v_class + 1)
+    plain /= plain.sum()
+    model = hmm_scores.Model.initial(states, plain)
+    sent = top[:known]
+    send = spark.sparkContext.broadcast((sent, [count[w] for w in sent]))
+    rows = spark.createDataFrame([(i, i, False, t) for i, t in enumerate(texts)],
+                                 "rid bigint, doc_id bigint, held_out boolean, text string").repartition(3)
+    encoded = hmm_scores.base.arrow_map(
+        rows, hmm_scores._encode(send, symbol),
+        "rid bigint, doc_id bigint, held_out boolean, symbols binary, others binary, rare array<string>, "
+        "log_known double, log_other double, n_tokens bigint, n_known bigint")
+    after, factors, others = hmm_scores.learn_words(spark, encoded.select("symbols", "others", "rare"), model, plain, len(sent))
+    # the same with a symbol a word
+    wide = hmm_scores.Model(model.start, model.move, np.concatenate([model.emit[:, :symbol]] + [model.emit[:, symbol:]] * v_class, axis=1))
+    counts = hmm_scores.Counts(states, len(top))
+    hmm_scores.expect(wide, [np.array([top.index(w.decode()) for w in hmm_scores.tokens(t)]) for t in texts], counts)
+    prior = counts.emit[:, symbol:].sum(axis=1) / n_class
+    want = {w: 0.1 + 0.9 * (counts.emit[:, i] + 0.5 * prior) / (prior * (count[w] + 0.5)) for i, w in enumerate(top)}
+    got = {w: f for w, f in zip(sent, factors)} | {r.word: np.array(r.factor) for r in others.collect()}
+    assert sorted(got) == sorted(top) and {r.word: r.n for r in others.collect()} == {w: count[w] for w in top[known:]}
+    assert all(np.allclose(got[w], want[w], rtol=1e-5) for w in top[symbol:])
+    total = sum((count[w] + 0.5) * want[w] for w in top[symbol:]) + 0.5  # and one word not seen, of factor 1
+    assert np.allclose(total, n_class + 0.5 * (v_class + 1))
+    assert max(abs(want[w] - 1).max() for w in top[symbol:]) > 0.05
+    folded = hmm_scores.Counts(states, symbol + 1)
+    folded.start, folded.move = counts.start, counts.move
+    folded.emit[:] = np.concatenate([counts.emit[:, :symbol], counts.emit[:, symbol:].sum(axis=1, keepdims=True)], axis=1)
+    again = model.estimated(folded, plain)
+    assert np.allclose(after.emit, again.emit) and np.allclose(after.move, again.move) and np.allclose(after.start, again.start)
+
+
+def brute_scores(texts, held, states, state_words, rounds):
+    """Plain twin of ``scores``: one symbol a word, one text at a time."""
+    words = [[w.decode() for w in hmm_scores.tokens(t)] for t in texts]
+    count = Counter(w for own, h in zip(words, held) if not h for w in own)
+    n, v = sum(count.values()), len(count)
+    top = sorted(count, key=lambda w: (-count[w], w))[:state_words]
+    rest = n - sum(count[w] for w in top), v - len(top)
+    plain = np.array([count[w] + 0.5 for w in top] + [rest[0] + 0.5 * (rest[1] + 1)]) / (n + 0.5 * (v + 1))
+    place = {w: i for i, w in enumerate(top)}
+    model = hmm_scores.Model.initial(states, plain)
+
+    def step(model):
+        counts, own = hmm_scores.Counts(states, len(plain)), {}
+        for ws, h in zip(words, held):
+            if h:
+                continue
+            at = [place.get(w, len(top)) for w in ws]
+            ahead, back = [model.start * model.emit[:, at[0]]], [np.ones(states)]
+            for x in at[1:]:
+                ahead.append(ahead[-1] @ model.move * model.emit[:, x])
+            for x in at[:0:-1]:
+                back.append(model.move @ (model.emit[:, x] * back[-1]))
+            back.reverse()
+            whole = ahead[-1].sum()
+            for t, x in enumerate(at):
+                p = ahead[t] * back[t] / whole
+                counts.emit[:, x] += p
+                own[ws[t]] = own.get(ws[t], 0) + p
+                if t:
+                    counts.move += np.outer(ahead[t - 1], model.emit[:, x] * back[t]) * model.move / whole
+            counts.start += ahead[0] * back[0] / whole
+        return model.estimated(counts, plain), counts, own
+
+    for _ in range(rounds):
+        model = step(model)[0]
+    model, counts, own = step(model)
+    prior = counts.emit[:, -1] / counts.emit[:, -1].sum()
+    out = []
+    for ws in words:
+        p = None
+        for w in ws:
+            if w in place:
+                seen = model.emit[:, place[w]]
+            else:
+                seen = model.emit[:, -1] * (count[w] + 0.5) / (rest[0] + 0.5 * (rest[1] + 1))
+                seen = seen * (0.1 + 0.9 * (own.get(w, 0) + 0.5 * prior) / (prior * (count[w] + 0.5)))
+            p = (model.start if p is None else p @ model.move) * seen
+        out.append(math.log10(p.sum()))
+    return out
+
+
+@pytest.mark.parametrize("known", [200_000, 12])
+def test_scores_equal_plain_recursion(spark, known):
+    rng = random.Random(8)
+    every = [f"w{int(rng.paretovariate(0.8))}" for _ in range(600)]
+    texts = ["", "w1"] + [" ".join(rng.choice(every) for _ in range(rng.randint(0, 25))) for _ in range(60)]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.score for r in hmm_scores.scores(spark, docs, states=3, state_words=8, known_words=known, rounds=2).collect()}
+    want = brute_scores(texts, held, 3, 8, 2)
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-5)
+
+
 def test_scores_are_probabilities():
     """Over all sequences of up to three words, ended or not, the probabilities add up to one."""
     plain = np.array([0.5, 0.3, 0.2])
