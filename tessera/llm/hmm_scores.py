@@ -36,8 +36,8 @@ LEAST_GAIN = 1e-3
 #: Weight, in tokens, of the plain word distribution in each state's.
 SMOOTHING = 50.0
 SEED = 11
-TOKENS_AT_ONCE = 1_500_000
-SCALED = 4  # steps of a recursion from one scaling to the next
+TOKENS_AT_ONCE = 750_000
+SCALED = 2  # steps of a recursion from one scaling to the next
 #: Share of a rarer word's own states in its probability within the class of other words.
 OWN = 0.9
 END = ""  # the end of a text, counted as a word; no word is empty
@@ -119,27 +119,28 @@ def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> float:
+def expect(model: Model, sequences: list[np.ndarray], counts: Counts, kind: type = np.float64) -> float:
     """Add the expected counts of the sequences by the backward recursion; their log likelihood.  Every state emits
-    every symbol.  Keeps 128 bytes a token (8 states)."""
+    every symbol.  Keeps two numbers of the ``kind`` a token and state; the sums are double."""
     _, symbols, alive, offsets = _laid_out(sequences)
     ratio, log_mean = _ratios(model)
-    ones = np.ones(len(model.start))
-    ahead, cuts = np.empty((len(symbols), len(ones))), {}
+    ratio, move, start = ratio.astype(kind), model.move.astype(kind), model.start.astype(kind)
+    ones = np.ones(len(start), kind)
+    ahead, cuts = np.empty((len(symbols), len(ones)), kind), {}
     for t, n in enumerate(alive):
         here = ahead[offsets[t]:offsets[t + 1]]
         seen = ratio.take(symbols[offsets[t]:offsets[t + 1]], axis=0)
         if t:
-            np.dot(state[:n], model.move, out=here)
+            np.dot(state[:n], move, out=here)
             here *= seen
         else:
-            np.multiply(model.start, seen, out=here)
+            np.multiply(start, seen, out=here)
         if t % SCALED == SCALED - 1:
             cuts[t] = here @ ones
             here /= cuts[t][:, None]
         state = here
     # back: what follows each token given its state, times its emission
-    back, moves_back, logs, m = np.empty_like(ahead), np.ascontiguousarray(model.move.T), 0.0, 0
+    back, moves_back, logs, m = np.empty_like(ahead), np.ascontiguousarray(move.T), 0.0, 0
     for t in range(len(alive) - 1, -1, -1):
         n, at = alive[t], slice(offsets[t], offsets[t + 1])
         here = back[at]
@@ -149,14 +150,14 @@ def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> float:
                 here[:m] /= (here[:m] @ ones)[:, None]
         if m < n:
             here[m:] = 1
-            logs += np.log(ahead[at][m:] @ ones).sum()
+            logs += np.log(ahead[at][m:] @ ones).sum(dtype=np.float64)
         here *= ratio.take(symbols[at], axis=0)
         state, m = here, n
     before = np.arange(len(symbols)) - np.repeat([0, *alive[:-1]], alive)  # the token before, of the same sequence
-    scale = np.ones(len(symbols))
+    scale = np.ones(len(symbols), kind)
     for t, c in cuts.items():
         scale[offsets[t]:offsets[t + 1]] = c
-        logs += np.log(c).sum()
+        logs += np.log(c).sum(dtype=np.float64)
     moved = np.zeros_like(model.move)
     for a in range(0, len(symbols), 1 << 16):
         b = min(a + (1 << 16), len(symbols))
@@ -167,7 +168,7 @@ def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> float:
         later = max(a, alive[0])  # tokens with one before them
         if later < b:
             moved += (ahead[before[later:b]] / (whole[later - a:] * scale[later:b])[:, None]).T @ back[later:b]
-        counts.start += now[:max(alive[0] - a, 0)].sum(axis=0)
+        counts.start += now[:max(alive[0] - a, 0)].sum(axis=0, dtype=np.float64)
         for k, own in enumerate(np.ascontiguousarray(now.T)):
             counts.emit[k] += np.bincount(at, weights=own, minlength=counts.emit.shape[1])
         logs += log_mean[at].sum()
@@ -176,9 +177,12 @@ def expect(model: Model, sequences: list[np.ndarray], counts: Counts) -> float:
 
 
 def _groups(batches, column: str):
-    """(batch slice, sequences) of about TOKENS_AT_ONCE symbols."""
+    """(rows, sequences) of about TOKENS_AT_ONCE symbols; a batch's rows by length, so that sequences side by side end
+    together."""
     for batch in batches:
-        sizes = [len(x) // 2 for x in batch.column(column).to_pylist()]
+        sizes = pc.divide(pc.binary_length(batch.column(column)), 2).to_numpy(zero_copy_only=False)
+        order = np.argsort(-sizes, kind="stable")
+        batch, sizes = batch.take(pa.array(order)), sizes[order].tolist()
         at = total = 0
         for i in range(len(sizes) + 1):
             if i == len(sizes) or total and total + sizes[i] > TOKENS_AT_ONCE:
@@ -240,7 +244,7 @@ def _encode(known, n_state_words: int):
                 cols: dict[str, list] = {c: [] for c in ("symbols", "others", "rare", "log_known", "log_other", "n_tokens", "n_known")}
                 for text in part.column("text").to_pylist():
                     own = tokens(text)
-                    at = np.array([place.get(w, -1) for w in own])
+                    at = np.fromiter((place.get(w, -1) for w in own), np.int64, len(own))
                     other = (at < 0) | (at >= n_state_words)
                     cols["symbols"].append(np.where(other, n_state_words, at).astype("<u2").tobytes())
                     cols["log_known"].append(float(logs[at].sum()))
@@ -289,7 +293,7 @@ def _expected(model, symbols: int):
         states = len(now.start)
         counts, any_rows, logs = Counts(states, symbols), False, np.zeros(states)
         for _, sequences in _groups(batches, "symbols"):
-            logs[0] += expect(now, sequences, counts)
+            logs[0] += expect(now, sequences, counts, np.float32)
             any_rows = True
         if any_rows:
             used = np.flatnonzero(counts.emit.any(axis=0))
@@ -372,11 +376,11 @@ def learn_words(spark: SparkSession, sequences: DataFrame, model: Model, plain:
     each = [f"s{k}" for k in range(states)]
     sent = spark.sparkContext.broadcast(model)
     found = base.written(spark, base.arrow_map(
-        sequences, _expected_words(sent, known), "symbol int, word string, n bigint, " + ", ".join(f"{s} double" for s in each))
-        .groupBy("symbol", "word").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in each]), "word-states")
+        sequences, _expected_words(sent, known), "symbol int, word string, n bigint, " + ", ".join(f"{s} float" for s in each))
+        .groupBy("symbol", "word").agg(F.sum("n").alias("n"), *[F.sum(s).cast("float").alias(s) for s in each]), "word-states")
     table = found.filter("symbol is not null").toArrow()
     symbol = table.column("symbol").to_numpy()
-    values = np.stack([table.column(s).to_numpy() for s in each], axis=1)
+    values = np.stack([table.column(s).to_numpy() for s in each], axis=1).astype(np.float64)
     dense, n = np.zeros((known + 1, states)), np.zeros(known + 1)
     dense[symbol[symbol >= 0]], n[symbol[symbol >= 0]] = values[symbol >= 0], table.column("n").to_numpy()[symbol >= 0]
     counts = Counts(states, len(plain))
