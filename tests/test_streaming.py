@@ -71,3 +71,28 @@ def test_a_batch_reads_new_records_and_state_only(spark, monkeypatch):
     assert state["numRowsUpdated"] == 10 and state["numRowsTotal"] == 5010 and any("rocksdb" in k for k in state["customMetrics"])
     assert spark.read.parquet(f"{root}/sink").count() == 10
     assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
+
+
+def test_runs_of_a_batch_are_compared_in_groups_and_looked_up_in_sparks_own_state(spark):
+    root = scratch_path(spark, "t-m6-groups")
+    spark.range(0, 60_000).selectExpr(
+        "cast(id % 20000 AS string) AS run_id", "'j' AS job_name", "if(id < 40000, 'FAILURE', 'SUCCESS') AS status", "array('a') AS asset_selection",
+        "'l' AS location", "map('k', 'v') AS tags", "timestamp_seconds(id) AS update_time", "timestamp_seconds(id) AS end_time").write.parquet(f"{root}/src")
+    q = run_metrics.start_run_metrics(spark, f"{root}/src", f"{root}/sink", f"{root}/ckpt", "dev")
+    q.awaitTermination()
+    states = [s for p in q.recentProgress if p["numInputRows"] for s in p["stateOperators"]]
+    assert [(s["operatorName"], s["numRowsTotal"]) for s in states] == [("dedupe", 20_000)]  # no call of Python a run
+    got = run_metrics.read_points(spark, f"{root}/sink")
+    assert got.count() == 20_000 and got.filter("value = 0 OR seconds < 40000").count() == 0
+
+
+def test_last_updated_over_several_arrow_batches():
+    import pyarrow as pa
+
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.string()))],
+                                          names=["_group", "run_id", "updated", "record"])
+    out = run_metrics._last_updated(iter([batch((1, "a", 2, "x"), (1, "b", 1, "q"), (1, None, 1, "n")),
+                                          batch((1, "a", 1, "z"), (1, "b", 1, "r"), (1, None, 3, "m"))]))
+    assert sorted((r for b in out for r in b.to_pylist()), key=str) == [
+        {"run_id": "a", "record": "x"}, {"run_id": "b", "record": "r"}, {"run_id": None, "record": "m"}]
