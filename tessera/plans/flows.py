@@ -100,14 +100,17 @@ def landing_measurements(spark: SparkSession, keys: DataFrame, lake_root: str, l
     run = uuid.uuid4().hex
     raw_path = f"{lake_root}/_raw_pages/run={run}"
     rest_source.fetch(S.request_rows(params), transport).write.parquet(raw_path)          # fetch exactly once
-    pages = S.classify_responses(spark.read.parquet(raw_path))
+    pages, links_path = spark.read.parquet(raw_path), f"{lake_root}/_links/run={run}"
+    S.page_links(S.classify_responses(pages)).write.parquet(links_path)                   # bodies are read for it once
     outcome_path = f"{lake_root}/_outcomes/run={run}"
-    S.request_outcomes(pages).write.parquet(outcome_path)
+    S.request_outcomes(spark.read.parquet(links_path)).write.parquet(outcome_path)
     outcome = spark.read.parquet(outcome_path)
     done = outcome.filter(F.col("outcome") == "ok").select("request_id")
-    good_pages = pages.join(done, "request_id", "left_semi")
-    rows = S.enrich(S.flatten_pages(good_pages, MEASUREMENT_RECORD, extra=True), params)
-    S.rejected_records(good_pages, MEASUREMENT_RECORD).write.parquet(f"{lake_root}/{REJECTS}/run={run}")
+    checked_path = f"{lake_root}/_checked/run={run}"
+    S.checked_records(pages.join(done, "request_id", "left_semi"), MEASUREMENT_RECORD).write.parquet(checked_path)
+    checked = spark.read.parquet(checked_path)
+    rows = S.enrich(S.landed_records(checked, MEASUREMENT_RECORD, extra=True), params)
+    S.rejects_of(checked).write.parquet(f"{lake_root}/{REJECTS}/run={run}")
     landed_keys = params.join(done, "request_id", "left_semi").select(F.col("date").cast("date").alias("date"), "station_number")
     path = B.asset_path(lake_root, LANDING)
     version = B.publish_partitions(rows, lake_root, LANDING, PCOLS, MEASUREMENTS, keys=landed_keys)

@@ -130,14 +130,14 @@ def _from_saved(paginate: bool):
                 return request, wanted, 404, None
 
             for batch in batches:
-                for r in batch.to_pylist():
-                    if r["page"] == 0:
+                for own, page, status, body in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if page == 0:
                         if wanted is not None:
                             yield missing()
-                        request, wanted = r["request_id"], 1
-                    elif r["request_id"] == request and r["page"] == wanted:
-                        yield request, wanted, r["status"], r["body"]
-                        then = next_page(wanted, r["status"], r["body"]) if paginate else None
+                        request, wanted = own, 1
+                    elif own == request and page == wanted:
+                        yield request, wanted, status, body
+                        then = next_page(wanted, status, body) if paginate else None
                         if then is not None and then <= wanted:
                             yield request, then, LOOP_STATUS, None
                             then = None

@@ -219,3 +219,35 @@ def test_saved_pages_nobody_asked_for_are_not_dealt(spark):
     out = rest_source.fetch(asked, {"transport": "replay", "replay": path})
     assert [r.request_id for r in out.collect()] == ["r7"]
     assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bodies_are_checked_without_naming_their_schema(spark):
+    from tessera.sources import fetch as S
+    record = '{"formula":"no2","value":"1.5","timestamp_measured":"2024-01-01T01:00:00Z","unit":{"a":[1]}}'
+    bodies = ['{"data":[%s,17,null,{"value":true,"timestamp_measured":[1]}]}' % record, '{"data":{"a":1}}', '{"data":null}', '[1]', '{"data":"x"}', "{", None]
+    pages = spark.createDataFrame([(str(i), 1, 200, b) for i, b in enumerate(bodies)], "request_id string, page int, status int, body string")
+
+    def outcomes(shape):
+        return [r.outcome for r in S.classify_responses(pages, shape).orderBy("request_id").collect()]
+
+    assert outcomes("ARRAY") == ["ok", *["malformed"] * 6] and outcomes("OBJECT") == ["malformed", "ok", *["malformed"] * 5]
+    checked = S.checked_records(pages)
+    got = {r.place: r for r in checked.collect()}
+    assert [got[i].reasons for i in range(4)] == [[], ["not an object"], ["not an object"],
+                                                  ["value: not a double", "timestamp_measured: not a timestamp"]]
+    assert got[0].value == 1.5 and got[0].extra == {"unit": '{"a":[1]}'} and got[0].raw is None and got[1].raw == "17"
+    for frame in (S.classify_responses(pages), checked):  # naming the schema of every body was most of the work
+        assert "schema" not in frame._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_chains_from_links_as_from_bodies(spark):
+    from tessera.sources import fetch as S
+    def body(cur, nxt):
+        return '{"pagination":{"current_page":%s,"next_page":%s},"data":[]}' % (cur, nxt)
+    rows = [("a", 1, body(1, 2)), ("a", 2, body(2, 2)), ("b", 1, body(1, 2)), ("c", 1, '{"data":[]}'), ("d", 1, body(1, 3)), ("d", 2, body(2, 1)),
+            ("d", 3, body(3, 3)), ("e", 1, None)]
+    pages = spark.createDataFrame(rows, "request_id string, page int, body string")
+    links = S.page_links(pages)
+    assert "body" not in links.columns and links.count() == len(rows)
+    assert sorted(S.page_chain_status(links).collect()) == sorted(S.page_chain_status(pages).collect())
+    assert {r.request_id: r.complete for r in S.page_chain_status(links).collect()} == {"a": True, "b": False, "c": True, "d": False, "e": True}
