@@ -19,10 +19,13 @@ FROZEN_CALLS = 500
 
 
 class ChunkEncoder:
-    """``encode_many(list of str) -> list of values`` applied per chunk, values concatenated by the caller."""
+    """``encode_many(list of str) -> list of values`` applied per chunk, values concatenated by the caller.
+    ``encode_spaced`` gives the values of chunks that follow a lone space, which is not in the list."""
 
-    def __init__(self, encode_many: Callable[[Sequence[str]], Sequence[Any]], limit: int = CACHE_CHUNKS):
+    def __init__(self, encode_many: Callable[[Sequence[str]], Sequence[Any]], limit: int = CACHE_CHUNKS,
+                 encode_spaced: Callable[[Sequence[str]], Sequence[Any]] | None = None):
         self.encode_many, self.limit = encode_many, limit
+        self.encode_spaced = encode_spaced or (lambda chunks: encode_many([" " + c for c in chunks]))
         self.frozen = 0
         self.spaced: dict[str, Any] = {}  # chunk without the space before it; None: white space at an end
 
@@ -45,27 +48,28 @@ class ChunkEncoder:
             spaced.clear()
             self.frozen, full = 0, False
         split = [t.split(" ") for t in texts]
-        seen: set[str] = set()
+        unseen: set[str] = set()
+        out, gaps = [], []
         for parts in split:
-            seen.update(parts)
-        new = [p for p in seen if p not in spaced]
+            values = list(map(spaced.get, parts))
+            missing = [] if all(values) else [j for j, v in enumerate(values) if not v]
+            unseen.update([parts[j] for j in missing])
+            out.append(values)
+            gaps.append(missing)
+        new = [p for p in unseen if p not in spaced]
         sound = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
         spaced.update(dict.fromkeys(new))
-        spaced.update(zip(sound, self.encode_many([" " + p for p in sound]), strict=True))
-        out, odd = [], []
-        for i, parts in enumerate(split):
-            values = [spaced[p] for p in parts]
-            if None in values:
-                values = []
-                odd.append(i)
-            elif values:
-                odd.append(i)  # its first chunk has no space before it
-            out.append(values)
+        spaced.update(zip(sound, self.encode_spaced(sound), strict=True))
+        for parts, values, missing in zip(split, out, gaps):
+            for j in missing:
+                values[j] = spaced[parts[j]]
+            if None in map(values.__getitem__, missing):
+                values.clear()
         heads: list[str] = []
         places: list[tuple[int, int]] = []
-        for i in odd:
+        for i in range(len(out)):
             if out[i]:
-                heads.append(split[i][0])
+                heads.append(split[i][0])  # has no space before it
                 places.append((i, 0))
                 continue
             values = []

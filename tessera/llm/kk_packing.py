@@ -15,6 +15,7 @@ import heapq
 import os
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -29,7 +30,9 @@ END_ID = 1
 #: Leftovers packed together; bounds a task's memory and the differencing's work.
 BLOCK_ITEMS = 256
 #: Encoded chunks that a worker keeps (about 200 bytes each): the library takes longest for new ones.
-CACHE_CHUNKS = 1_500_000
+CACHE_CHUNKS = 650_000
+#: New chunks that the library gets in one string, and in one call.
+LINE_CHUNKS, CHUNKS_AT_ONCE = 40, 20_000
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -104,16 +107,48 @@ def _take(loose: list[tuple], n: int) -> list[tuple]:
     return got
 
 
+def _encoders(tok):
+    """Two functions of a list of chunks that give each one's ids as bytes: for any chunks, and for chunks that follow
+    a lone space.  The latter are put together to lines, since a call of the library costs more than the chunk in it;
+    the numbers of bytes that the ids stand for tell where each chunk ends."""
+    size = np.zeros(tok.get_vocab_size(), np.int64)
+    for token, i in tok.get_vocab(with_added_tokens=False).items():
+        size[i] = len(token)  # byte-level: a character for each byte
+    for i, token in tok.get_added_tokens_decoder().items():
+        size[i] = len(token.content.encode())
+    if hasattr(tok.model, "_resize_cache"):
+        tok.model._resize_cache(0)  # the library sees each chunk once, its own cache only takes time
+
+    def many(chunks):
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def spaced(chunks):
+        out = []
+        for at in range(0, len(chunks), CHUNKS_AT_ONCE):
+            part = chunks[at:at + CHUNKS_AT_ONCE]
+            lines = [" " + " ".join(part[i:i + LINE_CHUNKS]) for i in range(0, len(part), LINE_CHUNKS)]
+            found = tok.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(e.ids for e in found), "<u4", sum(map(len, found)))
+            ends = np.cumsum(size[ids])
+            stops = np.cumsum(np.fromiter((len(c.encode()) for c in part), np.int64, len(part)) + 1)
+            last = np.searchsorted(ends, stops)
+            if not len(ids) or ends[-1] != stops[-1] or (ends[last] != stops).any():  # ids are not the bytes they come from
+                out += many([" " + c for c in part])
+                continue
+            last = (4 * (last + 1)).tolist()
+            ids = ids.tobytes()
+            out += [ids[a:b] for a, b in zip([0, *last], last)]
+        return out
+
+    return many, spaced
+
+
 def _encoder(path: str) -> ChunkEncoder:
     def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-
-        def many(chunks):
-            return [struct.pack(f"<{len(e)}I", *e.ids) for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
-
-        return ChunkEncoder(many, CACHE_CHUNKS)
+        many, spaced = _encoders(Tokenizer.from_file(path))
+        return ChunkEncoder(many, CACHE_CHUNKS, spaced)
 
     return base.kept(("op4", path), make)
 

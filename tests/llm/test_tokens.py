@@ -52,6 +52,37 @@ def test_full_cache_changes_nothing():
         assert [sum(v) for v in enc(["a bb  c", "x yy zz ww", ""])] == [7, 10, 0]
 
 
+def test_new_chunks_reach_the_library_in_lines():
+    import struct
+
+    from tokenizers import Tokenizer, normalizers
+
+    class Counting:
+        def __init__(self, tok):
+            self.tok, self.strings = tok, 0
+
+        def __getattr__(self, name):
+            return getattr(self.tok, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.strings += len(texts)
+            return self.tok.encode_batch_fast(texts, **options)
+
+    rng = np.random.default_rng(4)
+    chunks = ["".join(rng.choice(list("abcdeéß'.12\n漢😀<|>"), rng.integers(1, 12))).strip() or "x" for _ in range(900)]
+    chunks += ["<|endoftext|>", "a<|endoftext|>b", "don't", "ﬁn", "x" * 300]
+    for normalizer in None, normalizers.NFKC():  # the second changes bytes, so these chunks go one by one
+        tok = Tokenizer.from_file(P.path(kk_packing.TOKENIZER_FILE))
+        if normalizer:
+            tok.normalizer = normalizer
+        want = [struct.pack(f"<{len(e.ids)}I", *e.ids)
+                for e in (tok.encode(" " + c, add_special_tokens=False) for c in chunks)]
+        counting = Counting(tok)
+        _, spaced = kk_packing._encoders(counting)
+        assert spaced(chunks) == want and spaced([]) == []
+        assert normalizer or counting.strings <= len(chunks) / 20
+
+
 def test_packing_holds_every_id_once(docs, rows, none):
     from tokenizers import Tokenizer
 
