@@ -7,7 +7,7 @@ sorting the windows of a minimiser there finds the repeated ones exactly, by the
 
 What keeps it bounded:
 
-* Strings travel in one compressed block per bucket and slice of input.  A string that comes twice in a slice is
+* Texts are hashed in short stretches; strings travel in one compressed block per bucket and slice of input.  A string that comes twice in a slice is
   sent once, marked as repeated; its places are known to be repeated at once.
 * Sequences found in at least 1 % of a bounded sample of documents are used as minimisers only for windows that
   have no other (as k-mer counters avoid frequent k-mers), so a line or passage that a third of all documents share
@@ -36,6 +36,8 @@ MER_WORDS = 6
 SAMPLE_DOCS = 4000
 SAMPLE_SHARE = 0.01
 SLICE_BYTES = 3_000_000
+#: Text hashed at once: the arrays for it take about 80 bytes a byte.
+STRETCH_BYTES = 400_000
 #: A task's buckets are solved one after the other; more of them take less memory and compress less.
 BUCKETS_PER_TASK = 4
 
@@ -122,6 +124,15 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _runs(cut: Slice, before: int, strings: list[bytes]):
+    """Per super-k-mer: minimiser, number of its text (``before`` texts came earlier), its first word there, number of
+    windows, whether it holds its minimiser more than once; its words go to ``strings``."""
+    value, a, b, twice = cut.super_kmers()
+    text = cut.text_of[a]
+    strings += [cut.data[x:y] for x, y in zip(cut.start[a].tolist(), cut.stop[b + cut.window - 1].tolist())]
+    return value, text + before, a - cut.first[text], b - a + 1, twice
+
+
 def _blocks(n_buckets: int, window: int, mer: int, frequent):
     """Arrow function: (id, key, text) -> (bucket, block)."""
     def run(batches):
@@ -131,15 +142,13 @@ def _blocks(n_buckets: int, window: int, mer: int, frequent):
             for part in base.slices(batch, SLICE_BYTES):
                 ids = part.column("id").to_numpy()
                 keys = part.column("key").to_numpy()
-                cut = Slice(part.column("text").to_pylist(), window, mer, seen)
-                value, a, b, twice = cut.super_kmers()
+                strings, runs, before = [], [], 0
+                for stretch in base.slices(part, STRETCH_BYTES):
+                    runs.append(_runs(Slice(stretch.column("text").to_pylist(), window, mer, seen), before, strings))
+                    before += stretch.num_rows
+                value, text, word, n_windows, twice = (np.concatenate(x) for x in zip(*runs))
                 if not len(value):
                     continue
-                text = cut.text_of[a]
-                word = a - cut.first[text]
-                lo, hi = cut.start[a].tolist(), cut.stop[b + window - 1].tolist()
-                data = cut.data
-                strings = [data[x:y] for x, y in zip(lo, hi)]
                 place: dict[bytes, int] = {}
                 times = np.zeros(len(value), np.int64)
                 firsts = np.array([place.setdefault(s, i) for i, s in enumerate(strings)])
@@ -161,7 +170,7 @@ def _blocks(n_buckets: int, window: int, mer: int, frequent):
                         "a": [None] * len(out), "b": [None] * len(out)}
                 spans: dict[int, list] = {}
                 for i in np.flatnonzero(again).tolist():
-                    spans.setdefault(int(text[i]), []).append((int(word[i]), int(word[i] + b[i] - a[i] + window)))
+                    spans.setdefault(int(text[i]), []).append((int(word[i]), int(word[i] + n_windows[i] + window - 1)))
                 for t, own in spans.items():
                     for x, y in _merge(own):
                         for c, v in zip(rows, (int(keys[t] % n_buckets), None, int(ids[t]), int(keys[t]), x, y)):
@@ -179,9 +188,12 @@ def _repeated(window: int):
         for block in blocks:
             raw = unpack(block)
             n = int(np.frombuffer(raw, np.int64, 1)[0])
-            heads.append([np.frombuffer(raw, t, n, 8 + 8 * n * j) for j, t in enumerate((np.uint64, *["<i8"] * 4))])
+            heads.append(np.frombuffer(raw, "<i8", 5 * n, 8).reshape(5, n).copy())  # a view would keep all of raw
             strings.append(raw[8 + 40 * n:])
-        value, ids, keys, word, flag = (np.concatenate(x) for x in zip(*heads))
+        lengths = [h.shape[1] for h in heads]
+        value, ids, keys, word, flag = np.concatenate(heads, axis=1)
+        value = value.view(np.uint64)
+        del heads, raw
         order = np.argsort(value, kind="stable")
         sorted_value = value[order]
         starts = np.flatnonzero(np.concatenate([[True], sorted_value[1:] != sorted_value[:-1]]))
@@ -193,8 +205,7 @@ def _repeated(window: int):
             return None
         own: dict[int, bytes] = {}  # strings of the minimisers that matter
         at = 0
-        for block, head in zip(strings, heads):
-            n = len(head[0])
+        for block, n in zip(strings, lengths):
             pick = np.flatnonzero(wanted[at:at + n]).tolist()
             if pick:
                 lines = block.split(b"\n")

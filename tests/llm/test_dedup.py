@@ -113,6 +113,26 @@ def test_substring_dedup_equals_brute_force(spark, docs, rows, none, window):
     assert sorted([(r.doc_id, r.text) for r in out.collect()], key=key) == texts
 
 
+def test_a_slice_is_hashed_in_stretches():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(40_000)}" for _ in range(880)) for _ in range(500)]
+    texts[400] = texts[20]  # the same windows in two stretches of one slice
+    batch = pa.record_batch({"id": np.arange(500), "key": np.arange(500) * 7, "text": texts})
+    assert 2_000_000 < batch.column("text").nbytes < superkmer_dedup.SLICE_BYTES
+    tracemalloc.start()
+    out = list(superkmer_dedup._blocks(4, 35, 6, None)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 1 and sorted(b for b in out[0]["bucket"][:4]) == [0, 1, 2, 3]  # one block a bucket and slice
+    spans = [(i, a, b) for i, a, b in zip(out[0]["id"], out[0]["a"], out[0]["b"]) if i is not None]
+    assert spans == [(20, 0, 880), (400, 0, 880)]
+    assert peak < 60_000_000
+
+
 def test_frequent_sequences_are_found_all_the_same(spark):
     """A line that all texts share, and a passage that repeats within one text."""
     rng = random.Random(2)
