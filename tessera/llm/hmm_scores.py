@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ SMOOTHING = 50.0
 SEED = 11
 TOKENS_AT_ONCE = 750_000
 SCALED = 2  # steps of a recursion from one scaling to the next
+STRETCH_TOKENS = 1 << 15  # summed at once in a round
 #: Share of a rarer word's own states in its probability within the class of other words.
 OWN = 0.9
 END = ""  # the end of a text, counted as a word; no word is empty
@@ -84,7 +86,7 @@ def _laid_out(sequences: list[np.ndarray]):
     sizes = sizes[order]
     alive = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
     offsets = np.concatenate([[0], np.cumsum(alive)])
-    symbols = np.empty(offsets[-1], np.int32)
+    symbols = np.empty(offsets[-1], np.intp)
     for lane, i in enumerate(order.tolist()):
         symbols[offsets[:sizes[lane]] + lane] = sequences[i]
     return order, symbols, alive.tolist(), offsets.tolist()
@@ -119,61 +121,87 @@ def forward(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _stretches(alive: list[int]):
+    """(first time, time after the last) of runs of times with equally many sequences, of at most STRETCH_TOKENS."""
+    at = 0
+    for t in range(1, len(alive) + 1):
+        if t == len(alive) or alive[t] != alive[at] or (t + 1 - at) * alive[at] > STRETCH_TOKENS:
+            yield at, t
+            at = t
+
+
 def expect(model: Model, sequences: list[np.ndarray], counts: Counts, kind: type = np.float64) -> float:
     """Add the expected counts of the sequences by the backward recursion; their log likelihood.  Every state emits
-    every symbol.  Keeps two numbers of the ``kind`` a token and state; the sums are double."""
+    every symbol.  Keeps two numbers of the ``kind`` a token and state, one block (states x sequences) a time; the sums
+    are double.  What is not a step of the recursion is done for a stretch of times at once."""
     _, symbols, alive, offsets = _laid_out(sequences)
     ratio, log_mean = _ratios(model)
     ratio, move, start = ratio.astype(kind), model.move.astype(kind), model.start.astype(kind)
-    ones = np.ones(len(start), kind)
-    ahead, cuts = np.empty((len(symbols), len(ones)), kind), {}
-    for t, n in enumerate(alive):
-        here = ahead[offsets[t]:offsets[t + 1]]
-        seen = ratio.take(symbols[offsets[t]:offsets[t + 1]], axis=0)
-        if t:
-            np.dot(state[:n], move, out=here)
-            here *= seen
-        else:
-            np.multiply(start, seen, out=here)
-        if t % SCALED == SCALED - 1:
-            cuts[t] = here @ ones
-            here /= cuts[t][:, None]
-        state = here
-    # back: what follows each token given its state, times its emission
-    back, moves_back, logs, m = np.empty_like(ahead), np.ascontiguousarray(move.T), 0.0, 0
-    for t in range(len(alive) - 1, -1, -1):
-        n, at = alive[t], slice(offsets[t], offsets[t + 1])
-        here = back[at]
-        if m:
-            np.dot(state[:m], moves_back, out=here[:m])
-            if t % SCALED == 0:
-                here[:m] /= (here[:m] @ ones)[:, None]
-        if m < n:
-            here[m:] = 1
-            logs += np.log(ahead[at][m:] @ ones).sum(dtype=np.float64)
-        here *= ratio.take(symbols[at], axis=0)
-        state, m = here, n
-    before = np.arange(len(symbols)) - np.repeat([0, *alive[:-1]], alive)  # the token before, of the same sequence
-    scale = np.ones(len(symbols), kind)
-    for t, c in cuts.items():
-        scale[offsets[t]:offsets[t + 1]] = c
-        logs += np.log(c).sum(dtype=np.float64)
-    moved = np.zeros_like(model.move)
-    for a in range(0, len(symbols), 1 << 16):
-        b = min(a + (1 << 16), len(symbols))
-        at = symbols[a:b]
-        now = ahead[a:b] * back[a:b] / ratio.take(at, axis=0)
-        whole = now @ ones
-        now /= whole[:, None]
-        later = max(a, alive[0])  # tokens with one before them
-        if later < b:
-            moved += (ahead[before[later:b]] / (whole[later - a:] * scale[later:b])[:, None]).T @ back[later:b]
-        counts.start += now[:max(alive[0] - a, 0)].sum(axis=0, dtype=np.float64)
-        for k, own in enumerate(np.ascontiguousarray(now.T)):
-            counts.emit[k] += np.bincount(at, weights=own, minlength=counts.emit.shape[1])
-        logs += log_mean[at].sum()
+    states, n_symbols = counts.emit.shape
+    ones, moves = np.ones(states, kind), np.ascontiguousarray(move.T)
+    flat = np.empty((2, states * len(symbols)), kind)
+    stretches = [(a, b, alive[a], *(x[states * offsets[a]:states * offsets[b]].reshape(b - a, states, -1) for x in flat))
+                 for a, b in _stretches(alive)]
+    cuts, logs, state = {}, 0.0, None
+    for a, b, n, seen, ahead in stretches:
+        seen[:] = ratio.take(symbols[offsets[a]:offsets[b]], axis=0).reshape(b - a, n, states).transpose(0, 2, 1)
+        for t, emitted, here in zip(range(a, b), seen, ahead):
+            if t:
+                np.dot(moves, state[:, :n], out=here)
+                here *= emitted
+            else:
+                np.multiply(start[:, None], emitted, out=here)
+            if t % SCALED == SCALED - 1:
+                cuts[t] = np.dot(ones, here)
+                here /= cuts[t]
+            state = here
+    if cuts:
+        logs += np.log(np.concatenate(list(cuts.values()))).sum(dtype=np.float64)
+    # back: what follows each token given its state; shares: of the states in tokens, summed by symbol when it is full
+    shares = np.empty((states, max(STRETCH_TOKENS, 2 * alive[0], n_symbols)), kind)
+    moved, low, m = np.zeros_like(model.move), shares.shape[1], 0
+
+    def add_up(first):
+        for k, own in enumerate(shares[:, low:]):
+            counts.emit[k] += np.bincount(symbols[first:first + len(own)], weights=own, minlength=n_symbols)
+
+    for i in range(len(stretches) - 1, -1, -1):
+        a, b, n, seen, ahead = stretches[i]
+        back, after = np.empty_like(ahead), np.empty_like(ahead)
+        for j in range(b - a - 1, -1, -1):
+            here = back[j]
+            if m == n:
+                np.dot(move, state, out=here)
+            else:
+                here[:, m:] = 1
+                if m:
+                    here[:, :m] = np.dot(move, state)
+                logs += np.log(np.dot(ones, ahead[j][:, m:])).sum(dtype=np.float64)
+            if m and (a + j) % SCALED == 0:
+                here[:, :m] /= np.dot(ones, here[:, :m])
+            state = np.multiply(here, seen[j], out=after[j])
+            m = n
+        back *= ahead
+        whole = back.sum(axis=1)
+        back /= whole[:, None]
+        size = n * (b - a)
+        if low < size:
+            add_up(offsets[b])
+            low = shares.shape[1]
+        low -= size
+        shares[:, low:low + size].reshape(states, b - a, n)[:] = back.transpose(1, 0, 2)
+        for t in range(a, b):
+            if t in cuts:
+                whole[t - a] *= cuts[t]
+        if a:
+            moved += np.dot(stretches[i - 1][4][-1][:, :n] / whole[0], after[0].T)
+        if b - a > 1:
+            ahead[:-1] /= whole[1:, None]
+            moved += np.dot(ahead[:-1].transpose(1, 0, 2).reshape(states, -1), after[1:].transpose(1, 0, 2).reshape(states, -1).T)
+    add_up(0)
     counts.move += moved * model.move
-    return float(logs)
+    counts.start += back[0].sum(axis=1, dtype=np.float64)
+    return float(logs + log_mean.take(symbols).sum())
 
 
 def _groups(batches, column: str):
@@ -240,22 +268,32 @@ def _encode(known, n_state_words: int):
         logs = np.log10(np.array([*n, 0.0]) + 0.5)
         logs[-1] = 0.0  # not here: comes with the join
         for batch in batches:
-            for part in base.slices(batch, 3_000_000):
-                cols: dict[str, list] = {c: [] for c in ("symbols", "others", "rare", "log_known", "log_other", "n_tokens", "n_known")}
-                for text in part.column("text").to_pylist():
-                    own = tokens(text)
-                    at = np.fromiter((place.get(w, -1) for w in own), np.int64, len(own))
-                    other = (at < 0) | (at >= n_state_words)
-                    cols["symbols"].append(np.where(other, n_state_words, at).astype("<u2").tobytes())
-                    cols["log_known"].append(float(logs[at].sum()))
-                    cols["log_other"].append(float(logs[at[other]].sum()))
-                    cols["n_tokens"].append(len(own))
-                    cols["n_known"].append(int((at >= 0).sum()))
+            for part in base.slices(batch, 1_000_000):
+                texts = [tokens(t) for t in part.column("text").to_pylist()]
+                flat = list(chain.from_iterable(texts))
+                at = np.fromiter(map(place.get, flat, repeat(-1)), np.int64, len(flat))
+                ends = np.concatenate([[0], np.cumsum([len(own) for own in texts])])
+                other = (at < 0) | (at >= n_state_words)
+                unknown = np.flatnonzero(at < 0)
+                known_logs, other_logs = logs[at], logs[at[other]]
+                symbols = np.where(other, n_state_words, at).astype("<u2")
+                other_ends = np.concatenate([[0], np.cumsum(other)])[ends].tolist()
+                rare_ends = np.searchsorted(unknown, ends)
+                cols: dict[str, list] = {"symbols": [], "others": [], "rare": [], "log_known": [], "log_other": [],
+                                         "n_tokens": np.diff(ends), "n_known": np.diff(ends) - np.diff(rare_ends)}
+                places = []
+                for a, b in pairwise(rare_ends.tolist()):
                     rare: dict[bytes, int] = {}
-                    unknown = np.flatnonzero(at < 0)
-                    at[unknown] = [len(words) + rare.setdefault(own[i], len(rare)) for i in unknown.tolist()]
-                    cols["others"].append(at[other].astype("<u4").tobytes())
+                    places += [rare.setdefault(flat[i], len(rare)) for i in unknown[a:b].tolist()]
                     cols["rare"].append([w.decode() for w in rare])
+                at[unknown] = np.array(places, np.int64) + len(words)
+                others = at[other].astype("<u4")
+                for a, b in pairwise(ends.tolist()):
+                    cols["symbols"].append(symbols[a:b].tobytes())
+                    cols["log_known"].append(float(known_logs[a:b].sum()))
+                for a, b in pairwise(other_ends):
+                    cols["others"].append(others[a:b].tobytes())
+                    cols["log_other"].append(float(other_logs[a:b].sum()))
                 yield {"rid": part.column("rid"), "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), **cols}
 
     return run
@@ -306,10 +344,12 @@ def _expected(model, symbols: int):
 
 def train(spark: SparkSession, sequences: DataFrame, plain: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """sequences: (symbols binary) of all training texts, each in every round; ``rounds`` at most.  Per round the
-    driver gets one row a symbol."""
+    driver gets one row a symbol, and a task sends one: there are two tasks a core, however large the table, and what
+    they send is single precision (its sums are double)."""
     model = Model.initial(states, plain)
     n = sequences.agg(F.sum(F.length("symbols") / 2)).first()[0]  # tokens
-    schema = "symbol int, " + ", ".join(f"s{k} double" for k in range(states))
+    schema = "symbol int, " + ", ".join(f"s{k} float" for k in range(states))
+    sequences = sequences.coalesce(2 * spark.sparkContext.defaultParallelism)
     before = -math.inf
     for done in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)

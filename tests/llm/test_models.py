@@ -203,6 +203,36 @@ def test_every_round_sees_all_texts(spark, monkeypatch):
         assert np.allclose(got.emit, want.emit) and np.allclose(got.move, want.move) and np.allclose(got.start, want.start)
 
 
+def test_a_round_sends_few_small_rows(spark, monkeypatch):
+    """Each task sends a row a symbol, so what a round shuffles grows with its tasks: two a core at most."""
+    rng = np.random.default_rng(5)
+    sequences = [rng.integers(0, 5, rng.integers(1, 30)) for _ in range(200)]
+    frame = spark.createDataFrame([(bytearray(s.astype("<u2").tobytes()),) for s in sequences], "symbols binary").repartition(70)
+    seen = []
+
+    def watched(df, fn, schema, own=hmm_scores.base.arrow_map):
+        seen.append((df.rdd.getNumPartitions(), schema))
+        return own(df, fn, schema)
+
+    monkeypatch.setattr(hmm_scores.base, "arrow_map", watched)
+    hmm_scores.train(spark, frame, np.full(5, 0.2), 3, 1)
+    assert len(seen) == 1 and seen[0][0] <= 2 * spark.sparkContext.defaultParallelism < 70 and "double" not in seen[0][1]
+
+
+def test_expected_counts_do_not_depend_on_stretches(monkeypatch):
+    rng = np.random.default_rng(6)
+    sequences = [rng.integers(0, 9, n) for n in (1, 1, 2, 7, 7, 7, 30, 300)]
+    model, found = hmm_scores.Model.initial(4, np.full(9, 1 / 9)), []
+    for tokens in 1, 8, 10_000:
+        monkeypatch.setattr(hmm_scores, "STRETCH_TOKENS", tokens)
+        counts = hmm_scores.Counts(4, 9)
+        found.append((hmm_scores.expect(model, sequences, counts), counts))
+    for logs, counts in found:
+        assert np.isclose(logs, hmm_scores.forward(model, sequences).sum())
+        assert np.allclose(counts.emit.sum(axis=0), np.bincount(np.concatenate(sequences), minlength=9))
+        assert all(np.allclose(getattr(counts, k), getattr(found[0][1], k)) for k in ("start", "move", "emit"))
+
+
 @pytest.mark.parametrize("known", [30, 6])
 def test_every_word_learns_its_states(spark, known):
     """The last round equals Baum-Welch with all words told apart, whether their counts are sent or joined; within the
