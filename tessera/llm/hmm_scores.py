@@ -16,8 +16,7 @@ the ``KNOWN_WORDS`` most frequent words (at most) travel to the tasks (a bounded
 from __future__ import annotations
 
 import math
-from collections import Counter
-from itertools import chain, pairwise, repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +39,7 @@ SEED = 11
 TOKENS_AT_ONCE = 750_000
 SCALED = 2  # steps of a recursion from one scaling to the next
 STRETCH_TOKENS = 1 << 15  # summed at once in a round
+SLICE_BYTES = 2_000_000  # of text, split into words at once
 #: Share of a rarer word's own states in its probability within the class of other words.
 OWN = 0.9
 END = ""  # the end of a text, counted as a word; no word is empty
@@ -50,6 +50,13 @@ def tokens(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), END.encode()]
 
 
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` of all texts in one array, and where each text's begin and the last one's end."""
+    # what follows the last blank, nothing, is the end
+    words = pc.ascii_split_whitespace(pc.ascii_ltrim_whitespace(pc.binary_join_element_wise(pc.ascii_lower(texts), "", " ")))
+    return words.flatten(), words.offsets.to_numpy()
+
+
 class Model:
     """start (K), move (K x K), emit (K x V): the last of the V emitted symbols is the class of other words."""
 
@@ -79,6 +86,20 @@ class Counts:
         self.emit = np.zeros((states, symbols))
 
 
+class Room:
+    """Memory that serves one recursion after the other; fresh pages are dear."""
+
+    def __init__(self):
+        self.kept = np.empty(0, np.uint8)
+
+    def array(self, shape: tuple[int, ...], kind: type) -> np.ndarray:
+        size = math.prod(shape) * np.dtype(kind).itemsize
+        if size > len(self.kept):
+            self.kept = None  # given back before more is taken
+            self.kept = np.empty(size, np.uint8)
+        return self.kept[:size].view(kind).reshape(shape)
+
+
 def _laid_out(sequences: list[np.ndarray]):
     """Sequences side by side, longest first: (order, symbols by time, sequences at each time, offsets by time)."""
     sizes = np.array([len(s) for s in sequences])
@@ -130,21 +151,22 @@ def _stretches(alive: list[int]):
             at = t
 
 
-def expect(model: Model, sequences: list[np.ndarray], counts: Counts, kind: type = np.float64) -> float:
+def expect(model: Model, sequences: list[np.ndarray], counts: Counts, kind: type = np.float64, room: Room | None = None) -> float:
     """Add the expected counts of the sequences by the backward recursion; their log likelihood.  Every state emits
-    every symbol.  Keeps two numbers of the ``kind`` a token and state, one block (states x sequences) a time; the sums
-    are double.  What is not a step of the recursion is done for a stretch of times at once."""
+    every symbol; those beyond the model's are emitted as its last one and counted apart.  Keeps two numbers of the
+    ``kind`` a token and state (in ``room``), one block (states x sequences) a time; the sums are double.  What is not
+    a step of the recursion is done for a stretch of times at once."""
     _, symbols, alive, offsets = _laid_out(sequences)
     ratio, log_mean = _ratios(model)
     ratio, move, start = ratio.astype(kind), model.move.astype(kind), model.start.astype(kind)
     states, n_symbols = counts.emit.shape
     ones, moves = np.ones(states, kind), np.ascontiguousarray(move.T)
-    flat = np.empty((2, states * len(symbols)), kind)
+    flat = (room or Room()).array((2, states * len(symbols)), kind)
     stretches = [(a, b, alive[a], *(x[states * offsets[a]:states * offsets[b]].reshape(b - a, states, -1) for x in flat))
                  for a, b in _stretches(alive)]
     cuts, logs, state = {}, 0.0, None
     for a, b, n, seen, ahead in stretches:
-        seen[:] = ratio.take(symbols[offsets[a]:offsets[b]], axis=0).reshape(b - a, n, states).transpose(0, 2, 1)
+        seen[:] = ratio.take(symbols[offsets[a]:offsets[b]], axis=0, mode="clip").reshape(b - a, n, states).transpose(0, 2, 1)
         for t, emitted, here in zip(range(a, b), seen, ahead):
             if t:
                 np.dot(moves, state[:, :n], out=here)
@@ -201,11 +223,11 @@ def expect(model: Model, sequences: list[np.ndarray], counts: Counts, kind: type
     add_up(0)
     counts.move += moved * model.move
     counts.start += back[0].sum(axis=1, dtype=np.float64)
-    return float(logs + log_mean.take(symbols).sum())
+    return float(logs + log_mean.take(symbols, mode="clip").sum())
 
 
-def _groups(batches, column: str):
-    """(rows, sequences) of about TOKENS_AT_ONCE symbols; a batch's rows by length, so that sequences side by side end
+def _groups(batches, column: str, at_once: int = TOKENS_AT_ONCE):
+    """(rows, sequences) of about ``at_once`` symbols; a batch's rows by length, so that sequences side by side end
     together."""
     for batch in batches:
         sizes = pc.divide(pc.binary_length(batch.column(column)), 2).to_numpy(zero_copy_only=False)
@@ -213,7 +235,7 @@ def _groups(batches, column: str):
         batch, sizes = batch.take(pa.array(order)), sizes[order].tolist()
         at = total = 0
         for i in range(len(sizes) + 1):
-            if i == len(sizes) or total and total + sizes[i] > TOKENS_AT_ONCE:
+            if i == len(sizes) or total and total + sizes[i] > at_once:
                 if i > at:
                     part = batch.slice(at, i - at)
                     yield part, [np.frombuffer(x, "<u2") for x in part.column(column).to_pylist()]
@@ -225,19 +247,23 @@ def _groups(batches, column: str):
 def word_counts(training: DataFrame) -> DataFrame:
     """(word, n) over all rows of (text): tasks add up their own words first."""
     def run(batches):
-        seen: Counter = Counter()
+        found: list[pa.Table] = []
 
-        def out():
-            words = pa.array(list(seen), pa.binary()).cast(pa.string())
-            return {"word": words, "n": list(seen.values())}
+        def added() -> pa.Table:
+            return pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seen.update(tokens(text))
-                if len(seen) > 1_000_000:
-                    yield out()
-                    seen.clear()
-        yield out()
+            for part in base.slices(batch, SLICE_BYTES):
+                words = _split(part.column("text"))[0].value_counts()
+                found.append(pa.table({"word": words.field("values"), "n": words.field("counts")}))
+                if sum(map(len, found)) > 1_000_000:
+                    found = [added()]
+                    if len(found[0]) > 500_000:
+                        yield {c: found[0].column(c).combine_chunks() for c in ("word", "n")}
+                        found = []
+        if found:
+            last = added()
+            yield {c: last.column(c).combine_chunks() for c in ("word", "n")}
 
     return base.arrow_map(training, run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -264,58 +290,56 @@ def _encode(known, n_state_words: int):
     in order: index of a known word, or the number of known words and the place in ``rare``, the text's other words."""
     def run(batches):
         words, n = known.value
-        place = {w.encode(): i for i, w in enumerate(words)}
+        known_words = pa.array(words, pa.string())
         logs = np.log10(np.array([*n, 0.0]) + 0.5)
         logs[-1] = 0.0  # not here: comes with the join
         for batch in batches:
-            for part in base.slices(batch, 1_000_000):
-                texts = [tokens(t) for t in part.column("text").to_pylist()]
-                flat = list(chain.from_iterable(texts))
-                at = np.fromiter(map(place.get, flat, repeat(-1)), np.int64, len(flat))
-                ends = np.concatenate([[0], np.cumsum([len(own) for own in texts])])
+            for part in base.slices(batch, SLICE_BYTES):
+                flat, ends = _split(part.column("text"))
+                flat = flat.dictionary_encode()
+                word = flat.indices.to_numpy()
+                place = pc.index_in(flat.dictionary, value_set=known_words.cast(flat.dictionary.type)).fill_null(-1).to_numpy()
+                at = place.astype(np.int64)[word]
+                row = np.repeat(np.arange(len(part)), np.diff(ends))
                 other = (at < 0) | (at >= n_state_words)
                 unknown = np.flatnonzero(at < 0)
-                known_logs, other_logs = logs[at], logs[at[other]]
-                symbols = np.where(other, n_state_words, at).astype("<u2")
-                other_ends = np.concatenate([[0], np.cumsum(other)])[ends].tolist()
-                rare_ends = np.searchsorted(unknown, ends)
-                cols: dict[str, list] = {"symbols": [], "others": [], "rare": [], "log_known": [], "log_other": [],
-                                         "n_tokens": np.diff(ends), "n_known": np.diff(ends) - np.diff(rare_ends)}
-                places = []
-                for a, b in pairwise(rare_ends.tolist()):
-                    rare: dict[bytes, int] = {}
-                    places += [rare.setdefault(flat[i], len(rare)) for i in unknown[a:b].tolist()]
-                    cols["rare"].append([w.decode() for w in rare])
-                at[unknown] = np.array(places, np.int64) + len(words)
-                others = at[other].astype("<u4")
-                for a, b in pairwise(ends.tolist()):
-                    cols["symbols"].append(symbols[a:b].tobytes())
-                    cols["log_known"].append(float(known_logs[a:b].sum()))
-                for a, b in pairwise(other_ends):
-                    cols["others"].append(others[a:b].tobytes())
-                    cols["log_other"].append(float(other_logs[a:b].sum()))
-                yield {"rid": part.column("rid"), "doc_id": part.column("doc_id"), "held_out": part.column("held_out"), **cols}
+
+                def added(which, rows):
+                    return np.bincount(rows, weights=logs[which], minlength=len(part))
+
+                def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+                    offsets = np.concatenate([[0], np.cumsum(counts)]) * values.itemsize
+                    return pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values)])
+
+                log_known, log_other = added(at, row), added(at[other], row[other])
+                # each row's unknown words once
+                rare, own = np.unique(row[unknown] * len(flat.dictionary) + word[unknown], return_inverse=True)
+                rare_row, rare_word = np.divmod(rare, len(flat.dictionary))
+                first = np.searchsorted(rare_row, np.arange(len(part) + 1))
+                at[unknown] = len(words) + own - first[row[unknown]]
+                yield {"rid": part.column("rid"), "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
+                       "symbols": lists(np.where(other, n_state_words, at).astype("<u2"), np.diff(ends)),
+                       "others": lists(at[other].astype("<u4"), np.bincount(row[other], minlength=len(part))),
+                       "rare": pa.ListArray.from_arrays(pa.array(first, pa.int32()), flat.dictionary.take(pa.array(rare_word))),
+                       "log_known": log_known, "log_other": log_other, "n_tokens": np.diff(ends).astype(np.int64),
+                       "n_known": np.diff(ends) - np.bincount(row[unknown], minlength=len(part))}
 
     return run
 
 
-def _told_apart(part, sequences: list[np.ndarray], symbol: int, known: int, n_rare: list[int]):
+def _told_apart(part, sequences: list[np.ndarray], symbol: int, known: int, n_rare: np.ndarray):
     """Sequences in which each word of the class has a symbol of its own, from ``symbol`` on; what these are (index of
     a known word, or ``known`` and a place in the rare words of all rows); and each row's words of the class, so."""
-    before, own = 0, []
-    for words, n in zip(part.column("others").to_pylist(), n_rare, strict=True):
-        at = np.frombuffer(words, "<u4").astype(np.int64)
-        at[at >= known] += before
-        own.append(at)
-        before += n
-    which, place = np.unique(np.concatenate(own), return_inverse=True)
-    out, at = [], 0
-    for s, o in zip(sequences, own):
-        s = s.astype(np.int32)
-        s[s == symbol] = symbol + place[at:at + len(o)]
-        at += len(o)
-        out.append(s)
-    return out, which, own
+    words = part.column("others").to_pylist()
+    ends = np.cumsum([0] + [len(w) // 4 for w in words])
+    own = np.frombuffer(b"".join(words), "<u4").astype(np.int64)
+    own += np.where(own >= known, np.repeat(np.cumsum(n_rare) - n_rare, np.diff(ends)), 0)
+    used = np.zeros(known + int(n_rare.sum()), bool)
+    used[own] = True
+    flat = np.concatenate(sequences).astype(np.int32)
+    flat[flat == symbol] = symbol - 1 + np.cumsum(used)[own]
+    out = [flat[a:b] for a, b in pairwise(np.cumsum([0] + [len(s) for s in sequences]).tolist())]
+    return out, np.flatnonzero(used), [own[a:b] for a, b in pairwise(ends.tolist())]
 
 
 def _with_others(model: Model, affinity: np.ndarray) -> Model:
@@ -329,9 +353,9 @@ def _expected(model, symbols: int):
     def run(batches):
         now = model.value
         states = len(now.start)
-        counts, any_rows, logs = Counts(states, symbols), False, np.zeros(states)
+        counts, any_rows, logs, room = Counts(states, symbols), False, np.zeros(states), Room()
         for _, sequences in _groups(batches, "symbols"):
-            logs[0] += expect(now, sequences, counts, np.float32)
+            logs[0] += expect(now, sequences, counts, np.float32, room)
             any_rows = True
         if any_rows:
             used = np.flatnonzero(counts.emit.any(axis=0))
@@ -376,16 +400,16 @@ def _expected_words(model, known: int):
     def run(batches):
         now = model.value
         states, symbol = len(now.start), now.emit.shape[1] - 1
-        total, dense, n_dense = Counts(states, 0), np.zeros((known + 1, states)), np.zeros(known + 1, np.int64)
+        total, dense, n_dense, room = Counts(states, 0), np.zeros((known + 1, states)), np.zeros(known + 1, np.int64), Room()
 
         def rows(symbols, words, n, table):
             return {"symbol": symbols, "word": words, "n": n, **{f"s{k}": table[:, k] for k in range(states)}}
 
-        for part, sequences in _groups(batches, "symbols"):
-            rare = part.column("rare").to_pylist()
-            told, which, _ = _told_apart(part, sequences, symbol, known, [len(w) for w in rare])
+        for part, sequences in _groups(batches, "symbols", TOKENS_AT_ONCE // 2):  # in double precision, so half as many
+            rare = part.column("rare")
+            told, which, _ = _told_apart(part, sequences, symbol, known, pc.list_value_length(rare).to_numpy())
             counts = Counts(states, symbol + len(which))
-            expect(_with_others(now, np.ones((len(which), states))), told, counts)
+            expect(now, told, counts, room=room)
             n = np.bincount(np.concatenate(told), minlength=symbol + len(which))
             emit, own = counts.emit.T, which < known
             total.start += counts.start
@@ -395,11 +419,11 @@ def _expected_words(model, known: int):
             dense[which[own]] += emit[symbol:][own]
             n_dense[which[own]] += n[symbol:][own]
             dense[known] += emit[symbol:].sum(axis=0)
-            every = [w for words in rare for w in words]
-            yield rows([None] * int((~own).sum()), [every[i] for i in (which[~own] - known).tolist()], n[symbol:][~own], emit[symbol:][~own])
+            yield rows(pa.nulls(int((~own).sum()), pa.int32()), rare.flatten().take(pa.array(which[~own] - known)), n[symbol:][~own], emit[symbol:][~own])
         if n_dense.any():
-            yield rows(np.concatenate([np.arange(known + 1), -1 - np.arange(states + 1)]), [None] * (known + 2 + states),
-                       np.concatenate([n_dense, np.zeros(states + 1, np.int64)]), np.concatenate([dense, total.start[None, :], total.move]))
+            used = np.append(np.flatnonzero(n_dense[:known]), known)
+            yield rows(np.concatenate([used, -1 - np.arange(states + 1)]), pa.nulls(len(used) + 1 + states, pa.string()),
+                       np.concatenate([n_dense[used], np.zeros(states + 1, np.int64)]), np.concatenate([dense[used], total.start[None, :], total.move]))
 
     return run
 
@@ -454,7 +478,7 @@ def _scored(sent, known: int):
             n, own = np.zeros(start[-1]), np.ones((start[-1], states), np.float32)
             n[at] = pc.struct_field(flat, "n").to_numpy()
             own[at] = pc.list_flatten(pc.struct_field(flat, "factor")).to_numpy().reshape(-1, states)
-            told, which, words = _told_apart(part, sequences, symbol, known, n_rare.tolist())
+            told, which, words = _told_apart(part, sequences, symbol, known, n_rare)
             affinity = np.empty((len(which), states))
             affinity[which < known] = factors[which[which < known]]
             affinity[which >= known] = own[which[which >= known] - known]

@@ -7,8 +7,10 @@ import random
 import re
 import zlib
 from collections import Counter
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from samples import prose
 
@@ -339,6 +341,66 @@ def test_scores_equal_plain_recursion(spark, known):
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=1e-5)
 
 
+def test_words_of_many_texts_are_split_at_once(monkeypatch):
+    """Counting and encoding take the words of a slice of texts together, and take the same words as text by text."""
+    texts = ["", " ", "a", " a", "a ", "A  b\t\n\x0b\x0c\rC ", "\x1c\x85\xa0b\u2003É é", "\x00 \x00", "İ I\u0130 ß", "a b " * 50, "\n"]
+    want = [hmm_scores.tokens(t) for t in texts]
+    count = Counter(w.decode() for own in want for w in own)
+
+    def never(text):
+        raise AssertionError("word by word")
+
+    def mapped(table, run, schema):
+        seen.append(run)
+        return table
+
+    seen, table = [], pa.table({"text": pa.array(texts, pa.string())})
+    monkeypatch.setattr(hmm_scores, "tokens", never)
+    monkeypatch.setattr(hmm_scores, "SLICE_BYTES", 30, raising=False)
+    monkeypatch.setattr(hmm_scores.base, "arrow_map", mapped)
+    monkeypatch.setattr(hmm_scores, "F", MagicMock())
+    hmm_scores.word_counts(MagicMock())
+    found = Counter()
+    for cols in seen[0](table.to_batches()):
+        for w, n in zip(pa.array(cols["word"]).to_pylist(), pa.array(cols["n"]).to_pylist(), strict=True):
+            found[w] += n
+    assert found == count
+
+    top = sorted(count, key=lambda w: (-count[w], w))[:4]
+    rows = pa.table({"rid": range(len(texts)), "doc_id": range(len(texts)), "held_out": [False] * len(texts), "text": texts})
+    got = []
+    for cols in hmm_scores._encode(MagicMock(value=(top, [count[w] for w in top])), 2)(rows.to_batches()):
+        got += zip(*(pa.array(cols[c]).to_pylist() for c in ("symbols", "others", "rare", "n_tokens", "n_known", "log_known", "log_other")))
+    for own, (symbols, others, rare, n, n_known, log_known, log_other) in zip(want, got, strict=True):
+        own = [w.decode() for w in own]
+        place = [top.index(w) if w in top else -1 for w in own]
+        assert np.frombuffer(symbols, "<u2").tolist() == [p if p in (0, 1) else 2 for p in place]
+        assert [(top + rare)[i] for i in np.frombuffer(others, "<u4")] == [w for w in own if w not in top[:2]]
+        assert sorted(rare) == sorted({w for w in own if w not in top})
+        assert (n, n_known) == (len(own), sum(w in top for w in own))
+        assert log_known == pytest.approx(sum(math.log10(count[w] + 0.5) for w in own if w in top))
+        assert log_other == pytest.approx(sum(math.log10(count[w] + 0.5) for w in own if w in top[2:]))
+
+
+def test_the_last_round_sends_known_words_that_were_seen():
+    """A task sends a row for the known words of its own texts only, and one for each other word."""
+    texts = [([0, 2], [2], []), ([1, 2, 2], [3, 5], ["new"])] * 40
+    rows = pa.table({"symbols": pa.array([np.array(s, "<u2").tobytes() for s, _, _ in texts], pa.binary()),
+                     "others": pa.array([np.array(o, "<u4").tobytes() for _, o, _ in texts], pa.binary()),
+                     "rare": pa.array([r for _, _, r in texts], pa.list_(pa.string()))})
+    known, model = 5, hmm_scores.Model.initial(2, np.array([0.3, 0.3, 0.4]))
+    sent, others = {}, Counter()
+    for cols in hmm_scores._expected_words(MagicMock(value=model), known)(rows.to_batches()):
+        for s, w, n in zip(*(pa.array(cols[c]).to_pylist() for c in ("symbol", "word", "n")), strict=True):
+            if w is None:
+                sent[s] = n
+            else:
+                others[w] += n
+    assert others == {"new": 40}
+    # the moves, the start, words seen, the class
+    assert sent == {-3: 0, -2: 0, -1: 0, 0: 40, 1: 40, 2: 40, 3: 40, known: 0}
+
+
 def test_scores_are_probabilities():
     """Over all sequences of up to three words, ended or not, the probabilities add up to one."""
     plain = np.array([0.5, 0.3, 0.2])
